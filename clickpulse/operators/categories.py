@@ -29,11 +29,11 @@ def category_uses(actions: DataFrame, *carried: str) -> DataFrame:
     ids = (
         F.when(F.col("flag") == CLICK, F.array(clicked))
         .when(F.col("flag") == ORDER, split_ids(ordered))
-        .otherwise(split_ids(paid))
+        .when(F.col("flag") == PAY, split_ids(paid))
     )
+    # Actions of no kind have no ids and vanish here.
     return (
         actions.withColumn("flag", kind)
-        .where(F.col("flag").isNotNull())
         .select(*carried, "flag", F.explode(ids).alias("category_id"))
         .where(~is_blank(F.col("category_id")))
     )

@@ -10,8 +10,8 @@ from math import gcd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickpulse.functions.text import split_words
-from clickpulse.functions.times import COMPACT_FORMAT, DATE_FORMAT, format_millis
+from clickpulse.functions.text import split_words, strip_blanks
+from clickpulse.functions.times import COMPACT_FORMAT, format_millis, from_millis
 from clickpulse.operators.joins import drop_members
 from clickpulse.operators.ranking import top_n
 from clickpulse.schemas import AD_CLICK, CLICK_COLUMNS
@@ -30,14 +30,16 @@ def parse_clicks(lines: DataFrame) -> DataFrame:
     """Clicks from lines ``ts_ms province city user_id ad_id`` in column ``value``.
 
     Lines with a missing field or a bad number are dropped; further fields are
-    ignored.
+    ignored. The fields leave a generator, below which Spark cannot push the null
+    check: each line is split once.
     """
-    words = lines.select(split_words(F.col("value")).alias("words"))
+    stripped = lines.select(strip_blanks(F.col("value")).alias("line"))
+    words = stripped.select(split_words(F.col("line")).alias("words"))
     fields = (
         F.get("words", F.lit(position)).try_cast(field.dataType).alias(field.name)
         for position, field in enumerate(AD_CLICK)
     )
-    return words.select(*fields).dropna(subset=CLICK_COLUMNS)
+    return words.select(F.inline(F.array(F.struct(*fields)))).dropna(subset=CLICK_COLUMNS)
 
 
 def not_blacklisted(clicks: DataFrame, blacklist: DataFrame, spread: int = 1) -> DataFrame:
@@ -48,21 +50,45 @@ def not_blacklisted(clicks: DataFrame, blacklist: DataFrame, spread: int = 1) ->
 def sliding_counts(clicks: DataFrame, key: str, size: int, slide: int) -> DataFrame:
     """Clicks per key and window: ``window_end_ms``, every ``slide`` seconds.
 
-    A window holds ``[end - size, end)`` of the click time. Clicks are first
-    counted per key and pane, the longest span that no window border cuts; only
-    the panes are copied into the windows that contain them.
+    A window holds ``[end - size, end)`` of the click time; windows without
+    clicks are absent. The ends of a span are listed last, so neither a shuffle
+    nor an aggregation sees the copies of a click in its many windows.
     """
-    pane, size, slide = gcd(size, slide) * 1000, size * 1000, slide * 1000
-    start = F.col("pane")
-    ends = F.sequence(
-        _round_up(start + pane, slide), _round_down(start + size, slide), F.lit(slide).cast("long")
-    )
-    return (
-        _pane_counts(clicks, key, pane)
-        .select(key, F.explode(ends).alias("window_end_ms"), "clicks")
-        .groupBy(key, "window_end_ms")
-        .agg(F.sum("clicks").alias("click_count"))
+    spans = window_spans(_pane_counts(clicks, key, size, slide), key, size, slide)
+    ends = F.sequence("first_end", "last_end", _millis(slide))
+    return spans.select(key, F.explode(ends).alias("window_end_ms"), "click_count")
+
+
+def window_spans(panes: DataFrame, key: str, size: int, slide: int) -> DataFrame:
+    """Spans of windows with the same clicks: first_end, last_end and click_count.
+
+    Clicks of a pane enter the count at the first window that holds the pane and
+    leave it after the last. The running sum of these changes is the count of the
+    window. A key has at most two rows per pane of the period, however many
+    clicks, so a hot key is no burden.
+    """
+    if size < slide:
+        raise ValueError("windows must not leave gaps")
+    start, step = F.col("pane"), _millis(slide)
+    enter = _round_up(start + _millis(gcd(size, slide)), step)
+    leave = _round_down(start + _millis(size), step) + step
+    changes = panes.select(
+        key,
+        F.inline(
+            F.array(
+                F.struct(enter.alias("first_end"), F.col("clicks").alias("change")),
+                F.struct(leave.alias("first_end"), (-F.col("clicks")).alias("change")),
+            )
+        ),
     )
+    # Changes at the same end share one sum; all but the last of them span nothing.
+    ends = Window.partitionBy(key).orderBy("first_end")
+    return changes.select(
+        key,
+        "first_end",
+        (F.lead("first_end").over(ends) - step).alias("last_end"),
+        F.sum("change").over(ends).alias("click_count"),
+    ).where("click_count > 0 AND last_end >= first_end")
 
 
 def blacklist_candidates(
@@ -75,29 +101,22 @@ def blacklist_candidates(
 ) -> DataFrame:
     """Users with more than ``threshold`` clicks in a window, and their highest count.
 
-    Users already listed and whitelisted users are left out. The fullest window
-    of a user can be taken to end with a pane that holds a click, so a running
-    sum over the user's panes replaces the copies of ``sliding_counts``; a user
-    has at most one row per pane of the period, however many clicks.
+    Users already listed and whitelisted users are left out; clicks are counted
+    per user and pane before these joins.
     """
-    if size % slide:
-        raise ValueError("the window must be a multiple of its slide")
-    panes = _pane_counts(clicks, "user_id", slide * 1000)
+    panes = _pane_counts(clicks, "user_id", size, slide)
     panes = drop_members(drop_members(panes, blacklist, "user_id"), whitelist, "user_id")
-    window = (
-        Window.partitionBy("user_id").orderBy("pane").rangeBetween((slide - size) * 1000, 0)
-    )
     return (
-        panes.withColumn("count", F.sum("clicks").over(window))
-        .where(F.col("count") > threshold)
+        window_spans(panes, "user_id", size, slide)
+        .where(F.col("click_count") > threshold)
         .groupBy("user_id")
-        .agg(F.max("count").cast("int").alias("count"))
+        .agg(F.max("click_count").cast("int").alias("count"))
     )
 
 
 def running_counts(clicks: DataFrame) -> DataFrame:
     """Clicks per day, province, city and ad."""
-    return _dated(clicks).groupBy(*COUNT_KEYS).agg(F.count(F.lit(1)).alias("click_count"))
+    return _daily_counts(clicks, COUNT_KEYS)
 
 
 def province_counts(counts: DataFrame) -> DataFrame:
@@ -107,7 +126,7 @@ def province_counts(counts: DataFrame) -> DataFrame:
 
 def province_click_counts(clicks: DataFrame) -> DataFrame:
     """Clicks per day, province and ad, counted directly."""
-    return _dated(clicks).groupBy(*PROVINCE_KEYS).agg(F.count(F.lit(1)).alias("click_count"))
+    return _daily_counts(clicks, PROVINCE_KEYS)
 
 
 def top_province_ads(counts: DataFrame, n: int = TOP_ADS) -> DataFrame:
@@ -124,20 +143,29 @@ def click_trend(clicks: DataFrame, size: int = TREND_WINDOW, slide: int = TREND_
     )
 
 
-def _dated(clicks: DataFrame) -> DataFrame:
-    return clicks.withColumn("date", format_millis(F.col("ts_ms"), DATE_FORMAT))
+def _daily_counts(clicks: DataFrame, keys: list[str]) -> DataFrame:
+    """Clicks per group; the day stays a date until the groups are counted."""
+    dated = clicks.withColumn("date", F.to_date(from_millis(F.col("ts_ms"))))
+    counts = dated.groupBy(*keys).agg(F.count(F.lit(1)).alias("click_count"))
+    return counts.withColumn("date", F.col("date").cast("string"))
 
 
-def _pane_counts(clicks: DataFrame, key: str, pane: int) -> DataFrame:
-    """Clicks per key and pane, a span of ``pane`` milliseconds named by its start."""
-    return clicks.groupBy(key, _round_down(F.col("ts_ms"), pane).alias("pane")).agg(
-        F.count(F.lit(1)).alias("clicks")
-    )
+def _pane_counts(clicks: DataFrame, key: str, size: int, slide: int) -> DataFrame:
+    """Clicks per key and pane, the longest span that no window border cuts.
+
+    A pane is named by its start in milliseconds.
+    """
+    pane = _round_down(F.col("ts_ms"), _millis(gcd(size, slide)))
+    return clicks.groupBy(key, pane.alias("pane")).agg(F.count(F.lit(1)).alias("clicks"))
+
+
+def _millis(seconds: int) -> Column:
+    return F.lit(seconds * 1000).cast("long")
 
 
-def _round_down(millis: Column, step: int) -> Column:
-    return millis - F.pmod(millis, F.lit(step))
+def _round_down(millis: Column, step: Column) -> Column:
+    return millis - F.pmod(millis, step)
 
 
-def _round_up(millis: Column, step: int) -> Column:
-    return millis + F.pmod(-millis, F.lit(step))
+def _round_up(millis: Column, step: Column) -> Column:
+    return millis + F.pmod(-millis, step)

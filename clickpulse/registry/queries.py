@@ -35,7 +35,10 @@ class Inputs:
         self.spark, self.sf_dir = spark, sf_dir
 
     def __getattr__(self, view: str) -> DataFrame:
-        return getattr(views, view)(self.spark, self.sf_dir)
+        """Each table is built at its first use and then kept."""
+        table = getattr(views, view)(self.spark, self.sf_dir)
+        setattr(self, view, table)
+        return table
 
 
 def _query(build: Callable[[Inputs], DataFrame]) -> Query:

@@ -2,113 +2,114 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from clickpulse import schemas
 from clickpulse.sources.tables import typed
 
-EVENTS_SCHEMA = (
-    "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
-)
-_EPOCH = "timestamp_ntz'1970-01-01 00:00:00'"
+# The columns of the test tables used here.
+TABLES = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, props string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+    "part": "p_partkey bigint, p_name string, p_size int",
+}
+
+_K = "cast(get_json_object(props, '$.k') as int)"
+_DAY = "cast(cast(ts as date) as string)"
+
+
+def _only(event_type: str, text: str) -> str:
+    return f"CASE WHEN event_type = '{event_type}' THEN {text} ELSE '' END"
 
 
 def user_visit_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.get_json_object("props", "$.k").cast("int")
-    event_id, user_id = F.col("event_id"), F.col("user_id")
-    day = F.date_format("ts", "yyyy-MM-dd")
-    second = 32280 + event_id * 37 % 700
-    clock = [second / 3600, second / 60 % 60, second % 60]
-
-    def when(event_type: str, *parts: Column | str) -> Column:
-        text = F.concat(*(F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts))
-        return F.when(F.col("event_type") == event_type, text).otherwise("")
-
-    rows = _read(spark, sf_dir, "events").select(
-        day.alias("date"),
+    second = "make_dt_interval(0, 0, 0, 32280 + event_id * 37 % 700)"
+    rows = _read(spark, sf_dir, "events").selectExpr(
+        f"{_DAY} AS date",
         "user_id",
-        F.concat(user_id.cast("string"), F.lit("_"), day).alias("session_id"),
-        k.alias("page_id"),
-        F.concat(
-            day, F.lit(" "), F.format_string("%02d:%02d:%02d", *(F.floor(part) for part in clock))
-        ).alias("action_time"),
-        when("error", "kw", k % 10).alias("search_keyword"),
-        when("click", k % 50).alias("click_category_id"),
-        when("click", event_id % 200).alias("click_product_id"),
-        when("purchase", k % 50, "|", (k * 3 + 1) % 50, "| |").alias("order_category_ids"),
-        when("purchase", event_id % 200, "|", (event_id * 3 + 1) % 200).alias("order_product_ids"),
-        when("signup", k % 50, "|", (k * 7 + 3) % 50).alias("pay_category_ids"),
-        when("signup", event_id % 200, "|", (event_id * 7 + 3) % 200).alias("pay_product_ids"),
-        (user_id % 25).alias("city_id"),
+        f"concat(user_id, '_', {_DAY}) AS session_id",
+        f"{_K} AS page_id",
+        f"cast(cast(cast(ts as date) as timestamp_ntz) + {second} as string) AS action_time",
+        _only("error", f"concat('kw', {_K} % 10)") + " AS search_keyword",
+        _only("click", f"cast({_K} % 50 as string)") + " AS click_category_id",
+        _only("click", "cast(event_id % 200 as string)") + " AS click_product_id",
+        _only("purchase", f"concat({_K} % 50, '|', ({_K} * 3 + 1) % 50, '| |')")
+        + " AS order_category_ids",
+        _only("purchase", "concat(event_id % 200, '|', (event_id * 3 + 1) % 200)")
+        + " AS order_product_ids",
+        _only("signup", f"concat({_K} % 50, '|', ({_K} * 7 + 3) % 50)") + " AS pay_category_ids",
+        _only("signup", "concat(event_id % 200, '|', (event_id * 7 + 3) % 200)")
+        + " AS pay_product_ids",
+        "user_id % 25 AS city_id",
     )
     return typed(rows, schemas.USER_VISIT_ACTION)
 
 
 def user_info(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("c_custkey")
-    nations = _read(spark, sf_dir, "nation")
-    customers = _read(spark, sf_dir, "customer").join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
-    rows = customers.select(
-        key.alias("user_id"),
-        F.concat(F.lit("user_"), key.cast("string")).alias("user_name"),
-        F.col("c_name").alias("name"),
-        (15 + key % 45).alias("age"),
-        F.col("c_mktsegment").alias("professional"),
-        F.col("n_name").alias("city"),
-        F.element_at(F.array(*map(F.lit, ("male", "female", "unknown"))), (key % 3 + 1).cast("int")).alias("sex"),
+    nations = _read(spark, sf_dir, "nation").withColumnRenamed("n_nationkey", "c_nationkey")
+    rows = (
+        _read(spark, sf_dir, "customer")
+        .join(nations, "c_nationkey")
+        .selectExpr(
+            "c_custkey AS user_id",
+            "concat('user_', c_custkey) AS user_name",
+            "c_name AS name",
+            "15 + c_custkey % 45 AS age",
+            "c_mktsegment AS professional",
+            "n_name AS city",
+            "CASE c_custkey % 3 WHEN 0 THEN 'male' WHEN 1 THEN 'female' ELSE 'unknown' END AS sex",
+        )
     )
     return typed(rows, schemas.USER_INFO)
 
 
 def product_info(spark: SparkSession, sf_dir: str) -> DataFrame:
-    infos = ('{"product_type":"0"}', '{"product_type":"1"}', '{"product_type":""}', "{}")
-    rows = _read(spark, sf_dir, "part").select(
-        F.col("p_partkey").alias("product_id"),
-        F.col("p_name").alias("product_name"),
-        F.element_at(F.array(*map(F.lit, infos)), F.col("p_size") % 4 + 1).alias("extend_info"),
+    rows = _read(spark, sf_dir, "part").selectExpr(
+        "p_partkey AS product_id",
+        "p_name AS product_name",
+        """CASE p_size % 4 WHEN 0 THEN '{"product_type":"0"}' WHEN 1 THEN '{"product_type":"1"}'
+                           WHEN 2 THEN '{"product_type":""}' ELSE '{}' END AS extend_info""",
     )
     return typed(rows, schemas.PRODUCT_INFO)
 
 
 def city_info(spark: SparkSession, sf_dir: str) -> DataFrame:
-    regions = _read(spark, sf_dir, "region")
-    nations = _read(spark, sf_dir, "nation").join(regions, F.col("n_regionkey") == F.col("r_regionkey"))
-    rows = nations.select(
-        F.col("n_nationkey").alias("city_id"),
-        F.col("n_name").alias("city_name"),
-        F.col("r_name").alias("area"),
-        F.concat(F.lit("province_"), F.col("n_regionkey").cast("string")).alias("province_name"),
+    regions = _read(spark, sf_dir, "region").withColumnRenamed("r_regionkey", "n_regionkey")
+    rows = (
+        _read(spark, sf_dir, "nation")
+        .join(regions, "n_regionkey")
+        .selectExpr(
+            "n_nationkey AS city_id",
+            "n_name AS city_name",
+            "r_name AS area",
+            "concat('province_', n_regionkey) AS province_name",
+        )
     )
     return typed(rows, schemas.CITY_INFO)
 
 
 def blacklist(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers in debt."""
-    rows = _read(spark, sf_dir, "customer").where(F.col("c_acctbal") < 0)
-    return typed(
-        rows.select(F.col("c_custkey").alias("user_id"), F.lit(101).alias("count")), schemas.BLACK_USERS
-    )
+    rows = _read(spark, sf_dir, "customer").where("c_acctbal < 0")
+    return typed(rows.selectExpr("c_custkey AS user_id", "101 AS count"), schemas.BLACK_USERS)
 
 
 def whitelist(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers with a large balance."""
-    rows = _read(spark, sf_dir, "customer").where(F.col("c_acctbal") > 9000)
-    return rows.select(F.col("c_custkey").cast("int").alias("user_id"))
+    rows = _read(spark, sf_dir, "customer").where("c_acctbal > 9000")
+    return rows.selectExpr("cast(c_custkey as int) AS user_id")
 
 
 def click_lines(events: DataFrame) -> DataFrame:
     """Click lines from ``events``, batch or stream; errors carry a bad ad id."""
-    user_id = F.col("user_id")
-    k = F.get_json_object("props", "$.k")
-    fields = (
-        F.expr(f"timestampdiff(MILLISECOND, {_EPOCH}, ts)").cast("string"),
-        F.concat(F.lit("province_"), (user_id % 5).cast("string")),
-        F.concat(F.lit("city_"), (user_id % 25).cast("string")),
-        user_id.cast("string"),
-        F.when(F.col("event_type") == "error", "bad").otherwise(k),
+    return events.selectExpr(
+        """concat(timestampdiff(MILLISECOND, timestamp_ntz'1970-01-01 00:00:00', ts),
+                  ' province_', user_id % 5, ' city_', user_id % 25, ' ', user_id, ' ',
+                  CASE WHEN event_type = 'error' THEN 'bad' ELSE get_json_object(props, '$.k') END
+           ) AS value"""
     )
-    return events.select(F.concat_ws(" ", *fields).alias("value"))
 
 
 def ad_click_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,9 +118,9 @@ def ad_click_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ad_click_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The click lines as a stream over the events file of the folder."""
-    reader = spark.readStream.schema(EVENTS_SCHEMA).option("pathGlobFilter", "events.parquet")
+    reader = spark.readStream.schema(TABLES["events"]).option("pathGlobFilter", "events.parquet")
     return click_lines(reader.parquet(sf_dir))
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    return spark.read.schema(TABLES[table]).parquet(f"{sf_dir}/{table}.parquet")
