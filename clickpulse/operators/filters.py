@@ -29,11 +29,13 @@ def filter_users(
     return users
 
 
-def filter_actions(actions: DataFrame, users: DataFrame, params: JobParams) -> DataFrame:
+def filter_actions(
+    actions: DataFrame, users: DataFrame | None, params: JobParams
+) -> DataFrame:
     """Actions that satisfy all parameters.
 
     Users take part only if a user parameter is given; without one, actions of
-    unknown users stay.
+    unknown users stay. A user listed twice does not double the actions.
     """
     selected = filter_dates(actions, params.start_date, params.end_date)
     if not params.needs_users:

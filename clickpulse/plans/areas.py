@@ -17,7 +17,7 @@ from clickpulse.sources.jdbc import Database, find_params, read_jdbc
 
 def area_top_products(
     actions: DataFrame,
-    users: DataFrame,
+    users: DataFrame | None,
     cities: DataFrame,
     products: DataFrame,
     params: JobParams = JobParams(),
@@ -39,11 +39,16 @@ def run_area_job(
     users: DataFrame | None = None,
     products: DataFrame | None = None,
 ) -> None:
-    """Run a task of the task table and insert its result into the database."""
+    """Run a task of the task table and insert its result into the database.
+
+    Actions, users and products default to the catalog tables.
+    """
     params = find_params(read_jdbc(spark, database, "tb_task"), task_id)
+    if users is None and params.needs_users:
+        users = spark.table("user_info")
     result = area_top_products(
         spark.table("user_visit_action") if actions is None else actions,
-        spark.table("user_info") if users is None else users,
+        users,
         broadcast_if_small(read_jdbc(spark, database, "city_info")),
         spark.table("product_info") if products is None else products,
         params,

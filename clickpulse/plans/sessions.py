@@ -27,7 +27,9 @@ class SessionResults:
     details: DataFrame
 
 
-def session_results(actions: DataFrame, users: DataFrame, params: JobParams) -> SessionResults:
+def session_results(
+    actions: DataFrame, users: DataFrame | None, params: JobParams
+) -> SessionResults:
     """All results over the actions selected by the parameters.
 
     Date bounds alone go into every scan. A selection by user costs a join, so
@@ -64,11 +66,11 @@ def run_session_job(
     database. Actions and users default to the catalog tables.
     """
     params = find_params(read_jdbc(spark, database, "tb_task"), task_id)
-    results = session_results(
-        spark.table("user_visit_action") if actions is None else actions,
-        spark.table("user_info") if users is None else users,
-        params,
-    )
+    if users is None and params.needs_users:
+        users = spark.table("user_info")
+    if actions is None:
+        actions = spark.table("user_visit_action")
+    results = session_results(actions, users, params)
     try:
         results.report.write.mode("overwrite").text(f"{output}/session_report/task_{task_id}")
         pivot = sink.category_rows(results.category_pivot, task_id)

@@ -1,0 +1,142 @@
+"""Column functions on hand-made values."""
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from clickpulse.functions import labels, text, times
+
+
+@pytest.fixture
+def evaluate(spark):
+    """Apply a column function to each value of one type."""
+
+    def run(function, values, kind="string"):
+        df = spark.createDataFrame(list(enumerate(values)), f"i int, v {kind}")
+        return [r.r for r in df.select("i", function(F.col("v")).alias("r")).orderBy("i").collect()]
+
+    return run
+
+
+def test_blank(evaluate):
+    values = ["", " ", "\t \n", "\x00", None, "a", " a ", "　"]
+    assert evaluate(text.is_blank, values) == [True] * 5 + [False] * 3
+    assert evaluate(text.not_blank, values) == [False] * 5 + [True] * 3
+
+
+def test_strip_blanks(evaluate):
+    assert evaluate(text.strip_blanks, ["\x01 a\tb \x20\x00", "  ", "x"]) == ["a\tb", "", "x"]
+
+
+def test_split_ids_keeps_blank_ids(evaluate):
+    assert evaluate(text.split_ids, ["1|2| |", "|1", "7", None]) == [
+        ["1", "2", " ", ""],
+        ["", "1"],
+        ["7"],
+        None,
+    ]
+
+
+def test_split_line_drops_trailing_empty_fields(evaluate):
+    split = lambda c: text.split_line(c, ",")
+    assert evaluate(split, ["a,,b,,", ",a", "a, ", ""]) == [["a", "", "b"], ["", "a"], ["a", " "], [""]]
+    caret = lambda c: text.split_line(c, "^")
+    assert evaluate(caret, ['1^n^{"a":"b,c"}^']) == [["1", "n", '{"a":"b,c"}']]
+
+
+def test_split_words(evaluate):
+    words = lambda c: text.split_words(text.strip_blanks(c))
+    lines = ["a b", " a  b ", "a\t b", "a \t b", "a\tb c", "a \tb\x01 \x02 c\t", "a"]
+    assert evaluate(words, lines) == [
+        ["a", "b"],
+        ["a", "b"],
+        ["a", "b"],
+        ["a", "b"],
+        ["a\tb", "c"],
+        ["a", "b", "c"],
+        ["a"],
+    ]
+
+
+def test_required_number(evaluate):
+    number = lambda c: text.required_number(c, "int")
+    assert evaluate(number, ["1", "-2", "+3"]) == [1, -2, 3]
+    for bad in ["", "x", "1.0", " 1", "3000000000"]:
+        with pytest.raises(PySparkException):
+            evaluate(number, [bad])
+
+
+def test_plain_number(evaluate):
+    values = [0.0, 100.0, 1234567.0, 0.5, 1.23456, 1e15, -20.0, 2.0005]
+    assert evaluate(text.plain_number, values, "double") == [
+        "0",
+        "100",
+        "1234567",
+        "0.5",
+        "1.235",
+        "1000000000000000",
+        "-20",
+        "2",
+    ]
+    assert evaluate(text.plain_number, [969045], "bigint") == ["969045"]
+
+
+def test_times(evaluate):
+    millis = 1704099600000 + 123
+    assert evaluate(times.parse_millis, ["2024-01-01 09:00:00", None]) == [1704099600000, None]
+    with pytest.raises(PySparkException):
+        evaluate(times.parse_millis, ["yesterday"])
+    formats = {
+        times.DATE_FORMAT: "2024-01-01",
+        times.TIME_FORMAT: "2024-01-01 09:00:00",
+        times.COMPACT_FORMAT: "20240101090000",
+    }
+    for pattern, expected in formats.items():
+        assert evaluate(lambda c: times.format_millis(c, pattern), [millis], "bigint") == [expected]
+    parts = {"year": 2024, "month": 1, "day": 1, "hour": 9, "minute": 0, "second": 0, "millisecond": 123}
+    for part, expected in parts.items():
+        assert evaluate(lambda c: times.date_part(c, part), [millis], "bigint") == [expected]
+
+
+def test_today(spark):
+    row = spark.range(1).select(times.today().alias("t"), F.current_date().cast("string").alias("d")).first()
+    assert row.t == row.d
+
+
+def test_area_level(evaluate):
+    areas = ["华东", "华南", "华北", "华中", "东北", "西北", None]
+    assert evaluate(labels.area_level, areas) == ["A", "A", "B", "B", "C", "D", "D"]
+    assert evaluate(lambda c: labels.area_level(c, {}), ["华东"]) == ["D"]
+
+
+def test_product_type(evaluate):
+    infos = [
+        '{"product_type":"1"}',
+        '{"product_type":"0"}',
+        '{"product_type":"2"}',
+        '{"product_type":""}',
+        '{"product_type":1}',
+        "{}",
+        "{bad",
+        None,
+    ]
+    other = labels.UNKNOWN_PRODUCT
+    assert evaluate(labels.product_type, infos) == [
+        "第三方商品",
+        "自营商品",
+        other,
+        other,
+        "第三方商品",
+        other,
+        other,
+        other,
+    ]
+
+
+def test_city_label(frame, rows):
+    df = frame("id int, name string", (1, "上海"), (None, "x"), (2, None))
+    assert rows(df.select(labels.city_label(F.col("id"), F.col("name")))) == [
+        ("1:上海",),
+        ("2:null",),
+        ("null:x",),
+    ]

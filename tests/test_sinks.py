@@ -1,0 +1,56 @@
+import json
+
+from clickpulse.sinks import files, jdbc
+from clickpulse.sources import delimited
+from clickpulse.sources.jdbc import Database
+
+
+def test_json_lines_replace(spark, frame, tmp_path):
+    path = str(tmp_path / "out")
+    files.write_json_lines(frame("a int, b string", (1, "x")), path)
+    files.write_json_lines(frame("a int, b string", (2, None), (3, "")), path)
+    lines = sorted(r.value for r in spark.read.text(path).collect())
+    assert [json.loads(line) for line in lines] == [{"a": 2}, {"a": 3, "b": ""}]
+
+
+def test_delimited_round_trip(spark, frame, rows, tmp_path):
+    path = str(tmp_path / "out")
+    products = frame(
+        "product_id bigint, product_name string, extend_info string", (1, "a,b", "{}"), (2, None, "{}")
+    )
+    files.write_delimited(products, path, "^")
+    assert rows(delimited.read_product_info(spark, path)) == [(1, "a,b", "{}"), (2, "null", "{}")]
+
+
+def test_actions_by_date(spark, frame, rows, tmp_path):
+    path = str(tmp_path / "actions")
+    actions = frame("date string, user_id bigint", ("2024-01-01", 1), ("2024-01-02", 2), ("2024-01-02", 3))
+    files.write_actions(actions, path)
+    read = spark.read.schema(actions.schema).parquet(path)
+    assert rows(read, "date", "user_id") == rows(actions)
+    day = read.where("date = '2024-01-02'")
+    assert rows(day, "user_id") == [(2,), (3,)]
+    plan = day._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date" in plan
+
+
+def test_write_options():
+    options = jdbc.write_options(Database("jdbc:x:y", {"user": "u"}), "t")
+    assert options["batchsize"] == "500"
+    assert (options["url"], options["dbtable"], options["user"]) == ("jdbc:x:y", "t", "u")
+
+
+def test_result_rows(frame):
+    pivot = frame("category_id string, click_count bigint, order_count bigint, pay_count bigint", ("1", 2, 3, 4))
+    assert jdbc.category_rows(pivot, 9).collect() == [(9, "1", 2, 3, 4)]
+    lists = frame("category_id string, click_sessions string, order_sessions string, pay_sessions string",
+                  ("1", "a", "b", "c"))
+    assert jdbc.category_session_rows(lists, 9).collect() == [(9, "1", "a", "b", "c")]
+    area = frame(
+        "area_level string, click_product_id string, area string, click_count bigint, "
+        "city_infos string, product_name string, product_type string",
+        ("A", "5", "north", 7, "1:x:7", "name", "type"),
+    )
+    rows = jdbc.area_rows(area, 9)
+    assert rows.columns == jdbc.AREA_COLUMNS
+    assert rows.collect() == [(9, "north", "5", "A", 7, "1:x:7", "name", "type")]
