@@ -12,7 +12,6 @@ from clickpulse.params import JobParams
 from clickpulse.sinks import files
 from clickpulse.sinks import jdbc as sink
 from clickpulse.sources.jdbc import Database, find_params, read_jdbc
-from clickpulse.storage import stage
 
 
 @dataclass(frozen=True)
@@ -32,12 +31,10 @@ def session_results(
 ) -> SessionResults:
     """All results over the actions selected by the parameters.
 
-    Date bounds alone go into every scan. A selection by user costs a join, so
-    its rows are written once to the shared folder and read from there.
+    Each result reads only the columns it needs. The details are cut down to the
+    sessions of the top lists before users are looked up.
     """
     selected = filter_actions(actions, users, params)
-    if params.needs_users:
-        selected = stage(selected, "selected-actions")
     # At most 30 and 900 rows, each used by several results.
     top_categories = categories.top_categories(categories.category_counts(selected)).persist()
     session_counts = categories.category_session_counts(selected, top_categories)
@@ -48,7 +45,9 @@ def session_results(
         category_pivot=categories.category_pivot(top_categories),
         top_sessions=top_sessions,
         session_lists=categories.category_session_lists(top_sessions),
-        details=categories.session_details(selected, top_sessions),
+        details=filter_actions(
+            categories.session_details(actions, top_sessions), users, params
+        ),
     )
 
 

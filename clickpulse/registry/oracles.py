@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.sql.types import StringType
+
 from clickpulse.registry import queries as q
+from clickpulse.schemas import USER_VISIT_ACTION
 
 # The input tables of FIXTURES.md as common table expressions.
 _VIEWS = {
@@ -33,7 +36,9 @@ _VIEWS = {
                CAST(user_id % 25 AS INTEGER) AS city_id
         FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events)""",
     "ui": """
-        SELECT c_custkey AS user_id, c_mktsegment AS professional,
+        SELECT c_custkey AS user_id, 'user_' || c_custkey AS user_name, c_name AS name,
+               CAST(15 + c_custkey % 45 AS INTEGER) AS age, c_mktsegment AS professional,
+               n_name AS city,
                CASE c_custkey % 3 WHEN 0 THEN 'male' WHEN 1 THEN 'female' ELSE 'unknown' END AS sex
         FROM customer JOIN nation ON c_nationkey = n_nationkey""",
     "cities": """
@@ -209,7 +214,21 @@ _TREND = """
            strftime(make_timestamp(window_end_ms * 1000), '%Y%m%d%H%M%S') AS window_end
     FROM ad_windows"""
 
+# One JSON object per action, the fields in the order of the table.
+_JSON_FIELDS = " || ',' || ".join(
+    f"'\"{field.name}\":' || "
+    + (f"'\"' || \"{field.name}\" || '\"'" if field.dataType == StringType() else f'"{field.name}"')
+    for field in USER_VISIT_ACTION
+)
+_PARTS = ", ".join(
+    f"CAST({part}(t) AS INTEGER) AS \"{part}\""
+    for part in ("year", "month", "day", "hour", "minute", "second")
+)
+
 _SELECTS = {
+    "actions_from_text": _ACTIONS,
+    "users_from_text": "SELECT * FROM ui",
+    "products_from_text": "SELECT * FROM products",
     "filter_actions_by_date": f"""
         {_ACTIONS} WHERE uva."date" >= '{q.START_DATE}' AND uva."date" <= '{q.END_DATE}'""",
     "filter_actions_by_user": f"""
@@ -238,8 +257,18 @@ _SELECTS = {
     ),
     "top_session_details": f"""
         {_ACTIONS} WHERE session_id IN (SELECT session_id FROM top_sessions)""",
+    "top_session_details_json": f"""
+        SELECT '{{' || {_JSON_FIELDS} || '}}' AS "value" FROM uva
+        WHERE session_id IN (SELECT session_id FROM top_sessions)""",
     "actions_with_city": "SELECT * FROM with_city",
     "area_product_clicks": "SELECT area, click_product_id, click_count, city_list FROM city_infos",
+    "area_product_action_counts": """
+        SELECT area, click_product_id, count(*) AS click_count FROM with_city GROUP BY ALL""",
+    "area_city_concat": """
+        SELECT area, string_agg(city || ':' || n, ',' ORDER BY n DESC, city) AS city_infos
+        FROM (SELECT area, city_id || ':' || city_name AS city, count(*) AS n
+              FROM with_city GROUP BY ALL)
+        GROUP BY area""",
     "area_product_city_infos": "SELECT area, click_product_id, city_infos FROM city_infos",
     "area_top10_products": "SELECT area, click_product_id, click_count, rn FROM top_products",
     "area_top10_products_enriched": f"""
@@ -249,8 +278,14 @@ _SELECTS = {
         JOIN product_labels ON TRY_CAST(click_product_id AS BIGINT) = product_id""",
     "product_type_labels": "SELECT product_id, product_type FROM product_labels",
     "ad_clicks_parsed": "SELECT * FROM parsed",
+    "ad_click_times": f"""
+        SELECT ts_ms, strftime(t, '%Y-%m-%d %H:%M:%S') AS click_time,
+               ts_ms - ts_ms % 1000 AS whole_ms, {_PARTS},
+               CAST(ts_ms % 1000 AS INTEGER) AS millisecond
+        FROM (SELECT ts_ms, make_timestamp(ts_ms * 1000) AS t FROM parsed)""",
     "ad_clicks_not_blacklisted": "SELECT * FROM clean",
     "ad_user_window_counts": "SELECT * FROM user_windows",
+    "ad_user_window_counts_stream": "SELECT * FROM user_windows",
     "ad_blacklist_candidates": _CANDIDATES,
     "ad_blacklist_stream": _CANDIDATES,
     "ad_running_counts": _RUNNING,

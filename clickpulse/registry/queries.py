@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from clickpulse import schemas
+from clickpulse.functions import labels, times
 from clickpulse.operators import areas, categories, clicks, filters, sessions
 from clickpulse.params import JobParams
 from clickpulse.plans.areas import area_top_products
 from clickpulse.registry import views
-from clickpulse.schemas import ACTION_COLUMNS
+from clickpulse.sinks.files import as_delimited, as_json
+from clickpulse.sources.delimited import parse_lines
 from clickpulse.storage import run_dir
 from clickpulse.streaming import clicks as streams
 from clickpulse.streaming import outputs
@@ -45,6 +49,14 @@ def _query(build: Callable[[Inputs], DataFrame]) -> Query:
     return lambda spark, sf_dir: build(Inputs(spark, sf_dir))
 
 
+# Text
+
+
+def from_text(df: DataFrame, schema: T.StructType, separator: str) -> DataFrame:
+    """The table written as delimited lines and parsed again."""
+    return parse_lines(as_delimited(df, separator), schema, separator)
+
+
 # Session metrics
 
 
@@ -75,6 +87,10 @@ def top_sessions(i: Inputs) -> DataFrame:
     return categories.top_sessions(category_session_counts(i))
 
 
+def session_details(i: Inputs) -> DataFrame:
+    return categories.session_details(i.user_visit_actions, top_sessions(i))
+
+
 # Areas
 
 
@@ -87,6 +103,17 @@ def top_area_products(i: Inputs) -> DataFrame:
     return areas.top_area_products(products)
 
 
+def unfiltered_area_counts(i: Inputs) -> DataFrame:
+    counted = areas.city_product_clicks(i.user_visit_actions, i.city_info, clicks_only=False)
+    return areas.area_product_clicks(counted)
+
+
+def cities_of_areas(i: Inputs) -> DataFrame:
+    city = labels.city_label(F.col("city_id"), F.col("city_name"))
+    actions = areas.actions_with_city(i.user_visit_actions, i.city_info).withColumn("city", city)
+    return areas.group_concat_counts(actions, ["area"], "city", "city_infos")
+
+
 def enriched_area_products(i: Inputs) -> DataFrame:
     return area_top_products(
         i.user_visit_actions, i.user_info, i.city_info, i.product_info, levels=AREA_LEVELS
@@ -100,6 +127,17 @@ def parsed_clicks(i: Inputs) -> DataFrame:
     return clicks.parse_clicks(i.ad_click_lines)
 
 
+def click_times(i: Inputs) -> DataFrame:
+    moment = F.col("ts_ms")
+    parts = ("year", "month", "day", "hour", "minute", "second", "millisecond")
+    return parsed_clicks(i).select(
+        "ts_ms",
+        times.format_millis(moment).alias("click_time"),
+        times.parse_millis(times.format_millis(moment)).alias("whole_ms"),
+        *(times.date_part(moment, part).alias(part) for part in parts),
+    )
+
+
 def clean_clicks(i: Inputs) -> DataFrame:
     return clicks.not_blacklisted(parsed_clicks(i), i.blacklist)
 
@@ -140,6 +178,13 @@ def running_counts_stream(i: Inputs) -> DataFrame:
     return _updates(stream, "running-counts", clicks.COUNT_KEYS)
 
 
+def user_windows_stream(i: Inputs) -> DataFrame:
+    stream = streams.user_counts(_clean_stream(i))
+    counts = _updates(stream, "user-windows", ["user_id", "window_end"])
+    end = F.unix_millis("window_end").alias("window_end_ms")
+    return counts.select("user_id", end, "click_count")
+
+
 def click_trend_stream(i: Inputs) -> DataFrame:
     stream = streams.click_trend(_clean_stream(i))
     return _updates(stream, "click-trend", ["ad_id", "window_end"])
@@ -179,6 +224,11 @@ def blacklist_stream(i: Inputs) -> DataFrame:
 QUERIES: dict[str, Query] = {
     name: _query(build)
     for name, build in {
+        "actions_from_text": lambda i: from_text(
+            i.user_visit_actions, schemas.USER_VISIT_ACTION, ","
+        ),
+        "users_from_text": lambda i: from_text(i.user_info, schemas.USER_INFO, ","),
+        "products_from_text": lambda i: from_text(i.product_info, schemas.PRODUCT_INFO, "^"),
         "filter_actions_by_date": lambda i: filters.filter_actions(
             i.user_visit_actions, i.user_info, JobParams(start_date=START_DATE, end_date=END_DATE)
         ),
@@ -199,11 +249,12 @@ QUERIES: dict[str, Query] = {
         "category_session_counts": category_session_counts,
         "top10_sessions_per_category": top_sessions,
         "top10_category_session_json": lambda i: categories.category_session_lists(top_sessions(i)),
-        "top_session_details": lambda i: categories.session_details(
-            i.user_visit_actions, top_sessions(i)
-        ).select(*ACTION_COLUMNS),
+        "top_session_details": session_details,
+        "top_session_details_json": lambda i: as_json(session_details(i)),
         "actions_with_city": lambda i: areas.actions_with_city(i.user_visit_actions, i.city_info),
         "area_product_clicks": lambda i: areas.area_product_clicks(city_clicks(i)),
+        "area_product_action_counts": lambda i: unfiltered_area_counts(i).drop("city_list"),
+        "area_city_concat": cities_of_areas,
         "area_product_city_infos": lambda i: areas.area_city_infos(city_clicks(i)),
         "area_top10_products": top_area_products,
         "area_top10_products_enriched": enriched_area_products,
@@ -211,10 +262,12 @@ QUERIES: dict[str, Query] = {
             "product_id", "product_type"
         ),
         "ad_clicks_parsed": parsed_clicks,
+        "ad_click_times": click_times,
         "ad_clicks_not_blacklisted": clean_clicks,
         "ad_user_window_counts": lambda i: clicks.sliding_counts(
             clean_clicks(i), "user_id", clicks.BLACKLIST_WINDOW, clicks.BLACKLIST_SLIDE
         ),
+        "ad_user_window_counts_stream": user_windows_stream,
         "ad_blacklist_candidates": blacklist_candidates,
         "ad_blacklist_stream": blacklist_stream,
         "ad_running_counts": running_counts,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,7 +21,7 @@ def parse_lines(lines: DataFrame, schema: T.StructType, separator: str) -> DataF
     return rows.select(*(_field(position, field) for position, field in enumerate(schema)))
 
 
-def _field(position: int, field: T.StructField) -> F.Column:
+def _field(position: int, field: T.StructField) -> Column:
     value = F.col("fields")[position]
     if not isinstance(field.dataType, T.StringType):
         value = text.required_number(value, field.dataType.simpleString())

@@ -1,11 +1,11 @@
-"""The shared folder for stream checkpoints and intermediate tables."""
+"""The shared folder for stream checkpoints and stream outputs."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -24,15 +24,3 @@ def shared_dir(spark: SparkSession) -> str:
 def run_dir(spark: SparkSession, name: str) -> str:
     """A path below the shared folder that no other run uses."""
     return f"{shared_dir(spark)}/clickpulse/{name}-{uuid.uuid4().hex}"
-
-
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back.
-
-    For a costly result with several consumers: they read only the columns they
-    need, and a lost executor costs nothing but its running tasks.
-    """
-    spark = df.sparkSession
-    path = run_dir(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)

@@ -141,18 +141,18 @@ def test_broadcast_if_small(spark, frame, no_broadcast):
     assert is_broadcast(broadcast_bounded(side, 50))
 
 
+def test_details_meet_the_users_last(spark, sf_dir, actions, no_broadcast):
+    users = views.user_info(spark, sf_dir)
+    text = plan(session_job.session_results(actions, users, JobParams(sex="male")).details)
+    assert text.index("SortMergeJoin [user_id") < text.index("BroadcastHashJoin [session_id")
+
+
 def test_shared_dir(spark):
     configured = spark.conf.get("spark.checkpoint.dir")
     assert storage.shared_dir(spark) == configured
     assert storage.run_dir(spark, "x").startswith(f"{configured}/clickpulse/x-")
 
 
-def test_stage(spark, frame, rows):
-    staged = storage.stage(frame("a int, b string", (1, "x")), "test")
-    assert rows(staged) == [(1, "x")]
-    assert "FileScan parquet" in plan(staged)
-
-
 # Jobs. The database is replaced by frames: none is available here.
 
 
