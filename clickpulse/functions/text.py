@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -25,12 +27,12 @@ def not_blank(text: Column) -> Column:
 
 def split_ids(text: Column) -> Column:
     """The ids of a ``|`` separated list, blank ones included."""
-    return F.split(text, "[|]")
+    return F.split(text, r"\|")
 
 
 def split_line(line: Column, separator: str) -> Column:
     """Fields of a delimited line; trailing empty fields do not exist."""
-    return F.split(F.rtrim(line, F.lit(separator)), f"[\\{separator}]")
+    return F.split(F.rtrim(line, F.lit(separator)), re.escape(separator))
 
 
 def split_words(line: Column) -> Column:

@@ -14,10 +14,13 @@ def parse_lines(lines: DataFrame, schema: T.StructType, separator: str) -> DataF
     """Typed rows of the lines in column ``value``.
 
     Lines with another number of fields are dropped. A line with the right
-    number of fields but text where a number belongs fails the query.
+    number of fields but text where a number belongs fails the query. The fields
+    leave a generator, below which Spark cannot push the filter: each line is
+    split once.
     """
-    fields = text.split_line(F.col("value"), separator)
-    rows = lines.select(fields.alias("fields")).where(F.size("fields") == len(schema))
+    split = text.split_line(F.col("value"), separator)
+    fields = lines.select(F.explode(F.array(split)).alias("fields"))
+    rows = fields.where(F.size("fields") == len(schema))
     return rows.select(*(_field(position, field) for position, field in enumerate(schema)))
 
 
