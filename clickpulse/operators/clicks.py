@@ -42,9 +42,12 @@ def parse_clicks(lines: DataFrame) -> DataFrame:
     return words.select(F.inline(F.array(F.struct(*fields)))).dropna(subset=CLICK_COLUMNS)
 
 
-def not_blacklisted(clicks: DataFrame, blacklist: DataFrame, spread: int = 1) -> DataFrame:
-    """Clicks of users that are not on the blacklist."""
-    return drop_members(clicks, blacklist, "user_id", spread)
+def not_blacklisted(clicks: DataFrame, blacklist: DataFrame) -> DataFrame:
+    """Clicks of users that are not on the blacklist.
+
+    On a stream, a blacklist from a database is read afresh in every micro-batch.
+    """
+    return drop_members(clicks, blacklist, "user_id")
 
 
 def sliding_counts(clicks: DataFrame, key: str, size: int, slide: int) -> DataFrame:
@@ -109,7 +112,8 @@ def blacklist_candidates(
     if size % slide:
         raise ValueError("the window must be a multiple of its slide")
     panes = _pane_counts(clicks, "user_id", size, slide)
-    panes = drop_members(drop_members(panes, blacklist, "user_id"), whitelist, "user_id")
+    for excluded in (blacklist, whitelist):
+        panes = panes.join(excluded.select("user_id"), "user_id", "left_anti")
     window = Window.partitionBy("user_id").orderBy("pane").rangeBetween((slide - size) * 1000, 0)
     return (
         panes.withColumn("count", F.sum("clicks").over(window))

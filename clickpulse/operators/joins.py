@@ -6,47 +6,60 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # The most rows and bytes a side may have to be sent to every executor.
-BROADCAST_ROWS = 200_000
+BROADCAST_ROWS = 2_000_000
 BROADCAST_BYTES = 64 << 20
 
+# Partitions that share the rows of one key where nothing is broadcast.
+SPREAD = 8
+
 
 def broadcast_bounded(side: DataFrame, rows: int) -> DataFrame:
     """Hint a broadcast for a side that by its making has at most ``rows`` rows."""
     return F.broadcast(side) if rows <= BROADCAST_ROWS else side
 
 
-def broadcast_if_small(
-    side: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
-) -> DataFrame:
-    """Hint a broadcast after measuring the side; a larger side stays as it is.
-
-    For sources whose size Spark cannot know, such as a database table: files
-    need no hint, Spark compares their size with its own limit. Runs one job
-    that counts the side's rows and bytes where they are read.
-    """
+def is_small(side: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Measure a side: one job that counts rows and bytes where they are read."""
     widths = (F.octet_length(F.col(name).cast("string")) for name in side.columns)
     width = sum((F.coalesce(bytes_, F.lit(0)) for bytes_ in widths), F.lit(0))
     size = side.agg(F.count(F.lit(1)).alias("rows"), F.sum(width).alias("bytes")).first()
-    small = size.rows <= max_rows and (size.bytes or 0) <= max_bytes
-    return F.broadcast(side) if small else side
+    return size.rows <= max_rows and (size.bytes or 0) <= max_bytes
+
+
+def broadcast_if_small(side: DataFrame) -> DataFrame:
+    """Hint a broadcast after measuring the side; a larger side stays as it is.
+
+    For database tables, whose size Spark cannot know. For files Spark itself
+    compares the size with its limit.
+    """
+    return F.broadcast(side) if is_small(side) else side
 
 
 def keep_members(rows: DataFrame, members: DataFrame, on: str) -> DataFrame:
     """Rows whose key occurs in ``members`` (semi-join)."""
-    return rows.join(members.select(on), on, "left_semi").select(*rows.columns)
+    return _member_join(rows, members.select(on), on, "left_semi")
+
+
+def drop_members(rows: DataFrame, members: DataFrame, on: str) -> DataFrame:
+    """Rows whose key does not occur in ``members`` (anti-join)."""
+    return _member_join(rows, members.select(on), on, "left_anti")
+
 
+def _member_join(rows: DataFrame, members: DataFrame, on: str, how: str) -> DataFrame:
+    """Broadcast the members if there are few, else spread the rows of hot keys.
 
-def drop_members(rows: DataFrame, members: DataFrame, on: str, spread: int = 1) -> DataFrame:
-    """Rows whose key does not occur in ``members`` (anti-join).
+    The members are measured: their filters often leave few of a table that Spark
+    takes for large, and a broadcast saves the shuffle of all rows. A stream may
+    outlive any measure, so it always spreads.
 
-    With ``spread`` > 1 the rows of one key go to that many partitions, each with
-    its own copy of the members. Batch queries need no spread, as adaptive
-    execution splits hot partitions of the join; stateful streams do.
+    Spreading joins on the key and a salt, with a copy of the members for every
+    salt: any salt gives the same rows. Adaptive execution splits hot partitions
+    too, but judges them by compressed bytes, which a hot key's similar rows keep
+    low, and does not run in stateful streams. The salt is the id of the partition
+    a row comes from, which is the same when a lost task runs again.
     """
-    members = members.select(on)
-    if spread == 1:
-        return rows.join(members, on, "left_anti").select(*rows.columns)
-    # The partition id is the same when a lost task runs again.
-    salted = rows.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(spread)))
-    copies = members.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
-    return salted.join(copies, [on, "_salt"], "left_anti").select(*rows.columns)
+    if not rows.isStreaming and is_small(members):
+        return rows.join(F.broadcast(members), on, how).select(*rows.columns)
+    salted = rows.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(SPREAD)))
+    copies = members.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
+    return salted.join(copies, [on, "_salt"], how).select(*rows.columns)

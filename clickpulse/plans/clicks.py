@@ -35,7 +35,7 @@ def start_click_job(
     def append(users: DataFrame) -> None:
         sink.write_jdbc(users, database, sink.BLACKLIST_TABLE)
 
-    clicks = streams.clean_clicks(lines, blacklist())
+    clicks = ops.not_blacklisted(ops.parse_clicks(lines), blacklist())
     return [
         outputs.start_blacklist_updates(
             streams.user_counts(clicks, delay=delay),

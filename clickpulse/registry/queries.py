@@ -160,7 +160,7 @@ def province_counts(i: Inputs) -> DataFrame:
 
 
 def _clean_stream(i: Inputs) -> DataFrame:
-    return streams.clean_clicks(i.ad_click_stream, i.blacklist)
+    return clicks.not_blacklisted(clicks.parse_clicks(i.ad_click_stream), i.blacklist)
 
 
 def _updates(stream: DataFrame, name: str, keys: list[str]) -> DataFrame:

@@ -8,18 +8,6 @@ from pyspark.sql import functions as F
 from clickpulse.functions.times import COMPACT_FORMAT, from_millis
 from clickpulse.operators import clicks as ops
 
-# Partitions that share the clicks of one user in the blacklist join.
-SPREAD = 16
-
-
-def clean_clicks(lines: DataFrame, blacklist: DataFrame) -> DataFrame:
-    """Parsed clicks without those of blacklisted users.
-
-    A blacklist from a database is read afresh in every micro-batch.
-    """
-    return ops.not_blacklisted(ops.parse_clicks(lines), blacklist, spread=SPREAD)
-
-
 def sliding_counts(
     clicks: DataFrame, key: str, size: int, slide: int, delay: str | None = None
 ) -> DataFrame:

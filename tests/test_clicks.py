@@ -31,10 +31,9 @@ def test_parse(parse):
     assert parse("1000 p 1 2 3") == [(1000, "p", "1", 2, 3)]
 
 
-@pytest.mark.parametrize("spread", [1, 4])
-def test_blacklist(clicks, frame, rows, spread):
+def test_blacklist(clicks, frame, rows):
     kept = c.not_blacklisted(
-        clicks((0, 1, 1), (0, 1, 1), (0, 2, 1), (0, 3, 1)), frame(USERS, (1,), (1,), (7,)), spread
+        clicks((0, 1, 1), (0, 1, 1), (0, 2, 1), (0, 3, 1)), frame(USERS, (1,), (1,), (7,))
     )
     assert kept.columns == c.CLICK_COLUMNS
     assert rows(kept, "user_id") == [(2,), (3,)]

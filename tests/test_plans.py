@@ -6,9 +6,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from clickpulse import storage
-from clickpulse.operators import areas, categories, clicks, sessions
+from clickpulse.operators import areas, categories, clicks, joins, sessions
 from clickpulse.operators.filters import filter_actions
-from clickpulse.operators.joins import broadcast_bounded, broadcast_if_small, drop_members
+from clickpulse.operators.joins import (
+    broadcast_bounded,
+    broadcast_if_small,
+    drop_members,
+    keep_members,
+)
 from clickpulse.params import JobParams
 from clickpulse.plans import areas as area_job
 from clickpulse.plans import sessions as session_job
@@ -95,53 +100,88 @@ def test_lines_are_split_once(spark, sf_dir):
     assert plan(clicks.parse_clicks(views.ad_click_lines(spark, sf_dir))).count("split(") == 2
 
 
-def test_hot_users_are_split(spark, frame, no_broadcast):
-    """Adaptive execution splits a hot key of the join; rows stay the same."""
-    settings = {
+@pytest.fixture
+def settings(spark):
+    """Set options of the session for one test."""
+    changed = []
+
+    def set_all(options):
+        for key, value in options.items():
+            changed.append(key)
+            spark.conf.set(key, value)
+
+    yield set_all
+    for key in changed:
+        spark.conf.unset(key)
+
+
+def test_hot_cities_are_split(spark, no_broadcast, settings):
+    """Adaptive execution splits a hot key of an inner join; rows stay the same."""
+    settings({
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-    }
-    for key, value in settings.items():
-        spark.conf.set(key, value)
-    try:
-        hot = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id"))
-        rows = spark.range(0, 300_000, 1, 16).select(
-            hot.alias("user_id"), F.col("id").alias("page_id"), F.lit("2024-01-01").alias("date")
-        )
-        users = spark.range(200_000).select(F.col("id").alias("user_id"), F.lit("male").alias("sex"))
-        kept = filter_actions(rows, users, JobParams(sex="male"))
-        assert "skew=true" in final_plan(kept)
-        expected = sum(1 for i in range(300_000) if i % 3 == 0 or i < 200_000)
-        assert kept.count() == expected
-    finally:
-        for key in settings:
-            spark.conf.unset(key)
-
-
-def test_spread_of_a_hot_user(spark, no_broadcast):
-    rows = spark.range(0, 1600, 1, 16).select(F.lit(7).alias("user_id"), "id")
-    listed = spark.range(5).select(F.col("id").cast("int").alias("user_id"))
-    kept = drop_members(rows, listed, "user_id", spread=8)
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        used = kept.select(F.spark_partition_id().alias("p")).distinct().count()
-        assert kept.count() == 1600 and used > 2
-    finally:
-        spark.conf.unset("spark.sql.adaptive.enabled")
-
-
-def test_broadcast_if_small(spark, frame, no_broadcast):
+    })
+    city = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).cast("int")
+    rows = spark.range(0, 300_000, 1, 16).select(
+        city.alias("city_id"), F.col("id").cast("string").alias("click_product_id")
+    )
+    cities = spark.range(200_000).select(
+        F.col("id").cast("int").alias("city_id"),
+        *(F.lit("x").alias(name) for name in ("city_name", "area", "province_name")),
+    )
+    joined = areas.actions_with_city(rows, cities)
+    assert "skew=true" in final_plan(joined)
+    assert joined.count() == sum(1 for i in range(300_000) if i % 3 == 0 or i < 200_000)
+
+
+@pytest.fixture
+def many_members(no_broadcast, monkeypatch):
+    """As if no side were small."""
+    monkeypatch.setattr(joins, "is_small", lambda side: False)
+
+
+def test_few_members_are_broadcast(spark, frame, no_broadcast):
+    rows = frame("user_id bigint, x int", (1, 1), (2, 1), (1, 2), (None, 3))
+    members = spark.range(2).select(F.col("id").alias("user_id"))
+    assert "BroadcastHashJoin" in plan(keep_members(rows, members, "user_id"))
+    assert sorted(r.x for r in keep_members(rows, members, "user_id").collect()) == [1, 2]
+    assert sorted(r.x for r in drop_members(rows, members, "user_id").collect()) == [1, 3]
+
+
+@pytest.mark.parametrize("join, keeps", [(keep_members, True), (drop_members, False)])
+def test_rows_of_a_hot_user_are_spread(spark, many_members, settings, join, keeps):
+    settings({"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "64"})
+    user = F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") + 100)
+    rows = spark.range(0, 30_000, 1, 32).select(user.alias("user_id"), "id")
+    members = spark.range(15_000).select(F.col("id").alias("user_id"))
+    if not keeps:
+        members = members.where("user_id <> 7")
+    result = join(rows, members, "user_id")
+    assert result.columns == rows.columns
+    hot = result.where("user_id = 7").groupBy(F.spark_partition_id()).count()
+    sizes = [row["count"] for row in hot.collect()]
+    assert sum(sizes) == 10_000 and max(sizes) < 5_000
+    listed = sum(1 for i in range(30_000) if i % 3 and i + 100 < 15_000)
+    others = listed if keeps else 20_000 - listed
+    assert result.count() == 10_000 + others
+
+
+def test_measured_broadcast(spark, no_broadcast, monkeypatch):
     rows = spark.range(100).withColumnRenamed("id", "k")
     side = spark.range(50).select(F.col("id").alias("k"), F.lit("text").alias("name"))
     is_broadcast = lambda s: "BroadcastHashJoin" in plan(rows.join(s, "k"))
     assert is_broadcast(broadcast_if_small(side))
-    assert not is_broadcast(broadcast_if_small(side, max_rows=49))
-    assert not is_broadcast(broadcast_if_small(side, max_bytes=100))
+    with monkeypatch.context() as patch:
+        patch.setattr(joins, "is_small", lambda side: False)
+        assert not is_broadcast(broadcast_if_small(side))
     assert is_broadcast(broadcast_bounded(side, 50))
+    assert not is_broadcast(broadcast_bounded(side, joins.BROADCAST_ROWS + 1))
+    assert joins.is_small(side, 50, 290) and joins.is_small(side.limit(0), 0, 0)
+    assert not joins.is_small(side, 49) and not joins.is_small(side, max_bytes=289)
 
 
-def test_details_meet_the_users_last(spark, sf_dir, actions, no_broadcast):
+def test_details_meet_the_users_last(spark, sf_dir, actions, many_members):
     users = views.user_info(spark, sf_dir)
     text = plan(session_job.session_results(actions, users, JobParams(sex="male")).details)
     assert text.index("SortMergeJoin [user_id") < text.index("BroadcastHashJoin [session_id")

@@ -42,7 +42,8 @@ def batch(spark, folder, blacklist):
 
 @pytest.fixture
 def stream(spark, folder, blacklist):
-    return streams.clean_clicks(read_text_stream(spark, folder, files_per_batch=1), blacklist)
+    lines = read_text_stream(spark, folder, files_per_batch=1)
+    return ops.not_blacklisted(ops.parse_clicks(lines), blacklist)
 
 
 @pytest.fixture
