@@ -16,9 +16,12 @@ from clickpulse.operators.joins import (
 )
 from clickpulse.params import JobParams
 from clickpulse.plans import areas as area_job
+from clickpulse.plans import clicks as click_job
 from clickpulse.plans import sessions as session_job
 from clickpulse.registry import views
 from clickpulse.registry.queries import QUERIES
+from clickpulse.sources.streams import read_text_stream
+from clickpulse.streaming.outputs import latest, read_top_ads, read_updates
 
 
 def plan(df, run=False):
@@ -247,3 +250,40 @@ def test_area_job(spark, sf_dir, actions, database):
 def test_unknown_task_fails_first(spark, database, tmp_path):
     with pytest.raises(ValueError):
         session_job.run_session_job(spark, None, 3, str(tmp_path))
+
+
+def test_click_job(spark, sf_dir, monkeypatch, rows, tmp_path):
+    """All four streams over the click lines, started twice with the same folders."""
+    table = str(tmp_path / "blacklist")
+    listed, whitelist = views.blacklist(spark, sf_dir), views.whitelist(spark, sf_dir)
+    listed.write.parquet(table)
+    monkeypatch.setattr(click_job, "read_jdbc", lambda *_: spark.read.parquet(table))
+    monkeypatch.setattr(
+        click_job.sink, "write_jdbc", lambda users, *_: users.write.mode("append").parquet(table)
+    )
+    lines = tmp_path / "lines"
+    views.ad_click_lines(spark, sf_dir).write.text(str(lines))
+    out, checkpoints = str(tmp_path / "out"), str(tmp_path / "checkpoints")
+
+    def run():
+        stream = read_text_stream(spark, str(lines))
+        job = click_job.start_click_job(
+            spark, stream, None, whitelist, out, checkpoints, trigger={"availableNow": True}
+        )
+        for query in job:
+            query.awaitTermination()
+            assert query.exception() is None
+
+    run()
+    run()
+    clean = clicks.not_blacklisted(clicks.parse_clicks(spark.read.text(str(lines))), listed)
+    counts = clicks.running_counts(clean)
+    written = read_updates(spark, f"{out}/counts", counts.schema)
+    assert rows(latest(written, clicks.COUNT_KEYS)) == rows(counts)
+    top = clicks.top_province_ads(clicks.province_counts(counts))
+    assert rows(read_top_ads(spark, f"{out}/top_ads"), *top.columns) == rows(top)
+    trend = clicks.click_trend(clean)
+    written = read_updates(spark, f"{out}/trend", trend.schema)
+    assert rows(latest(written, ["ad_id", "window_end"]), *trend.columns) == rows(trend)
+    # Nobody clicks more than a hundred times in five minutes.
+    assert rows(spark.read.parquet(table)) == rows(listed)
