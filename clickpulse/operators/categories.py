@@ -88,15 +88,12 @@ def top_sessions(counts: DataFrame, n: int = TOP) -> DataFrame:
 
 def category_session_lists(top: DataFrame) -> DataFrame:
     """One row per category with its sessions as three JSON lists in rank order."""
-    entry = F.struct(
-        "rn", F.struct(F.col("session_id").alias("sessionID"), F.col("action_count").alias("count")).alias("entry")
+    entry = F.struct(F.col("session_id").alias("sessionID"), F.col("action_count").alias("count"))
+    ranked = F.array_sort(F.collect_list(F.struct("rn", entry.alias("entry"))))
+    lists = top.groupBy("category_id", "flag").agg(
+        F.to_json(F.transform(ranked, lambda item: item["entry"])).alias("sessions")
     )
-    ranked = top.groupBy("category_id", "flag").agg(
-        F.to_json(
-            F.transform(F.array_sort(F.collect_list(entry)), lambda item: item["entry"])
-        ).alias("sessions")
-    )
-    return ranked.groupBy("category_id").agg(
+    return lists.groupBy("category_id").agg(
         _of_kind(CLICK, "sessions", "").alias("click_sessions"),
         _of_kind(ORDER, "sessions", "").alias("order_sessions"),
         _of_kind(PAY, "sessions", "").alias("pay_sessions"),

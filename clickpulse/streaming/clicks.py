@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from clickpulse.functions.times import COMPACT_FORMAT, from_millis
 from clickpulse.operators import clicks as ops
 
+
 def sliding_counts(
     clicks: DataFrame, key: str, size: int, slide: int, delay: str | None = None
 ) -> DataFrame:

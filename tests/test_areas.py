@@ -51,7 +51,8 @@ def test_group_concat(frame, rows):
 
 
 def test_top_products_break_ties_by_product(frame, rows):
-    counts = frame("area string, click_product_id string, click_count bigint", *(("a", f"{i:02}", 1) for i in range(12)))
+    schema = "area string, click_product_id string, click_count bigint"
+    counts = frame(schema, *(("a", f"{i:02}", 1) for i in range(12)))
     assert [r[1] for r in rows(areas.top_area_products(counts), "rn", "click_product_id")] == [
         r[1] for r in sorted(((i + 1, f"{i:02}") for i in range(10)), key=repr)
     ]

@@ -38,7 +38,8 @@ def test_tokens_keep_their_spaces(actions, rows):
 
 
 def test_ties_follow_the_key(frame, rows):
-    counts = frame("category_id string, flag int, action_count bigint", *((f"{i:02}", 0, 5) for i in range(11)))
+    schema = "category_id string, flag int, action_count bigint"
+    counts = frame(schema, *((f"{i:02}", 0, 5) for i in range(11)))
     top = rows(c.top_categories(counts), "rn", "category_id")
     assert top == sorted(((i + 1, f"{i:02}") for i in range(10)), key=repr)
 

@@ -103,7 +103,13 @@ def test_candidates_are_the_fullest_windows(clicks, frame, rows):
 
 def test_counts_per_day_and_province(frame, rows):
     day = 86_400_000
-    df = frame(CLICK, (0, "p", "c", 1, 1), (day - 1, "p", "d", 2, 1), (day, "p", "c", 1, 1), (0, "q", "c", 1, 1))
+    df = frame(
+        CLICK,
+        (0, "p", "c", 1, 1),
+        (day - 1, "p", "d", 2, 1),
+        (day, "p", "c", 1, 1),
+        (0, "q", "c", 1, 1),
+    )
     running = c.running_counts(df)
     assert rows(running, "date", "province", "city", "ad_id", "click_count") == [
         ("1970-01-01", "p", "c", 1, 1),

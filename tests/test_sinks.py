@@ -41,7 +41,8 @@ def test_write_options():
 
 
 def test_result_rows(frame):
-    pivot = frame("category_id string, click_count bigint, order_count bigint, pay_count bigint", ("1", 2, 3, 4))
+    schema = "category_id string, click_count bigint, order_count bigint, pay_count bigint"
+    pivot = frame(schema, ("1", 2, 3, 4))
     assert jdbc.category_rows(pivot, 9).collect() == [(9, "1", 2, 3, 4)]
     lists = frame("category_id string, click_sessions string, order_sessions string, pay_sessions string",
                   ("1", "a", "b", "c"))
