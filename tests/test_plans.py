@@ -43,10 +43,23 @@ def actions(spark, sf_dir, tmp_path_factory):
 
 
 @pytest.fixture
-def no_broadcast(spark):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    yield
-    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+def settings(spark):
+    """Set options of the session for one test."""
+    before = {}
+
+    def set_all(options):
+        for key, value in options.items():
+            before.setdefault(key, spark.conf.get(key))
+            spark.conf.set(key, value)
+
+    yield set_all
+    for key, value in before.items():
+        spark.conf.set(key, value)
+
+
+@pytest.fixture
+def no_broadcast(settings):
+    settings({"spark.sql.autoBroadcastJoinThreshold": "-1"})
 
 
 @pytest.mark.parametrize("name", [name for name in QUERIES if "stream" not in name])
@@ -103,21 +116,6 @@ def test_lines_are_split_once(spark, sf_dir):
     assert plan(clicks.parse_clicks(views.ad_click_lines(spark, sf_dir))).count("split(") == 2
 
 
-@pytest.fixture
-def settings(spark):
-    """Set options of the session for one test."""
-    changed = []
-
-    def set_all(options):
-        for key, value in options.items():
-            changed.append(key)
-            spark.conf.set(key, value)
-
-    yield set_all
-    for key in changed:
-        spark.conf.unset(key)
-
-
 def test_hot_cities_are_split(spark, no_broadcast, settings):
     """Adaptive execution splits a hot key of an inner join; rows stay the same."""
     settings({

@@ -159,8 +159,9 @@ def test_preview(spark, stream):
     assert query.exception() is None
 
 
-def test_default_trigger(stream, tmp_path):
-    query = outputs.start_updates(ops.running_counts(stream), str(tmp_path / "o"), str(tmp_path / "c"))
+def test_default_trigger(spark, folder, tmp_path):
+    counts = ops.running_counts(ops.parse_clicks(read_text_stream(spark, folder)))
+    query = outputs.start_updates(counts, str(tmp_path / "o"), str(tmp_path / "c"))
     query.processAllAvailable()
     query.stop()
     assert query.exception() is None
