@@ -57,6 +57,41 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM base"""
 
 
+def _plain_words(text: str) -> str:
+    lowered = (
+        f"translate(coalesce({text}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+        "'abcdefghijklmnopqrstuvwxyz')"
+    )
+    return f"regexp_extract_all({lowered}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+
+def contamination(table: str = "documents") -> str:
+    return f"""
+WITH d AS (SELECT doc_id, {_plain_words("text")} AS w FROM {table}
+), b AS (
+  SELECT item_id::VARCHAR AS item, w, least(10, len(w)) AS n
+  FROM (SELECT item_id, {_plain_words("text")} AS w FROM benchmark) WHERE len(w) > 0
+), phrases AS (
+  SELECT DISTINCT item, n, w[i:i + n - 1] AS phrase
+  FROM (SELECT item, n, w, unnest(range(1, len(w) - n + 2)) AS i FROM b)
+), places AS (
+  SELECT doc_id, n, i, w[i:i + n - 1] AS phrase
+  FROM (SELECT doc_id, n, w, unnest(range(1, len(w) - n + 2)) AS i
+        FROM d, (SELECT DISTINCT n FROM b) WHERE len(w) >= n)
+), found AS (SELECT doc_id, item, n, i FROM places JOIN phrases USING (n, phrase)
+), hit AS (
+  SELECT doc_id, count(DISTINCT i + k) AS n_hit
+  FROM found, range(10) AS t(k) WHERE k < n GROUP BY doc_id
+), items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, item FROM found) GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+  coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)"""
+
+
 def _license_form(text: str) -> str:
     form = rf"regexp_replace({text}, '\r\n?', chr(10), 'g')"
     form = f"lower(regexp_replace({form}, '{COPYRIGHT_LINE}', '', 'g'))"
@@ -117,6 +152,7 @@ FROM fit"""
 
 
 ORACLES = {
+    "op3_fm_index": contamination(),
     "op4_line_quality": line_quality(),
     "op9_license_digests": license_digests(),
     "op10_url_vocabulary": url_vocabulary(),

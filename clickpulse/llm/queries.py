@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clickpulse.llm.decontamination import find_passages
 from clickpulse.llm.licenses import scan_licenses
 from clickpulse.llm.lines import judge_lines
 from clickpulse.llm.mixing import mix_sources
@@ -41,6 +42,19 @@ def quality_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = find_passages(docs, _table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix_sources(_table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -71,6 +85,7 @@ def urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_fm_index": contamination,
     "op4_line_quality": quality_lines,
     "op6_pareto_mixture": mixture,
     "op7_two_pass_shuffle": shards,
