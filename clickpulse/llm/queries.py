@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickpulse.llm.decontamination import find_passages
+from clickpulse.llm.jaccard_join import similar_groups
 from clickpulse.llm.licenses import scan_licenses
 from clickpulse.llm.lines import judge_lines
 from clickpulse.llm.mixing import mix_sources
@@ -74,6 +75,10 @@ def shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_groups(_table(spark, sf_dir, "documents"))
+
+
 def licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     scanned = scan_licenses(_table(spark, sf_dir, "documents"))
     return scanned.select("doc_id", "digest", "license")
@@ -89,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_line_quality": quality_lines,
     "op6_pareto_mixture": mixture,
     "op7_two_pass_shuffle": shards,
+    "op8_jaccard_join": near_duplicates,
     "op9_license_digests": licenses,
     "op10_url_vocabulary": urls,
 }
