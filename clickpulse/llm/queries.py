@@ -12,6 +12,7 @@ from clickpulse.llm.jaccard_join import similar_groups
 from clickpulse.llm.licenses import scan_licenses
 from clickpulse.llm.lines import judge_lines
 from clickpulse.llm.mixing import mix_sources
+from clickpulse.llm.page_differencing import extract_pages
 from clickpulse.llm.sharding import shuffle_into_shards
 from clickpulse.llm.urls import judge_urls
 
@@ -56,6 +57,10 @@ def contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def page_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_pages(_table(spark, sf_dir, "pages"))
+
+
 def mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix_sources(_table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -92,6 +97,7 @@ def urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_fm_index": contamination,
     "op4_line_quality": quality_lines,
+    "op5_page_differencing": page_texts,
     "op6_pareto_mixture": mixture,
     "op7_two_pass_shuffle": shards,
     "op8_jaccard_join": near_duplicates,
