@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from clickpulse.llm.decontamination import find_passages
 from clickpulse.llm.jaccard_join import similar_groups
+from clickpulse.llm.language_id import fit_languages, identify_languages
 from clickpulse.llm.licenses import scan_licenses
 from clickpulse.llm.lines import judge_lines
 from clickpulse.llm.mixing import mix_sources
@@ -61,6 +62,14 @@ def page_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_pages(_table(spark, sf_dir, "pages"))
 
 
+def languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3
+    model = fit_languages(docs, fold != 1)
+    found = identify_languages(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", (fold == 1).alias("held_out"), "lang_pred", "score")
+
+
 def mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix_sources(_table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -95,6 +104,7 @@ def urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_language_crf": languages,
     "op3_fm_index": contamination,
     "op4_line_quality": quality_lines,
     "op5_page_differencing": page_texts,
