@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,7 +16,9 @@ from clickpulse.llm.lines import judge_lines
 from clickpulse.llm.mixing import mix_sources
 from clickpulse.llm.page_differencing import extract_pages
 from clickpulse.llm.sharding import shuffle_into_shards
+from clickpulse.llm.token_files import token_index, write_tokens
 from clickpulse.llm.urls import judge_urls
+from clickpulse.storage import run_dir
 
 # The rules of the URL query.
 URL_RULES = {
@@ -62,6 +65,13 @@ def page_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_pages(_table(spark, sf_dir, "pages"))
 
 
+def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = run_dir(spark, "tokens")
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    write_tokens(_table(spark, sf_dir, "documents"), path, vocabulary, end=2)
+    return token_index(spark, path)
+
+
 def languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3
@@ -104,6 +114,7 @@ def urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_token_blocks": tokens,
     "op2_language_crf": languages,
     "op3_fm_index": contamination,
     "op4_line_quality": quality_lines,
