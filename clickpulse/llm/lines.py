@@ -132,16 +132,17 @@ def judge_lines(docs: DataFrame, rules: LineRules = LineRules(), text: str = "te
     failed = (n_words < rules.min_words) | (100 * repeated > rules.max_repeated * n_words)
     left = F.length(F.regexp_replace(F.array_join("good", ""), r"[\x20\x09-\x0D]+", ""))
     enough = 100 * left >= (100 - rules.max_lost) * chars
-    return given.results(
-        df,
-        {
-            "n_words": n_words,
-            "word_chars": chars,
-            "n_symbols": (F.length(plain) - F.length(bare)).cast("long"),
-            "n_dup_lines": (F.size("lines") - F.size("different")).cast("long"),
-            "n_repeat_words": repeated,
-            "base_failed": failed,
-            "kept": ~failed & enough,
-            "clean_text": F.array_join("good", "\n"),
-        },
+    judged = F.struct(
+        n_words.alias("n_words"),
+        chars.alias("word_chars"),
+        (F.length(plain) - F.length(bare)).cast("long").alias("n_symbols"),
+        (F.size("lines") - F.size("different")).cast("long").alias("n_dup_lines"),
+        repeated.alias("n_repeat_words"),
+        failed.alias("base_failed"),
+        (~failed & enough).alias("kept"),
+        F.array_join("good", "\n").alias("clean_text"),
     )
+    # As a generated row, so that a filter on a result is not merged with all of the above
+    # and every step of it evaluated over and over.
+    df = df.select(*given.frame.columns, F.explode(F.array(judged)).alias("judged"))
+    return given.results(df, {f.name: F.col(f"judged.{f.name}") for f in df.schema["judged"].dataType})
