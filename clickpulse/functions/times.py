@@ -10,6 +10,8 @@ DATE_FORMAT = "yyyy-MM-dd"
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 COMPACT_FORMAT = "yyyyMMddHHmmss"
 
+_TIME_SHAPE = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"
+
 _PARTS = {
     "year": F.year,
     "month": F.month,
@@ -21,11 +23,11 @@ _PARTS = {
 
 
 def parse_time(text: Column) -> Column:
-    """Time text as a timestamp; malformed text fails the query."""
-    moment = text.try_cast("timestamp")
-    return F.when(text.isNull() | moment.isNotNull(), moment).otherwise(
-        F.raise_error(F.concat(F.lit("not a time: "), text)).cast("timestamp")
-    )
+    """Time text ``yyyy-MM-dd HH:mm:ss`` as a timestamp; anything else, null too, fails the query."""
+    shaped = F.when(text.rlike(_TIME_SHAPE), text)
+    moment = F.try_to_timestamp(shaped, F.lit(TIME_FORMAT))
+    shown = F.coalesce(text, F.lit("null"))
+    return F.coalesce(moment, F.raise_error(F.concat(F.lit("not a time: "), shown)).cast("timestamp"))
 
 
 def parse_millis(text: Column) -> Column:

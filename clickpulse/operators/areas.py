@@ -54,7 +54,8 @@ def area_product_clicks(city_clicks: DataFrame) -> DataFrame:
 def group_concat_counts(df: DataFrame, by: list[str], value: str, name: str) -> DataFrame:
     """``value:n`` for each distinct value of a group, as one text per group.
 
-    The most frequent value comes first, equal counts in order of the value. A
+    The text holds every distinct value, so use it where a group's values are few. The
+    most frequent value comes first, equal counts in order of the value. A
     group without values gives empty text.
     """
     counted = df.groupBy(*by, value).agg(F.count(F.col(value)).alias("n"))
@@ -75,9 +76,17 @@ def top_area_products(area_clicks: DataFrame, n: int = TOP) -> DataFrame:
 def top_area_products_with_cities(city_clicks: DataFrame, n: int = TOP) -> DataFrame:
     """The top products of each area with their ``city_infos``.
 
-    Only the lists of the top products are turned into text.
+    Sums are ranked first; cities are gathered for the winners alone, ``n`` per area.
     """
-    return _join_entries(top_area_products(_area_products(city_clicks), n), "city_infos")
+    keys = ["area", "click_product_id"]
+    sums = city_clicks.groupBy(*keys).agg(F.sum("clicks").alias("click_count"))
+    top = top_area_products(sums, n)
+    same = [F.col(f"c.{key}").eqNullSafe(F.col(f"t.{key}")) for key in keys]
+    won = city_clicks.alias("c").join(F.broadcast(top).alias("t"), same)
+    lists = won.groupBy(*(F.col(f"t.{column}") for column in top.columns)).agg(
+        _entries(F.col("city"), F.col("clicks")).alias("city_infos")
+    )
+    return _join_entries(lists, "city_infos")
 
 
 def with_product_info(

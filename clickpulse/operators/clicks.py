@@ -22,6 +22,9 @@ BLACKLIST_THRESHOLD = 100
 TREND_WINDOW, TREND_SLIDE = 600, 60
 TOP_ADS = 5
 
+# Milliseconds of the first and last moment of the years 1 to 9999.
+FIRST_MS, LAST_MS = -62_135_596_800_000, 253_402_300_799_999
+
 COUNT_KEYS = ["date", "province", "city", "ad_id"]
 PROVINCE_KEYS = ["date", "province", "ad_id"]
 
@@ -29,8 +32,8 @@ PROVINCE_KEYS = ["date", "province", "ad_id"]
 def parse_clicks(lines: DataFrame) -> DataFrame:
     """Clicks from lines ``ts_ms province city user_id ad_id`` in column ``value``.
 
-    Lines with a missing field or a bad number are dropped; further fields are
-    ignored. The fields leave a generator, below which Spark cannot push the null
+    Lines with a missing field, a bad number or a time outside the years 1 to 9999
+    are dropped; further fields are ignored. The fields leave a generator, below which Spark cannot push the null
     check: each line is split once.
     """
     stripped = lines.select(strip_blanks(F.col("value")).alias("line"))
@@ -39,14 +42,12 @@ def parse_clicks(lines: DataFrame) -> DataFrame:
         F.get("words", F.lit(position)).try_cast(field.dataType).alias(field.name)
         for position, field in enumerate(AD_CLICK)
     )
-    return words.select(F.inline(F.array(F.struct(*fields)))).dropna(subset=CLICK_COLUMNS)
+    clicks = words.select(F.inline(F.array(F.struct(*fields)))).dropna(subset=CLICK_COLUMNS)
+    return clicks.where(F.col("ts_ms").between(FIRST_MS, LAST_MS))
 
 
 def not_blacklisted(clicks: DataFrame, blacklist: DataFrame) -> DataFrame:
-    """Clicks of users that are not on the blacklist.
-
-    On a stream, a blacklist from a database is read afresh in every micro-batch.
-    """
+    """Clicks of users that are not on the blacklist."""
     return drop_members(clicks, blacklist, "user_id")
 
 
@@ -57,7 +58,12 @@ def sliding_counts(clicks: DataFrame, key: str, size: int, slide: int) -> DataFr
     clicks are absent. The ends of a span are listed last, so neither a shuffle
     nor an aggregation sees the copies of a click in its many windows.
     """
-    spans = window_spans(_pane_counts(clicks, key, size, slide), key, size, slide)
+    return pane_windows(pane_counts(clicks, key, size, slide), key, size, slide)
+
+
+def pane_windows(panes: DataFrame, key: str, size: int, slide: int) -> DataFrame:
+    """Clicks per key and window from the clicks per key and pane."""
+    spans = window_spans(panes, key, size, slide)
     ends = F.sequence("first_end", "last_end", _millis(slide))
     return spans.select(key, F.explode(ends).alias("window_end_ms"), "click_count")
 
@@ -105,15 +111,27 @@ def blacklist_candidates(
     """Users with more than ``threshold`` clicks in a window, and their highest count.
 
     Users already listed and whitelisted users are left out; clicks are counted
-    per user and pane before these joins. Shifting a user's fullest window to end
-    with its last click loses none, so a moving sum over the user's panes finds
-    the count without listing the windows.
+    per user and pane before these joins.
     """
-    if size % slide:
-        raise ValueError("the window must be a multiple of its slide")
-    panes = _pane_counts(clicks, "user_id", size, slide)
+    panes = pane_counts(clicks, "user_id", size, slide)
     for excluded in (blacklist, whitelist):
         panes = panes.join(excluded.select("user_id"), "user_id", "left_anti")
+    return busy_users(panes, threshold, size, slide)
+
+
+def busy_users(
+    panes: DataFrame,
+    threshold: int = BLACKLIST_THRESHOLD,
+    size: int = BLACKLIST_WINDOW,
+    slide: int = BLACKLIST_SLIDE,
+) -> DataFrame:
+    """Users with more than ``threshold`` clicks in a window, and their highest count.
+
+    Shifting a user's fullest window to end with its last click loses none, so a moving
+    sum over the user's panes finds the count without listing the windows.
+    """
+    if size % slide:
+        raise ValueError("the window must be a multiple of its slide")
     window = Window.partitionBy("user_id").orderBy("pane").rangeBetween((slide - size) * 1000, 0)
     return (
         panes.withColumn("count", F.sum("clicks").over(window))
@@ -145,7 +163,12 @@ def top_province_ads(counts: DataFrame, n: int = TOP_ADS) -> DataFrame:
 
 def click_trend(clicks: DataFrame, size: int = TREND_WINDOW, slide: int = TREND_SLIDE) -> DataFrame:
     """Clicks per ad in sliding windows, stamped with the end of the window."""
-    return sliding_counts(clicks, "ad_id", size, slide).select(
+    return stamped_trend(sliding_counts(clicks, "ad_id", size, slide))
+
+
+def stamped_trend(windows: DataFrame) -> DataFrame:
+    """Windows of ads with the end as a stamp."""
+    return windows.select(
         "ad_id",
         "click_count",
         format_millis(F.col("window_end_ms"), COMPACT_FORMAT).alias("window_end"),
@@ -159,7 +182,7 @@ def _daily_counts(clicks: DataFrame, keys: list[str]) -> DataFrame:
     return counts.withColumn("date", F.col("date").cast("string"))
 
 
-def _pane_counts(clicks: DataFrame, key: str, size: int, slide: int) -> DataFrame:
+def pane_counts(clicks: DataFrame, key: str, size: int, slide: int) -> DataFrame:
     """Clicks per key and pane, the longest span that no window border cuts.
 
     A pane is named by its start in milliseconds.

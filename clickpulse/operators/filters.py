@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickpulse.operators.joins import keep_members
+from clickpulse.operators.joins import Members, keep_members, measured
 from clickpulse.params import JobParams
 
 
@@ -29,16 +29,29 @@ def filter_users(
     return users
 
 
-def filter_actions(
+def selected_users(
     actions: DataFrame, users: DataFrame | None, params: JobParams
+) -> Members | None:
+    """The users that the parameters select, measured; None if no parameter names users."""
+    if not params.needs_users:
+        return None
+    chosen = filter_users(users, params.sex, params.professionals)
+    dated = filter_dates(actions, params.start_date, params.end_date)
+    return measured(dated, chosen, "user_id")
+
+
+def filter_actions(
+    actions: DataFrame, users: DataFrame | Members | None, params: JobParams
 ) -> DataFrame:
     """Actions that satisfy all parameters.
 
     Users take part only if a user parameter is given; without one, actions of
-    unknown users stay. A user listed twice does not double the actions.
+    unknown users stay. A user listed twice does not double the actions. A job that
+    filters several times passes the users as ``selected_users`` measured them.
     """
     selected = filter_dates(actions, params.start_date, params.end_date)
     if not params.needs_users:
         return selected
-    chosen = filter_users(users, params.sex, params.professionals)
-    return keep_members(selected, chosen, "user_id")
+    if not isinstance(users, Members):
+        users = selected_users(actions, users, params)
+    return keep_members(selected, users, "user_id")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from dataclasses import dataclass, field
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,8 +12,9 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 2_000_000
 BROADCAST_BYTES = 64 << 20
 
-# Partitions that share the rows of one key where nothing is broadcast.
-SPREAD = 8
+# A key is hot if its rows would fill more than this part of an even task; the rows of a
+# hot key are then cut into pieces of this size.
+_PIECE = 0.25
 
 
 def broadcast_bounded(side: DataFrame, rows: int) -> DataFrame:
@@ -35,31 +39,67 @@ def broadcast_if_small(side: DataFrame) -> DataFrame:
     return F.broadcast(side) if is_small(side) else side
 
 
-def keep_members(rows: DataFrame, members: DataFrame, on: str) -> DataFrame:
+@dataclass(frozen=True)
+class Members:
+    """Keys to keep or drop, measured once for all joins of a job.
+
+    ``pieces`` says into how many pieces the rows of each hot key are cut; it is empty
+    for members that are broadcast.
+    """
+
+    keys: DataFrame
+    on: str
+    small: bool
+    pieces: Mapping = field(default_factory=dict)
+
+
+def measured(rows: DataFrame, members: DataFrame, on: str) -> Members:
+    """Measure members for joins with ``rows``, or with a selection of them.
+
+    Few members are broadcast, which saves the shuffle of all rows; their filters often
+    leave few of a table that Spark takes for large. Otherwise the rows are counted by
+    key, combined before the shuffle, to find the hot keys. Of these there can be only a
+    few per partition of a shuffle, however many rows there are.
+    """
+    keys = members.select(on)
+    if is_small(keys):
+        return Members(keys, on, small=True)
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = rows.where(F.col(on).isNotNull()).groupBy(on).agg(F.count(F.lit(1)).alias("n"))
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    piece = max(1.0, total / partitions * _PIECE)
+    hot = counts.where(F.col("n") > piece).collect()
+    return Members(keys, on, False, {row[on]: int(row.n // piece) + 1 for row in hot})
+
+
+def keep_members(rows: DataFrame, members: DataFrame | Members, on: str) -> DataFrame:
     """Rows whose key occurs in ``members`` (semi-join)."""
-    return _member_join(rows, members.select(on), on, "left_semi")
+    return _member_join(rows, members, on, "left_semi")
 
 
-def drop_members(rows: DataFrame, members: DataFrame, on: str) -> DataFrame:
+def drop_members(rows: DataFrame, members: DataFrame | Members, on: str) -> DataFrame:
     """Rows whose key does not occur in ``members`` (anti-join)."""
-    return _member_join(rows, members.select(on), on, "left_anti")
-
+    return _member_join(rows, members, on, "left_anti")
 
-def _member_join(rows: DataFrame, members: DataFrame, on: str, how: str) -> DataFrame:
-    """Broadcast the members if there are few, else spread the rows of hot keys.
 
-    The members are measured: their filters often leave few of a table that Spark
-    takes for large, and a broadcast saves the shuffle of all rows. A stream may
-    outlive any measure, so it always spreads.
+def _member_join(rows: DataFrame, members: DataFrame | Members, on: str, how: str) -> DataFrame:
+    """Join on the key, and for hot keys on the piece as well.
 
-    Spreading joins on the key and a salt, with a copy of the members for every
-    salt: any salt gives the same rows. Adaptive execution splits hot partitions
-    too, but judges them by compressed bytes, which a hot key's similar rows keep
-    low, and does not run in stateful streams. The salt is the id of the partition
-    a row comes from, which is the same when a lost task runs again.
+    Only hot members are copied, once for each piece; any piece gives the same rows.
+    Adaptive execution splits hot partitions too, but judges them by compressed bytes,
+    which a hot key's similar rows keep low.
     """
-    if not rows.isStreaming and is_small(members):
-        return rows.join(F.broadcast(members), on, how).select(*rows.columns)
-    salted = rows.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(SPREAD)))
-    copies = members.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
-    return salted.join(copies, [on, "_salt"], how).select(*rows.columns)
+    known = members if isinstance(members, Members) else measured(rows, members, on)
+    if known.small:
+        return rows.join(F.broadcast(known.keys), on, how).select(*rows.columns)
+    if not known.pieces:
+        return rows.join(known.keys, on, how).select(*rows.columns)
+    kind = rows.schema[on].dataType
+    hot = rows.sparkSession.createDataFrame(list(known.pieces.items()), ["_key", "_pieces"])
+    hot = F.broadcast(hot.select(F.col("_key").cast(kind).alias(on), F.col("_pieces").cast("int")))
+    pieces = F.coalesce("_pieces", F.lit(1))
+    cut = F.pmod(F.monotonically_increasing_id(), pieces).cast("int")
+    salted = rows.join(hot, on, "left").withColumn("_piece", cut)
+    copies = known.keys.join(hot, on, "left")
+    copies = copies.withColumn("_piece", F.explode(F.sequence(F.lit(0), pieces - 1)))
+    return salted.join(copies.drop("_pieces"), [on, "_piece"], how).select(*rows.columns)

@@ -1,14 +1,13 @@
-"""The streaming queries over ad clicks."""
+"""The streaming job over ad clicks."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from clickpulse.operators import clicks as ops
+from clickpulse.operators.clicks import BLACKLIST_THRESHOLD
 from clickpulse.sinks import jdbc as sink
-from clickpulse.sources.jdbc import Database, read_jdbc
-from clickpulse.streaming import clicks as streams
+from clickpulse.sources.jdbc import Database, Slices, read_jdbc
 from clickpulse.streaming import outputs
 
 
@@ -18,46 +17,33 @@ def start_click_job(
     database: Database,
     whitelist: DataFrame,
     output: str,
-    checkpoints: str,
-    delay: str | None = "10 minutes",
+    checkpoint: str,
+    slices: Slices | None = None,
+    threshold: int = BLACKLIST_THRESHOLD,
+    keep_days: int | None = None,
     trigger: dict | None = None,
-) -> list[StreamingQuery]:
-    """Start blacklist updates, running counts, top ads and trend.
+) -> StreamingQuery:
+    """Start the query that updates blacklist, running counts, top ads and trend.
 
-    ``lines`` is a stream with the text column ``value``. ``checkpoints`` must be
-    the same shared folder at every start, so that counts go on where they ended.
-    ``delay`` bounds the state of the sliding windows.
+    ``lines`` is a stream with the text column ``value``. ``checkpoint`` must be the same
+    shared folder at every start, so that counts go on where they ended. ``slices`` reads
+    a large blacklist in parallel. Results are read through ``ClickTables(output)``.
     """
 
     def blacklist() -> DataFrame:
-        return read_jdbc(spark, database, sink.BLACKLIST_TABLE)
+        return read_jdbc(spark, database, sink.BLACKLIST_TABLE, slices)
 
     def append(users: DataFrame) -> None:
         sink.write_jdbc(users, database, sink.BLACKLIST_TABLE)
 
-    clicks = ops.not_blacklisted(ops.parse_clicks(lines), blacklist())
-    return [
-        outputs.start_blacklist_updates(
-            streams.user_counts(clicks, delay=delay),
-            blacklist,
-            append,
-            whitelist,
-            f"{checkpoints}/blacklist",
-            trigger=trigger,
-        ),
-        outputs.start_updates(
-            ops.running_counts(clicks), f"{output}/counts", f"{checkpoints}/counts", trigger
-        ),
-        outputs.start_top_ads(
-            ops.province_click_counts(clicks),
-            f"{output}/top_ads",
-            f"{checkpoints}/top_ads",
-            trigger=trigger,
-        ),
-        outputs.start_updates(
-            streams.click_trend(clicks, delay=delay),
-            f"{output}/trend",
-            f"{checkpoints}/trend",
-            trigger,
-        ),
-    ]
+    return outputs.start_click_updates(
+        lines,
+        blacklist,
+        append,
+        whitelist,
+        output,
+        checkpoint,
+        threshold,
+        keep_days=keep_days,
+        trigger=trigger,
+    )

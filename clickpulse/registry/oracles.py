@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql.types import StringType
 
 from clickpulse.registry import queries as q
+from clickpulse.registry.views import PART_STARTS
 from clickpulse.schemas import USER_VISIT_ACTION
 
 # The input tables of FIXTURES.md as common table expressions.
@@ -159,6 +160,44 @@ _VIEWS = {
         FROM clean, range(0, 10) AS r(i) GROUP BY ALL""",
 }
 
+# The stream: clicks by the part they arrive in; when a user crosses the threshold; and the
+# clicks that are left if they are listed from the next part on.
+_PART = " ".join(f"WHEN ts < TIMESTAMP '{start}' THEN {n}" for n, start in enumerate(PART_STARTS))
+_VIEWS |= {
+    "part_lines": f"""
+        SELECT CASE {_PART} ELSE {len(PART_STARTS)} END AS part,
+               string_split_regex(trim((epoch_us(ts) // 1000) || ' province_' || (user_id % 5)
+               || ' city_' || (user_id % 25) || ' ' || user_id || ' '
+               || CASE WHEN event_type = 'error' THEN 'bad'
+                       ELSE json_extract_string(props, '$.k') END), ' +') AS w
+        FROM events""",
+    "arrived": """
+        SELECT * FROM (
+            SELECT part, TRY_CAST(w[1] AS BIGINT) AS ts_ms, w[2] AS province, w[3] AS city,
+                   TRY_CAST(w[4] AS INTEGER) AS user_id, TRY_CAST(w[5] AS INTEGER) AS ad_id
+            FROM part_lines)
+        WHERE ts_ms IS NOT NULL AND user_id IS NOT NULL AND ad_id IS NOT NULL
+          AND user_id NOT IN (SELECT user_id FROM black)""",
+    "over": f"""
+        SELECT n, user_id, max(clicks) AS clicks FROM (
+            SELECT n, user_id, ts_ms // 30000 - i AS w, count(*) AS clicks
+            FROM arrived, range(0, 10) AS r(i), range(0, {len(PART_STARTS) + 1}) AS b(n)
+            WHERE part <= n GROUP BY ALL)
+        WHERE clicks > {q.BLACKLIST_THRESHOLD} AND user_id NOT IN (SELECT user_id FROM white)
+        GROUP BY ALL""",
+    "crossed": "SELECT user_id, min(n) AS n FROM over GROUP BY user_id",
+    "streamed": """
+        SELECT arrived.* FROM arrived LEFT JOIN crossed USING (user_id)
+        WHERE n IS NULL OR part <= n""",
+    "stream_running": """
+        SELECT strftime(make_timestamp(ts_ms * 1000), '%Y-%m-%d') AS "date", province, city, ad_id,
+               count(*) AS click_count
+        FROM streamed GROUP BY ALL""",
+    "stream_province": """
+        SELECT "date", province, ad_id, CAST(sum(click_count) AS BIGINT) AS click_count
+        FROM stream_running GROUP BY ALL""",
+}
+
 _PROFESSIONALS = ", ".join(f"'{name}'" for name in q.PROFESSIONALS)
 _ACTIONS = "SELECT uva.* FROM uva"
 _LEVELS = " ".join(f"WHEN '{area}' THEN '{level}'" for area, level in q.AREA_LEVELS.items())
@@ -208,7 +247,7 @@ _TOP_ADS = """
     SELECT * FROM (
         SELECT *, CAST(row_number() OVER (PARTITION BY "date", province
                        ORDER BY click_count DESC, ad_id) AS INTEGER) AS rn
-        FROM province) WHERE rn <= 5"""
+        FROM {}) WHERE rn <= 5"""
 _TREND = """
     SELECT ad_id, click_count,
            strftime(make_timestamp(window_end_ms * 1000), '%Y%m%d%H%M%S') AS window_end
@@ -285,16 +324,25 @@ _SELECTS = {
         FROM (SELECT ts_ms, make_timestamp(ts_ms * 1000) AS t FROM parsed)""",
     "ad_clicks_not_blacklisted": "SELECT * FROM clean",
     "ad_user_window_counts": "SELECT * FROM user_windows",
-    "ad_user_window_counts_stream": "SELECT * FROM user_windows",
+    "ad_user_window_counts_stream": """
+        SELECT user_id, (ts_ms // 30000 - i) * 30000 + 300000 AS window_end_ms,
+               count(*) AS click_count
+        FROM streamed, range(0, 10) AS r(i) GROUP BY ALL""",
     "ad_blacklist_candidates": _CANDIDATES,
-    "ad_blacklist_stream": _CANDIDATES,
+    "ad_blacklist_stream": """
+        SELECT user_id, CAST(clicks AS INTEGER) AS "count"
+        FROM over JOIN crossed USING (user_id, n)""",
     "ad_running_counts": _RUNNING,
-    "ad_running_counts_stream": _RUNNING,
+    "ad_running_counts_stream": "SELECT * FROM stream_running",
     "ad_province_counts": "SELECT * FROM province",
-    "ad_province_top5": _TOP_ADS,
-    "ad_province_top5_stream": _TOP_ADS,
+    "ad_province_top5": _TOP_ADS.format("province"),
+    "ad_province_top5_stream": _TOP_ADS.format("stream_province"),
     "ad_click_trend": _TREND,
-    "ad_click_trend_stream": _TREND,
+    "ad_click_trend_stream": """
+        SELECT ad_id, count(*) AS click_count,
+               strftime(make_timestamp(((ts_ms // 60000 - i) * 60000 + 600000) * 1000),
+                        '%Y%m%d%H%M%S') AS window_end
+        FROM streamed, range(0, 10) AS r(i) GROUP BY ALL""",
 }
 
 _WITH = "WITH " + ", ".join(f"{name} AS ({body})" for name, body in _VIEWS.items())

@@ -6,7 +6,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from clickpulse import schemas
 from clickpulse.functions import labels, times
@@ -14,10 +13,11 @@ from clickpulse.operators import areas, categories, clicks, filters, sessions
 from clickpulse.params import JobParams
 from clickpulse.plans.areas import area_top_products
 from clickpulse.registry import views
-from clickpulse.sinks.files import as_delimited, as_json
-from clickpulse.sources.delimited import parse_lines
+from clickpulse.registry.views import PART_STARTS
+from clickpulse.sinks.files import as_json, write_delimited
+from clickpulse.sources import delimited
+from clickpulse.sources.streams import read_text_stream
 from clickpulse.storage import run_dir
-from clickpulse.streaming import clicks as streams
 from clickpulse.streaming import outputs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,11 +31,9 @@ BLACKLIST_THRESHOLD = 1
 
 
 class Inputs:
-    """The input tables of one folder."""
+    """The input tables of one folder. The SQL reads all times as UTC; so must the session."""
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
-        # The SQL reads all times as UTC.
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
         self.spark, self.sf_dir = spark, sf_dir
 
     def __getattr__(self, view: str) -> DataFrame:
@@ -52,9 +50,22 @@ def _query(build: Callable[[Inputs], DataFrame]) -> Query:
 # Text
 
 
-def from_text(df: DataFrame, schema: T.StructType, separator: str) -> DataFrame:
-    """The table written as delimited lines and parsed again."""
-    return parse_lines(as_delimited(df, separator), schema, separator)
+def actions_from_text(i: Inputs) -> DataFrame:
+    path = run_dir(i.spark, "actions")
+    write_delimited(i.user_visit_actions, path)
+    return delimited.read_user_visit_actions(i.spark, path)
+
+
+def users_from_text(i: Inputs) -> DataFrame:
+    path = run_dir(i.spark, "users")
+    write_delimited(i.user_info, path)
+    return delimited.read_user_info(i.spark, path)
+
+
+def products_from_text(i: Inputs) -> DataFrame:
+    path = run_dir(i.spark, "products")
+    write_delimited(i.product_info, path, "^")
+    return delimited.read_product_info(i.spark, path)
 
 
 # Session metrics
@@ -156,79 +167,66 @@ def province_counts(i: Inputs) -> DataFrame:
     return clicks.province_counts(running_counts(i))
 
 
-# Streams, run over all available data
-
-
-def _clean_stream(i: Inputs) -> DataFrame:
-    return clicks.not_blacklisted(clicks.parse_clicks(i.ad_click_stream), i.blacklist)
-
-
-def _updates(stream: DataFrame, name: str, keys: list[str]) -> DataFrame:
-    folder = run_dir(stream.sparkSession, name)
-    query = outputs.start_updates(
-        stream, f"{folder}/out", f"{folder}/checkpoint", {"availableNow": True}
-    )
-    query.awaitTermination()
-    written = outputs.read_updates(stream.sparkSession, f"{folder}/out", stream.schema)
-    return outputs.latest(written, keys)
+# Streams: the click lines arrive in parts, a micro-batch each
+
+
+def _click_tables(i: Inputs, output: str) -> tuple[outputs.ClickTables, str]:
+    """Run the click stream over all parts; its tables, and the path of its blacklist.
+
+    The query is started anew for each part, as after a stop, and goes on where it ended.
+    Each batch reads the blacklist that earlier batches appended to.
+    """
+    folder = run_dir(i.spark, output)
+    listed, lines = f"{folder}/blacklist", f"{folder}/lines"
+    i.blacklist.write.parquet(listed)
+    for part in range(len(PART_STARTS) + 1):
+        arrived = i.ad_click_parts.where(F.col("part") == part)
+        arrived.select("value").write.text(f"{lines}/part-{part}")
+        query = outputs.start_click_updates(
+            read_text_stream(i.spark, f"{lines}/part-*"),
+            lambda: i.spark.read.schema(schemas.BLACK_USERS).parquet(listed),
+            lambda users: users.write.mode("append").parquet(listed),
+            i.whitelist,
+            f"{folder}/tables",
+            f"{folder}/checkpoint",
+            BLACKLIST_THRESHOLD,
+            outputs=frozenset({"blacklist", output}),
+            trigger={"availableNow": True},
+        )
+        query.awaitTermination()
+    if outputs.committed(i.spark, f"{folder}/checkpoint") <= len(PART_STARTS):
+        raise RuntimeError("the stream ran fewer batches than there are parts")
+    return outputs.ClickTables(i.spark, f"{folder}/tables"), listed
 
 
 def running_counts_stream(i: Inputs) -> DataFrame:
-    stream = clicks.running_counts(_clean_stream(i))
-    return _updates(stream, "running-counts", clicks.COUNT_KEYS)
+    return _click_tables(i, "counts")[0].counts.read()
 
 
 def user_windows_stream(i: Inputs) -> DataFrame:
-    stream = streams.user_counts(_clean_stream(i))
-    counts = _updates(stream, "user-windows", ["user_id", "window_end"])
-    end = F.unix_millis("window_end").alias("window_end_ms")
-    return counts.select("user_id", end, "click_count")
+    return _click_tables(i, "blacklist")[0].user_windows()
 
 
 def click_trend_stream(i: Inputs) -> DataFrame:
-    stream = streams.click_trend(_clean_stream(i))
-    return _updates(stream, "click-trend", ["ad_id", "window_end"])
+    return _click_tables(i, "trend")[0].trend()
 
 
 def province_top5_stream(i: Inputs) -> DataFrame:
-    folder = run_dir(i.spark, "province-top5")
-    query = outputs.start_top_ads(
-        clicks.province_click_counts(_clean_stream(i)),
-        f"{folder}/out",
-        f"{folder}/checkpoint",
-        trigger={"availableNow": True},
-    )
-    query.awaitTermination()
-    return outputs.read_top_ads(i.spark, f"{folder}/out")
+    return _click_tables(i, "top_ads")[0].top_ads.read()
 
 
 def blacklist_stream(i: Inputs) -> DataFrame:
     """Users the stream adds to a blacklist kept as a table in the shared folder."""
-    folder = run_dir(i.spark, "blacklist")
-    table = f"{folder}/table"
-    i.blacklist.write.parquet(table)
-    query = outputs.start_blacklist_updates(
-        streams.user_counts(_clean_stream(i)),
-        lambda: i.spark.read.parquet(table),
-        lambda users: users.write.mode("append").parquet(table),
-        i.whitelist,
-        f"{folder}/checkpoint",
-        BLACKLIST_THRESHOLD,
-        {"availableNow": True},
-    )
-    query.awaitTermination()
-    listed = i.spark.read.parquet(table)
+    listed = i.spark.read.schema(schemas.BLACK_USERS).parquet(_click_tables(i, "blacklist")[1])
     return listed.join(i.blacklist.select("user_id"), "user_id", "left_anti")
 
 
 QUERIES: dict[str, Query] = {
     name: _query(build)
     for name, build in {
-        "actions_from_text": lambda i: from_text(
-            i.user_visit_actions, schemas.USER_VISIT_ACTION, ","
-        ),
-        "users_from_text": lambda i: from_text(i.user_info, schemas.USER_INFO, ","),
-        "products_from_text": lambda i: from_text(i.product_info, schemas.PRODUCT_INFO, "^"),
+        "actions_from_text": actions_from_text,
+        "users_from_text": users_from_text,
+        "products_from_text": products_from_text,
         "filter_actions_by_date": lambda i: filters.filter_actions(
             i.user_visit_actions, i.user_info, JobParams(start_date=START_DATE, end_date=END_DATE)
         ),

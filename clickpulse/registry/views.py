@@ -20,6 +20,17 @@ _K = "cast(get_json_object(props, '$.k') as int)"
 _DAY = "cast(cast(ts as date) as string)"
 
 
+# A click line; errors carry a bad ad id.
+_CLICK_LINE = """concat(
+    timestampdiff(MILLISECOND, timestamp_ntz'1970-01-01 00:00:00', ts),
+    ' province_', user_id % 5, ' city_', user_id % 25, ' ', user_id, ' ',
+    CASE WHEN event_type = 'error' THEN 'bad' ELSE get_json_object(props, '$.k') END
+) AS value"""
+
+# Where the parts of the click stream after the first begin.
+PART_STARTS = ("2024-01-08 00:00:00", "2024-01-15 12:00:00", "2024-01-23 00:00:00")
+
+
 def _only(event_type: str, text: str) -> str:
     return f"CASE WHEN event_type = '{event_type}' THEN {text} ELSE '' END"
 
@@ -102,24 +113,17 @@ def whitelist(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.selectExpr("cast(c_custkey as int) AS user_id")
 
 
-def click_lines(events: DataFrame) -> DataFrame:
-    """Click lines from ``events``, batch or stream; errors carry a bad ad id."""
-    return events.selectExpr(
-        """concat(timestampdiff(MILLISECOND, timestamp_ntz'1970-01-01 00:00:00', ts),
-                  ' province_', user_id % 5, ' city_', user_id % 25, ' ', user_id, ' ',
-                  CASE WHEN event_type = 'error' THEN 'bad' ELSE get_json_object(props, '$.k') END
-           ) AS value"""
-    )
-
-
 def ad_click_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return click_lines(_read(spark, sf_dir, "events"))
+    return _read(spark, sf_dir, "events").selectExpr(_CLICK_LINE)
 
 
-def ad_click_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The click lines as a stream over the events file of the folder."""
-    reader = spark.readStream.schema(TABLES["events"]).option("pathGlobFilter", "events.parquet")
-    return click_lines(reader.parquet(sf_dir))
+def ad_click_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The click lines with the number of the part in which they arrive, by their time."""
+    part = " ".join(
+        f"WHEN ts < timestamp_ntz'{start}' THEN {n}" for n, start in enumerate(PART_STARTS)
+    )
+    cut = f"CASE {part} ELSE {len(PART_STARTS)} END AS part"
+    return _read(spark, sf_dir, "events").selectExpr(cut, _CLICK_LINE)
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:

@@ -32,7 +32,7 @@ AREA_COLUMNS = [
 ]
 BLACKLIST_TABLE = "tb_black_users"
 
-# Connections open at once; Spark merges partitions of a wider result.
+# Connections open at once.
 _CONNECTIONS = 16
 
 
@@ -42,13 +42,32 @@ def write_options(database: Database, table: str) -> dict[str, str]:
         "url": database.url,
         "dbtable": table,
         "batchsize": str(BATCH_ROWS),
-        "numPartitions": str(_CONNECTIONS),
     }
 
 
-def write_jdbc(df: DataFrame, database: Database, table: str, mode: str = "append") -> None:
-    """Insert the rows; each partition is one transaction and errors are raised."""
-    df.write.format("jdbc").options(**write_options(database, table)).mode(mode).save()
+def write_jdbc(
+    df: DataFrame,
+    database: Database,
+    table: str,
+    mode: str = "append",
+    connections: int = _CONNECTIONS,
+) -> None:
+    """Insert the rows; each partition is one transaction and errors are raised.
+
+    ``overwrite`` empties the table and keeps its definition.
+    """
+    rows = for_connections(df, connections)
+    writer = rows.write.format("jdbc").options(**write_options(database, table))
+    writer.option("truncate", "true").mode(mode).save()
+
+
+def for_connections(df: DataFrame, connections: int = _CONNECTIONS) -> DataFrame:
+    """The rows dealt to as many partitions as may connect.
+
+    Results are small. A shuffle of them leaves the stages before it as wide as they
+    are; merging partitions instead would run the last of these in a few tasks.
+    """
+    return df.repartition(connections)
 
 
 def category_rows(pivot: DataFrame, task_id: int) -> DataFrame:

@@ -1,89 +1,44 @@
-"""Stateful click aggregations on streams."""
+"""What a micro-batch of clicks adds to the tables of a stream."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickpulse.functions.times import COMPACT_FORMAT, from_millis
+from clickpulse.functions.times import from_millis
 from clickpulse.operators import clicks as ops
 
+#: Columns of the tables that a stream keeps.
+COUNTS = "date string, province string, city string, ad_id int, click_count bigint"
+TOP_ADS = "date string, province string, ad_id int, click_count bigint, rn int"
+USER_PANES = "date string, user_id int, pane bigint, clicks bigint"
+AD_PANES = "date string, ad_id int, pane bigint, clicks bigint"
 
-def sliding_counts(
-    clicks: DataFrame, key: str, size: int, slide: int, delay: str | None = None
-) -> DataFrame:
-    """Clicks per key and sliding window of the click time, sizes in seconds.
-
-    With ``delay`` (for example ``"10 minutes"``) clicks that come later than
-    that are ignored and the state of closed windows is dropped. Without it the
-    state grows with the period.
-    """
-    timed = clicks.select(key, from_millis(F.col("ts_ms")).alias("clicked_at"))
-    if delay:
-        timed = timed.withWatermark("clicked_at", delay)
-    window = F.window("clicked_at", f"{size} seconds", f"{slide} seconds")
-    return (
-        timed.groupBy(window, key)
-        .agg(F.count(F.lit(1)).alias("click_count"))
-        .select(key, F.col("window.end").alias("window_end"), "click_count")
-    )
 
-
-def user_counts(
-    clicks: DataFrame,
-    size: int = ops.BLACKLIST_WINDOW,
-    slide: int = ops.BLACKLIST_SLIDE,
-    delay: str | None = None,
-) -> DataFrame:
-    """Clicks per user in the sliding windows of the blacklist."""
-    return sliding_counts(clicks, "user_id", size, slide, delay)
-
-
-def click_trend(
-    clicks: DataFrame,
-    size: int = ops.TREND_WINDOW,
-    slide: int = ops.TREND_SLIDE,
-    delay: str | None = None,
-) -> DataFrame:
-    """Clicks per ad in sliding windows, stamped with the end of the window."""
-    return sliding_counts(clicks, "ad_id", size, slide, delay).select(
-        "ad_id", "click_count", F.date_format("window_end", COMPACT_FORMAT).alias("window_end")
-    )
+def dated_panes(clicks: DataFrame, key: str, size: int, slide: int) -> DataFrame:
+    """Clicks per key and pane, with the day of the pane."""
+    panes = ops.pane_counts(clicks, key, size, slide)
+    day = F.to_date(from_millis(F.col("pane"))).cast("string")
+    return panes.withColumn("date", day)
 
 
 def new_blacklist_users(
-    counts: DataFrame,
+    panes: DataFrame,
+    clicks: DataFrame,
     blacklist: DataFrame,
     whitelist: DataFrame,
     threshold: int = ops.BLACKLIST_THRESHOLD,
+    size: int = ops.BLACKLIST_WINDOW,
+    slide: int = ops.BLACKLIST_SLIDE,
 ) -> DataFrame:
-    """Users over the threshold in one micro-batch of ``user_counts``, once each.
+    """Users that are over the threshold after a micro-batch, once each.
 
-    Users of the whitelist and of the current blacklist are left out.
+    ``panes`` are the users' panes after the batch, ``clicks`` the clicks of the batch:
+    only who clicked in it can have crossed the threshold. The count is the user's highest
+    of any window after that batch. Users of the whitelist and of the current blacklist
+    are left out.
     """
-    over = (
-        counts.where(F.col("click_count") > threshold)
-        .groupBy("user_id")
-        .agg(F.max("click_count").cast("int").alias("count"))
-    )
+    touched = panes.join(clicks.select("user_id").distinct(), "user_id", "left_semi")
+    over = ops.busy_users(touched, threshold, size, slide)
     unlisted = over.join(whitelist.select("user_id"), "user_id", "left_anti")
     return unlisted.join(blacklist.select("user_id"), "user_id", "left_anti")
-
-
-def merge_top_ads(previous: DataFrame | None, changed: DataFrame, n: int = ops.TOP_ADS) -> DataFrame:
-    """Top ads per day and province after one micro-batch.
-
-    ``previous`` is the result before the batch and ``changed`` holds the new
-    totals of the ads that were clicked in it. Totals only grow, so an ad that
-    was neither on top nor clicked cannot move up, and the result is exact.
-    """
-    columns = [*ops.PROVINCE_KEYS, "click_count"]
-    totals = changed.select(*columns)
-    if previous is not None:
-        totals = (
-            previous.select(*columns)
-            .unionByName(totals)
-            .groupBy(*ops.PROVINCE_KEYS)
-            .agg(F.max("click_count").alias("click_count"))
-        )
-    return ops.top_province_ads(totals, n)

@@ -1,111 +1,178 @@
-"""Outputs of streaming queries, idempotent per micro-batch.
+"""The click stream: one micro-batch at a time feeds blacklist, counts, top ads and trend.
 
-Every micro-batch owns a folder named after its id. A batch that runs again after
-a failure replaces its folder, so nothing is counted twice.
+Each batch reads its source and the blacklist once. Its clean clicks are written first;
+whatever follows is derived from them, so a batch that runs again after a failure meets
+the same clicks even if the blacklist has grown meanwhile.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.streaming import StreamingQuery
 
-from clickpulse.operators.clicks import BLACKLIST_THRESHOLD, TOP_ADS
-from clickpulse.streaming import clicks as ops
+from clickpulse.functions.times import from_millis
+from clickpulse.operators import clicks as ops
+from clickpulse.schemas import AD_CLICK
+from clickpulse.streaming import clicks as batches
+from clickpulse.streaming.tables import DayTable, children, finished, remove_before
 
 # Trigger interval and rows of a preview.
 TRIGGER = "10 seconds"
 PREVIEW_ROWS = 5
 
+OUTPUTS = frozenset({"blacklist", "counts", "top_ads", "trend"})
 
-def start_updates(
-    stream: DataFrame, path: str, checkpoint: str, trigger: dict | None = None
-) -> StreamingQuery:
-    """Write the groups that changed in each micro-batch; ``latest`` reads them.
-
-    Only the changed groups are written, not the whole state.
-    """
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(_batch_path(path, batch_id))
-
-    return _started(stream.writeStream.outputMode("update").foreachBatch(write), checkpoint, trigger)
 
+@dataclass(frozen=True)
+class ClickTables:
+    """The tables of a click stream below one folder."""
 
-def latest(updates: DataFrame, keys: list[str], count: str = "click_count") -> DataFrame:
-    """Current count of each group; counts only grow, so the highest is the last."""
-    return updates.groupBy(*keys).agg(F.max(count).alias(count))
+    spark: SparkSession
+    path: str
 
+    @property
+    def counts(self) -> DayTable:
+        """Clicks per day, province, city and ad."""
+        return DayTable(self.spark, f"{self.path}/counts", batches.COUNTS)
 
-def read_updates(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """All rows written by ``start_updates``."""
-    return spark.read.schema(schema).option("basePath", path).parquet(path).select(*schema.names)
-
-
-def start_top_ads(
-    counts: DataFrame,
-    path: str,
-    checkpoint: str,
-    n: int = TOP_ADS,
-    trigger: dict | None = None,
-) -> StreamingQuery:
-    """Keep the top ads per day and province of the totals in ``counts``.
-
-    Each micro-batch merges its changed totals into the ads on top before it;
-    ``read_top_ads`` reads the result of the last batch.
-    """
+    @property
+    def top_ads(self) -> DayTable:
+        """The most clicked ads per day and province."""
+        return DayTable(self.spark, f"{self.path}/top_ads", batches.TOP_ADS)
 
-    def merge(batch: DataFrame, batch_id: int) -> None:
-        previous = None
-        if batch_id > 0:
-            previous = batch.sparkSession.read.parquet(_batch_path(path, batch_id - 1))
-        top = ops.merge_top_ads(previous, batch, n)
-        top.write.mode("overwrite").parquet(_batch_path(path, batch_id))
+    @property
+    def user_panes(self) -> DayTable:
+        """Clicks per user and pane of the blacklist's windows."""
+        return DayTable(self.spark, f"{self.path}/user_panes", batches.USER_PANES)
 
-    return _started(counts.writeStream.outputMode("update").foreachBatch(merge), checkpoint, trigger)
+    @property
+    def ad_panes(self) -> DayTable:
+        """Clicks per ad and pane of the trend's windows."""
+        return DayTable(self.spark, f"{self.path}/ad_panes", batches.AD_PANES)
 
+    def user_windows(
+        self, size: int = ops.BLACKLIST_WINDOW, slide: int = ops.BLACKLIST_SLIDE
+    ) -> DataFrame:
+        """Clicks per user in the sliding windows of the blacklist, as they stand."""
+        return ops.pane_windows(self.user_panes.read(), "user_id", size, slide)
 
-def read_top_ads(spark: SparkSession, path: str) -> DataFrame:
-    """Top ads after the last micro-batch."""
-    batches = spark.read.parquet(path)
-    last = batches.agg(F.max("batch_id").alias("batch_id")).first().batch_id
-    return batches.where(F.col("batch_id") == last).drop("batch_id")
+    def trend(self, size: int = ops.TREND_WINDOW, slide: int = ops.TREND_SLIDE) -> DataFrame:
+        """Clicks per ad in sliding windows, as they stand."""
+        windows = ops.pane_windows(self.ad_panes.read(), "ad_id", size, slide)
+        return ops.stamped_trend(windows)
 
 
-def start_blacklist_updates(
-    counts: DataFrame,
+def start_click_updates(
+    lines: DataFrame,
     read_blacklist: Callable[[], DataFrame],
     append: Callable[[DataFrame], None],
     whitelist: DataFrame,
+    path: str,
     checkpoint: str,
-    threshold: int = BLACKLIST_THRESHOLD,
+    threshold: int = ops.BLACKLIST_THRESHOLD,
+    top: int = ops.TOP_ADS,
+    outputs: frozenset[str] = OUTPUTS,
+    keep_days: int | None = None,
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Append users over the threshold to the blacklist, one row per user.
+    """Keep the tables of ``ClickTables(path)`` and the blacklist up to date.
+
+    Users over the threshold after a batch are appended to the blacklist, one row each,
+    and their clicks are left out from the next batch on. Errors stop the query. The folder
+    ``path`` belongs to the checkpoint; one that was started with another is refused.
 
-    The blacklist is read at the start of each micro-batch, so a batch that runs
-    again appends only what is still missing. Errors stop the query.
+    Windows follow the time of the click. No click is late: panes take it whenever it
+    comes. ``keep_days`` drops panes of days longer ago than that, by the clock of the
+    driver; a click that comes later starts its day anew. By default all days are kept.
     """
+    unknown = set(outputs) - OUTPUTS
+    if unknown:
+        raise ValueError(f"no such outputs: {sorted(unknown)}")
+    spark = lines.sparkSession
+    _bind(spark, path, checkpoint)
 
     def update(batch: DataFrame, batch_id: int) -> None:
-        append(ops.new_blacklist_users(batch, read_blacklist(), whitelist, threshold))
-
-    return _started(counts.writeStream.outputMode("update").foreachBatch(update), checkpoint, trigger)
+        session = batch.sparkSession
+        tables = ClickTables(session, path)
+        listed = read_blacklist().persist()
+        try:
+            clicks = _clean(batch, listed, f"{path}/clicks", batch_id)
+            days = F.to_date(from_millis(F.col("ts_ms"))).cast("string").alias("date")
+            dates = sorted(row["date"] for row in clicks.select(days).distinct().collect())
+            if "counts" in outputs or "top_ads" in outputs:
+                counts = tables.counts.add(
+                    ops.running_counts(clicks), batch_id, dates, "click_count"
+                )
+                if "top_ads" in outputs:
+                    best = ops.top_province_ads(ops.province_counts(counts), top)
+                    tables.top_ads.write(best, batch_id)
+            if "trend" in outputs:
+                panes = batches.dated_panes(clicks, "ad_id", ops.TREND_WINDOW, ops.TREND_SLIDE)
+                tables.ad_panes.add(panes, batch_id, dates, "clicks")
+            if "blacklist" in outputs:
+                panes = batches.dated_panes(
+                    clicks, "user_id", ops.BLACKLIST_WINDOW, ops.BLACKLIST_SLIDE
+                )
+                tables.user_panes.add(panes, batch_id, dates, "clicks")
+                # A window may begin on the day before or end on the day behind.
+                near = tables.user_panes.read(batch_id + 1, _with_neighbours(dates))
+                append(batches.new_blacklist_users(near, clicks, listed, whitelist, threshold))
+        finally:
+            listed.unpersist()
+        first = None
+        if keep_days is not None:
+            first = (date.today() - timedelta(days=keep_days)).isoformat()
+        for table in (tables.counts, tables.top_ads):
+            table.compact(batch_id)
+        for table in (tables.user_panes, tables.ad_panes):
+            table.compact(batch_id, first)
+        remove_before(session, f"{path}/clicks", batch_id)
+
+    writer = lines.writeStream.foreachBatch(update).option("checkpointLocation", checkpoint)
+    return writer.trigger(**(trigger or {"processingTime": TRIGGER})).start()
+
+
+def _clean(batch: DataFrame, listed: DataFrame, path: str, batch_id: int) -> DataFrame:
+    """Clicks of the batch by users who were not listed when it first ran."""
+    session = batch.sparkSession
+    folder = f"{path}/batch_id={batch_id}"
+    if not finished(session, folder):
+        clean = ops.not_blacklisted(ops.parse_clicks(batch), listed)
+        clean.write.mode("overwrite").parquet(folder)
+    return session.read.schema(AD_CLICK).parquet(folder)
+
+
+def _with_neighbours(dates: list[str]) -> list[str]:
+    days = [date.fromisoformat(day) for day in dates]
+    inner = [day for day in days if date.min < day < date.max]
+    around = {(day + timedelta(days=step)).isoformat() for day in inner for step in (-1, 1)}
+    return sorted(around | set(dates))
+
+
+def _bind(spark: SparkSession, path: str, checkpoint: str) -> None:
+    """Remember the checkpoint of a folder; refuse the folder to any other."""
+    mark = f"{path}/checkpoint"
+    if finished(spark, mark):
+        owner = spark.read.text(mark).first()[0]
+        if owner != checkpoint:
+            raise ValueError(f"{path} belongs to the checkpoint {owner}")
+    else:
+        spark.createDataFrame([(checkpoint,)], "value string").coalesce(1).write.mode(
+            "overwrite"
+        ).text(mark)
+
+
+def committed(spark: SparkSession, checkpoint: str) -> int:
+    """The number of micro-batches that a query has finished."""
+    return sum(name.isdigit() for name in children(spark, f"{checkpoint}/commits"))
 
 
 def start_preview(stream: DataFrame, rows: int = PREVIEW_ROWS, mode: str = "update") -> StreamingQuery:
     """Print the first rows of every micro-batch."""
     writer = stream.writeStream.outputMode(mode).format("console").option("numRows", rows)
     return writer.trigger(processingTime=TRIGGER).start()
-
-
-def _started(writer: DataStreamWriter, checkpoint: str, trigger: dict | None) -> StreamingQuery:
-    trigger = trigger or {"processingTime": TRIGGER}
-    return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
-
-
-def _batch_path(path: str, batch_id: int) -> str:
-    return f"{path}/batch_id={batch_id}"

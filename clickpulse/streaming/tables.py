@@ -1,0 +1,125 @@
+"""Tables that micro-batches keep up to date, one version of a day per batch that changed it.
+
+A batch writes the days it changed, whole, to a folder named after its id. The current
+state of a day is its version in the last finished batch folder that has it. A batch that
+runs again starts from the versions before it and replaces its folder, so nothing counts
+twice. Versions that no later batch can need are removed.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+@dataclass(frozen=True)
+class DayTable:
+    """A table with the column ``date`` (text) below ``path``."""
+
+    spark: SparkSession
+    path: str
+    schema: str
+
+    def read(self, before: int | None = None, dates: list[str] | None = None) -> DataFrame:
+        """The current rows, or those before a batch; of all days or of some.
+
+        Found by listing folders; a table that was never written is empty.
+        """
+        paths = [
+            f"{self.path}/batch_id={batch}/date={date}"
+            for date, batch in sorted(self._current(before).items())
+            if dates is None or date in dates
+        ]
+        return _read(self.spark, self.path, self.schema, paths)
+
+    def write(self, rows: DataFrame, batch_id: int) -> None:
+        """Write the whole days that the batch changed."""
+        columns = T.StructType.fromDDL(self.schema).names
+        writer = rows.select(*columns).write.mode("overwrite").partitionBy("date")
+        writer.parquet(f"{self.path}/batch_id={batch_id}")
+
+    def add(self, rows: DataFrame, batch_id: int, dates: list[str], count: str) -> DataFrame:
+        """Add the counts of a batch, which lie in ``dates``; returns these days as written."""
+        keys = [name for name in T.StructType.fromDDL(self.schema).names if name != count]
+        total = self.read(batch_id, dates).unionByName(rows.select(*keys, count))
+        self.write(total.groupBy(*keys).agg(F.sum(count).alias(count)), batch_id)
+        return self.read(batch_id + 1, dates)
+
+    def compact(self, batch_id: int, first_date: str | None = None) -> None:
+        """Remove versions that were replaced before ``batch_id``, and days before a date.
+
+        The batch itself may still run again, so what it started from stays.
+        """
+        needed = self._current(batch_id)
+        for batch in self._batches():
+            if batch >= batch_id:
+                continue
+            folder = f"{self.path}/batch_id={batch}"
+            dates = _dates(self.spark, folder)
+            stale = [
+                date
+                for date in dates
+                if needed.get(date) != batch or (first_date is not None and date < first_date)
+            ]
+            if len(stale) == len(dates):
+                _remove(self.spark, folder)
+            else:
+                for date in stale:
+                    _remove(self.spark, f"{folder}/date={date}")
+
+    def _batches(self) -> list[int]:
+        names = children(self.spark, self.path)
+        return sorted(int(name[9:]) for name in names if name.startswith("batch_id="))
+
+    def _current(self, before: int | None = None) -> dict[str, int]:
+        found = {}
+        for batch in self._batches():
+            folder = f"{self.path}/batch_id={batch}"
+            if (before is None or batch < before) and finished(self.spark, folder):
+                found |= dict.fromkeys(_dates(self.spark, folder), batch)
+        return found
+
+
+def finished(spark: SparkSession, folder: str) -> bool:
+    """Whether a folder was written to its end."""
+    return "_SUCCESS" in children(spark, folder)
+
+
+def remove_before(spark: SparkSession, path: str, batch_id: int) -> None:
+    """Remove the folders of earlier batches."""
+    for name in children(spark, path):
+        if name.startswith("batch_id=") and int(name[9:]) < batch_id:
+            _remove(spark, f"{path}/{name}")
+
+
+def _read(spark: SparkSession, base: str, schema: str, paths: list[str]) -> DataFrame:
+    if not paths:
+        return spark.createDataFrame([], schema)
+    kind = T.StructType.fromDDL(schema)
+    found = spark.read.schema(kind).option("basePath", base).parquet(*paths)
+    return found.select(*kind.names)
+
+
+def _dates(spark: SparkSession, folder: str) -> list[str]:
+    return [name[5:] for name in children(spark, folder) if name.startswith("date=")]
+
+
+def _file_system(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if there is no such folder."""
+    files, place = _file_system(spark, path)
+    if not files.exists(place):
+        return []
+    return [status.getPath().getName() for status in files.listStatus(place)]
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    files, place = _file_system(spark, path)
+    files.delete(place, True)
