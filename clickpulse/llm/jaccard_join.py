@@ -6,8 +6,9 @@ Distance 1 - |x & y| / |x | y| is a metric. The join works on distinct sets (nod
    pivots it contains. In a fixed order of all shingles, rare before frequent, the region
    of a pivot takes every set that has it among its first floor(d * n) + 1 shingles: a set
    within distance d misses at most floor(d * n) of the n shingles, so it shares a region.
-2. Each region gets a document pivot p, its smallest node, and the exact distance of every
-   member to p. Members within d are linked to p.
+2. Each region gets a document pivot p, its smallest node. Small sketches bound the distance
+   of every member to p from below; where the bound leaves a link open, the whole sets give
+   the exact distance. Members within d are linked to p.
 3. By the triangle inequality a pair with |d(x, p) - d(y, p)| > d has no link, and pairs in
    one component add nothing. Members outside p's component are joined again, exactly,
    with the members inside their window; components then take in the new links.
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 
 from clickpulse.llm.components import components
 from clickpulse.llm.frames import Input, durable
-from clickpulse.llm.shingles import node_of, shingle_sets
+from clickpulse.llm.shingles import least_distance, node_of, shingle_sets, sketch_of
 
 #: Counts below this within one batch of texts are dropped while frequent shingles are
 #: counted, so a count is short by less than this for each batch.
@@ -45,7 +46,7 @@ _SLACK = 1e-9
 
 
 def _scan(width: int):
-    """Per text its set's size and node; per batch the shingles of many of its sets."""
+    """Per text its set's size, node and sketch; per batch the shingles of many of its sets."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -58,10 +59,11 @@ def _scan(width: int):
                     batch.column(0),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array(nodes, pa.int64()),
+                    pa.array([sketch_of(s) if len(s) else None for s in sets], pa.binary()),
                     nulls(pa.int64(), n),
                     nulls(pa.int64(), n),
                 ],
-                names=["id", "n", "node", "key", "count"],
+                names=["id", "n", "node", "sketch", "key", "count"],
             )
             different = list(dict(zip(nodes, sets, strict=True)).values())
             keys = np.sort(np.concatenate([*different, np.empty(0, np.uint64)]))
@@ -76,10 +78,11 @@ def _scan(width: int):
                     nulls(batch.schema.field(0).type, m),
                     nulls(pa.int64(), m),
                     nulls(pa.int64(), m),
+                    nulls(pa.binary(), m),
                     pa.array(keys[begin[often]].view(np.int64)),
                     pa.array(counts[often].astype(np.int64)),
                 ],
-                names=["id", "n", "node", "key", "count"],
+                names=["id", "n", "node", "sketch", "key", "count"],
             )
 
     return scan
@@ -192,16 +195,36 @@ def _wanted_sets(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
     return docs.mapInArrow(pick, "node long, keys array<long>")
 
 
-def _distances(docs: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
-    """The exact distance d of each pair (x, p)."""
-    nodes = pairs.select(F.explode(F.array("x", "p")).alias("node")).distinct()
+def _distances(
+    docs: DataFrame, pairs: DataFrame, sketches: DataFrame, width: int, near: float
+) -> DataFrame:
+    """Pairs (x, p) with bounds low and high of their distance.
+
+    Both are the exact distance where it may be `near` or less.
+    """
+
+    def bound(a: pa.Array, n_a: pa.Array, b: pa.Array, n_b: pa.Array) -> pa.Array:
+        rows = zip(*(c.to_pylist() for c in (a, n_a, b, n_b)), strict=True)
+        return pa.array([least_distance(*row) for row in rows], pa.float64())
+
+    of = lambda side: sketches.select(
+        F.col("node").alias(side), F.col("sketch").alias(f"s_{side}"), F.col("n").alias(f"n_{side}")
+    )
+    low = F.arrow_udf(bound, "double")("s_x", "n_x", "s_p", "n_p")
+    bounded = pairs.join(of("x"), "x").join(of("p"), "p").select("x", "p", low.alias("low"))
+    bounded = durable(bounded)
+    open_pairs = bounded.where(F.col("low") <= near).select("x", "p")
+    nodes = open_pairs.select(F.explode(F.array("x", "p")).alias("node")).distinct()
     sets = _wanted_sets(docs, nodes, width)
     left = sets.select(F.col("node").alias("x"), F.col("keys").alias("kx"))
     right = sets.select(F.col("node").alias("p"), F.col("keys").alias("kp"))
-    both = pairs.join(left, "x").join(right, "p")
+    both = open_pairs.join(left, "x").join(right, "p")
     shared = F.size(F.array_intersect("kx", "kp"))
     distance = 1 - shared / (F.size("kx") + F.size("kp") - shared)
-    return both.select("x", "p", distance.alias("d")).groupBy("x", "p").agg(F.min("d").alias("d"))
+    exact = both.select("x", "p", distance.alias("d")).groupBy("x", "p").agg(F.min("d").alias("d"))
+    return bounded.join(exact, ["x", "p"], "left").select(
+        "x", "p", F.coalesce("d", "low").alias("low"), F.coalesce("d", F.lit(1.0)).alias("high")
+    )
 
 
 def similar_groups(
@@ -229,9 +252,11 @@ def similar_groups(
     body = given.frame.select(given[text].cast("string").alias("text"))
     named = given.frame.select(given[id].alias("id"), given[text].cast("string").alias("text"))
     kind = named.schema["id"].dataType.simpleString()
-    schema = f"id {kind}, n long, node long, key long, count long"
+    schema = f"id {kind}, n long, node long, sketch binary, key long, count long"
     scanned = durable(named.mapInArrow(_scan(width), schema))
     rows = scanned.where("key IS NULL").select("id", "n", "node")
+    texts = scanned.where("node IS NOT NULL")
+    sketches = texts.groupBy("node").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"))
 
     often = scanned.where("key IS NOT NULL").groupBy("key").agg(F.sum("count").alias("count"))
     top = often.orderBy(F.desc("count"), "key").limit(FREQUENT).toArrow()
@@ -253,13 +278,14 @@ def similar_groups(
         F.col("pivot").alias("x"), F.col("head").alias("p")
     )
     stars = stars.unionByName(regions.select(F.col("node").alias("x"), F.col("pivot").alias("p")))
-    measured = durable(_distances(body, stars.where("x <> p").distinct(), width))
-    links = measured.where(F.col("d") <= near).select(F.col("x").alias("a"), F.col("p").alias("b"))
+    stars = stars.where("x <> p").distinct()
+    measured = durable(_distances(body, stars, sketches, width, near))
+    links = measured.where(F.col("high") <= near).select(F.col("x").alias("a"), F.col("p").alias("b"))
     labels = components(links)
 
     more = durable(_windows(regions, heads, measured, labels, near))
     if more.head(1):
-        found = _distances(body, more, width).where(F.col("d") <= near)
+        found = _distances(body, more, sketches, width, near).where(F.col("high") <= near)
         new = found.select(F.col("x").alias("a"), F.col("p").alias("b"))
         old = labels.select(F.col("node").alias("a"), F.col("label").alias("b"))
         labels = components(old.unionByName(new))
@@ -299,22 +325,34 @@ def _windows(
     # Most regions lie in one component; they are known without their members' distances.
     mixed = wide.where("own <> main").select("key").distinct()
     wide = wide.join(mixed, "key").join(
-        measured.select(F.col("x").alias("node"), F.col("p").alias("pivot"), "d"),
+        measured.select(F.col("x").alias("node"), F.col("p").alias("pivot"), "low", "high"),
         ["node", "pivot"],
         "left",
     )
     # In a region cut in several, distances are to different pivots and prove nothing.
-    d = F.when(~F.col("cut"), F.when(F.col("node") == F.col("pivot"), 0.0).otherwise(F.col("d")))
-    wide = durable(wide.select("key", "node", "pivot", "own", "main", "cut", d.alias("d")))
+    pivot = F.col("node") == F.col("pivot")
+    low = F.when(F.col("cut") | pivot, 0.0).otherwise(F.col("low"))
+    high = F.when(F.col("cut"), 1.0).when(pivot, 0.0).otherwise(F.col("high"))
+    named = ("key", "node", "pivot", "own", "main", "cut")
+    wide = durable(wide.select(*named, low.alias("low"), high.alias("high")))
     outside = wide.where("own <> main")
-    nearest = outside.groupBy("key").agg(F.min("d").alias("nearest"))
+    nearest = outside.groupBy("key").agg(F.min("low").alias("nearest"))
     inside = wide.where("own = main").join(nearest, "key")
-    inside = inside.where(F.col("cut") | (F.col("d") >= F.col("nearest") - near))
-    a = outside.select("key", F.col("node").alias("a"), F.col("own").alias("a_own"), F.col("d").alias("a_d"))
-    b = inside.drop("nearest").unionByName(outside).where(F.col("cut") | (F.col("node") != F.col("pivot")))
+    inside = inside.where(F.col("high") >= F.col("nearest") - near).drop("nearest")
+    a = outside.select(
+        "key",
+        F.col("node").alias("a"),
+        F.col("own").alias("a_own"),
+        F.col("low").alias("a_low"),
+        F.col("high").alias("a_high"),
+    )
+    # Pivots have been compared with all members of regions in one piece.
+    b = inside.unionByName(outside).where(F.col("cut") | (F.col("node") != F.col("pivot")))
     both = a.join(b, "key").where(F.col("a_own") != F.col("own"))
     both = both.where((F.col("own") == F.col("main")) | (F.col("a") < F.col("node")))
-    both = both.where(F.col("cut") | (F.abs(F.col("a_d") - F.col("d")) <= near))
+    both = both.where(F.col("a_low") <= F.col("high") + near).where(
+        F.col("low") <= F.col("a_high") + near
+    )
     return both.select(
         F.greatest("a", "node").alias("x"), F.least("a", "node").alias("p")
     ).distinct()
