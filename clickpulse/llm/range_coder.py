@@ -31,7 +31,7 @@ _MAGIC = b"CMR1"
 _HEADER = "<4sIIII"
 _HEAD_BYTES = struct.calcsize(_HEADER)
 #: Lanes of a full block, and the fewest ids that a lane is opened for.
-_LANES = 4096
+_LANES = 8192
 _LANE_IDS = 256
 
 _TOP = np.uint64(1 << 32)
@@ -65,8 +65,8 @@ class _Model:
         self.counts = np.zeros(ids, np.int64)
         self.pending: list[np.ndarray] = []
         self.one, self.two = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
-        self.guess = [np.zeros(ids, np.int64), np.zeros(_SLOTS, np.int64)]
-        self.trust = [np.zeros(ids, np.int64), np.zeros(_SLOTS, np.int64)]
+        # For each context 16 times the id that followed last, plus the confidence.
+        self.seen = (np.zeros(ids, np.int64), np.zeros(_SLOTS, np.int64))
         # Hits and cases for each confidence of order 2, and of order 1 that agrees or not.
         self.hits, self.cases = np.ones(48, np.int64), np.full(48, 4, np.int64)
         self.weights = np.array([1 << 15, 1 << 15, 1 << 13, 0], np.int64)
@@ -93,10 +93,11 @@ class _Model:
         """For each lane the candidate and its chance of 2 ** _CHANCE."""
         one, two = self.one[:lanes], self.two[:lanes]
         self.slot = (one * 0x9E3779B1 + two * 0x85EBCA6B >> 13) & (_SLOTS - 1)
-        self.p1, self.p2 = self.guess[0][one], self.guess[1][self.slot]
-        self.c1, self.c2 = self.trust[0][one], self.trust[1][self.slot]
-        candidate = np.where(self.c2 > 0, self.p2, self.p1)
-        self.agree = np.where(self.p1 == candidate, 16, 32) + self.c1
+        self.one_seen, self.two_seen = self.seen[0][one], self.seen[1][self.slot]
+        self.c1, self.c2 = self.one_seen & _SURE, self.two_seen & _SURE
+        p1, p2 = self.one_seen >> 4, self.two_seen >> 4
+        candidate = np.where(self.c2 > 0, p2, p1)
+        self.agree = np.where(p1 == candidate, 16, 32) + self.c1
         known = _STRETCH[(self.hits << 12) // self.cases]
         self.inputs = (known[self.c2], known[self.agree], self.size[candidate])
         w = self.weights.tolist()
@@ -108,12 +109,16 @@ class _Model:
     def learn(self, ids: np.ndarray, hit: np.ndarray) -> None:
         n = len(ids)
         one, two = self.one[:n], self.two[:n]
-        for table, slots, guess, trust in ((0, one, self.p1, self.c1), (1, self.slot, self.p2, self.c2)):
-            right = (guess == ids) & (trust > 0)
-            now = np.where(right, np.minimum(trust + 1, _SURE), trust >> 1)
-            new = now == 0
-            self.trust[table][slots] = np.where(new, 1, now)
-            self.guess[table][slots] = np.where(new, ids, guess)
+        fresh = ids * 16
+        for table, slots, old, trust in (
+            (self.seen[0], one, self.one_seen, self.c1),
+            (self.seen[1], self.slot, self.two_seen, self.c2),
+        ):
+            # Right: one more, up to the most. Wrong: half of it, or the new id from none.
+            right = ((old - trust) == fresh) & (trust > 0)
+            up = old + (trust < _SURE)
+            down = np.where(trust > 1, old - trust + (trust >> 1), fresh + 1)
+            table[slots] = np.where(right, up, down)
         states = np.concatenate([self.c2, self.agree])
         self.cases += np.bincount(states, minlength=48)
         self.hits += np.bincount(states[np.concatenate([hit, hit])], minlength=48)

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from itertools import chain
@@ -29,6 +30,20 @@ FILE_BYTES = 32 << 20
 #: Pieces of text that a task remembers with their ids before it starts anew.
 _REMEMBERED = 1 << 20
 _MARKS = ".,;:!?"
+#: Words of letters that no normal form splits or joins, and how many go in a row.
+_PLAIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+_ROW = 1000
+
+
+def _word_ends(tokenizer: Tokenizer) -> np.ndarray | None:
+    """For each id whether it ends a word; None if the vocabulary does not say."""
+    suffix = getattr(tokenizer.model, "end_of_word_suffix", None)
+    if not suffix:
+        return None
+    ends = np.zeros(tokenizer.get_vocab_size(), bool)
+    for token, number in tokenizer.get_vocab().items():
+        ends[number] = token.endswith(suffix)
+    return ends
 
 
 class _Ids(dict):
@@ -41,6 +56,7 @@ class _Ids(dict):
 
     def __init__(self, tokenizer) -> None:
         self.tokenizer = tokenizer
+        self.ends = _word_ends(tokenizer)
         self.ids = np.empty(0, np.int64)
         self.begin = np.zeros(1, np.int64)
         self.new: list[str] = []
@@ -57,8 +73,11 @@ class _Ids(dict):
             cut = len(body) if body and body[-1].isalnum() else len(piece)
             halves.append((piece[:cut], piece[cut:]))
         different = list(dict.fromkeys(chain.from_iterable(halves)))
-        encoded = self.tokenizer.encode_batch_fast(different, add_special_tokens=False)
-        ids = dict(zip(different, (e.ids for e in encoded), strict=True))
+        plain = [p for p in different if self.ends is not None and _PLAIN.fullmatch(p)]
+        ids = self._in_rows(plain)
+        others = [p for p in different if p not in ids]
+        encoded = self.tokenizer.encode_batch_fast(others, add_special_tokens=False)
+        ids |= zip(others, (e.ids for e in encoded), strict=True)
         lists = [ids[a] + ids[b] if b else ids[a] for a, b in halves]
         ends = np.cumsum([len(x) for x in lists]) + len(self.ids)
         flat = np.fromiter(chain.from_iterable(lists), np.int64)
@@ -66,6 +85,23 @@ class _Ids(dict):
         self.begin = np.concatenate([self.begin, ends])
         self.new = []
 
+    def _in_rows(self, words: list[str]) -> dict[str, list[int]]:
+        """Ids of plain words, tokenized many in a row.
+
+        Each word ends with the only id of it that stands for the end of a word; a row
+        where the ends do not fit the words is left out.
+        """
+        found = {}
+        rows = [words[i : i + _ROW] for i in range(0, len(words), _ROW)]
+        texts = [" ".join(row) for row in rows]
+        encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        for row, e in zip(rows, encoded, strict=True):
+            ids = e.ids
+            at = (np.flatnonzero(self.ends[ids]) + 1).tolist()
+            if len(at) == len(row) and at[-1] == len(ids):
+                found |= zip(row, map(ids.__getitem__, map(slice, [0, *at], at)), strict=False)
+        return found
+
     def of(self, texts: list[str | None], end: int) -> Iterator[np.ndarray]:
         """The ids of each text, with the end id."""
         if len(self) > _REMEMBERED:
