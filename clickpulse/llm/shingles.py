@@ -39,10 +39,9 @@ def shingle_sets(texts: pa.Array, width: int) -> list[np.ndarray]:
         flat += [hashes[w] for w in words]
     values = np.array(flat, np.uint64)
     rolled = np.zeros(len(values), np.uint64)
-    for k in range(width):
-        rolled[: len(values) - k] = rolled[: len(values) - k] * _ODD + _mixed(
-            values[k:] + np.uint64(k + 1)
-        )
+    for k in range(min(width, len(values))):
+        full = len(values) - k
+        rolled[:full] = rolled[:full] * _ODD + _mixed(values[k:] + np.uint64(k + 1))
     rolled = _mixed(rolled)
     sets, start = [], 0
     for n in sizes:
