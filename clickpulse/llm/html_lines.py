@@ -49,15 +49,17 @@ class _Reader(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.lines: list[tuple[str, int]] = []
         self.held: list[str] = []
+        self.held_part = OPEN
         #: Open elements as (tag, part before it).
         self.stack: list[tuple[str, int]] = []
         self.part = OPEN
 
     def flush(self) -> None:
+        """End a block. Its part is that of its text: parts other than MARKED change at blocks."""
         line = " ".join("".join(self.held).split())
         self.held.clear()
         if line:
-            self.lines.append((line, self.part))
+            self.lines.append((line, self.held_part))
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag == "br":
@@ -99,14 +101,16 @@ class _Reader(HTMLParser):
                 return
 
     def handle_data(self, data: str) -> None:
-        self.held.append(data)
+        if self.part != MARKED:
+            self.held.append(data)
+            self.held_part = self.part
 
 
 def page_lines(html: str) -> list[tuple[str, int]]:
-    """The blocks of text in page order, each with ARTICLE, OPEN or MARKED.
+    """The blocks of text in page order, each with ARTICLE or OPEN.
 
-    MARKED stands in elements that frame a page, ARTICLE in the article or main element,
-    OPEN anywhere else. Character references are decoded, white space is one space.
+    ARTICLE stands in the article or main element, OPEN anywhere else; text in elements that
+    frame a page is left out. Character references are decoded, white space is one space.
     """
     reader = _Reader()
     reader.feed(html)

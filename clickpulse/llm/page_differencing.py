@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickpulse.llm.frames import Input
-from clickpulse.llm.html_lines import ARTICLE, MARKED, OPEN, page_lines
+from clickpulse.llm.html_lines import ARTICLE, OPEN, page_lines
 from clickpulse.llm.urls import split_url
 
 #: Bytes of HTML per range of pages, on average.
@@ -175,11 +175,7 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 near.append((len(commonprefix([other[0]["path"], page["path"]])), other[0]))
         near.sort(key=lambda x: -x[0])
         lines = list(zip(page["lines"], page["parts"], strict=True))
-        mates = [
-            [line for line, part in zip(m["lines"], m["parts"], strict=True) if part != MARKED]
-            for _, m in near
-        ]
-        text = main_text(lines, mates)
+        text = main_text(lines, [m["lines"] for _, m in near if m["lines"]])
         return [row | {"text": text} for row in run if not row["guest"]]
 
     def results() -> Iterator[dict]:
