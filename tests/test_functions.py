@@ -81,9 +81,17 @@ def test_plain_number(evaluate):
     assert evaluate(text.plain_number, [969045], "bigint") == ["969045"]
 
 
+@pytest.mark.parametrize(
+    "text", ["10:30:00", "2024", "2024-01-05", "2024-01-05 10:30:00+05", "2024-02-30 00:00:00", None]
+)
+def test_what_is_no_time_fails(evaluate, text):
+    with pytest.raises(Exception, match="not a time"):
+        evaluate(times.parse_time, [text])
+
+
 def test_times(evaluate):
     millis = 1704099600000 + 123
-    assert evaluate(times.parse_millis, ["2024-01-01 09:00:00", None]) == [1704099600000, None]
+    assert evaluate(times.parse_millis, ["2024-01-01 09:00:00"]) == [1704099600000]
     with pytest.raises(PySparkException):
         evaluate(times.parse_millis, ["yesterday"])
     formats = {

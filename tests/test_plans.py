@@ -21,7 +21,8 @@ from clickpulse.plans import sessions as session_job
 from clickpulse.registry import views
 from clickpulse.registry.queries import QUERIES
 from clickpulse.sources.streams import read_text_stream
-from clickpulse.streaming.outputs import latest, read_top_ads, read_updates
+from clickpulse.sinks.jdbc import for_connections
+from clickpulse.streaming.outputs import ClickTables
 
 
 def plan(df, run=False):
@@ -207,10 +208,10 @@ def database(spark, sf_dir, monkeypatch, frame):
     tables = {"tb_task": tasks, "city_info": views.city_info(spark, sf_dir)}
     written = {}
 
-    def read(_spark, _database, table):
+    def read(_spark, _database, table, slices=None):
         return tables[table]
 
-    def write(df, _database, table):
+    def write(df, _database, table, mode="append"):
         written[table] = sorted((tuple(row) for row in df.collect()), key=repr)
 
     for job in (session_job, area_job):
@@ -250,38 +251,89 @@ def test_unknown_task_fails_first(spark, database, tmp_path):
         session_job.run_session_job(spark, None, 3, str(tmp_path))
 
 
+def test_area_job_with_actions_without_product(spark, sf_dir, actions, database):
+    products = views.product_info(spark, sf_dir)
+    area_job.run_area_job(spark, None, 1, actions, None, products, clicks_only=False)
+    # The empty product takes a place in each of the five areas, and is then unknown.
+    assert len(database["tb_area_top10_product"]) == 45
+
+
+def test_writing_leaves_the_scan_as_wide_as_it_is(spark, actions):
+    written = for_connections(spark.range(0, 1000, 1, 40).where("id % 2 = 0"), 4)
+    text = plan(written)
+    assert "RoundRobinPartitioning(4)" in text and "splits=40" in text
+    assert "Coalesce" not in text and written.count() == 500
+
+
+def test_cities_are_gathered_for_winners_only(spark, sf_dir, actions):
+    counted = areas.city_product_clicks(actions, views.city_info(spark, sf_dir))
+    lines = plan(areas.top_area_products_with_cities(counted)).splitlines()
+    gathered = [i for i, line in enumerate(lines) if "collect_list" in line]
+    ranked = [i for i, line in enumerate(lines) if "WindowGroupLimit" in line]
+    assert gathered and max(gathered) < min(ranked)
+
+
+def test_users_are_measured_once_in_a_job(spark, sf_dir, actions, monkeypatch):
+    calls = []
+    small = joins.is_small
+    monkeypatch.setattr(joins, "is_small", lambda side: calls.append(1) or small(side))
+    users = views.user_info(spark, sf_dir)
+    session_job.session_results(actions, users, JobParams(sex="male"))
+    assert len(calls) == 1
+
+
+def test_tasks_are_even_with_a_third_of_all_rows_on_one_key(spark, many_members, settings):
+    settings({"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "200"})
+    user = F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") + 100)
+    rows = spark.range(0, 300_000, 1, 16).select(user.alias("user_id"), "id")
+    members = spark.range(400_000).select(F.col("id").alias("user_id"))
+    known = joins.measured(rows, members, "user_id")
+    assert set(known.pieces) == {7}
+    joined = keep_members(rows, known, "user_id")
+    sizes = joined.groupBy(F.spark_partition_id()).count().select("count").collect()
+    sizes = [size[0] for size in sizes]
+    assert sum(sizes) == 300_000 and max(sizes) < 2 * 300_000 / 200
+
+
 def test_click_job(spark, sf_dir, monkeypatch, rows, tmp_path):
-    """All four streams over the click lines, started twice with the same folders."""
+    """The job over the click lines, started twice with the same folders."""
     table = str(tmp_path / "blacklist")
     listed, whitelist = views.blacklist(spark, sf_dir), views.whitelist(spark, sf_dir)
     listed.write.parquet(table)
-    monkeypatch.setattr(click_job, "read_jdbc", lambda *_: spark.read.parquet(table))
+    asked = []
+    monkeypatch.setattr(
+        click_job, "read_jdbc", lambda *args: asked.append(args[3]) or spark.read.parquet(table)
+    )
     monkeypatch.setattr(
         click_job.sink, "write_jdbc", lambda users, *_: users.write.mode("append").parquet(table)
     )
     lines = tmp_path / "lines"
     views.ad_click_lines(spark, sf_dir).write.text(str(lines))
-    out, checkpoints = str(tmp_path / "out"), str(tmp_path / "checkpoints")
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
 
     def run():
         stream = read_text_stream(spark, str(lines))
-        job = click_job.start_click_job(
-            spark, stream, None, whitelist, out, checkpoints, trigger={"availableNow": True}
+        query = click_job.start_click_job(
+            spark, stream, None, whitelist, out, checkpoint, "slices", trigger={"availableNow": True}
         )
-        for query in job:
-            query.awaitTermination()
-            assert query.exception() is None
+        query.awaitTermination()
+        assert query.exception() is None
 
     run()
     run()
+    assert asked == ["slices"]  # one batch, one read
     clean = clicks.not_blacklisted(clicks.parse_clicks(spark.read.text(str(lines))), listed)
     counts = clicks.running_counts(clean)
-    written = read_updates(spark, f"{out}/counts", counts.schema)
-    assert rows(latest(written, clicks.COUNT_KEYS)) == rows(counts)
+    tables = ClickTables(spark, out)
+    assert rows(tables.counts.read(), *counts.columns) == rows(counts)
     top = clicks.top_province_ads(clicks.province_counts(counts))
-    assert rows(read_top_ads(spark, f"{out}/top_ads"), *top.columns) == rows(top)
+    assert rows(tables.top_ads.read(), *top.columns) == rows(top)
     trend = clicks.click_trend(clean)
-    written = read_updates(spark, f"{out}/trend", trend.schema)
-    assert rows(latest(written, ["ad_id", "window_end"]), *trend.columns) == rows(trend)
+    assert rows(tables.trend(), *trend.columns) == rows(trend)
     # Nobody clicks more than a hundred times in five minutes.
     assert rows(spark.read.parquet(table)) == rows(listed)
+
+
+@pytest.mark.parametrize("name", ["actions_from_text", "users_from_text", "products_from_text"])
+def test_text_queries_scan_text(spark, sf_dir, name):
+    assert "FileScan text" in plan(QUERIES[name](spark, sf_dir))

@@ -1,16 +1,21 @@
-"""Streams over several micro-batches against the batch operators."""
+"""The click stream over several micro-batches, against the batch operators."""
 
 import random
+from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from clickpulse.operators import clicks as ops
 from clickpulse.sources.streams import read_text_stream
-from clickpulse.streaming import clicks as streams
+from clickpulse.streaming import clicks as batches
 from clickpulse.streaming import outputs
+from clickpulse.streaming.tables import DayTable
 
 USERS = "user_id int"
+BLACK = "user_id int, count int"
 NOW = {"availableNow": True}
+TREND = ["ad_id", "window_end", "click_count"]
 
 
 def lines(count, seed):
@@ -22,146 +27,216 @@ def lines(count, seed):
         yield f"{second}{pick.randrange(1000):03} p{city % 3} c{city} {user} {ad}"
 
 
-@pytest.fixture(scope="module")
-def folder(tmp_path_factory):
-    path = tmp_path_factory.mktemp("lines")
-    for part in range(4):
-        (path / f"part-{part}").write_text("\n".join(lines(300, part)))
-    return str(path)
-
-
-@pytest.fixture
-def blacklist(frame):
-    return frame("user_id int, count int", (3, 101), (4, 101))
-
+class Feed:
+    """A stream over text files, one per batch, with its own folders and blacklist."""
+
+    def __init__(self, spark, path, whitelist, listed=((3, 101), (4, 101)), threshold=10**6):
+        self.spark, self.path, self.threshold = spark, path, threshold
+        self.lines, self.table = str(path / "lines"), str(path / "black")
+        Path(self.lines).mkdir(parents=True)
+        self.whitelist = whitelist
+        spark.createDataFrame(list(listed), BLACK).write.parquet(self.table)
+        self.files = 0
+
+    def add(self, *texts):
+        (Path(self.lines) / f"part-{self.files}").write_text("\n".join(texts))
+        self.files += 1
+
+    def listed(self):
+        return self.spark.read.schema(BLACK).parquet(self.table)
+
+    def run(self, **options):
+        query = outputs.start_click_updates(
+            read_text_stream(self.spark, self.lines, files_per_batch=1),
+            self.listed,
+            lambda users: users.write.mode("append").parquet(self.table),
+            self.whitelist,
+            str(self.path / "out"),
+            str(self.path / "cp"),
+            self.threshold,
+            trigger=NOW,
+            **options,
+        )
+        query.awaitTermination()
+        return outputs.ClickTables(self.spark, str(self.path / "out"))
 
-@pytest.fixture
-def batch(spark, folder, blacklist):
-    return ops.not_blacklisted(ops.parse_clicks(spark.read.text(folder)), blacklist)
+    def parsed(self):
+        return ops.parse_clicks(self.spark.read.text(self.lines))
 
 
 @pytest.fixture
-def stream(spark, folder, blacklist):
-    lines = read_text_stream(spark, folder, files_per_batch=1)
-    return ops.not_blacklisted(ops.parse_clicks(lines), blacklist)
+def feed(spark, frame, tmp_path):
+    return lambda **options: Feed(spark, tmp_path / "feed", frame(USERS, (5,)), **options)
 
 
 @pytest.fixture
-def updates(spark, tmp_path):
-    """Run a stream to its end and return all rows it wrote."""
-
-    def run(df):
-        query = outputs.start_updates(df, str(tmp_path / "out"), str(tmp_path / "cp"), NOW)
-        query.awaitTermination()
-        assert len(list((tmp_path / "out").glob("batch_id=*"))) >= 4
-        return outputs.read_updates(spark, str(tmp_path / "out"), df.schema)
-
-    return run
-
-
-def test_running_counts(stream, batch, updates, rows):
-    written = updates(ops.running_counts(stream))
-    keys = ops.COUNT_KEYS
-    expected = ops.running_counts(batch)
-    assert rows(outputs.latest(written, keys), *keys, "click_count") == rows(expected, *keys, "click_count")
-
-
-def test_trend(stream, batch, updates, rows):
-    written = updates(streams.click_trend(stream))
-    columns = ["ad_id", "window_end", "click_count"]
-    latest = outputs.latest(written, columns[:2])
-    assert rows(latest, *columns) == rows(ops.click_trend(batch), *columns)
-
-
-def test_trend_with_delay_drops_only_late_clicks(stream, batch, updates, rows):
-    written = updates(streams.click_trend(stream, delay="1 day"))
-    columns = ["ad_id", "window_end", "click_count"]
-    latest = outputs.latest(written, columns[:2])
-    assert rows(latest, *columns) == rows(ops.click_trend(batch), *columns)
-
-
-def test_top_ads(spark, stream, batch, rows, tmp_path):
-    out = str(tmp_path / "out")
-    counts = ops.province_click_counts(stream)
-    outputs.start_top_ads(counts, out, str(tmp_path / "cp"), n=2, trigger=NOW).awaitTermination()
-    columns = [*ops.PROVINCE_KEYS, "click_count", "rn"]
-    expected = ops.top_province_ads(ops.province_click_counts(batch), 2)
-    assert rows(outputs.read_top_ads(spark, out), *columns) == rows(expected, *columns)
-
-
-def test_stream_goes_on_where_it_ended(spark, stream, batch, folder, rows, tmp_path):
-    """A second start with the same checkpoint counts only new lines."""
-    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "cp")
-    counts = ops.province_click_counts(stream)
-    for _ in range(2):
-        outputs.start_top_ads(counts, out, checkpoint, trigger=NOW).awaitTermination()
-    columns = [*ops.PROVINCE_KEYS, "click_count"]
-    expected = ops.top_province_ads(ops.province_click_counts(batch))
-    assert rows(outputs.read_top_ads(spark, out), *columns) == rows(expected, *columns)
-
-
-def test_blacklist_updates(spark, folder, stream, frame, rows, tmp_path):
-    table = str(tmp_path / "table")
-    listed = frame("user_id int, count int", (3, 101), (4, 101))
-    listed.write.parquet(table)
-    whitelist = frame(USERS, (5,))
-
-    def run(checkpoint):
-        outputs.start_blacklist_updates(
-            streams.user_counts(stream),
-            lambda: spark.read.parquet(table),
-            lambda users: users.write.mode("append").parquet(table),
-            whitelist,
-            str(tmp_path / checkpoint),
-            threshold=3,
-            trigger=NOW,
-        ).awaitTermination()
-        return rows(spark.read.parquet(table), "user_id")
-
-    first = run("cp")
-    parsed = ops.parse_clicks(spark.read.text(folder))
-    candidates = ops.blacklist_candidates(parsed, listed, whitelist, threshold=3)
-    assert first == sorted(rows(candidates, "user_id") + [(3,), (4,)], key=repr)
-    assert len(first) > 2 and (5,) not in first
-    # The same clicks once more, as after a failure: nobody is listed twice.
-    assert run("other") == first
+def four(feed):
+    made = feed()
+    for part in range(4):
+        made.add(*lines(300, part))
+    return made
+
+
+def test_outputs_equal_the_batch_operators(spark, four, rows):
+    tables = four.run()
+    assert outputs.committed(spark, str(four.path / "cp")) == 4
+    clean = ops.not_blacklisted(four.parsed(), four.listed())
+    counts = ops.running_counts(clean)
+    assert rows(tables.counts.read(), *counts.columns) == rows(counts)
+    top = ops.top_province_ads(ops.province_counts(counts))
+    assert rows(tables.top_ads.read(), *top.columns) == rows(top)
+    assert rows(tables.trend(), *TREND) == rows(ops.click_trend(clean), *TREND)
+    windows = ops.sliding_counts(clean, "user_id", ops.BLACKLIST_WINDOW, ops.BLACKLIST_SLIDE)
+    assert rows(tables.user_windows(), *windows.columns) == rows(windows)
+
+
+def test_top_ads_rank_the_written_counts_after_every_batch(feed, rows):
+    """The blacklist changes between the batches; both outputs saw the same one."""
+    made = feed(threshold=3)
+    for part in range(4):
+        made.add(*lines(150, part))
+        tables = made.run()
+        top = ops.top_province_ads(ops.province_counts(tables.counts.read()))
+        assert rows(tables.top_ads.read(), *top.columns) == rows(top)
+    assert made.listed().count() > 2
+
+
+def test_listed_in_one_batch_and_absent_in_the_next(feed, rows):
+    made = feed(threshold=2)
+    click = lambda second, user: f"{1704067200 + second}000 p c {user} 1"
+    made.add(click(0, 1), click(10, 1), click(20, 2))
+    made.add(click(30, 1), click(40, 1), click(50, 2), click(60, 5))
+    made.add(click(70, 1), click(80, 2), click(90, 5), click(91, 5))
+    made.add(click(100, 2))
+    tables = made.run()
+    # User 1 crosses in the second batch with four clicks, user 2 in the third with three.
+    assert rows(made.listed()) == [(1, 4), (2, 3), (3, 101), (4, 101)]
+    panes = rows(tables.user_panes.read().groupBy("user_id").agg(F.sum("clicks")))
+    assert panes == [(1, 4), (2, 3), (5, 3)]
+
+
+def test_a_batch_that_runs_again_changes_nothing(spark, feed, rows):
+    made = feed(threshold=2)
+    for part in range(2):
+        made.add(*lines(100, part))
+    tables = made.run()
+    before = [rows(t.read()) for t in (tables.counts, tables.top_ads, tables.user_panes)]
+    listed = rows(made.listed())
+    # As after a failure behind the last write: the commit of the last batch is missing.
+    for name in ("1", ".1.crc"):
+        (made.path / "cp" / "commits" / name).unlink()
+    made.run()
+    assert [rows(t.read()) for t in (tables.counts, tables.top_ads, tables.user_panes)] == before
+    assert rows(made.listed()) == listed
+
+
+def test_stream_goes_on_where_it_ended(four, rows):
+    first = rows(four.run().counts.read())
+    assert rows(four.run().counts.read()) == first
+
+
+def test_lines_out_of_range_and_far_ahead(feed, rows):
+    """A time that is no time is dropped; one far ahead hides no later click."""
+    made = feed()
+    made.add("9223372036854775807 p c 1 2", "-9223372036854775808 p c 1 2", "1704067200000 p c 1 2")
+    made.add("4102444800000 p c 1 2")  # the year 2100
+    made.add("1704067210000 p c 1 2", "253402300799999 p c 1 2")
+    made.add("1704067220000 p c 6 2")
+    tables = made.run()
+    assert rows(tables.trend(), *TREND) == rows(ops.click_trend(made.parsed()), *TREND)
+    assert sum(row[-1] for row in rows(tables.counts.read())) == 5
+
+
+def test_windows_cross_midnight(feed, rows):
+    made = feed(threshold=1)
+    made.add("1704153599000 p c 1 2")
+    made.add("1704153601000 p c 1 2")
+    tables = made.run()
+    assert (1, 2) in rows(made.listed())
+    assert rows(tables.trend(), *TREND) == rows(ops.click_trend(made.parsed()), *TREND)
+
+
+def test_stream_without_input(spark, feed, frame):
+    made = feed()
+    tables = made.run()
+    for table in (tables.counts, tables.top_ads, tables.user_panes, tables.ad_panes):
+        assert table.read().count() == 0
+    assert tables.trend().count() == tables.user_windows().count() == 0
+    made.add("", "no click")
+    assert made.run().counts.read().count() == 0
+
+
+def test_folder_of_another_checkpoint_is_refused(four):
+    four.run()
+    (four.path / "cp").rename(four.path / "old")
+    made_anew = four.path / "cp2"
+    with pytest.raises(ValueError, match="belongs to the checkpoint"):
+        outputs.start_click_updates(
+            read_text_stream(four.spark, four.lines),
+            four.listed,
+            lambda users: None,
+            four.whitelist,
+            str(four.path / "out"),
+            str(made_anew),
+        )
+
+
+def test_no_copies_of_clicks_in_the_plan(spark, four):
+    panes = batches.dated_panes(four.parsed(), "ad_id", ops.TREND_WINDOW, ops.TREND_SLIDE)
+    assert "Expand" not in panes._jdf.queryExecution().executedPlan().toString()
+    keys = panes.select("ad_id", "pane")
+    assert keys.count() == keys.distinct().count()
+
+
+def test_day_table_keeps_what_a_batch_may_need(spark, frame, rows, tmp_path):
+    schema = "date string, k int, n bigint"
+    table = DayTable(spark, str(tmp_path / "t"), schema)
+    for batch in range(5):
+        added = frame(schema, ("2024-01-01", 1, 1), (f"2024-01-1{batch}", batch, 2))
+        now = table.add(added, batch, ["2024-01-01", f"2024-01-1{batch}"], "n")
+        assert rows(now) == [("2024-01-01", 1, batch + 1), (f"2024-01-1{batch}", batch, 2)]
+        table.compact(batch)
+    # The busy day has its last version and the one the last batch started from.
+    versions = sorted(str(p.parent.name) for p in (tmp_path / "t").glob("batch_id=*/date=2024-01-01"))
+    assert versions == ["batch_id=3", "batch_id=4"]
+    assert rows(table.read())[0] == ("2024-01-01", 1, 5) and table.read().count() == 6
+    assert rows(table.read(4))[0] == ("2024-01-01", 1, 4)
+    assert rows(table.read(dates=["2024-01-12"])) == [("2024-01-12", 2, 2)]
+    table.compact(5, first_date="2024-01-12")
+    assert [row[0] for row in rows(table.read())] == ["2024-01-12", "2024-01-13", "2024-01-14"]
+
+
+def test_unfinished_versions_are_not_read(spark, frame, rows, tmp_path):
+    table = DayTable(spark, str(tmp_path / "t"), "date string, n bigint")
+    for batch in (0, 1):
+        table.write(frame("date string, n bigint", ("2024-01-01", batch)), batch)
+    (tmp_path / "t" / "batch_id=1" / "_SUCCESS").unlink()
+    assert rows(table.read()) == [("2024-01-01", 0)]
 
 
 def test_new_blacklist_users(frame, rows):
-    counts = frame(
-        "user_id int, window_end string, click_count bigint",
-        (1, "a", 100),
-        (2, "a", 101),
-        (2, "b", 130),
-        (3, "a", 200),
-        (4, "a", 200),
+    panes = frame(
+        batches.USER_PANES,
+        ("d", 1, 0, 100),
+        ("d", 2, 0, 100),
+        ("d", 2, 30_000, 1),
+        ("d", 2, 900_000, 130),
+        ("d", 3, 0, 200),
+        ("d", 4, 0, 200),
+        ("d", 6, 0, 200),
     )
-    new = streams.new_blacklist_users(counts, frame(USERS, (3,)), frame(USERS, (4,)))
+    clicked = frame(USERS, (1,), (2,), (2,), (3,), (4,))
+    new = batches.new_blacklist_users(panes, clicked, frame(USERS, (3,)), frame(USERS, (4,)))
     assert new.dtypes == [("user_id", "int"), ("count", "int")]
     assert rows(new) == [(2, 130)]
 
 
-def test_merge_top_ads(frame, rows):
-    schema = "date string, province string, ad_id int, click_count bigint"
-    before = frame(schema + ", rn int", ("d", "p", 1, 5, 1), ("d", "p", 2, 4, 2), ("e", "p", 1, 1, 1))
-    changed = frame(schema, ("d", "p", 3, 5), ("d", "p", 2, 9), ("f", "p", 1, 1))
-    assert rows(streams.merge_top_ads(before, changed, n=2)) == [
-        ("d", "p", 1, 5, 2),
-        ("d", "p", 2, 9, 1),
-        ("e", "p", 1, 1, 1),
-        ("f", "p", 1, 1, 1),
-    ]
-
-
-def test_preview(spark, stream):
-    query = outputs.start_preview(ops.running_counts(stream))
-    query.stop()
-    assert query.exception() is None
+def test_unknown_output_is_refused(four):
+    with pytest.raises(ValueError, match="no such outputs"):
+        four.run(outputs=frozenset({"tops"}))
 
 
-def test_default_trigger(spark, folder, tmp_path):
-    counts = ops.running_counts(ops.parse_clicks(read_text_stream(spark, folder)))
-    query = outputs.start_updates(counts, str(tmp_path / "o"), str(tmp_path / "c"))
-    query.processAllAvailable()
+def test_preview(spark, four):
+    query = outputs.start_preview(ops.parse_clicks(read_text_stream(spark, four.lines)), mode="append")
     query.stop()
     assert query.exception() is None
