@@ -181,9 +181,17 @@ def _cuts(ranked: DataFrame) -> DataFrame:
     cells = rows.groupBy("src", "cell").agg(
         F.sum("size").alias("words"), F.first("p_wanted").alias("wanted")
     )
-    order = Window.partitionBy("src").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
-    cells = cells.withColumn("spent", F.coalesce(F.sum("words").over(order), F.lit(0)))
-    ends = cells.where("spent < wanted AND spent + words >= wanted").select(
+    # First among ranges of 256 ranges, then among the ranges of the one that is found.
+    cells = cells.withColumns({"wide": F.shiftright("cell", 8), "before": F.lit(0).cast("long")})
+    wide = cells.groupBy("src", "wide").agg(
+        F.sum("words").alias("words"), F.first("wanted").alias("wanted"), F.first("before").alias("before")
+    )
+    found = _ending(wide, "wide").select(
+        F.col("src").alias("w_src"), F.col("wide").alias("w_wide"), F.col("spent").alias("w_spent")
+    )
+    same = F.col("src").eqNullSafe(F.col("w_src")) & (F.col("wide") == F.col("w_wide"))
+    narrow = cells.join(F.broadcast(found), same).withColumn("before", F.col("w_spent"))
+    ends = _ending(narrow, "cell").select(
         F.col("src").alias("c_src"), F.col("cell").alias("c_end"), "spent", "wanted"
     )
     at_end = F.col("src").eqNullSafe(F.col("c_src")) & (F.col("cell") == F.col("c_end"))
@@ -203,3 +211,10 @@ def _cuts(ranked: DataFrame) -> DataFrame:
     first = F.col("c_end") / F.lit(float(RANGES))
     below = none.withField("value", first)
     return cut.select("c_src", "c_end", F.coalesce("inner", below).alias("c_cut"))
+
+
+def _ending(sums: DataFrame, by: str) -> DataFrame:
+    """Of each source the range in which its wanted words are reached, with the words before."""
+    order = Window.partitionBy("src").orderBy(by).rowsBetween(Window.unboundedPreceding, -1)
+    spent = F.col("before") + F.coalesce(F.sum("words").over(order), F.lit(0))
+    return sums.withColumn("spent", spent).where("spent < wanted AND spent + words >= wanted")
