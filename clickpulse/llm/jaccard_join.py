@@ -57,13 +57,14 @@ def _scan(width: int):
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
+                    batch.column(2),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array(nodes, pa.int64()),
                     pa.array([sketch_of(s) if len(s) else None for s in sets], pa.binary()),
                     nulls(pa.int64(), n),
                     nulls(pa.int64(), n),
                 ],
-                names=["id", "n", "node", "sketch", "key", "count"],
+                names=["id", "hash", "n", "node", "sketch", "key", "count"],
             )
             different = list(dict(zip(nodes, sets, strict=True)).values())
             keys = np.sort(np.concatenate([*different, np.empty(0, np.uint64)]))
@@ -78,11 +79,12 @@ def _scan(width: int):
                     nulls(batch.schema.field(0).type, m),
                     nulls(pa.int64(), m),
                     nulls(pa.int64(), m),
+                    nulls(pa.int64(), m),
                     nulls(pa.binary(), m),
                     pa.array(keys[begin[often]].view(np.int64)),
                     pa.array(counts[often].astype(np.int64)),
                 ],
-                names=["id", "n", "node", "sketch", "key", "count"],
+                names=["id", "hash", "n", "node", "sketch", "key", "count"],
             )
 
     return scan
@@ -99,7 +101,10 @@ def _first_keys(keys: np.ndarray, size: int, frequent: np.ndarray, rank: np.ndar
 
 
 def _regions(order, width: int, share: float, buckets: int, region_rows: int):
-    """Rows (key, node, part) of all regions as packed arrays, one row per bucket and batch."""
+    """Rows of all regions as packed arrays, one row per bucket and batch.
+
+    A row is (key, node, 2 * part + 1) for a region cut in several, else (key, node, 0).
+    """
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent, rank = order.value
@@ -114,17 +119,19 @@ def _regions(order, width: int, share: float, buckets: int, region_rows: int):
                 continue
             keys = np.concatenate(firsts)
             nodes = np.repeat(np.array(list(different), np.int64), [len(f) for f in firsts])
-            part = np.zeros(len(keys), np.uint64)
+            part, parts = np.zeros(len(keys), np.uint64), np.ones(len(keys), np.uint64)
             if len(frequent):
                 at = np.minimum(np.searchsorted(frequent, keys), len(frequent) - 1)
-                parts = np.where(frequent[at] == keys, rank[at] // region_rows + 1, 1)
-                part = nodes.view(np.uint64) % parts.astype(np.uint64)
+                many = np.where(frequent[at] == keys, rank[at] // region_rows + 1, 1)
+                parts = many.astype(np.uint64)
+                part = nodes.view(np.uint64) % parts
             bucket = ((keys + part * np.uint64(0x9E3779B97F4A7C15)) % np.uint64(buckets)).astype(
                 np.int64
             )
             by = np.argsort(bucket, kind="stable")
             packed = np.empty((len(keys), 3), np.int64)
-            packed[:, 0], packed[:, 1], packed[:, 2] = keys.view(np.int64), nodes, part.view(np.int64)
+            packed[:, 0], packed[:, 1] = keys.view(np.int64), nodes
+            packed[:, 2] = (part * np.uint64(2) + (parts > 1)).view(np.int64)
             packed = packed[by]
             which, begin = np.unique(bucket[by], return_index=True)
             yield pa.RecordBatch.from_arrays(
@@ -139,30 +146,37 @@ def _regions(order, width: int, share: float, buckets: int, region_rows: int):
 
 
 def _stars(table: pa.Table) -> pa.Table:
-    """Regions of one bucket with two sets or more: (key, node, pivot, size of the region)."""
+    """Members and pivots of one bucket's regions with two sets or more, each pair once.
+
+    Rows of regions cut in several keep their key, and are kept even alone in a part.
+    """
     rows = np.frombuffer(b"".join(table.column("rows").to_pylist()), np.int64).reshape(-1, 3)
     rows = rows[np.lexsort((rows[:, 1], rows[:, 2], rows[:, 0]))]
     same = (rows[1:] == rows[:-1]).all(axis=1)
     rows = rows[np.append(True, ~same)]
     begin = np.flatnonzero(np.append(True, (rows[1:, ::2] != rows[:-1, ::2]).any(axis=1)))
     size = np.diff(np.append(begin, len(rows)))
+    cut = rows[:, 2] > 0
     pivot, size = np.repeat(rows[begin, 1], size), np.repeat(size, size)
-    kept = (size > 1) | (rows[:, 2] > 0)
+    found = np.stack([np.where(cut, rows[:, 0], 0), rows[:, 1], pivot, cut], axis=1)
+    found = np.unique(found[(size > 1) | cut], axis=0)
     return pa.table(
         {
-            "key": rows[kept, 0],
-            "node": rows[kept, 1],
-            "pivot": pivot[kept],
-            "size": size[kept].astype(np.int64),
+            "key": pa.array(found[:, 0], mask=found[:, 3] == 0),
+            "node": found[:, 1],
+            "pivot": found[:, 2],
         }
     )
 
 
-def _wanted_sets(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
-    """(node, keys) of the wanted nodes, and of few others; repeated texts may repeat."""
-    place = F.pmod(F.col("node"), F.lit(_MAP_BITS)) + 1
+def _wanted_sets(texts: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
+    """(node, keys) of the texts (text, hash) whose hash is wanted, and of few others.
+
+    Repeated texts may repeat. The bitmap of wanted hashes has a fixed size.
+    """
+    place = F.pmod(F.col("hash"), F.lit(_MAP_BITS)) + 1
     maps = (
-        nodes.select(place.alias("place"))
+        wanted.select(place.alias("place"))
         .groupBy(F.bitmap_bucket_number("place").alias("at"))
         .agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits"))
         .collect()
@@ -171,18 +185,16 @@ def _wanted_sets(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
     for row in maps:
         start = (row["at"] - 1) * (_MAP_WIDTH // 8)
         bits[start : start + len(row["bits"])] = np.frombuffer(row["bits"], np.uint8)
-    bitmap = docs.sparkSession.sparkContext.broadcast(bits)
+    bitmap = texts.sparkSession.sparkContext.broadcast(bits)
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = bitmap.value
+        bits = bitmap.value
         for batch in batches:
-            found = {}
-            for keys in shingle_sets(batch.column(0), width):
-                if len(keys):
-                    node = node_of(keys)
-                    bit = node % _MAP_BITS
-                    if wanted[bit >> 3] >> (bit & 7) & 1:
-                        found[node] = keys.view(np.int64)
+            at = batch.column(1).to_numpy() % _MAP_BITS
+            some = np.flatnonzero(bits[at >> 3] >> (at & 7).astype(np.uint8) & 1)
+            chosen = batch.column(0).take(pa.array(some))
+            sets = [keys for keys in shingle_sets(chosen, width) if len(keys)]
+            found = {node_of(keys): keys.view(np.int64) for keys in sets}
             if found:
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -192,11 +204,23 @@ def _wanted_sets(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
                     names=["node", "keys"],
                 )
 
-    return docs.mapInArrow(pick, "node long, keys array<long>")
+    return texts.select("text", "hash").mapInArrow(pick, "node long, keys array<long>")
 
 
-def _distances(
-    docs: DataFrame, pairs: DataFrame, sketches: DataFrame, width: int, near: float
+def _exact(texts: DataFrame, pairs: DataFrame, rows: DataFrame, width: int) -> DataFrame:
+    """The exact distance d of pairs (x, p)."""
+    nodes = pairs.select(F.explode(F.array("x", "p")).alias("node")).distinct()
+    sets = _wanted_sets(texts, rows.join(nodes, "node", "left_semi"), width)
+    left = sets.select(F.col("node").alias("x"), F.col("keys").alias("kx"))
+    right = sets.select(F.col("node").alias("p"), F.col("keys").alias("kp"))
+    both = pairs.join(left, "x").join(right, "p")
+    shared = F.size(F.array_intersect("kx", "kp"))
+    distance = 1 - shared / (F.size("kx") + F.size("kp") - shared)
+    return both.select("x", "p", distance.alias("d")).groupBy("x", "p").agg(F.min("d").alias("d"))
+
+
+def _measured(
+    texts: DataFrame, pairs: DataFrame, rows: DataFrame, sketches: DataFrame, width: int, near: float
 ) -> DataFrame:
     """Pairs (x, p) with bounds low and high of their distance.
 
@@ -213,15 +237,7 @@ def _distances(
     low = F.arrow_udf(bound, "double")("s_x", "n_x", "s_p", "n_p")
     bounded = pairs.join(of("x"), "x").join(of("p"), "p").select("x", "p", low.alias("low"))
     bounded = durable(bounded)
-    open_pairs = bounded.where(F.col("low") <= near).select("x", "p")
-    nodes = open_pairs.select(F.explode(F.array("x", "p")).alias("node")).distinct()
-    sets = _wanted_sets(docs, nodes, width)
-    left = sets.select(F.col("node").alias("x"), F.col("keys").alias("kx"))
-    right = sets.select(F.col("node").alias("p"), F.col("keys").alias("kp"))
-    both = open_pairs.join(left, "x").join(right, "p")
-    shared = F.size(F.array_intersect("kx", "kp"))
-    distance = 1 - shared / (F.size("kx") + F.size("kp") - shared)
-    exact = both.select("x", "p", distance.alias("d")).groupBy("x", "p").agg(F.min("d").alias("d"))
+    exact = _exact(texts, bounded.where(F.col("low") <= near).select("x", "p"), rows, width)
     return bounded.join(exact, ["x", "p"], "left").select(
         "x", "p", F.coalesce("d", "low").alias("low"), F.coalesce("d", F.lit(1.0)).alias("high")
     )
@@ -250,13 +266,17 @@ def similar_groups(
     near = distance + _SLACK
     given = Input(docs)
     body = given.frame.select(given[text].cast("string").alias("text"))
-    named = given.frame.select(given[id].alias("id"), given[text].cast("string").alias("text"))
+    named = given.frame.select(
+        given[id].alias("id"),
+        given[text].cast("string").alias("text"),
+        F.xxhash64(given[text].cast("string")).alias("hash"),
+    )
     kind = named.schema["id"].dataType.simpleString()
-    schema = f"id {kind}, n long, node long, sketch binary, key long, count long"
+    schema = f"id {kind}, hash long, n long, node long, sketch binary, key long, count long"
     scanned = durable(named.mapInArrow(_scan(width), schema))
-    rows = scanned.where("key IS NULL").select("id", "n", "node")
-    texts = scanned.where("node IS NOT NULL")
-    sketches = texts.groupBy("node").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+    rows = scanned.where("key IS NULL").select("id", "hash", "n", "node")
+    filled = scanned.where("node IS NOT NULL")
+    sketches = filled.groupBy("node").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"))
 
     often = scanned.where("key IS NOT NULL").groupBy("key").agg(F.sum("count").alias("count"))
     top = often.orderBy(F.desc("count"), "key").limit(FREQUENT).toArrow()
@@ -269,23 +289,27 @@ def similar_groups(
     buckets = max(1, math.ceil(total * distance / TASK_ROWS))
     spread = _regions(order, width, distance, buckets, region_rows)
     packed = body.mapInArrow(spread, "bucket long, rows binary")
-    shape = "key long, node long, pivot long, size long"
+    shape = "key long, node long, pivot long"
     regions = durable(packed.groupBy("bucket").applyInArrow(_stars, shape))
 
     # Regions cut in several have a pivot in each part; the smallest stands for all.
-    heads = regions.groupBy("key").agg(F.min("pivot").alias("head"), F.max("pivot").alias("last"))
-    stars = regions.join(heads.where("head < last"), "key").select(
-        F.col("pivot").alias("x"), F.col("head").alias("p")
-    )
-    stars = stars.unionByName(regions.select(F.col("node").alias("x"), F.col("pivot").alias("p")))
-    stars = stars.where("x <> p").distinct()
-    measured = durable(_distances(body, stars, sketches, width, near))
+    cut = regions.where("key IS NOT NULL")
+    heads = cut.groupBy("key").agg(F.min("pivot").alias("head"))
+    whole = cut.join(heads, "key")
+    between = whole.select(F.col("pivot").alias("x"), F.col("head").alias("p"))
+    stars = regions.select(F.col("node").alias("x"), F.col("pivot").alias("p"))
+    stars = stars.unionByName(between).where("x <> p").distinct()
+    measured = durable(_measured(named, stars, rows, sketches, width, near))
     links = measured.where(F.col("high") <= near).select(F.col("x").alias("a"), F.col("p").alias("b"))
     labels = components(links)
 
-    more = durable(_windows(regions, heads, measured, labels, near))
+    # In a region cut in several, distances are to different pivots and prove nothing.
+    loose = whole.select(
+        F.col("node").alias("x"), F.col("head").alias("p"), F.lit(0.0).alias("low"), F.lit(1.0).alias("high")
+    )
+    more = durable(_windows(measured.unionByName(loose.distinct()), labels, sketches, near))
     if more.head(1):
-        found = _distances(body, more, sketches, width, near).where(F.col("high") <= near)
+        found = _exact(named, more, rows, width).where(F.col("d") <= near)
         new = found.select(F.col("x").alias("a"), F.col("p").alias("b"))
         old = labels.select(F.col("node").alias("a"), F.col("label").alias("b"))
         labels = components(old.unionByName(new))
@@ -303,59 +327,64 @@ def similar_groups(
     )
 
 
-def _windows(
-    regions: DataFrame, heads: DataFrame, measured: DataFrame, labels: DataFrame, near: float
-) -> DataFrame:
+def _windows(measured: DataFrame, labels: DataFrame, sketches: DataFrame, near: float) -> DataFrame:
     """Pairs (x, p) that may be linked and that no pivot has decided.
 
-    Of a region, these are members in different components whose distances to its pivot
-    differ by no more than the threshold; one of the two is outside the pivot's component.
+    A pivot's group is the members of all its regions, with their distances to it. Its
+    largest component stays together; members outside of it meet each other, and those
+    inside that the triangle inequality leaves within reach, by the bounds of sketches.
+    Only what passes them is returned.
     """
-    of = lambda name: labels.select(F.col("node").alias(name), F.col("label").alias(f"l_{name}"))
-    cut = F.col("head") < F.col("last")
-    wide = regions.join(heads, "key").where((F.col("size") > 2) | cut)
-    wide = wide.join(of("node"), "node", "left").join(of("head"), "head", "left")
-    wide = wide.withColumns(
-        {
-            "own": F.coalesce("l_node", "node"),
-            "main": F.coalesce("l_head", "head"),
-            "cut": cut,
-        }
-    )
-    # Most regions lie in one component; they are known without their members' distances.
-    mixed = wide.where("own <> main").select("key").distinct()
-    wide = wide.join(mixed, "key").join(
-        measured.select(F.col("x").alias("node"), F.col("p").alias("pivot"), "low", "high"),
-        ["node", "pivot"],
-        "left",
-    )
-    # In a region cut in several, distances are to different pivots and prove nothing.
-    pivot = F.col("node") == F.col("pivot")
-    low = F.when(F.col("cut") | pivot, 0.0).otherwise(F.col("low"))
-    high = F.when(F.col("cut"), 1.0).when(pivot, 0.0).otherwise(F.col("high"))
-    named = ("key", "node", "pivot", "own", "main", "cut")
-    wide = durable(wide.select(*named, low.alias("low"), high.alias("high")))
-    outside = wide.where("own <> main")
-    nearest = outside.groupBy("key").agg(F.min("low").alias("nearest"))
-    inside = wide.where("own = main").join(nearest, "key")
-    inside = inside.where(F.col("high") >= F.col("nearest") - near).drop("nearest")
-    a = outside.select(
-        "key",
-        F.col("node").alias("a"),
-        F.col("own").alias("a_own"),
-        F.col("low").alias("a_low"),
-        F.col("high").alias("a_high"),
-    )
-    # Pivots have been compared with all members of regions in one piece.
-    b = inside.unionByName(outside).where(F.col("cut") | (F.col("node") != F.col("pivot")))
-    both = a.join(b, "key").where(F.col("a_own") != F.col("own"))
-    both = both.where((F.col("own") == F.col("main")) | (F.col("a") < F.col("node")))
-    both = both.where(F.col("a_low") <= F.col("high") + near).where(
-        F.col("low") <= F.col("a_high") + near
+    of = lambda name: labels.select(F.col("node").alias(name), F.col("label").alias("own"))
+    pivots = measured.select(F.col("p").alias("x"), "p", F.lit(0.0).alias("low"), F.lit(0.0).alias("high"))
+    members = measured.unionByName(pivots.distinct()).join(of("x"), "x", "left")
+    members = members.withColumn("own", F.coalesce("own", "x"))
+    sizes = members.groupBy("p", "own").agg(F.count("*").alias("n"))
+    main = sizes.groupBy("p").agg(
+        F.max_by("own", F.struct("n", "own")).alias("main"), F.count("*").alias("parts")
     )
-    return both.select(
-        F.greatest("a", "node").alias("x"), F.least("a", "node").alias("p")
-    ).distinct()
+    # Most groups lie in one component.
+    members = durable(members.join(main.where("parts > 1").drop("parts"), "p"))
+    outside = members.where("own <> main")
+    reach = outside.groupBy("p").agg(F.min("low").alias("from"), F.max("high").alias("to"))
+    inside = members.where("own = main").join(reach, "p")
+    inside = inside.where((F.col("high") >= F.col("from") - near) & (F.col("low") <= F.col("to") + near))
+    met = outside.unionByName(inside.drop("from", "to"))
+    met = met.join(sketches.withColumnRenamed("node", "x"), "x")
+    meet = _meeting(near)
+    return met.groupBy("p").applyInArrow(meet, "x long, p long").distinct()
+
+
+def _meeting(near: float):
+    """Of one pivot's members, the pairs in different components that bounds leave open."""
+
+    def meet(table: pa.Table) -> pa.Table:
+        node, own, n = (table.column(c).to_numpy() for c in ("x", "own", "n"))
+        low, high = (table.column(c).to_numpy() for c in ("low", "high"))
+        outside = own != table.column("main").to_numpy()
+        sketches = [np.frombuffer(s, np.uint8) for s in table.column("sketch").to_pylist()]
+        lengths = np.array([len(s) for s in sketches])
+        found: list[np.ndarray] = []
+        for size in np.unique(lengths):
+            # Sets that can be linked have sketches of one length or of neighbouring ones.
+            rows = np.flatnonzero((lengths == size) | (lengths == 2 * size))
+            folded = np.stack([sketches[i].reshape(-1, size).sum(axis=0) for i in rows]).astype(np.int16)
+            at_size = lengths[rows] == size
+            for k in np.flatnonzero(outside[rows]):
+                i = rows[k]
+                # Two members outside meet once; lengths that differ meet at the smaller one.
+                other = (own[rows] != own[i]) & (at_size | at_size[k])
+                other &= ~outside[rows] | (node[rows] < node[i])
+                other &= (low[rows] <= high[i] + near) & (low[i] <= high[rows] + near)
+                js = rows[other]
+                if len(js):
+                    apart = np.abs(folded[other] - folded[k]).sum(axis=1, dtype=np.int64)
+                    js = js[2 * apart <= near * (n[js] + n[i] + apart)]
+                    found.append(np.stack([np.full(len(js), node[i]), node[js]], axis=1))
+        pairs = np.concatenate([*found, np.empty((0, 2), np.int64)])
+        return pa.table({"x": pairs.max(axis=1, initial=-(1 << 63)), "p": pairs.min(axis=1, initial=(1 << 63) - 1)})
+
+    return meet
 
 
 def keep_one(docs: DataFrame, groups: DataFrame, id: str = "doc_id") -> DataFrame:

@@ -11,11 +11,15 @@ _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
 class _Hashes(dict):
-    """Hashes of words, each computed once."""
+    """Places of words in a list of their hashes, each computed once."""
+
+    def __init__(self) -> None:
+        self.values: list[int] = []
 
     def __missing__(self, word: bytes) -> int:
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
+        place = self[word] = len(self.values)
+        self.values.append(xxhash.xxh3_64_intdigest(word))
+        return place
 
 
 def _mixed(values: np.ndarray) -> np.ndarray:
@@ -37,11 +41,11 @@ def shingle_sets(texts: pa.Array, width: int) -> list[np.ndarray]:
         words = text.translate(_LOWER).split() if text else []
         sizes.append(len(words))
         flat += [hashes[w] for w in words]
-    values = np.array(flat, np.uint64)
+    values = _mixed(np.array(hashes.values, np.uint64))[np.array(flat, np.int64)]
     rolled = np.zeros(len(values), np.uint64)
     for k in range(min(width, len(values))):
         full = len(values) - k
-        rolled[:full] = rolled[:full] * _ODD + _mixed(values[k:] + np.uint64(k + 1))
+        rolled[:full] = rolled[:full] * _ODD + values[k:]
     rolled = _mixed(rolled)
     sets, start = [], 0
     for n in sizes:
