@@ -15,8 +15,8 @@ decision codes whether the candidate is right. If not, the id is coded by its or
 frequency. Decisions drive one range coder per lane (48 bits, no carry, 16 bits out at
 once). All arithmetic that both sides must agree on is integer or exactly rounded.
 
-A block is a header, the number of 16-bit words of each lane, and the lanes' words. The
-header holds the checksum of the ids.
+A block is a header, the number of 16-bit words of each lane, the lanes' words, and the
+checksum of all of these. The header holds the checksum of the ids.
 """
 
 from __future__ import annotations
@@ -146,7 +146,7 @@ def encode_block(ids: np.ndarray, vocabulary: int) -> bytes:
     n = len(ids)
     check = zlib.crc32(ids.astype("<u4").tobytes())
     if not n:
-        return struct.pack(_HEADER, _MAGIC, 0, vocabulary, 0, check)
+        return _sealed(struct.pack(_HEADER, _MAGIC, 0, vocabulary, 0, check))
     lanes, steps = _shape(n)
     padded = np.zeros(lanes * steps, np.int64)
     padded[:n] = ids
@@ -192,19 +192,24 @@ def encode_block(ids: np.ndarray, vocabulary: int) -> bytes:
     words = np.concatenate(out_word)[np.argsort(lane, kind="stable")]
     sizes = np.bincount(lane, minlength=lanes)
     head = struct.pack(_HEADER, _MAGIC, n, vocabulary, lanes, check)
-    return head + sizes.astype("<u4").tobytes() + words.astype("<u2").tobytes()
+    return _sealed(head + sizes.astype("<u4").tobytes() + words.astype("<u2").tobytes())
+
+
+def _sealed(block: bytes) -> bytes:
+    return block + struct.pack("<I", zlib.crc32(block))
 
 
 def decode_block(block: bytes) -> np.ndarray:
     """The ids of a block; ValueError if it is damaged."""
-    if len(block) < _HEAD_BYTES:
-        raise ValueError("block is cut short")
+    block, seal = block[:-4], block[-4:]
+    if len(block) < _HEAD_BYTES or struct.pack("<I", zlib.crc32(block)) != seal:
+        raise ValueError("block is damaged")
     magic, n, vocabulary, lanes, check = struct.unpack_from(_HEADER, block)
     if magic != _MAGIC or (lanes, n) != (_shape(n)[0] if n else 0, n):
         raise ValueError("no block of token ids")
     ids = _decoded(block, n, vocabulary, lanes) if n else np.empty(0, np.int64)
     if zlib.crc32(ids.astype("<u4").tobytes()) != check:
-        raise ValueError("checksum of the block does not match")
+        raise ValueError("checksum of the ids does not match")
     return ids
 
 

@@ -54,12 +54,11 @@ class _Ids(dict):
     the pieces in a row are the ids of the text.
     """
 
-    def __init__(self, tokenizer) -> None:
-        self.tokenizer = tokenizer
+    def __init__(self, tokenizer: Tokenizer, end: int) -> None:
+        self.tokenizer, self.end = tokenizer, end
         self.ends = _word_ends(tokenizer)
-        self.ids = np.empty(0, np.int64)
-        self.begin = np.zeros(1, np.int64)
         self.new: list[str] = []
+        self._forget()
 
     def __missing__(self, piece: str) -> int:
         place = self[piece] = len(self)
@@ -102,24 +101,32 @@ class _Ids(dict):
                 found |= zip(row, map(ids.__getitem__, map(slice, [0, *at], at)), strict=False)
         return found
 
-    def of(self, texts: list[str | None], end: int) -> Iterator[np.ndarray]:
+    def _forget(self) -> None:
+        """Know the end of a text only, as the piece None in the first place."""
+        self.clear()
+        self[None] = 0
+        self.ids, self.begin = np.array([self.end]), np.array([0, 1])
+
+    def of(self, texts: list[str | None]) -> list[np.ndarray]:
         """The ids of each text, with the end id."""
         if len(self) > _REMEMBERED:
-            self.clear()
-            self.ids, self.begin = np.empty(0, np.int64), np.zeros(1, np.int64)
-        lists = [
-            [self[p] for p in t.replace("\n", " ").split(" ")] if t else [] for t in texts
-        ]
+            self._forget()
+        flat: list[int] = []
+        starts = []
+        for text in texts:
+            starts.append(len(flat))
+            if text:
+                flat += [self[p] for p in text.replace("\n", " ").split(" ")]
+            flat.append(0)
+        if not texts:
+            return []
         if self.new:
             self._tokenize()
-        for places in lists:
-            at = np.array(places, np.int64)
-            first, size = self.begin[at], self.begin[at + 1] - self.begin[at]
-            ends = np.cumsum(size)
-            total = int(ends[-1]) if len(ends) else 0
-            out = np.full(total + 1, end, np.int64)
-            out[:total] = self.ids[np.repeat(first - ends + size, size) + np.arange(total)]
-            yield out
+        at = np.array(flat, np.int64)
+        first, size = self.begin[at], self.begin[at + 1] - self.begin[at]
+        shift = first - np.cumsum(size) + size
+        out = self.ids[np.repeat(shift, size) + np.arange(int(size.sum()))]
+        return np.split(out, np.cumsum(np.add.reduceat(size, starts))[:-1])
 
 
 def _encoder(tokenizer, end: int, block_ids: int, schema: pa.Schema):
@@ -127,7 +134,7 @@ def _encoder(tokenizer, end: int, block_ids: int, schema: pa.Schema):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         read = Tokenizer.from_str(tokenizer.value)
         size = read.get_vocab_size()
-        known = _Ids(read)
+        known = _Ids(read, end)
         seq = blocks = held = 0
         file, docs, parts = None, [], []
 
@@ -148,7 +155,7 @@ def _encoder(tokenizer, end: int, block_ids: int, schema: pa.Schema):
                 texts = rows.column("text").to_pylist()
                 names = rows.column("id").to_pylist()
                 file = rows.column("file")[0].as_py()
-                for name, ids in zip(names, known.of(texts, end), strict=True):
+                for name, ids in zip(names, known.of(texts), strict=True):
                     while len(ids):
                         part, ids = ids[: block_ids - held], ids[block_ids - held :]
                         docs.append((name, seq))
