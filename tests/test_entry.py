@@ -5,6 +5,8 @@ import sys
 from pathlib import Path
 
 import __spark_entry__ as entry_module
+from clickpulse.registry.oracles import ORACLES
+from clickpulse.registry.queries import QUERIES
 
 REPO = Path(__file__).resolve().parent.parent
 
@@ -16,7 +18,11 @@ def test_entry(spark):
 
 
 def test_registries():
-    assert entry_module.queries().keys() == entry_module.oracle_sql().keys()
+    assert QUERIES.keys() == ORACLES.keys()
+    named, sql = entry_module.queries().keys(), entry_module.oracle_sql().keys()
+    assert QUERIES.keys() <= sql <= named
+    # What has no SQL belongs to the training-data operators.
+    assert all(name == "pipeline" or name.startswith("op") for name in named - sql)
 
 
 def test_bench():
