@@ -93,17 +93,17 @@ class _Model:
         """For each lane the candidate and its chance of 2 ** _CHANCE."""
         one, two = self.one[:lanes], self.two[:lanes]
         self.slot = (one * 0x9E3779B1 + two * 0x85EBCA6B >> 13) & (_SLOTS - 1)
-        self.one_seen, self.two_seen = self.seen[0][one], self.seen[1][self.slot]
+        self.one_seen, self.two_seen = _take(self.seen[0], one), _take(self.seen[1], self.slot)
         self.c1, self.c2 = self.one_seen & _SURE, self.two_seen & _SURE
         p1, p2 = self.one_seen >> 4, self.two_seen >> 4
         candidate = np.where(self.c2 > 0, p2, p1)
         self.agree = np.where(p1 == candidate, 16, 32) + self.c1
         known = _STRETCH[(self.hits << 12) // self.cases]
-        self.inputs = (known[self.c2], known[self.agree], self.size[candidate])
+        self.inputs = (_take(known, self.c2), _take(known, self.agree), _take(self.size, candidate))
         w = self.weights.tolist()
         x2, x1, x0 = self.inputs
         dot = (x2 * w[0] + x1 * w[1] + x0 * w[2] + w[3] * 256) >> 16
-        self.chance = _SQUASH[np.clip(dot, -2047, 2047) + 2048]
+        self.chance = _take(_SQUASH, np.clip(dot, -2047, 2047) + 2048)
         return candidate, self.chance
 
     def learn(self, ids: np.ndarray, hit: np.ndarray) -> None:
@@ -135,6 +135,36 @@ class _Model:
             self._refresh()
 
 
+def _take(table: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """The values at places that are known to lie inside the table."""
+    return table.take(places, mode="clip")
+
+
+def _narrow(
+    lo: np.ndarray, sp: np.ndarray, bound: np.ndarray, part: np.ndarray, hit: np.ndarray, model, ids
+) -> None:
+    """Narrow each lane's range to its decision and, where the candidate was wrong, its id."""
+    wrong = bound + part * _take(model.cum, ids)
+    lo += np.where(hit, np.uint64(0), wrong)
+    sp[:] = np.where(hit, bound, part * _take(model.freq, ids))
+
+
+def _spent(lo: np.ndarray, sp: np.ndarray, at: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """Shift out 16 bits of the lanes that have them settled; these lanes and their bits.
+
+    A range that has become too small without settling is cut at the next border.
+    """
+    a, b = (lo, sp) if at is None else (_take(lo, at), _take(sp, at))
+    settled = (a ^ (a + b)) < _TOP
+    go = np.flatnonzero(settled | (b < _BOTTOM))
+    a, b, settled = _take(a, go), _take(b, go), _take(settled, go)
+    at = go if at is None else _take(at, go)
+    b = np.where(settled, b, (~a + np.uint64(1)) & (_BOTTOM - np.uint64(1)))
+    lo[at] = (a << _16) & _MASK
+    sp[at] = b << _16
+    return at, a >> _32
+
+
 def _shape(n: int) -> tuple[int, int]:
     """Lanes and steps for n ids; only the last lane may be shorter."""
     steps = max(-(-n // _LANES), min(n, _LANE_IDS))
@@ -163,26 +193,13 @@ def encode_block(ids: np.ndarray, vocabulary: int) -> bytes:
         hit = candidate == now
         lo, sp = low[:live], span[:live]
         bound = (sp >> np.uint64(_CHANCE)) * chance.astype(np.uint64)
-        miss = np.flatnonzero(~hit)
-        part = (sp[miss] - bound[miss]) >> np.uint64(_SCALE)
-        sym = now[miss]
-        sp[:] = bound
-        lo[miss] += bound[miss] + part * model.cum[sym]
-        sp[miss] = part * model.freq[sym]
-        at = np.arange(live)
-        while True:
-            a, b = lo[at], sp[at]
-            settled = (a ^ (a + b)) < _TOP
-            go = settled | (b < _BOTTOM)
-            at = at[go]
-            if not len(at):
-                break
-            a, b, settled = a[go], b[go], settled[go]
-            b = np.where(settled, b, (~a + np.uint64(1)) & (_BOTTOM - np.uint64(1)))
+        part = (sp - bound) >> np.uint64(_SCALE)
+        _narrow(lo, sp, bound, part, hit, model, now)
+        at = None
+        while at is None or len(at):
+            at, bits = _spent(lo, sp, at)
             out_lane.append(at.astype(np.uint16))
-            out_word.append((a >> _32).astype(np.uint16))
-            lo[at] = (a << _16) & _MASK
-            sp[at] = b << _16
+            out_word.append(bits.astype(np.uint16))
         model.learn(now, hit)
     every = np.arange(lanes).astype(np.uint16)
     for shift in (32, 16, 0):
@@ -237,29 +254,17 @@ def _decoded(block: bytes, n: int, vocabulary: int, lanes: int) -> np.ndarray:
         bound = (sp >> np.uint64(_CHANCE)) * chance.astype(np.uint64)
         offset = co - lo
         hit = offset < bound
-        miss = np.flatnonzero(~hit)
-        part = (sp[miss] - bound[miss]) >> np.uint64(_SCALE)
-        place = (offset[miss] - bound[miss]) // part
-        sym = model.inverse[np.minimum(place, np.uint64((1 << _SCALE) - 1)).astype(np.int64)]
-        now = candidate.copy()
-        now[miss] = sym
-        sp[:] = bound
-        lo[miss] += bound[miss] + part * model.cum[sym]
-        sp[miss] = part * model.freq[sym]
-        at = np.arange(live)
-        while True:
-            a, b = lo[at], sp[at]
-            settled = (a ^ (a + b)) < _TOP
-            go = settled | (b < _BOTTOM)
-            at = at[go]
-            if not len(at):
-                break
-            a, b, settled = a[go], b[go], settled[go]
-            b = np.where(settled, b, (~a + np.uint64(1)) & (_BOTTOM - np.uint64(1)))
-            lo[at] = (a << _16) & _MASK
-            sp[at] = b << _16
-            co[at] = ((co[at] << _16) & _MASK) | words[np.minimum(at_word[at], last)]
-            at_word[at] += 1
+        part = (sp - bound) >> np.uint64(_SCALE)
+        # Of a right candidate the place means nothing.
+        place = np.minimum((offset - bound) // part, np.uint64((1 << _SCALE) - 1))
+        now = np.where(hit, candidate, _take(model.inverse, place.astype(np.int64)))
+        _narrow(lo, sp, bound, part, hit, model, now)
+        at = None
+        while at is None or len(at):
+            at, _ = _spent(lo, sp, at)
+            word = _take(at_word, at)
+            co[at] = ((_take(co, at) << _16) & _MASK) | _take(words, np.minimum(word, last))
+            at_word[at] = word + 1
         columns[step, :live] = now
         model.learn(now, hit)
     return columns.T.ravel()[:n]
