@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from clickpulse.llm.components import components
 from clickpulse.llm.frames import Input, durable
-from clickpulse.llm.shingles import least_distance, node_of, shingle_sets, sketch_of
+from clickpulse.llm.shingles import least_distance, node_of, parities_of, shingle_sets, sketch_of
 
 #: Counts below this within one batch of texts are dropped while frequent shingles are
 #: counted, so a count is short by less than this for each batch.
@@ -169,11 +169,14 @@ def _stars(table: pa.Table) -> pa.Table:
     )
 
 
-def _wanted_sets(texts: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """(node, keys) of the texts (text, hash) whose hash is wanted, and of few others.
+def _wanted(texts: DataFrame, rows: DataFrame, nodes: DataFrame, width: int, whole: bool) -> DataFrame:
+    """(node, n, keys, parities) of the wanted nodes, and of few others.
 
-    Repeated texts may repeat. The bitmap of wanted hashes has a fixed size.
+    With `whole` the keys of the sets, else their parities. Only texts (text, hash) are
+    looked at whose hash belongs to a wanted node, by a bitmap of fixed size. Repeated
+    texts may repeat.
     """
+    wanted = rows.join(nodes, "node", "left_semi")
     place = F.pmod(F.col("hash"), F.lit(_MAP_BITS)) + 1
     maps = (
         wanted.select(place.alias("place"))
@@ -194,23 +197,28 @@ def _wanted_sets(texts: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
             some = np.flatnonzero(bits[at >> 3] >> (at & 7).astype(np.uint8) & 1)
             chosen = batch.column(0).take(pa.array(some))
             sets = [keys for keys in shingle_sets(chosen, width) if len(keys)]
-            found = {node_of(keys): keys.view(np.int64) for keys in sets}
+            found = {node_of(keys): keys for keys in sets}
+            keys = [s.view(np.int64) if whole else None for s in found.values()]
+            bits = [None if whole else parities_of(s) for s in found.values()]
             if found:
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(list(found), pa.int64()),
-                        pa.array(list(found.values()), pa.list_(pa.int64())),
+                        pa.array([len(s) for s in found.values()], pa.int64()),
+                        pa.array(keys, pa.list_(pa.int64())),
+                        pa.array(bits, pa.binary()),
                     ],
-                    names=["node", "keys"],
+                    names=["node", "n", "keys", "parities"],
                 )
 
-    return texts.select("text", "hash").mapInArrow(pick, "node long, keys array<long>")
+    shape = "node long, n long, keys array<long>, parities binary"
+    return texts.select("text", "hash").mapInArrow(pick, shape)
 
 
 def _exact(texts: DataFrame, pairs: DataFrame, rows: DataFrame, width: int) -> DataFrame:
     """The exact distance d of pairs (x, p)."""
     nodes = pairs.select(F.explode(F.array("x", "p")).alias("node")).distinct()
-    sets = _wanted_sets(texts, rows.join(nodes, "node", "left_semi"), width)
+    sets = _wanted(texts, rows, nodes, width, whole=True)
     left = sets.select(F.col("node").alias("x"), F.col("keys").alias("kx"))
     right = sets.select(F.col("node").alias("p"), F.col("keys").alias("kp"))
     both = pairs.join(left, "x").join(right, "p")
@@ -253,12 +261,12 @@ def similar_groups(
 ) -> DataFrame:
     """Link texts of Jaccard similarity `similarity` or more, and group what links reach.
 
-    Returns one row per document with its id, n_shingles (distinct shingles of `width` words, A-Z lower-cased; a shorter text
-    has one) and component_id (the smallest id that links reach). A null text or one
-    without words has no shingles, links to nothing and is a component by itself. Repeated
-    rows and equal texts are in one component; null ids are never the smallest, and a
-    component of null ids alone has a null component_id. Other columns of the input are not
-    read. An empty table gives an empty table.
+    Returns one row per document with its id, n_shingles (distinct shingles of `width`
+    words, A-Z lower-cased; a shorter text has one) and component_id (the smallest id that
+    links reach). A null text or one without words has no shingles, links to nothing and is
+    a component by itself. Repeated rows and equal texts are in one component; null ids are
+    never the smallest, and a component of null ids alone has a null component_id. Other
+    columns of the input are not read. An empty table gives an empty table.
 
     Sets are told apart by 64-bit hashes of 64-bit shingle hashes.
     """
@@ -307,7 +315,11 @@ def similar_groups(
     loose = whole.select(
         F.col("node").alias("x"), F.col("head").alias("p"), F.lit(0.0).alias("low"), F.lit(1.0).alias("high")
     )
-    more = durable(_windows(measured.unionByName(loose.distinct()), labels, sketches, near))
+    members = _unresolved(measured.unionByName(loose.distinct()), labels, near)
+    nodes = members.select(F.col("x").alias("node")).distinct()
+    fine = _wanted(named, rows, nodes, width, whole=False).dropDuplicates(["node"])
+    met = members.join(fine.select(F.col("node").alias("x"), "n", "parities"), "x")
+    more = durable(met.groupBy("p").applyInArrow(_meeting(near), "x long, p long").distinct())
     if more.head(1):
         found = _exact(named, more, rows, width).where(F.col("d") <= near)
         new = found.select(F.col("x").alias("a"), F.col("p").alias("b"))
@@ -327,13 +339,12 @@ def similar_groups(
     )
 
 
-def _windows(measured: DataFrame, labels: DataFrame, sketches: DataFrame, near: float) -> DataFrame:
-    """Pairs (x, p) that may be linked and that no pivot has decided.
+def _unresolved(measured: DataFrame, labels: DataFrame, near: float) -> DataFrame:
+    """Members of pivots' groups that may be linked to others, as far as pivots can tell.
 
     A pivot's group is the members of all its regions, with their distances to it. Its
-    largest component stays together; members outside of it meet each other, and those
-    inside that the triangle inequality leaves within reach, by the bounds of sketches.
-    Only what passes them is returned.
+    largest component (main) stays together; members outside of it have to meet each other
+    and those inside that the triangle inequality leaves within reach.
     """
     of = lambda name: labels.select(F.col("node").alias(name), F.col("label").alias("own"))
     pivots = measured.select(F.col("p").alias("x"), "p", F.lit(0.0).alias("low"), F.lit(0.0).alias("high"))
@@ -349,10 +360,7 @@ def _windows(measured: DataFrame, labels: DataFrame, sketches: DataFrame, near:
     reach = outside.groupBy("p").agg(F.min("low").alias("from"), F.max("high").alias("to"))
     inside = members.where("own = main").join(reach, "p")
     inside = inside.where((F.col("high") >= F.col("from") - near) & (F.col("low") <= F.col("to") + near))
-    met = outside.unionByName(inside.drop("from", "to"))
-    met = met.join(sketches.withColumnRenamed("node", "x"), "x")
-    meet = _meeting(near)
-    return met.groupBy("p").applyInArrow(meet, "x long, p long").distinct()
+    return durable(outside.unionByName(inside.drop("from", "to")))
 
 
 def _meeting(near: float):
@@ -362,13 +370,13 @@ def _meeting(near: float):
         node, own, n = (table.column(c).to_numpy() for c in ("x", "own", "n"))
         low, high = (table.column(c).to_numpy() for c in ("low", "high"))
         outside = own != table.column("main").to_numpy()
-        sketches = [np.frombuffer(s, np.uint8) for s in table.column("sketch").to_pylist()]
-        lengths = np.array([len(s) for s in sketches])
+        bits = [np.frombuffer(s, np.uint64) for s in table.column("parities").to_pylist()]
+        lengths = np.array([len(s) for s in bits])
         found: list[np.ndarray] = []
         for size in np.unique(lengths):
-            # Sets that can be linked have sketches of one length or of neighbouring ones.
+            # Sets that can be linked have bits of one length or of neighbouring ones.
             rows = np.flatnonzero((lengths == size) | (lengths == 2 * size))
-            folded = np.stack([sketches[i].reshape(-1, size).sum(axis=0) for i in rows]).astype(np.int16)
+            folded = np.stack([np.bitwise_xor.reduce(bits[i].reshape(-1, size)) for i in rows])
             at_size = lengths[rows] == size
             for k in np.flatnonzero(outside[rows]):
                 i = rows[k]
@@ -378,7 +386,7 @@ def _meeting(near: float):
                 other &= (low[rows] <= high[i] + near) & (low[i] <= high[rows] + near)
                 js = rows[other]
                 if len(js):
-                    apart = np.abs(folded[other] - folded[k]).sum(axis=1, dtype=np.int64)
+                    apart = np.bitwise_count(folded[other] ^ folded[k]).sum(axis=1, dtype=np.int64)
                     js = js[2 * apart <= near * (n[js] + n[i] + apart)]
                     found.append(np.stack([np.full(len(js), node[i]), node[js]], axis=1))
         pairs = np.concatenate([*found, np.empty((0, 2), np.int64)])

@@ -92,3 +92,15 @@ def least_distance(a: bytes, n_a: int, b: bytes, n_b: int) -> float:
         y = y.reshape(2, -1).sum(axis=0)
     apart = int(np.abs(x - y).sum())
     return 2 * apart / (n_a + n_b + apart)
+
+
+def parities_of(keys: np.ndarray) -> bytes:
+    """Whether a set has an odd number of hashes with each ending; 8 to 16 bits per hash.
+
+    Two sets differ in at least as many hashes as these bits differ, and in few more.
+    """
+    size = 512
+    while size < 8 * len(keys):
+        size *= 2
+    counts = np.bincount((keys & np.uint64(size - 1)).astype(np.int64), minlength=size)
+    return np.packbits((counts & 1).astype(np.uint8), bitorder="little").tobytes()
