@@ -120,13 +120,15 @@ class _Model:
             down = np.where(trust > 1, old - trust + (trust >> 1), fresh + 1)
             table[slots] = np.where(right, up, down)
         states = np.concatenate([self.c2, self.agree])
-        self.cases += np.bincount(states, minlength=48)
-        self.hits += np.bincount(states[np.concatenate([hit, hit])], minlength=48)
+        states = states * 2 + np.concatenate([hit, hit])
+        found = np.bincount(states, minlength=96).reshape(48, 2)
+        self.cases += found.sum(axis=1)
+        self.hits += found[:, 1]
         if self.cases.max() > 1 << 20:
             self.cases, self.hits = (self.cases >> 1) + 2, (self.hits >> 1) + 1
         wrong = (hit.astype(np.int64) << _CHANCE) - self.chance
         for k, x in enumerate(self.inputs):
-            self.weights[k] += int((x * wrong).sum()) // (n << 5)
+            self.weights[k] += int(np.dot(x, wrong)) // (n << 5)
         self.weights[3] += int(wrong.sum()) // (n << 2)
         self.two[:n], self.one[:n] = one, ids
         self.pending.append(ids)
@@ -149,20 +151,20 @@ def _narrow(
     sp[:] = np.where(hit, bound, part * _take(model.freq, ids))
 
 
-def _spent(lo: np.ndarray, sp: np.ndarray, at: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
-    """Shift out 16 bits of the lanes that have them settled; these lanes and their bits.
+def _spent(lo: np.ndarray, sp: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Shift out 16 bits of those lanes that have them settled; these lanes and their bits.
 
-    A range that has become too small without settling is cut at the next border.
+    A range that has become too small without settling is cut at the next border. The last
+    result are the lanes that may have more.
     """
-    a, b = (lo, sp) if at is None else (_take(lo, at), _take(sp, at))
+    a, b = _take(lo, at), _take(sp, at)
     settled = (a ^ (a + b)) < _TOP
     go = np.flatnonzero(settled | (b < _BOTTOM))
-    a, b, settled = _take(a, go), _take(b, go), _take(settled, go)
-    at = go if at is None else _take(at, go)
-    b = np.where(settled, b, (~a + np.uint64(1)) & (_BOTTOM - np.uint64(1)))
+    at, a, b, settled = _take(at, go), _take(a, go), _take(b, go), _take(settled, go)
+    b = np.where(settled, b, (~a + np.uint64(1)) & (_BOTTOM - np.uint64(1))) << _16
     lo[at] = (a << _16) & _MASK
-    sp[at] = b << _16
-    return at, a >> _32
+    sp[at] = b
+    return at, a >> _32, at[b < _TOP]
 
 
 def _shape(n: int) -> tuple[int, int]:
@@ -195,9 +197,10 @@ def encode_block(ids: np.ndarray, vocabulary: int) -> bytes:
         bound = (sp >> np.uint64(_CHANCE)) * chance.astype(np.uint64)
         part = (sp - bound) >> np.uint64(_SCALE)
         _narrow(lo, sp, bound, part, hit, model, now)
-        at = None
-        while at is None or len(at):
-            at, bits = _spent(lo, sp, at)
+        # No range that is larger has settled bits.
+        more = np.flatnonzero(sp < _TOP)
+        while len(more):
+            at, bits, more = _spent(lo, sp, more)
             out_lane.append(at.astype(np.uint16))
             out_word.append(bits.astype(np.uint16))
         model.learn(now, hit)
@@ -259,9 +262,9 @@ def _decoded(block: bytes, n: int, vocabulary: int, lanes: int) -> np.ndarray:
         place = np.minimum((offset - bound) // part, np.uint64((1 << _SCALE) - 1))
         now = np.where(hit, candidate, _take(model.inverse, place.astype(np.int64)))
         _narrow(lo, sp, bound, part, hit, model, now)
-        at = None
-        while at is None or len(at):
-            at, _ = _spent(lo, sp, at)
+        more = np.flatnonzero(sp < _TOP)
+        while len(more):
+            at, _, more = _spent(lo, sp, more)
             word = _take(at_word, at)
             co[at] = ((_take(co, at) << _16) & _MASK) | _take(words, np.minimum(word, last))
             at_word[at] = word + 1
