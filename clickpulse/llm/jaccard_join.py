@@ -322,9 +322,7 @@ def similar_groups(
     more = durable(met.groupBy("p").applyInArrow(_meeting(near), "x long, p long").distinct())
     if more.head(1):
         found = _exact(named, more, rows, width).where(F.col("d") <= near)
-        new = found.select(F.col("x").alias("a"), F.col("p").alias("b"))
-        old = labels.select(F.col("node").alias("a"), F.col("label").alias("b"))
-        labels = components(old.unionByName(new))
+        labels = _merged(labels, found)
 
     marked = durable(
         rows.join(labels, "node", "left").select(
@@ -339,6 +337,19 @@ def similar_groups(
     )
 
 
+def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Labels after more links (x, p): the components themselves are linked, each pair once."""
+    of = lambda name: labels.select(F.col("node").alias(name), F.col("label").alias(f"l_{name}"))
+    ends = links.join(of("x"), "x", "left").join(of("p"), "p", "left")
+    linked = ends.select(
+        F.coalesce("l_x", "x").alias("a"), F.coalesce("l_p", "p").alias("b")
+    ).distinct()
+    merged = components(linked)
+    renamed = merged.select(F.col("node").alias("label"), F.col("label").alias("new"))
+    known = labels.join(renamed, "label", "left").select("node", F.coalesce("new", "label").alias("label"))
+    return durable(known.unionByName(merged.join(labels, "node", "left_anti")))
+
+
 def _unresolved(measured: DataFrame, labels: DataFrame, near: float) -> DataFrame:
     """Members of pivots' groups that may be linked to others, as far as pivots can tell.
 
