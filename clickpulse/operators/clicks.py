@@ -113,6 +113,7 @@ def blacklist_candidates(
     Users already listed and whitelisted users are left out; clicks are counted
     per user and pane before these joins.
     """
+    _whole_slides(size, slide)
     panes = pane_counts(clicks, "user_id", size, slide)
     for excluded in (blacklist, whitelist):
         panes = panes.join(excluded.select("user_id"), "user_id", "left_anti")
@@ -130,8 +131,7 @@ def busy_users(
     Shifting a user's fullest window to end with its last click loses none, so a moving
     sum over the user's panes finds the count without listing the windows.
     """
-    if size % slide:
-        raise ValueError("the window must be a multiple of its slide")
+    _whole_slides(size, slide)
     window = Window.partitionBy("user_id").orderBy("pane").rangeBetween((slide - size) * 1000, 0)
     return (
         panes.withColumn("count", F.sum("clicks").over(window))
@@ -191,6 +191,11 @@ def pane_counts(clicks: DataFrame, key: str, size: int, slide: int) -> DataFrame
     return clicks.groupBy(key, pane.alias("pane")).agg(F.count(F.lit(1)).alias("clicks"))
 
 
+def _whole_slides(size: int, slide: int) -> None:
+    if size % slide:
+        raise ValueError("the window must be a multiple of its slide")
+
+
 def _millis(seconds: int) -> Column:
     return F.lit(seconds * 1000).cast("long")
 
