@@ -32,7 +32,7 @@ _HEADER = "<4sIIII"
 _HEAD_BYTES = struct.calcsize(_HEADER)
 #: Lanes of a full block, and the fewest ids that a lane is opened for.
 _LANES = 8192
-_LANE_IDS = 256
+_LANE_IDS = 128
 
 _TOP = np.uint64(1 << 32)
 _BOTTOM = np.uint64(1 << 31)

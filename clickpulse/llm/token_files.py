@@ -24,11 +24,11 @@ from clickpulse.llm.frames import Input
 from clickpulse.llm.range_coder import decode_block, encode_block
 
 #: Ids in a full block.
-BLOCK_IDS = 1 << 21
+BLOCK_IDS = 1 << 20
 #: Bytes of text in one file, on average.
-FILE_BYTES = 32 << 20
+FILE_BYTES = 16 << 20
 #: Pieces of text that a task remembers with their ids before it starts anew.
-_REMEMBERED = 1 << 20
+_REMEMBERED = 1 << 18
 _MARKS = ".,;:!?"
 #: Words of letters that no normal form splits or joins, and how many go in a row.
 _PLAIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
