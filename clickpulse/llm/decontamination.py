@@ -24,7 +24,7 @@ from clickpulse.llm.frames import Input
 
 WINDOW = 10
 #: Words that one index holds; a longer text is a shard by itself.
-SHARD_WORDS = 1 << 19
+SHARD_WORDS = 1 << 18
 #: Bytes of benchmark text in one block, on average.
 BLOCK_BYTES = 8 << 20
 

@@ -6,6 +6,8 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 
+#: Texts whose words are held at once.
+_AT_ONCE = 512
 _LOWER = bytes(range(256)).lower()
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -34,7 +36,13 @@ def shingle_sets(texts: pa.Array, width: int) -> list[np.ndarray]:
     Words are runs without white space (space, tab to carriage return), A-Z lower-cased.
     A text of fewer words than a shingle has one, its whole sequence; without words none.
     """
-    hashes = _Hashes()
+    hashes, sets = _Hashes(), []
+    for start in range(0, len(texts), _AT_ONCE):
+        sets += _sets_of(texts.slice(start, _AT_ONCE), width, hashes)
+    return sets
+
+
+def _sets_of(texts: pa.Array, width: int, hashes: _Hashes) -> list[np.ndarray]:
     flat: list[int] = []
     sizes = []
     for text in texts.cast(pa.binary()).to_pylist():
