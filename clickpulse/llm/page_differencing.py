@@ -2,7 +2,7 @@
 
 Pages of a host are ordered by path; a page is compared with the neighbour that shares
 the longer beginning of its path. Lines that a longest common subsequence of the two
-aligns are the site's own and go.
+aligns are the site's own and go, unless they stand in an article element.
 """
 
 from __future__ import annotations
@@ -17,12 +17,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickpulse.llm.frames import Input
-from clickpulse.llm.html_lines import ARTICLE, OPEN, page_lines
+from clickpulse.llm.html_lines import ARTICLE, page_lines
 from clickpulse.llm.urls import split_url
 
 #: Bytes of HTML per range of pages, on average.
 RANGE_BYTES = 32 << 20
-#: A neighbour that shares more of a page's lines is a copy of it and tells nothing.
+#: A neighbour that shares more of a page's text is a copy of it and tells nothing.
 COPY_SHARE = 0.8
 #: Cells of a table of bit rows that is kept whole; larger ones are cut in halves.
 _CELLS = 1 << 28
@@ -90,19 +90,27 @@ def shared_lines(a: list, b: list) -> list[int]:
 
 
 def main_text(lines: list[tuple[str, int]], mates: list[list[str]]) -> str:
-    """The article's lines; where no element marks an article, the lines of no mate.
+    """The lines that a mate does not share, and all lines of an article element.
 
-    Within an article element, lines that two pages share are passages and stay.
+    The first mate that is no copy decides. Within an article element, lines that two pages
+    share are passages and stay. A mate that shares most of a page, and most of its article
+    element if it has one, is a copy. If all mates are copies every line stays; without
+    mates an article element's lines do, or every line where there is none.
     """
-    if any(part == ARTICLE for _, part in lines):
-        return "\n".join(line for line, part in lines if part == ARTICLE)
-    kept = [line for line, part in lines if part == OPEN]
+    text = [line for line, _ in lines]
+    article = {i for i, (_, part) in enumerate(lines) if part == ARTICLE}
+
+    def most(shared: set[int], of: set[int]) -> bool:
+        size = sum(len(text[i]) for i in of)
+        return sum(len(text[i]) for i in shared & of) > COPY_SHARE * size
+
+    kept = article if article and not mates else set(range(len(text)))
     for mate in mates:
-        shared = set(shared_lines(kept, mate))
-        size = sum(map(len, kept))
-        if sum(len(kept[i]) for i in shared) <= COPY_SHARE * size:
-            return "\n".join(line for i, line in enumerate(kept) if i not in shared)
-    return "\n".join(kept)
+        shared = set(shared_lines(text, mate))
+        if not (most(shared, kept) and (not article or most(shared, article))):
+            kept = kept - shared | article
+            break
+    return "\n".join(text[i] for i in sorted(kept))
 
 
 def _ranges(keys: DataFrame, parts: int) -> list:

@@ -355,6 +355,31 @@ def test_pages_without_article(frame):
     assert extract_pages(df.limit(0)).count() == 0
 
 
+def test_differencing_of_pages_with_article(frame):
+    page = lambda n: (
+        f"<div>Site name</div><h1>Headline {n}</h1><article><p>A passage of two pages.</p>"
+        f"<p>Own text of page {n}.</p></article><div>Text outside of {n}.</div><div>Write to us</div>"
+    )
+    teaser = (
+        "<div>Site name</div><div>A long text of its own in an element that marks nothing.</div>"
+        "<article>Teaser</article><div>Write to us</div>"
+    )
+    menu = "<div>" + "</div><div>".join(f"A long menu entry {n}" for n in range(50)) + "</div>"
+    rows = [
+        (1, "http://h.org/a/1", page(1)),
+        (2, "http://h.org/a/2", page(2)),
+        (3, "http://h.org/b", teaser),
+        (4, "http://menu.org/1", menu + "<article>Short one.</article>"),
+        (5, "http://menu.org/2", menu + "<article>Short two.</article>"),
+    ]
+    df = frame("page_id int, url string, html string", *rows)
+    got = {r.page_id: r.text for r in extract_pages(df).collect()}
+    for n in (1, 2):
+        assert got[n] == f"Headline {n}\nA passage of two pages.\nOwn text of page {n}.\nText outside of {n}."
+    assert got[3] == "A long text of its own in an element that marks nothing.\nTeaser"
+    assert (got[4], got[5]) == ("Short one.", "Short two.")
+
+
 def test_ranges_of_pages_do_not_matter(spark, frame, monkeypatch):
     from clickpulse.llm import page_differencing
 
