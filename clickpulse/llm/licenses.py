@@ -1,12 +1,14 @@
 """Licence scan by canonical digests of entire texts.
 
 Text and known licences pass through the same normal form: lower case, copyright lines
-dropped, equivalent spellings and marks made one, white space and punctuation reduced.
+and usual titles dropped, equivalent spellings and marks made one, white space and punctuation reduced.
 Documents whose whole normal form equals a licence's are found by a hash join on SHA-256.
 """
 
 from __future__ import annotations
 
+from importlib.resources import files
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -59,59 +61,51 @@ SPELLINGS = (
     ("wilful", "willful"),
 )
 
-# Public licence texts and notices.
-LICENSES = {
-    "MIT": """MIT License
-
-Copyright (c) <year> <copyright holders>
-
-Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
-
-The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
-
-THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.""",
-    "ISC": """ISC License
-
-Copyright (c) <year> <owner>
-
-Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.
-
-THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.""",
-    "0BSD": """BSD Zero Clause License
-
-Copyright (c) <year> <owner>
+def _bundled() -> dict[str, str]:
+    """The full licence texts of the folder beside this file, by the names of their files."""
+    folder = files(__package__) / "license_texts"
+    texts = {f.name: f.read_text("utf-8") for f in folder.iterdir() if f.name.endswith(".txt")}
+    return {name.removesuffix(".txt"): texts[name] for name in sorted(texts)}
 
-Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.
 
-THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.""",
-    "Zlib": """zlib License
-
-Copyright (c) <year> <owner>
-
-This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software.
-
-Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:
-
-1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required.
-
-2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software.
-
-3. This notice may not be removed or altered from any source distribution.""",
+#: Known texts by name; a notice stands for a text that says no more.
+LICENSES = _bundled() | {
     "Apache-2.0 (notice)": "Licensed under the Apache License, Version 2.0.",
-    "MIT (notice)": "Released under the MIT License.",
-    "GPL-3.0 (notice)": "This work is licensed under the GNU General Public License, version 3.",
-    "CC-BY-NC-4.0 (notice)": "Licensed under CC BY-NC 4.0.",
-    "All rights reserved (notice)": "All rights reserved.",
 }
 
-#: A line that only states who holds the copyright, with the line feed before it.
-COPYRIGHT_LINE = r"(?i)(^|\n)[ \t#*/;-]*(copyright|\(c\)|©)[^\n]*"
+_LEAD = r"[ \t#*/;-]*"
+_YEAR = r"(?:19|20)[0-9]{2}"
+#: A sign, a year or a form to fill in behind the word; or a sign with a year; or a year
+#: further on behind a name.
+_NOTICE = (
+    rf"{_LEAD}(?:copyright[ \t:,]*(?:\(c\)|©|{_YEAR}|[<\[{{])|©"
+    rf"|\(c\)[ \t]*(?:copyright[ \t:,]+)?(?:{_YEAR}|[<\[{{])"
+    rf"|(?:\(c\)[ \t]*)?(?-i:Copyright[ \t]+(?:by[ \t]+|[Tt]he[ \t]+)*\p{{Lu}})[^\n]*{_YEAR})[^\n]*"
+    rf"(?:\n{_LEAD}all rights reserved\.?[ \t]*)?"
+)
+#: A name alone behind the word, at the beginning of a paragraph.
+_HOLDER = rf"{_LEAD}(?-i:Copyright[ \t]+(?:by[ \t]+|[Tt]he[ \t]+)*\p{{Lu}})[^\n]*"
+_TITLE = (
+    r"(?:the )?(?:mit(?:/x11|/expat)? licen[cs]e(?: \(mit\))?|isc licen[cs]e(?: \(isc\))?"
+    r"|(?:bsd zero[ -]clause licen[cs]e|zero[ -]clause bsd(?: licen[cs]e)?)(?: \(0bsd\))?"
+    r"|zlib(?:/libpng)? licen[cs]e|unlicen[cs]e"
+    r"|(?:bsd [23][ -]clause|[23][ -]clause bsd)"
+    r"(?: \"(?:new|simplified)\"(?: or \"(?:revised|freebsd)\")?)? licen[cs]e"
+    r"|(?:new|modified|revised|simplified) bsd licen[cs]e)|creative commons legal code"
+)
+#: Lines that only state who holds the copyright, with the line feed before them, and the
+#: usual title on a line of its own at the beginning. Prose that begins with the word is neither.
+COPYRIGHT_LINE = (
+    rf"(?i)^[ \t\n#*/;=-]*\(?(?:{_TITLE})\)?[.:]?[ \t]*"
+    rf"(?:[ \t\n=-]*\n(?:{_NOTICE}|{_HOLDER}))*(?:\n|\z)"
+    rf"|(?:^|\n){_NOTICE}|(?:^|\n{_LEAD}\n){_HOLDER}"
+)
 
 
 def canonical(text: Column, spellings: tuple[tuple[str, str], ...] = SPELLINGS) -> Column:
     """The normal form; empty for a text without letters or digits, null for null.
 
-    Lower case by code point; copyright lines go; http and https are one; every run of
+    Lower case by code point; copyright lines and a usual title go; http and https are one; every run of
     characters other than letters and digits becomes one space; then spellings are
     replaced between spaces in their order.
     """

@@ -170,6 +170,37 @@ def test_licenses(frame, docs, empty):
     assert scan_licenses(docs, {}).where("license IS NOT NULL").count() == 0
 
 
+def test_full_licenses(frame, spark):
+    import duckdb
+
+    from clickpulse.llm.oracles import license_digests
+
+    body = LICENSES["MIT"].split("\n", 4)[4]
+    wrapped = body.replace("AUTHORS OR COPYRIGHT", "AUTHORS OR\nCOPYRIGHT")
+    assert "\nCOPYRIGHT HOLDERS BE LIABLE" in wrapped
+    known = ("Apache-2.0 BSD-2-Clause BSD-3-Clause CC0-1.0 GPL-2.0 GPL-3.0 LGPL-2.1 LGPL-3.0 MPL-2.0 Unlicense")
+    cases = [(name, " " + LICENSES[name].replace("\n", "\r\n").replace("  ", "\t")) for name in known.split()]
+    cases += [
+        ("MIT", body),
+        ("MIT", "The MIT License (MIT)\n\nCopyright (c) 2015 A. Person\n\n" + body),
+        ("MIT", "The MIT License (MIT)\nCopyright IBM Corp. 2004\n(c) 2001 B. Person\n" + body),
+        ("MIT", "Copyright The Authors of This\n\n" + wrapped),
+        ("MIT", "# MIT License\n\n© B. Person\n" + wrapped),
+        ("BSD-3-Clause", LICENSES["BSD-3-Clause"].replace("<owner>", "Me\nAll rights reserved.")),
+        (None, wrapped.replace("COPYRIGHT HOLDERS BE LIABLE", "")),
+        (None, LICENSES["Apache-2.0"].replace("(c) You must retain", "")),
+        (None, "All rights reserved."),
+        (None, "Released under the MIT License."),
+    ]
+    docs = [(n, text) for n, (_, text) in enumerate(cases)]
+    got = {r.doc_id: (r.digest, r.license) for r in scan_licenses(frame("doc_id int, text string", *docs)).collect()}
+    assert [got[n][1] for n in range(len(cases))] == [name for name, _ in cases]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id INT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", docs)
+    assert {i: (d, name) for i, d, name in con.execute(license_digests()).fetchall()} == got
+
+
 # URLs
 
 
