@@ -50,14 +50,16 @@ class _Ids(dict):
     """Ids of pieces of text, each tokenized once.
 
     Pieces are cut at spaces and line feeds, and a run of marks behind a letter or digit
-    stands for itself: a tokenizer that splits words there sees the same words, so ids of
-    the pieces in a row are the ids of the text.
+    that the normalizer leaves one stands for itself: a tokenizer that splits words there
+    sees the same words, so ids of the pieces in a row are the ids of the text.
     """
 
     def __init__(self, tokenizer: Tokenizer, end: int) -> None:
         self.tokenizer, self.end = tokenizer, end
         self.ends = _word_ends(tokenizer)
         self.new: list[str] = []
+        #: Last characters of words that are not ASCII, by whether they end in a letter or digit.
+        self.closed: dict[str, bool] = {}
         self._forget()
 
     def __missing__(self, piece: str) -> int:
@@ -69,7 +71,7 @@ class _Ids(dict):
         halves = []
         for piece in self.new:
             body = piece.rstrip(_MARKS)
-            cut = len(body) if body and body[-1].isalnum() else len(piece)
+            cut = len(body) if len(body) < len(piece) and self._ends_a_word(body) else len(piece)
             halves.append((piece[:cut], piece[cut:]))
         different = list(dict.fromkeys(chain.from_iterable(halves)))
         plain = [p for p in different if self.ends is not None and _PLAIN.fullmatch(p)]
@@ -84,6 +86,21 @@ class _Ids(dict):
         self.begin = np.concatenate([self.begin, ends])
         self.new = []
 
+    def _ends_a_word(self, body: str) -> bool:
+        """Whether the normal form ends in a letter or digit, so that a mark behind is split off.
+
+        The last character alone can become a letter and a combining mark, which the
+        tokenizer keeps with a mark behind it.
+        """
+        last = body[-1:]
+        if last.isascii():
+            return last.isalnum()
+        if last not in self.closed:
+            normalizer = self.tokenizer.normalizer
+            form = normalizer.normalize_str(last) if normalizer else last
+            self.closed[last] = last.isalnum() and form[-1:].isalnum()
+        return self.closed[last]
+
     def _in_rows(self, words: list[str]) -> dict[str, list[int]]:
         """Ids of plain words, tokenized many in a row.
 

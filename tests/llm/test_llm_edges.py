@@ -481,6 +481,19 @@ def test_pieces_have_the_ids_of_the_text(text):
     assert _Ids(tokenizer, 2).of([text, None])[0].tolist() == [*want, 2]
 
 
+@pytest.mark.parametrize(
+    "text",
+    [
+        "ALİ,", "İ.", "ALİ ALİ, İ!?", "\u0958,", "\u0915\u095b.", "\u095f;", "\ufb2a,",
+        "\u05d0\ufb4b.", "E\u0301,", "é, É.", "½. ²,", "Ⅷ: Ⓐ;", "ﬁ.", "ẞ!", "가.", "我们,",
+    ],
+)
+def test_marks_behind_letters_that_come_apart(text):
+    tokenizer = Tokenizer.from_file(VOCABULARY)
+    want = tokenizer.encode(text, add_special_tokens=False).ids
+    assert _Ids(tokenizer, 2).of([text])[0].tolist() == [*want, 2]
+
+
 @given(st.binary(max_size=40), st.binary(max_size=40))
 def test_joined_checksums(a, b):
     import zlib
