@@ -16,6 +16,7 @@ from clickpulse.llm.lines import judge_lines
 from clickpulse.llm.mixing import mix_sources
 from clickpulse.llm.page_differencing import extract_pages
 from clickpulse.llm.sharding import shuffle_into_shards
+from clickpulse.llm.token_counts import count_tokens
 from clickpulse.llm.token_files import token_index, write_tokens
 from clickpulse.llm.urls import judge_urls
 from clickpulse.storage import run_dir
@@ -113,6 +114,11 @@ def urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    return count_tokens(_table(spark, sf_dir, "documents"), model)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_blocks": tokens,
     "op2_language_crf": languages,
@@ -124,4 +130,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_jaccard_join": near_duplicates,
     "op9_license_digests": licenses,
     "op10_url_vocabulary": urls,
+    "op13_token_counts": token_counts,
 }
