@@ -151,9 +151,48 @@ SELECT page_id, host, path, fit.rule AS rule,
 FROM fit"""
 
 
+def walsh_clusters(table: str = "embeddings", k: int = 8, rounds: int = 10) -> str:
+    """Every round written out, with plain distances; sums and their floors are integers."""
+    kept = "len(embedding) = 64 AND len(list_filter(embedding, lambda x: isfinite(x))) = 64"
+    steps = [
+        f"""
+WITH v AS MATERIALIZED (
+  SELECT vec_id, list_transform(embedding,
+    lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM {table} WHERE {kept}
+), c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h, v) - 1 AS n, v
+  FROM (SELECT v, sha256('3:' || vec_id) AS h FROM v ORDER BY h, v LIMIT {k})
+)"""
+    ]
+    for r in range(rounds + 1):
+        steps.append(f""", a{r} AS MATERIALIZED (
+  SELECT vec_id, v, best.n AS n, best.d AS d FROM (
+    SELECT vec_id, v, (SELECT min(struct_pack(d := CAST(list_sum(list_transform(
+        list_zip(a.v, c.v), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT), n := c.n))
+      FROM c{r} c) AS best
+    FROM v a)
+)""")
+        if r < rounds:
+            steps.append(f""", m{r} AS MATERIALIZED (
+  SELECT n, list((s - ((s % t) + t) % t) // t ORDER BY i) AS v
+  FROM (SELECT n, i, sum(v[i]) AS s, count(*) AS t FROM a{r}, range(1, 65) AS r(i) GROUP BY n, i)
+  GROUP BY n
+), c{r + 1} AS MATERIALIZED (
+  SELECT n, coalesce(CAST(m.v AS BIGINT[]), c.v) AS v FROM c{r} c LEFT JOIN m{r} m USING (n)
+)""")
+    return "".join(steps) + f"""
+SELECT vec_id, CAST(n AS INTEGER) AS cluster, d AS distance,
+  CAST(sum(d) OVER (PARTITION BY n) AS BIGINT) AS cluster_inertia,
+  CAST(sum(d) OVER () AS BIGINT) AS inertia,
+  sha256(array_to_string(c{rounds}.v, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} USING (n)"""
+
+
 ORACLES = {
     "op3_fm_index": contamination(),
     "op4_line_quality": line_quality(),
     "op9_license_digests": license_digests(),
     "op10_url_vocabulary": url_vocabulary(),
+    "op12_walsh_clusters": walsh_clusters(),
 }

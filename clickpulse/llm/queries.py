@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clickpulse.llm.alignment import align_tokens
 from clickpulse.llm.decontamination import find_passages
 from clickpulse.llm.jaccard_join import similar_groups
 from clickpulse.llm.language_id import fit_languages, identify_languages
@@ -19,6 +20,7 @@ from clickpulse.llm.sharding import shuffle_into_shards
 from clickpulse.llm.token_counts import count_tokens
 from clickpulse.llm.token_files import token_index, write_tokens
 from clickpulse.llm.urls import judge_urls
+from clickpulse.llm.walsh_clusters import cluster_vectors
 from clickpulse.storage import run_dir
 
 # The rules of the URL query.
@@ -114,6 +116,18 @@ def urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def alignments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_tokens(
+        _table(spark, sf_dir, "documents"),
+        public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("piece_bpe_32k.model"),
+    )
+
+
+def clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
     return count_tokens(_table(spark, sf_dir, "documents"), model)
@@ -130,5 +144,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_jaccard_join": near_duplicates,
     "op9_license_digests": licenses,
     "op10_url_vocabulary": urls,
+    "op11_token_alignment": alignments,
+    "op12_walsh_clusters": clusters,
     "op13_token_counts": token_counts,
 }
