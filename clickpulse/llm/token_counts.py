@@ -1,10 +1,10 @@
 """Token counts of texts, without their ids.
 
 Texts are cut into pre-tokens. Pieces are counted once per distinct pre-token, joined to
-the pre-token frequencies of the documents, and summed. Frequent pre-tokens, of which there
-can be only so many, are counted first and sent to every task; each other one goes with its
-documents to one task, which counts it once. No pre-token there has more than a share of
-1 / `common` of all, so none is hot.
+the pre-token frequencies of the documents, and summed. The counts of frequent pre-tokens,
+of which there can be only so many, are found over the whole corpus first and sent to
+every task. Each other pre-token is counted once in each task that meets it: to bring its
+frequencies from all documents to one place moved more than the texts hold.
 """
 
 from __future__ import annotations
@@ -13,9 +13,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -54,35 +52,19 @@ def count_tokens(
     pattern = pretoken_pattern(load_model(model_path))
     known = body.sparkSession.sparkContext.broadcast(_common(body, model_path, pattern, common))
     kind = body.schema["id"].dataType.simpleString()
-    rows = body.mapInArrow(
-        lambda batches: _frequencies(batches, pattern, known),
-        f"id {kind}, digest binary, copies bigint, n_bytes bigint, tokens bigint,"
-        " pretoken string, n bigint",
-    )
-    # One task meets all rows of a pre-token, one behind the other.
-    met = rows.repartition("pretoken").sortWithinPartitions("pretoken")
-    valued = met.mapInArrow(
-        lambda batches: _counted(batches, model_path),
-        f"id {kind}, digest binary, copies bigint, n_bytes bigint, tokens bigint",
-    )
-    sums = valued.groupBy("id", "digest").agg(
-        F.sum("copies").alias("copies"),
-        F.max("n_bytes").alias("n_bytes"),
-        F.sum("tokens").alias("tokens"),
-    )
-    # Equal texts under one id were summed; the row of each comes back.
-    each = F.expr("tokens div copies")
-    counted = sums.select("id", "n_bytes", each.alias("n_tokens"), F.explode(F.sequence(F.lit(1), "copies")))
-    return counted.select(
-        F.col("id").alias(id), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit")
+    counted = body.mapInArrow(
+        lambda batches: _counted(batches, pattern, known, model_path),
+        f"id {kind}, n_bytes bigint, n_tokens bigint",
     )
+    over = F.col("n_tokens") > limit
+    return counted.select(F.col("id").alias(id), "n_bytes", "n_tokens", over.alias("over_limit"))
 
 
 def _common(body: DataFrame, model_path: str, pattern: str, common: int) -> dict[str, int]:
     """Pieces of the pre-tokens that hold at least 1 / common of all; so at most `common`.
 
-    A pre-token that a task meets only once is not looked at here: the others come
-    later all the same, so this changes who counts it, not the count.
+    A pre-token that a task meets only once is left out here. That decides where it is
+    counted, not the count.
     """
     seen = body.select("text").mapInArrow(
         lambda batches: _repeated(batches, pattern), "pretoken string, n bigint"
@@ -105,25 +87,6 @@ def _pieces(batches: Iterator[pa.RecordBatch], model_path: str) -> Iterator[pa.R
         yield pa.record_batch({"pretoken": names, "pieces": pa.array(counts, pa.int64())})
 
 
-def _counted(batches: Iterator[pa.RecordBatch], model_path: str) -> Iterator[pa.RecordBatch]:
-    """Frequencies times pieces; rows come sorted, so each pre-token is counted once."""
-    model = load_model(model_path)
-    last: dict[str, int] = {}
-    for batch in batches:
-        encoded = batch.column("pretoken").dictionary_encode()
-        names, n = encoded.dictionary.to_pylist(), np.asarray(batch.column("n"))
-        # A row that stands for a text has no pieces of its own.
-        asked = np.zeros(len(names), bool)
-        asked[np.asarray(encoded.indices)[n > 0]] = True
-        new = [name for name, ask in zip(names, asked) if ask and name not in last]
-        counts = last | dict(zip(new, piece_counts(model, new)))
-        pieces = np.array([counts.get(name, 0) for name in names], np.int64)
-        tokens = np.asarray(batch.column("tokens")) + n * pieces[np.asarray(encoded.indices)]
-        kept = {name: batch.column(name) for name in ("id", "digest", "copies", "n_bytes")}
-        yield pa.record_batch(kept | {"tokens": pa.array(tokens, pa.int64())})
-        last = {name: counts[name] for name in names[-1:] if name in counts}
-
-
 def _texts(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[pa.RecordBatch, list]]:
     for batch in batches:
         for start in range(0, len(batch), _TEXTS):
@@ -152,44 +115,27 @@ def _repeated(batches: Iterator[pa.RecordBatch], pattern: str) -> Iterator[pa.Re
         yield flush()
 
 
-def _frequencies(
-    batches: Iterator[pa.RecordBatch], pattern: str, known: Broadcast
+def _counted(
+    batches: Iterator[pa.RecordBatch], pattern: str, known: Broadcast, model_path: str
 ) -> Iterator[pa.RecordBatch]:
-    """A row per text with the tokens of its common pre-tokens, and one per other pre-token.
-
-    The first has a name of its own in place of a pre-token, which spreads these rows too:
-    no pre-token goes on behind a line feed.
-    """
-    find, pieces = re.compile(pattern).findall, known.value
+    """Frequencies of each text times pieces, summed."""
+    find, model, common = re.compile(pattern).findall, load_model(model_path), known.value
+    rare: dict[str, int] = {}
     for part, texts in _texts(batches, "text"):
-        at, digests, copies, sizes, sums, names, counts = [], [], [], [], [], [], []
-        for row, text in enumerate(texts):
-            raw = (text or "").encode()
-            digest, total, first = xxhash.xxh3_128_digest(raw), 0, len(at)
-            at.append(row)
-            names.append("\n" + digest.hex())
-            counts.append(0)
-            for pretoken, n in (Counter(find(spaced(text))) if text else {}).items():
-                each = pieces.get(pretoken)
-                if each is None:
-                    at.append(row)
-                    names.append(pretoken)
-                    counts.append(n)
-                else:
-                    total += each * n
-            more = len(at) - first
-            digests += [digest] * more
-            copies += [1] + [0] * (more - 1)
-            sizes += [len(raw)] * more
-            sums += [total] + [0] * (more - 1)
+        counters = [Counter(find(spaced(text)) if text else ()) for text in texts]
+        if len(rare) > _HELD:
+            rare.clear()
+        new = list(set().union(*counters) - common.keys() - rare.keys())
+        rare.update(zip(new, piece_counts(model, new)))
+        tokens = [
+            sum(n * (common[p] if p in common else rare[p]) for p, n in counter.items())
+            for counter in counters
+        ]
+        sizes = [len((text or "").encode()) for text in texts]
         yield pa.record_batch(
             {
-                "id": part.column("id").take(pa.array(at, pa.int64())),
-                "digest": pa.array(digests, pa.binary()),
-                "copies": pa.array(copies, pa.int64()),
+                "id": part.column("id"),
                 "n_bytes": pa.array(sizes, pa.int64()),
-                "tokens": pa.array(sums, pa.int64()),
-                "pretoken": pa.array(names, pa.string()),
-                "n": pa.array(counts, pa.int64()),
+                "n_tokens": pa.array(tokens, pa.int64()),
             }
         )
