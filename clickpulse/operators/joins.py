@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 2_000_000
 BROADCAST_BYTES = 64 << 20
 
+# The most keys that are sent to a source as a list.
+LISTED_KEYS = 10_000
+
 # A key is hot if its rows would fill more than this part of an even task; the rows of a
 # hot key are then cut into pieces of this size.
 _PIECE = 0.25
@@ -39,6 +42,20 @@ def broadcast_if_small(side: DataFrame) -> DataFrame:
     return F.broadcast(side) if is_small(side) else side
 
 
+def look_up(table: DataFrame, keys: DataFrame, on: str, most: int = LISTED_KEYS) -> DataFrame:
+    """The rows of a table, in files or a database, that have one of the keys of a batch.
+
+    Up to ``most`` keys go to the source as a list, so it reads no other rows. Of more keys
+    it gets the bounds, and a semi-join picks the rows.
+    """
+    wanted = keys.select(on).where(F.col(on).isNotNull()).distinct()
+    few = [row[0] for row in wanted.limit(most + 1).collect()]
+    if len(few) <= most:
+        return table.where(F.col(on).isin(few))
+    low, high = wanted.agg(F.min(on), F.max(on)).first()
+    return table.where(F.col(on).between(low, high)).join(wanted, on, "left_semi")
+
+
 @dataclass(frozen=True)
 class Members:
     """Keys to keep or drop, measured once for all joins of a job.

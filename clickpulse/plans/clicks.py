@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 from clickpulse.operators.clicks import BLACKLIST_THRESHOLD
 from clickpulse.sinks import jdbc as sink
 from clickpulse.sources.jdbc import Database, Slices, read_jdbc
-from clickpulse.streaming import outputs
+from clickpulse.streaming.outputs import ClickStream
 
 
 def start_click_job(
@@ -17,17 +17,17 @@ def start_click_job(
     database: Database,
     whitelist: DataFrame,
     output: str,
-    checkpoint: str,
     slices: Slices | None = None,
     threshold: int = BLACKLIST_THRESHOLD,
-    keep_days: int | None = None,
+    late: str | None = None,
     trigger: dict | None = None,
-) -> StreamingQuery:
-    """Start the query that updates blacklist, running counts, top ads and trend.
+) -> list[StreamingQuery]:
+    """Start the queries that update blacklist, running counts, top ads and trend.
 
-    ``lines`` is a stream with the text column ``value``. ``checkpoint`` must be the same
-    shared folder at every start, so that counts go on where they ended. ``slices`` reads
-    a large blacklist in parallel. Results are read through ``ClickTables(output)``.
+    ``lines`` is a stream with the text column ``value``. ``output`` must be the same
+    shared folder at every start, so that counts go on where they ended; it holds
+    results and checkpoints, and ``ClickTables(spark, output)`` reads them. ``slices``
+    reads a large blacklist in parallel.
     """
 
     def blacklist() -> DataFrame:
@@ -36,14 +36,5 @@ def start_click_job(
     def append(users: DataFrame) -> None:
         sink.write_jdbc(users, database, sink.BLACKLIST_TABLE)
 
-    return outputs.start_click_updates(
-        lines,
-        blacklist,
-        append,
-        whitelist,
-        output,
-        checkpoint,
-        threshold,
-        keep_days=keep_days,
-        trigger=trigger,
-    )
+    stream = ClickStream(lines, blacklist, append, whitelist, output, threshold, late=late)
+    return stream.start(trigger)

@@ -1,175 +1,144 @@
-"""The click stream: one micro-batch at a time feeds blacklist, counts, top ads and trend.
+"""The click stream: clean clicks, and the queries that keep results of them up to date.
 
-Each batch reads its source and the blacklist once. Its clean clicks are written first;
-whatever follows is derived from them, so a batch that runs again after a failure meets
-the same clicks even if the blacklist has grown meanwhile.
+One query cleans the lines. The others read the clean clicks, each with its own checkpoint
+and state, so one that falls behind or fails holds up no other. All live below one folder.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
-from datetime import date, timedelta
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from clickpulse.functions.times import from_millis
 from clickpulse.operators import clicks as ops
-from clickpulse.schemas import AD_CLICK
-from clickpulse.streaming import clicks as batches
-from clickpulse.streaming.tables import DayTable, children, finished, remove_before
+from clickpulse.streaming import state
+from clickpulse.streaming.clean import read_clicks, start_clean, stream_clicks
 
 # Trigger interval and rows of a preview.
 TRIGGER = "10 seconds"
 PREVIEW_ROWS = 5
 
-OUTPUTS = frozenset({"blacklist", "counts", "top_ads", "trend"})
+OUTPUTS = frozenset({"blacklist", "counts", "top_ads", "trend", "user_windows"})
+
+_USER_WINDOW = ("user_id", ops.BLACKLIST_WINDOW, ops.BLACKLIST_SLIDE)
+_AD_WINDOW = ("ad_id", ops.TREND_WINDOW, ops.TREND_SLIDE)
 
 
 @dataclass(frozen=True)
 class ClickTables:
-    """The tables of a click stream below one folder."""
+    """What a click stream has written below its folder, as it stands."""
 
     spark: SparkSession
     path: str
 
-    @property
-    def counts(self) -> DayTable:
+    def clicks(self) -> DataFrame:
+        """Clicks by users who were not listed when they came."""
+        return read_clicks(self.spark, f"{self.path}/clicks")
+
+    def counts(self) -> DataFrame:
         """Clicks per day, province, city and ad."""
-        return DayTable(self.spark, f"{self.path}/counts", batches.COUNTS)
+        return state.current_totals(self._changes("counts", state.COUNTS), "click_count")
 
-    @property
-    def top_ads(self) -> DayTable:
+    def top_ads(self) -> DataFrame:
         """The most clicked ads per day and province."""
-        return DayTable(self.spark, f"{self.path}/top_ads", batches.TOP_ADS)
+        return state.last_lists(self._changes("top_ads", state.TOP_ADS))
 
-    @property
-    def user_panes(self) -> DayTable:
-        """Clicks per user and pane of the blacklist's windows."""
-        return DayTable(self.spark, f"{self.path}/user_panes", batches.USER_PANES)
+    def user_windows(self) -> DataFrame:
+        """Clicks per user in the sliding windows of the blacklist."""
+        return ops.pane_windows(self._panes("user_panes", "user_id"), *_USER_WINDOW)
 
-    @property
-    def ad_panes(self) -> DayTable:
-        """Clicks per ad and pane of the trend's windows."""
-        return DayTable(self.spark, f"{self.path}/ad_panes", batches.AD_PANES)
-
-    def user_windows(
-        self, size: int = ops.BLACKLIST_WINDOW, slide: int = ops.BLACKLIST_SLIDE
-    ) -> DataFrame:
-        """Clicks per user in the sliding windows of the blacklist, as they stand."""
-        return ops.pane_windows(self.user_panes.read(), "user_id", size, slide)
-
-    def trend(self, size: int = ops.TREND_WINDOW, slide: int = ops.TREND_SLIDE) -> DataFrame:
-        """Clicks per ad in sliding windows, as they stand."""
-        windows = ops.pane_windows(self.ad_panes.read(), "ad_id", size, slide)
-        return ops.stamped_trend(windows)
-
-
-def start_click_updates(
-    lines: DataFrame,
-    read_blacklist: Callable[[], DataFrame],
-    append: Callable[[DataFrame], None],
-    whitelist: DataFrame,
-    path: str,
-    checkpoint: str,
-    threshold: int = ops.BLACKLIST_THRESHOLD,
-    top: int = ops.TOP_ADS,
-    outputs: frozenset[str] = OUTPUTS,
-    keep_days: int | None = None,
-    trigger: dict | None = None,
-) -> StreamingQuery:
-    """Keep the tables of ``ClickTables(path)`` and the blacklist up to date.
-
-    Users over the threshold after a batch are appended to the blacklist, one row each,
-    and their clicks are left out from the next batch on. Errors stop the query. The folder
-    ``path`` belongs to the checkpoint; one that was started with another is refused.
-
-    Windows follow the time of the click. No click is late: panes take it whenever it
-    comes. ``keep_days`` drops panes of days longer ago than that, by the clock of the
-    driver; a click that comes later starts its day anew. By default all days are kept.
+    def trend(self) -> DataFrame:
+        """Clicks per ad in the sliding windows of the trend."""
+        return ops.stamped_trend(ops.pane_windows(self._panes("ad_panes", "ad_id"), *_AD_WINDOW))
+
+    def _panes(self, name: str, key: str) -> DataFrame:
+        return state.current_totals(self._changes(name, state.panes_schema(key)), "clicks")
+
+    def _changes(self, name: str, schema: str) -> DataFrame:
+        return state.read_changes(self.spark, f"{self.path}/{name}", schema)
+
+
+@dataclass(frozen=True)
+class ClickStream:
+    """A click stream below ``path``, a shared folder that is the same at every start.
+
+    ``read_blacklist`` gives the list as it stands, ``append`` adds rows to it. Users
+    over the threshold are listed once, and their clicks left out from the next batch of
+    lines on that begins after that. Errors stop the query they occur in.
+
+    Windows follow the time of the click. ``late`` bounds how long after newer ones a
+    click may come and still count in windows, and with it the state; by default none
+    is too late. Running counts and top ads take every click.
     """
-    unknown = set(outputs) - OUTPUTS
-    if unknown:
-        raise ValueError(f"no such outputs: {sorted(unknown)}")
-    spark = lines.sparkSession
-    _bind(spark, path, checkpoint)
-
-    def update(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
-        tables = ClickTables(session, path)
-        listed = read_blacklist().persist()
-        try:
-            clicks = _clean(batch, listed, f"{path}/clicks", batch_id)
-            days = F.to_date(from_millis(F.col("ts_ms"))).cast("string").alias("date")
-            dates = sorted(row["date"] for row in clicks.select(days).distinct().collect())
-            if "counts" in outputs or "top_ads" in outputs:
-                counts = tables.counts.add(
-                    ops.running_counts(clicks), batch_id, dates, "click_count"
-                )
-                if "top_ads" in outputs:
-                    best = ops.top_province_ads(ops.province_counts(counts), top)
-                    tables.top_ads.write(best, batch_id)
-            if "trend" in outputs:
-                panes = batches.dated_panes(clicks, "ad_id", ops.TREND_WINDOW, ops.TREND_SLIDE)
-                tables.ad_panes.add(panes, batch_id, dates, "clicks")
-            if "blacklist" in outputs:
-                panes = batches.dated_panes(
-                    clicks, "user_id", ops.BLACKLIST_WINDOW, ops.BLACKLIST_SLIDE
-                )
-                tables.user_panes.add(panes, batch_id, dates, "clicks")
-                # A window may begin on the day before or end on the day behind.
-                near = tables.user_panes.read(batch_id + 1, _with_neighbours(dates))
-                append(batches.new_blacklist_users(near, clicks, listed, whitelist, threshold))
-        finally:
-            listed.unpersist()
-        first = None
-        if keep_days is not None:
-            first = (date.today() - timedelta(days=keep_days)).isoformat()
-        for table in (tables.counts, tables.top_ads):
-            table.compact(batch_id)
-        for table in (tables.user_panes, tables.ad_panes):
-            table.compact(batch_id, first)
-        remove_before(session, f"{path}/clicks", batch_id)
-
-    writer = lines.writeStream.foreachBatch(update).option("checkpointLocation", checkpoint)
-    return writer.trigger(**(trigger or {"processingTime": TRIGGER})).start()
-
-
-def _clean(batch: DataFrame, listed: DataFrame, path: str, batch_id: int) -> DataFrame:
-    """Clicks of the batch by users who were not listed when it first ran."""
-    session = batch.sparkSession
-    folder = f"{path}/batch_id={batch_id}"
-    if not finished(session, folder):
-        clean = ops.not_blacklisted(ops.parse_clicks(batch), listed)
-        clean.write.mode("overwrite").parquet(folder)
-    return session.read.schema(AD_CLICK).parquet(folder)
-
-
-def _with_neighbours(dates: list[str]) -> list[str]:
-    days = [date.fromisoformat(day) for day in dates]
-    inner = [day for day in days if date.min < day < date.max]
-    around = {(day + timedelta(days=step)).isoformat() for day in inner for step in (-1, 1)}
-    return sorted(around | set(dates))
-
-
-def _bind(spark: SparkSession, path: str, checkpoint: str) -> None:
-    """Remember the checkpoint of a folder; refuse the folder to any other."""
-    mark = f"{path}/checkpoint"
-    if finished(spark, mark):
-        owner = spark.read.text(mark).first()[0]
-        if owner != checkpoint:
-            raise ValueError(f"{path} belongs to the checkpoint {owner}")
-    else:
-        spark.createDataFrame([(checkpoint,)], "value string").coalesce(1).write.mode(
-            "overwrite"
-        ).text(mark)
-
-
-def committed(spark: SparkSession, checkpoint: str) -> int:
-    """The number of micro-batches that a query has finished."""
-    return sum(name.isdigit() for name in children(spark, f"{checkpoint}/commits"))
+
+    lines: DataFrame
+    read_blacklist: Callable[[], DataFrame]
+    append: Callable[[DataFrame], None]
+    whitelist: DataFrame
+    path: str
+    threshold: int = ops.BLACKLIST_THRESHOLD
+    top: int = ops.TOP_ADS
+    outputs: frozenset[str] = OUTPUTS
+    late: str | None = None
+
+    def __post_init__(self) -> None:
+        unknown = set(self.outputs) - OUTPUTS
+        if unknown:
+            raise ValueError(f"no such outputs: {sorted(unknown)}")
+
+    @property
+    def tables(self) -> ClickTables:
+        return ClickTables(self.lines.sparkSession, self.path)
+
+    def start(self, trigger: dict | None = None) -> list[StreamingQuery]:
+        """Start all queries; they run side by side until they are stopped."""
+        trigger = trigger or {"processingTime": TRIGGER}
+        return [start(trigger) for step in self._steps() for start in step]
+
+    def run_available(self) -> list[StreamingQuery]:
+        """Take in all lines that are there, and bring all outputs up to date.
+
+        The queries run one step after the other: clean clicks, then what reads them.
+        """
+        done = []
+        for step in self._steps():
+            queries = [start({"availableNow": True}) for start in step]
+            for query in queries:
+                query.awaitTermination()
+            done += queries
+        return done
+
+    def _steps(self) -> list[list[Callable[[dict], StreamingQuery]]]:
+        spark, folder = self.lines.sparkSession, f"{self.path}/clicks"
+        checkpoint = f"{self.path}/checkpoints/{{}}".format
+        clean = partial(start_clean, self.lines, self.read_blacklist, folder, checkpoint("clean"))
+        clicks = stream_clicks(spark, folder)
+
+        def changes(name: str, rows: DataFrame) -> Callable[[dict], StreamingQuery]:
+            return partial(state.start_changes, rows, f"{self.path}/{name}", checkpoint(name))
+
+        second, third = [], []
+        if "blacklist" in self.outputs:
+            busy = state.over_threshold(clicks, self.threshold, late=self.late)
+            listing = (busy, self.read_blacklist, self.append, self.whitelist)
+            second.append(partial(state.start_blacklist, *listing, checkpoint("blacklist")))
+        if "counts" in self.outputs:
+            second.append(changes("counts", ops.running_counts(clicks)))
+        if "user_windows" in self.outputs:
+            panes = state.stream_panes(clicks, *_USER_WINDOW, self.late)
+            second.append(changes("user_panes", panes))
+        if "trend" in self.outputs:
+            second.append(changes("ad_panes", state.stream_panes(clicks, *_AD_WINDOW, self.late)))
+        if "top_ads" in self.outputs:
+            second.append(changes("province_counts", ops.province_click_counts(clicks)))
+            totals = state.stream_totals(
+                spark, f"{self.path}/province_counts", state.PROVINCE_COUNTS
+            )
+            third.append(changes("top_ads", state.stream_top_ads(totals, self.top)))
+        return [step for step in ([clean], second, third) if step]
 
 
 def start_preview(stream: DataFrame, rows: int = PREVIEW_ROWS, mode: str = "update") -> StreamingQuery:

@@ -309,15 +309,17 @@ def test_click_job(spark, sf_dir, monkeypatch, rows, tmp_path):
     )
     lines = tmp_path / "lines"
     views.ad_click_lines(spark, sf_dir).write.text(str(lines))
-    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
+    out = str(tmp_path / "out")
 
     def run():
         stream = read_text_stream(spark, str(lines))
-        query = click_job.start_click_job(
-            spark, stream, None, whitelist, out, checkpoint, "slices", trigger={"availableNow": True}
-        )
-        query.awaitTermination()
-        assert query.exception() is None
+        queries = click_job.start_click_job(spark, stream, None, whitelist, out, "slices")
+        try:
+            for query in queries:
+                query.processAllAvailable()
+        finally:
+            for query in queries:
+                query.stop()
 
     run()
     run()
@@ -325,9 +327,9 @@ def test_click_job(spark, sf_dir, monkeypatch, rows, tmp_path):
     clean = clicks.not_blacklisted(clicks.parse_clicks(spark.read.text(str(lines))), listed)
     counts = clicks.running_counts(clean)
     tables = ClickTables(spark, out)
-    assert rows(tables.counts.read(), *counts.columns) == rows(counts)
+    assert rows(tables.counts(), *counts.columns) == rows(counts)
     top = clicks.top_province_ads(clicks.province_counts(counts))
-    assert rows(tables.top_ads.read(), *top.columns) == rows(top)
+    assert rows(tables.top_ads(), *top.columns) == rows(top)
     trend = clicks.click_trend(clean)
     assert rows(tables.trend(), *trend.columns) == rows(trend)
     # Nobody clicks more than a hundred times in five minutes.
