@@ -14,11 +14,14 @@ from pyspark.sql import functions as F
 
 from clickpulse.functions.labels import AREA_LEVELS, area_level, city_label, product_type
 from clickpulse.functions.text import not_blank
-from clickpulse.operators.ranking import top_n
+from clickpulse.operators.ranking import running_ranks, top_n
 
 # Fixed value: products per area.
 TOP = 10
 
+# Values in a text of a group that is cut into chunks.
+CHUNK = 10_000
+
 
 def actions_with_city(actions: DataFrame, cities: DataFrame) -> DataFrame:
     """City data of each action; actions of unknown cities are dropped."""
@@ -63,6 +66,24 @@ def group_concat_counts(df: DataFrame, by: list[str], value: str, name: str) ->
     return _join_entries(lists, name)
 
 
+def group_concat_chunks(
+    df: DataFrame, by: list[str], value: str, name: str, size: int = CHUNK
+) -> DataFrame:
+    """``value:n`` for each distinct value of a group, in texts of at most ``size`` values.
+
+    Chunk 0 of a group holds its first values in their order, chunk 1 the next, and so on;
+    only the last may have fewer than ``size``. No text, and no task, holds a whole group
+    however many values it has. Null values do not count; a group without others has no chunk.
+    """
+    values = df.where(F.col(value).isNotNull())
+    counted = values.groupBy(*by, value).agg(F.count(F.lit(1)).alias("n"))
+    chunk = (F.col("rank") / size).cast("long").alias("chunk")
+    entry = F.struct("rank", F.concat(F.col(value).cast("string"), F.lit(":"), F.col("n")).alias("text"))
+    entries = running_ranks(counted, by, value).select(*by, chunk, entry.alias("entry"))
+    lists = entries.groupBy(*by, "chunk").agg(F.array_sort(F.collect_list("entry")).alias("entries"))
+    return lists.select(*by, "chunk", F.array_join("entries.text", ",").alias(name))
+
+
 def area_city_infos(city_clicks: DataFrame) -> DataFrame:
     """``id:name:clicks`` of the cities of each area and product."""
     return _join_entries(_area_products(city_clicks), "city_infos").drop("click_count")

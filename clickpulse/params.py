@@ -5,6 +5,11 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass
 
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from clickpulse.functions.text import not_blank, strip_blanks
+
 
 @dataclass(frozen=True)
 class JobParams:
@@ -45,3 +50,31 @@ def _given(fields: dict, name: str) -> str | None:
         return None
     text = value if isinstance(value, str) else json.dumps(value)
     return text if text.strip() else None
+
+
+def task_params(tasks: DataFrame) -> DataFrame:
+    """The parameters of many tasks as columns, by the rules of ``JobParams.from_json``.
+
+    Adds to ``task_id``: refused (no object, or an empty one), start_date, end_date, sex
+    and professionals (an array). A parameter that is missing or blank is null, a list
+    without items empty; a refused task has none.
+    """
+    fields = F.from_json("task_param", "map<string, string>")
+    whole = strip_blanks(F.col("task_param")).startswith("{")
+    parsed = tasks.select("task_id", F.when(whole, fields).alias("fields"))
+    professionals = F.filter(
+        F.split(F.coalesce(_column("professionals"), F.lit("")), ","), lambda item: not_blank(item)
+    )
+    return parsed.select(
+        "task_id",
+        (F.coalesce(F.size("fields"), F.lit(0)) <= 0).alias("refused"),
+        _column("startDate").alias("start_date"),
+        _column("endDate").alias("end_date"),
+        _column("sex").alias("sex"),
+        professionals.alias("professionals"),
+    )
+
+
+def _column(name: str) -> Column:
+    value = F.col("fields")[name]
+    return F.when(not_blank(value), value)

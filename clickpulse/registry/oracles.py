@@ -264,10 +264,88 @@ _PARTS = ", ".join(
     for part in ("year", "month", "day", "hour", "minute", "second")
 )
 
+# The tasks as they must be read: refused, first and last day, sex, professions.
+_TASKS = {
+    0: (False, "2024-01-05", "2024-01-06", None, ""),
+    1: (False, "2024-01-29", None, "female", ""),
+    2: (False, None, "2024-01-02", None, "MACHINERY|BUILDING"),
+    3: (True, None, None, None, ""),
+    4: (True, None, None, None, ""),
+    5: (True, None, None, None, ""),
+    6: (True, None, None, None, ""),
+    7: (False, "2024-02-01", "2024-01-01", None, ""),
+    8: (False, "2024-01-10", "2024-01-10", "male", ""),
+    9: (False, "2024-01-30", None, None, ""),
+    10: (False, "2024", "2024-01-01", None, ""),
+    11: (True, None, None, None, ""),
+    12: (True, None, None, None, ""),
+}
+
+
+def _sql(value: object) -> str:
+    return "NULL" if value is None else repr(value) if isinstance(value, str) else str(value)
+
+
+_TASK_ROWS = ", ".join(f"({n}, {', '.join(map(_sql, row))})" for n, row in _TASKS.items())
+_TASK_PARAMS = f"""
+    SELECT CAST(n_nationkey AS BIGINT) AS task_id, coalesce(refused, false) AS refused,
+           CASE WHEN refused IS NULL THEN printf('2024-01-%02d', n_nationkey) ELSE CAST(s AS VARCHAR) END
+               AS start_date,
+           CASE WHEN refused IS NULL THEN printf('2024-01-%02d', n_nationkey) ELSE CAST(e AS VARCHAR) END
+               AS end_date,
+           CAST(x AS VARCHAR) AS sex, coalesce(p, '') AS professionals
+    FROM nation LEFT JOIN (VALUES {_TASK_ROWS}) AS t(n, refused, s, e, x, p) ON n_nationkey = n"""
+_OF_TASKS = f"""
+    SELECT task_id, uva.* FROM uva JOIN ({_TASK_PARAMS}) t
+      ON NOT refused AND uva."date" >= coalesce(start_date, '') AND uva."date" <= coalesce(end_date, '9')
+    WHERE (t.sex IS NULL AND professionals = '') OR user_id IN (
+        SELECT ui.user_id FROM ui
+        WHERE (t.sex IS NULL OR ui.sex = t.sex)
+          AND (professionals = ''
+               OR list_contains(string_split(professionals, '|'), ui.professional)))"""
+# What is left of the exports: the last of each task.
+_DAY_OF_TASK = "(VALUES (1, '2024-01-04'), (2, '2024-01-02')) AS t(task_id, d)"
+
 _SELECTS = {
     "actions_from_text": _ACTIONS,
     "users_from_text": "SELECT * FROM ui",
     "products_from_text": "SELECT * FROM products",
+    "session_lengths_from_catalog": "SELECT * FROM lengths",
+    "hourly_lengths_from_catalog": "SELECT * FROM spans",
+    "session_details_from_catalog": f"""
+        {_ACTIONS} WHERE session_id IN (SELECT session_id FROM top_sessions)""",
+    "task_params": _TASK_PARAMS,
+    "refused_tasks": f"SELECT task_id FROM ({_TASK_PARAMS}) WHERE refused",
+    "filter_actions_by_sql": f"""
+        {_ACTIONS} WHERE uva."date" <= '2024-01-02' AND user_id IN (
+            SELECT user_id FROM ui WHERE professional IN ('MACHINERY', 'BUILDING'))""",
+    "filter_actions_of_tasks": _OF_TASKS,
+    "details_by_task": f"""
+        SELECT CAST(task_id AS BIGINT) AS task_id, '{{' || {_JSON_FIELDS} || '}}' AS "value"
+        FROM uva JOIN {_DAY_OF_TASK} ON "date" = d""",
+    "top_categories_by_task": f"""
+        SELECT CAST(task_id AS BIGINT) AS task_id, category_id,
+               CAST(coalesce(max(action_count) FILTER (WHERE flag = 0), 0) AS BIGINT) AS click_count,
+               CAST(coalesce(max(action_count) FILTER (WHERE flag = 1), 0) AS BIGINT) AS order_count,
+               CAST(coalesce(max(action_count) FILTER (WHERE flag = 2), 0) AS BIGINT) AS pay_count
+        FROM (
+            SELECT *, row_number() OVER (PARTITION BY d, flag
+                      ORDER BY action_count DESC, category_id) AS rn
+            FROM (
+                SELECT d, category_id, flag, count(*) AS action_count
+                FROM uses
+                JOIN (SELECT session_id, max("date") AS d FROM uva GROUP BY 1) USING (session_id)
+                WHERE trim(category_id) <> '' GROUP BY ALL))
+        JOIN {_DAY_OF_TASK} USING (d) WHERE rn <= 10 GROUP BY ALL""",
+    "area_actions_by_task": f"""
+        SELECT task_id, area, count(*) AS action_count
+        FROM ({_OF_TASKS}) JOIN cities USING (city_id) GROUP BY ALL""",
+    "actions_until_today": """
+        SELECT "date", count(*) AS action_count FROM uva
+        WHERE "date" <= strftime(current_date, '%Y-%m-%d') GROUP BY ALL""",
+    "first_area_products": """
+        SELECT area, click_product_id, click_count, rn FROM top_products
+        ORDER BY click_count DESC, area, rn LIMIT 5""",
     "filter_actions_by_date": f"""
         {_ACTIONS} WHERE uva."date" >= '{q.START_DATE}' AND uva."date" <= '{q.END_DATE}'""",
     "filter_actions_by_user": f"""
@@ -308,6 +386,13 @@ _SELECTS = {
         FROM (SELECT area, city_id || ':' || city_name AS city, count(*) AS n
               FROM with_city GROUP BY ALL)
         GROUP BY area""",
+    "area_session_chunks": f"""
+        SELECT area, (place - 1) // {q.CHUNK} AS chunk,
+               string_agg(session_id || ':' || n, ',' ORDER BY place) AS sessions
+        FROM (SELECT *, row_number() OVER (PARTITION BY area ORDER BY session_id) AS place
+              FROM (SELECT area, session_id, count(*) AS n
+                    FROM uva JOIN cities USING (city_id) GROUP BY ALL))
+        GROUP BY ALL""",
     "area_product_city_infos": "SELECT area, click_product_id, city_infos FROM city_infos",
     "area_top10_products": "SELECT area, click_product_id, click_count, rn FROM top_products",
     "area_top10_products_enriched": f"""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,12 +11,15 @@ from pyspark.sql import functions as F
 from clickpulse import schemas
 from clickpulse.functions import labels, times
 from clickpulse.operators import areas, categories, clicks, filters, sessions
-from clickpulse.params import JobParams
+from clickpulse.operators.ranking import preview
+from clickpulse.params import JobParams, task_params
 from clickpulse.plans.areas import area_top_products
 from clickpulse.registry import views
 from clickpulse.registry.views import PART_STARTS
-from clickpulse.sinks.files import as_json, write_delimited
-from clickpulse.sources import delimited
+from clickpulse.sinks.files import as_json, replace_task, replace_tasks, write_delimited
+from clickpulse.sinks.jdbc import category_rows
+from clickpulse.sources import delimited, tables
+from clickpulse.sources.jdbc import find_params
 from clickpulse.sources.streams import read_text_stream
 from clickpulse.storage import run_dir
 from clickpulse.streaming import outputs
@@ -26,6 +30,16 @@ Query = Callable[[SparkSession, str], DataFrame]
 START_DATE, END_DATE = "2024-01-05", "2024-01-24"
 SEX, PROFESSIONALS = "female", ("MACHINERY", "BUILDING")
 AREA_LEVELS = {"ASIA": "A", "AMERICA": "A", "EUROPE": "B", "AFRICA": "B", "MIDDLE EAST": "C"}
+# Layout of the action table, values in a chunk, and the task that SQL selects for.
+BUCKETS, CHUNK, SQL_TASK = 8, 100, 2
+# Exports in their order: task, first and last day. A later one replaces an earlier one.
+EXPORTS = (
+    (1, "2024-01-01", "2024-01-03"),
+    (2, "2024-01-02", "2024-01-02"),
+    (1, "2024-01-04", "2024-01-04"),
+    (3, "2024-01-05", "2024-01-05"),
+    (3, "2030-01-01", "2030-01-01"),
+)
 # The busiest window of a user holds three clicks in the test tables.
 BLACKLIST_THRESHOLD = 1
 
@@ -68,6 +82,92 @@ def products_from_text(i: Inputs) -> DataFrame:
     return delimited.read_product_info(i.spark, path)
 
 
+# Catalog and tasks
+
+
+def catalog_actions(i: Inputs) -> DataFrame:
+    """The actions, written to a table of the catalog and read from it."""
+    name = f"actions_{uuid.uuid4().hex}"
+    tables.save_actions_table(i.user_visit_actions, name, BUCKETS, run_dir(i.spark, name))
+    return tables.read_actions_table(i.spark, name)
+
+
+def catalog_session_details(i: Inputs) -> DataFrame:
+    actions = catalog_actions(i)
+    top = categories.top_categories(categories.category_counts(actions))
+    chosen = categories.top_sessions(categories.category_session_counts(actions, top))
+    return categories.session_details(actions, chosen)
+
+
+def all_task_params(i: Inputs) -> DataFrame:
+    columns = task_params(i.tasks)
+    return columns.withColumn("professionals", F.array_join("professionals", "|"))
+
+
+def actions_by_sql(i: Inputs) -> DataFrame:
+    """The actions of one task, its parameters looked up by its id."""
+    tables.register_views({"user_visit_action": i.user_visit_actions, "user_info": i.user_info})
+    return tables.select_actions_sql(i.spark, find_params(i.tasks, SQL_TASK))
+
+
+def actions_of_tasks(i: Inputs) -> DataFrame:
+    return filters.actions_of_tasks(catalog_actions(i), i.user_info, task_params(i.tasks))
+
+
+def refused_tasks(i: Inputs) -> DataFrame:
+    """Tasks without parameters; a job over one of them ends before it reads any action."""
+    refused = task_params(i.tasks).where("refused").select("task_id")
+    for row in refused.collect():
+        try:
+            find_params(i.tasks, row.task_id)
+        except ValueError:
+            continue
+        raise RuntimeError(f"task {row.task_id} was not refused")
+    return refused
+
+
+def details_by_task(i: Inputs) -> DataFrame:
+    """JSON lines of three tasks, two of them exported twice, read back."""
+    path = run_dir(i.spark, "details")
+    for task_id, start, end in EXPORTS:
+        chosen = JobParams(start_date=start, end_date=end)
+        rows = as_json(filters.filter_actions(i.user_visit_actions, None, chosen))
+        replace_task(rows, path, task_id, "text")
+    lines = i.spark.read.schema("value string, task_id bigint").text(path)
+    return lines.select("task_id", "value")
+
+
+def results_by_task(i: Inputs) -> DataFrame:
+    """The category table of two tasks, the first of them run twice."""
+    path = run_dir(i.spark, "categories")
+    for task_id, start, end in EXPORTS[:3]:
+        chosen = JobParams(start_date=start, end_date=end)
+        actions = filters.filter_actions(i.user_visit_actions, None, chosen)
+        top = categories.top_categories(categories.category_counts(actions))
+        rows = category_rows(categories.category_pivot(top), task_id)
+        replace_task(rows.drop("task_id"), path, task_id)
+    return i.spark.read.parquet(path).select(
+        F.col("task_id").cast("bigint"), "category_id", "click_count", "order_count", "pay_count"
+    )
+
+
+def area_results_of_tasks(i: Inputs) -> DataFrame:
+    """Clicks per area and product of all tasks, written in one job, one area's tasks again."""
+    path = run_dir(i.spark, "areas")
+    actions = actions_of_tasks(i)
+    counted = actions.join(i.city_info, "city_id").groupBy("task_id", "area").agg(
+        F.count(F.lit(1)).alias("action_count")
+    )
+    replace_tasks(counted, path)
+    replace_tasks(counted.where("task_id < 10"), path)
+    return i.spark.read.parquet(path).select(F.col("task_id").cast("bigint"), "area", "action_count")
+
+
+def actions_until_today(i: Inputs) -> DataFrame:
+    dated = i.user_visit_actions.where(F.col("date") <= times.today())
+    return dated.groupBy("date").agg(F.count(F.lit(1)).alias("action_count"))
+
+
 # Session metrics
 
 
@@ -125,6 +225,11 @@ def cities_of_areas(i: Inputs) -> DataFrame:
     return areas.group_concat_counts(actions, ["area"], "city", "city_infos")
 
 
+def sessions_of_areas(i: Inputs) -> DataFrame:
+    actions = i.user_visit_actions.join(i.city_info, "city_id")
+    return areas.group_concat_chunks(actions, ["area"], "session_id", "sessions", CHUNK)
+
+
 def enriched_area_products(i: Inputs) -> DataFrame:
     return area_top_products(
         i.user_visit_actions, i.user_info, i.city_info, i.product_info, levels=AREA_LEVELS
@@ -173,38 +278,35 @@ def province_counts(i: Inputs) -> DataFrame:
 def _click_tables(i: Inputs, output: str) -> tuple[outputs.ClickTables, str]:
     """Run the click stream over all parts; its tables, and the path of its blacklist.
 
-    The query is started anew for each part, as after a stop, and goes on where it ended.
-    Each batch reads the blacklist that earlier batches appended to.
+    The queries are started anew for each part, as after a stop, and go on where they
+    ended. Each batch reads the blacklist that earlier batches appended to.
     """
     folder = run_dir(i.spark, output)
     listed, lines = f"{folder}/blacklist", f"{folder}/lines"
     i.blacklist.write.parquet(listed)
+    stream = outputs.ClickStream(
+        read_text_stream(i.spark, f"{lines}/part-*"),
+        lambda: i.spark.read.schema(schemas.BLACK_USERS).parquet(listed),
+        lambda users: users.write.mode("append").parquet(listed),
+        i.whitelist,
+        f"{folder}/tables",
+        BLACKLIST_THRESHOLD,
+        outputs=frozenset({"blacklist", output}),
+    )
     for part in range(len(PART_STARTS) + 1):
         arrived = i.ad_click_parts.where(F.col("part") == part)
         arrived.select("value").write.text(f"{lines}/part-{part}")
-        query = outputs.start_click_updates(
-            read_text_stream(i.spark, f"{lines}/part-*"),
-            lambda: i.spark.read.schema(schemas.BLACK_USERS).parquet(listed),
-            lambda users: users.write.mode("append").parquet(listed),
-            i.whitelist,
-            f"{folder}/tables",
-            f"{folder}/checkpoint",
-            BLACKLIST_THRESHOLD,
-            outputs=frozenset({"blacklist", output}),
-            trigger={"availableNow": True},
-        )
-        query.awaitTermination()
-    if outputs.committed(i.spark, f"{folder}/checkpoint") <= len(PART_STARTS):
-        raise RuntimeError("the stream ran fewer batches than there are parts")
-    return outputs.ClickTables(i.spark, f"{folder}/tables"), listed
+        if stream.run_available()[0].lastProgress["batchId"] != part:
+            raise RuntimeError("the stream did not take in a part as one batch")
+    return stream.tables, listed
 
 
 def running_counts_stream(i: Inputs) -> DataFrame:
-    return _click_tables(i, "counts")[0].counts.read()
+    return _click_tables(i, "counts")[0].counts()
 
 
 def user_windows_stream(i: Inputs) -> DataFrame:
-    return _click_tables(i, "blacklist")[0].user_windows()
+    return _click_tables(i, "user_windows")[0].user_windows()
 
 
 def click_trend_stream(i: Inputs) -> DataFrame:
@@ -212,7 +314,7 @@ def click_trend_stream(i: Inputs) -> DataFrame:
 
 
 def province_top5_stream(i: Inputs) -> DataFrame:
-    return _click_tables(i, "top_ads")[0].top_ads.read()
+    return _click_tables(i, "top_ads")[0].top_ads()
 
 
 def blacklist_stream(i: Inputs) -> DataFrame:
@@ -227,6 +329,22 @@ QUERIES: dict[str, Query] = {
         "actions_from_text": actions_from_text,
         "users_from_text": users_from_text,
         "products_from_text": products_from_text,
+        "session_lengths_from_catalog": lambda i: sessions.session_lengths(catalog_actions(i)),
+        "hourly_lengths_from_catalog": lambda i: sessions.hourly_session_lengths(
+            catalog_actions(i)
+        ),
+        "session_details_from_catalog": catalog_session_details,
+        "task_params": all_task_params,
+        "refused_tasks": refused_tasks,
+        "filter_actions_by_sql": actions_by_sql,
+        "filter_actions_of_tasks": actions_of_tasks,
+        "details_by_task": details_by_task,
+        "top_categories_by_task": results_by_task,
+        "area_actions_by_task": area_results_of_tasks,
+        "actions_until_today": actions_until_today,
+        "first_area_products": lambda i: preview(
+            top_area_products(i), [F.desc("click_count"), F.asc("area"), F.asc("rn")]
+        ),
         "filter_actions_by_date": lambda i: filters.filter_actions(
             i.user_visit_actions, i.user_info, JobParams(start_date=START_DATE, end_date=END_DATE)
         ),
@@ -253,6 +371,7 @@ QUERIES: dict[str, Query] = {
         "area_product_clicks": lambda i: areas.area_product_clicks(city_clicks(i)),
         "area_product_action_counts": lambda i: unfiltered_area_counts(i).drop("city_list"),
         "area_city_concat": cities_of_areas,
+        "area_session_chunks": sessions_of_areas,
         "area_product_city_infos": lambda i: areas.area_city_infos(city_clicks(i)),
         "area_top10_products": top_area_products,
         "area_top10_products_enriched": enriched_area_products,

@@ -113,6 +113,39 @@ def whitelist(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.selectExpr("cast(c_custkey as int) AS user_id")
 
 
+# Parameters of the tasks, by the number of a nation; what is not listed has TASK_OF_A_DAY.
+TASK_PARAMS = {
+    0: '{"startDate":"2024-01-05","endDate":"2024-01-06"}',
+    1: '{"startDate":"2024-01-29","sex":"female"}',
+    2: '{"endDate":"2024-01-02","startDate":" ","professionals":"MACHINERY,,BUILDING, ,"}',
+    3: "{}",
+    4: None,
+    5: "no object",
+    6: "[]",
+    7: '{"startDate":"2024-02-01","endDate":"2024-01-01"}',
+    8: '{"startDate":"2024-01-10","endDate":"2024-01-10","sex":"male","professionals":","}',
+    9: '{"sex":null,"endDate":"","startDate":"2024-01-30","unknown":{"a":1}}',
+    10: '{"startDate": 2024, "endDate": "2024-01-01"}',
+    11: " ",
+    12: '{"startDate":',
+}
+TASK_OF_A_DAY = "2024-01-%02d"
+
+
+def tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A task per nation, with the JSON of its parameters."""
+    listed = " ".join(
+        f"WHEN {n} THEN " + ("NULL" if text is None else f"'{text}'")
+        for n, text in TASK_PARAMS.items()
+    )
+    day = f"format_string('{TASK_OF_A_DAY}', n_nationkey)"
+    other = f"""concat('{{"startDate":"', {day}, '","endDate":"', {day}, '"}}')"""
+    return _read(spark, sf_dir, "nation").selectExpr(
+        "cast(n_nationkey as bigint) AS task_id",
+        f"CASE n_nationkey {listed} ELSE {other} END AS task_param",
+    )
+
+
 def ad_click_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _read(spark, sf_dir, "events").selectExpr(_CLICK_LINE)
 

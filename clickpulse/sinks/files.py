@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickpulse.functions.text import or_null_text
+from clickpulse.storage import write_whole
 
 
 def as_json(df: DataFrame) -> DataFrame:
@@ -25,6 +26,25 @@ def write_json_lines(df: DataFrame, path: str) -> None:
     as_json(df).write.mode("overwrite").text(path)
 
 
+def replace_task(df: DataFrame, path: str, task_id: int, format: str = "parquet") -> None:
+    """Write the rows of one task to its folder below ``path``; other tasks keep theirs.
+
+    A task that runs again gets a new folder in place of the old, also if it has no rows any
+    more, so however often it runs, its rows are there once. ``format`` may be "text" for
+    frames with one text column, such as JSON lines.
+    """
+    write_whole(df, path, f"task_id={task_id}", format, replace=True)
+
+
+def replace_tasks(df: DataFrame, path: str) -> None:
+    """Write the rows of many tasks, told apart by ``task_id``, in one job.
+
+    Folders of tasks without rows in ``df`` stay as they are.
+    """
+    writer = df.write.mode("overwrite").partitionBy("task_id")
+    writer.option("partitionOverwriteMode", "dynamic").parquet(path)
+
+
 def write_delimited(df: DataFrame, path: str, separator: str = ",") -> None:
     """Write delimited lines to a new folder."""
     as_delimited(df, separator).write.text(path)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickpulse.sources.jdbc import Database
@@ -61,6 +61,54 @@ def write_jdbc(
     writer.option("truncate", "true").mode(mode).save()
 
 
+def replace_task_rows(df: DataFrame, database: Database, table: str, task_id: int) -> None:
+    """Put a task's rows in place of those it inserted before.
+
+    The rows go to a staging table of the task first, over several connections. One
+    transaction then removes the old rows and takes the new ones over, so readers see
+    either, and a run that fails anywhere can simply be repeated.
+    """
+    staging = f"{table}_task_{task_id}"
+    write_jdbc(df, database, staging, "overwrite")
+    connection = _connect(df.sparkSession, database)
+    try:
+        in_one_transaction(connection, swap_statements(table, staging, df.columns, task_id))
+    finally:
+        connection.close()
+
+
+def swap_statements(table: str, staging: str, columns: list[str], task_id: int) -> list[str]:
+    names = ", ".join(f'"{name}"' for name in columns)
+    return [
+        f"DELETE FROM {table} WHERE task_id = {int(task_id)}",
+        f"INSERT INTO {table} ({names}) SELECT {names} FROM {staging}",
+        f"DELETE FROM {staging}",
+    ]
+
+
+def in_one_transaction(connection, statements: list[str]) -> None:
+    """Run statements on a JDBC connection; all of them take effect or none."""
+    connection.setAutoCommit(False)
+    statement = connection.createStatement()
+    try:
+        for text in statements:
+            statement.executeUpdate(text)
+        connection.commit()
+    except Exception:
+        connection.rollback()
+        raise
+    finally:
+        statement.close()
+
+
+def _connect(spark: SparkSession, database: Database):
+    java = spark._jvm.java
+    properties = java.util.Properties()
+    for name, value in database.options.items():
+        properties.setProperty(name, value)
+    return java.sql.DriverManager.getConnection(database.url, properties)
+
+
 def for_connections(df: DataFrame, connections: int = _CONNECTIONS) -> DataFrame:
     """The rows dealt to as many partitions as may connect.
 

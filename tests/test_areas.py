@@ -1,6 +1,8 @@
 import pytest
+from pyspark.sql import functions as F
 
 from clickpulse.operators import areas
+from clickpulse.operators.ranking import preview, running_ranks
 from clickpulse.plans.areas import area_top_products
 
 CITY = "city_id int, city_name string, area string, province_name string"
@@ -81,3 +83,42 @@ def test_rank_comes_before_the_product_join(actions, cities, frame, rows):
     df = actions((1, "unknown"), (1, "unknown"), (1, "5"))
     products = frame(PRODUCT, (5, "five", "{}"))
     assert rows(area_top_products(df, None, cities, products, n=1)) == []
+
+
+def test_chunks_of_a_group(frame, rows):
+    values = [("a", v) for v in "edcba" for _ in range("abcde".index(v) + 1)]
+    df = frame("g string, v string", *values, ("a", None), ("b", None), (None, "x"), (None, "x"))
+    found = areas.group_concat_chunks(df, ["g"], "v", "texts", size=2)
+    assert rows(found) == [
+        ("a", 0, "a:1,b:2"),
+        ("a", 1, "c:3,d:4"),
+        ("a", 2, "e:5"),
+        (None, 0, "x:2"),
+    ]
+    assert rows(areas.group_concat_chunks(df.limit(0), ["g"], "v", "texts")) == []
+
+
+def test_numbers_and_several_groups_in_chunks(frame, rows):
+    df = frame("g string, h int, v int", *((g, h, v) for g in "ab" for h in (1, 2) for v in (10, 9, 100)))
+    found = rows(areas.group_concat_chunks(df, ["g", "h"], "v", "texts", size=2))
+    assert found[:2] == [("a", 1, 0, "9:1,10:1"), ("a", 1, 1, "100:1")] and len(found) == 8
+
+
+def test_a_hot_group_is_ranked_by_many_tasks(spark):
+    group = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("g"), F.col("id") % 50))
+    df = spark.range(30_000).select(group.alias("g"), F.format_string("v%05d", "id").alias("v"))
+    # So few rows would be merged into one range.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        ranked = running_ranks(df, ["g"], "v")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    sizes = [row["count"] for row in ranked.groupBy("range").count().collect()]
+    assert len(sizes) > 4 and max(sizes) < 2 * 30_000 / len(sizes)
+    hot = [row["rank"] for row in ranked.where("g = 'hot'").orderBy("v").collect()]
+    assert hot == list(range(10_000))
+
+
+def test_preview(frame, rows):
+    df = frame("g string, n int", *(("x", n) for n in range(20)))
+    assert [row.n for row in preview(df, [F.desc("n")], 3).collect()] == [19, 18, 17]

@@ -11,7 +11,7 @@ from clickpulse.registry.queries import QUERIES
 TABLES = "events customer nation region part".split()
 
 # How DuckDB names the types of the results.
-TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER"}
+TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "boolean": "BOOLEAN"}
 
 
 def database(sf_dir):

@@ -1,5 +1,7 @@
 import json
 
+import pytest
+
 from clickpulse.sinks import files, jdbc
 from clickpulse.sources import delimited
 from clickpulse.sources.jdbc import Database
@@ -55,3 +57,78 @@ def test_result_rows(frame):
     rows = jdbc.area_rows(area, 9)
     assert rows.columns == jdbc.AREA_COLUMNS
     assert rows.collect() == [(9, "north", "5", "A", 7, "1:x:7", "name", "type")]
+
+
+def test_a_task_that_runs_again_replaces_its_rows(spark, frame, rows, tmp_path):
+    path, schema = str(tmp_path / "out"), "a int"
+    for task, values in ((1, (1, 2)), (2, (3,)), (1, (4,)), (10, (5,))):
+        files.replace_task(frame(schema, *((v,) for v in values)), path, task)
+    read = lambda: rows(spark.read.parquet(path), "task_id", "a")
+    assert read() == [(1, 4), (10, 5), (2, 3)]
+    files.replace_task(frame(schema), path, 10)
+    assert read() == [(1, 4), (2, 3)]
+    before = sorted(p.name for p in (tmp_path / "out" / "task_id=2").iterdir())
+    files.replace_tasks(frame("a int, task_id int", (7, 1), (8, 3)), path)
+    assert read() == [(1, 7), (2, 3), (3, 8)]
+    assert sorted(p.name for p in (tmp_path / "out" / "task_id=2").iterdir()) == before
+
+
+def test_a_task_that_fails_keeps_its_rows(spark, frame, rows, tmp_path):
+    path = str(tmp_path / "out")
+    files.replace_task(frame("a int", (1,)), path, 1)
+    broken = frame("a int", (0,)).selectExpr("cast(raise_error('lost') AS int) AS a")
+    with pytest.raises(Exception, match="lost"):
+        files.replace_task(broken, path, 1)
+    assert rows(spark.read.parquet(path), "task_id", "a") == [(1, 1)]
+
+
+def test_json_lines_of_a_task(spark, frame, rows, tmp_path):
+    path = str(tmp_path / "out")
+    for value in (1, 2):
+        files.replace_task(files.as_json(frame("a int", (value,))), path, 4, "text")
+    assert rows(spark.read.text(path), "task_id", "value") == [(4, '{"a":2}')]
+
+
+class Connection:
+    """Notes what is done to it; fails at the given statement."""
+
+    def __init__(self, fails=""):
+        self.fails, self.done = fails, []
+
+    def setAutoCommit(self, on):
+        self.done.append(f"auto {on}")
+
+    def createStatement(self):
+        return self
+
+    def executeUpdate(self, text):
+        if self.fails and text.startswith(self.fails):
+            raise RuntimeError("lost")
+        self.done.append(text)
+
+    def commit(self):
+        self.done.append("commit")
+
+    def rollback(self):
+        self.done.append("rollback")
+
+    def close(self):
+        self.done.append("close")
+
+
+def test_rows_of_a_task_are_swapped_in_one_transaction():
+    statements = jdbc.swap_statements("t", "t_task_7", ["task_id", "count"], 7)
+    connection = Connection()
+    jdbc.in_one_transaction(connection, statements)
+    assert connection.done == [
+        "auto False",
+        "DELETE FROM t WHERE task_id = 7",
+        'INSERT INTO t ("task_id", "count") SELECT "task_id", "count" FROM t_task_7',
+        "DELETE FROM t_task_7",
+        "commit",
+        "close",
+    ]
+    connection = Connection(fails="INSERT")
+    with pytest.raises(RuntimeError):
+        jdbc.in_one_transaction(connection, statements)
+    assert connection.done[-2:] == ["rollback", "close"] and "commit" not in connection.done
