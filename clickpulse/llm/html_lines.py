@@ -33,20 +33,29 @@ MARKS = frozenset(
 ARTICLE, OPEN, MARKED = 0, 1, 2
 
 
-def _marked(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
+def _hidden(attrs: list[tuple[str, str | None]]) -> bool:
     values = {name: value or "" for name, value in attrs}
     if "hidden" in values or values.get("aria-hidden") == "true":
         return True
     style = values.get("style", "").replace(" ", "").lower()
-    if "display:none" in style or "visibility:hidden" in style:
-        return True
+    return "display:none" in style or "visibility:hidden" in style
+
+
+def _named(attrs: list[tuple[str, str | None]]) -> bool:
+    """Whether class, id or role say that an element is no part of the article."""
+    values = {name: value or "" for name, value in attrs}
     names = " ".join(values.get(n, "") for n in ("class", "id", "role")).lower()
     return not MARKS.isdisjoint("".join(c if c.isalnum() else " " for c in names).split())
 
 
 class _Reader(HTMLParser):
-    def __init__(self) -> None:
+    """Collects lines; names of elements count for article and main, and at all, if asked to."""
+
+    def __init__(self, articles_by_name: bool = True, by_name: bool = True) -> None:
         super().__init__(convert_charrefs=True)
+        self.articles_by_name, self.by_name = articles_by_name, by_name
+        #: Whether an article or main element was left out for its name.
+        self.left_out = False
         self.lines: list[tuple[str, int]] = []
         self.held: list[str] = []
         self.held_part = OPEN
@@ -72,18 +81,24 @@ class _Reader(HTMLParser):
         part = self.part
         if tag in ("article", "main"):
             inside = any(t == "article" for t, _ in self.stack)
-            if tag == "article" and inside or _marked(tag, attrs):
+            named = _named(attrs)
+            if tag == "article" and inside or _hidden(attrs):
                 part = MARKED  # an article within an article is a comment
+            elif named and self.articles_by_name:
+                part, self.left_out = MARKED, True
             elif not inside:
                 part = ARTICLE  # whatever was left open before it
-        elif tag == "header" and part == ARTICLE and not _marked(tag, attrs):
+        elif tag == "header" and part == ARTICLE and not self._marked(attrs):
             pass  # the heading of the article
         elif part != MARKED and tag not in ("html", "body"):
-            if tag in FRAME or _marked(tag, attrs):
+            if tag in FRAME or self._marked(attrs):
                 part = MARKED
         self.stack.append((tag, self.part))
         self.part = part
 
+    def _marked(self, attrs: list[tuple[str, str | None]]) -> bool:
+        return _hidden(attrs) or self.by_name and _named(attrs)
+
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         # A slash closes nothing but void elements.
         self.handle_starttag(tag, attrs)
@@ -111,9 +126,20 @@ def page_lines(html: str) -> list[tuple[str, int]]:
 
     ARTICLE stands in the article or main element, OPEN anywhere else; text in elements that
     frame a page is left out. Character references are decoded, white space is one space.
+    Class words only choose between parts of a page: if they leave out its only article
+    element, or all of its text, the page is read without looking at them there.
     """
-    reader = _Reader()
+    reader = _read(html)
+    if reader.left_out and all(part != ARTICLE for _, part in reader.lines):
+        reader = _read(html, articles_by_name=False)
+    if not reader.lines:
+        reader = _read(html, articles_by_name=False, by_name=False)
+    return reader.lines
+
+
+def _read(html: str, **names: bool) -> _Reader:
+    reader = _Reader(**names)
     reader.feed(html)
     reader.close()
     reader.flush()
-    return reader.lines
+    return reader
