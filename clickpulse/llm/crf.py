@@ -7,14 +7,14 @@ learned matrix scores the change from one word's language to the next one's.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable
 from dataclasses import dataclass
 
 import numpy as np
+import regex
 
-#: A word is a run of letters.
-WORD = re.compile(r"[^\W\d_]+")
+#: A word is a run of letters, each with the marks that belong to it.
+WORD = regex.compile(r"(?:\p{L}\p{M}*)+")
 
 _SLOTS = 1 << 18
 _GRAMS = (1, 2, 3)

@@ -24,12 +24,13 @@ _REMEMBERED = 1 << 20
 def training_sample(
     docs: DataFrame, usable: Column, text: str, lang: str, id: str, size: int, chars: int
 ) -> list[tuple[str, str]]:
-    """At most `size` labelled texts per language, spread evenly by a hash of their ids.
+    """At most `size` labelled texts per language, spread evenly by a hash of id and text.
 
-    Each gives at most `chars` characters from a place that the same hash picks.
+    Each gives at most `chars` characters from a place that the same hash picks. The smallest
+    hash of a language is always in, so none goes missing however alike its rows are.
     """
     given = Input(docs)
-    hashed = F.xxhash64(given[id], F.lit(2))
+    hashed = F.xxhash64(given[id], given[text], F.lit(2))
     share = F.pmod(hashed, F.lit(1 << 30)) / float(1 << 30)
     rows = given.frame.where(usable & given[lang].isNotNull() & given[text].isNotNull())
     rows = rows.select(
@@ -38,9 +39,11 @@ def training_sample(
         hashed.alias("h"),
         share.alias("share"),
     )
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n"), F.min("share").alias("least"))
     # A hash below the language's bound leaves about twice the sample to choose from.
-    near = rows.join(F.broadcast(counts), "lang").where(F.col("share") * F.col("n") < 2 * size)
+    near = rows.join(F.broadcast(counts), "lang").where(
+        (F.col("share") * F.col("n") < 2 * size) | (F.col("share") == F.col("least"))
+    )
     first = Window.partitionBy("lang").orderBy("h", F.length("text"), F.crc32(F.encode("text", "utf-8")))
     start = F.pmod(F.col("h"), F.greatest(F.lit(1), F.length("text") - chars)) + 1
     part = F.substr("text", start.cast("int"), F.lit(chars))
