@@ -47,13 +47,13 @@ def plain_words(text: bytes) -> list[bytes]:
 Phrases = tuple[list[bytes], list[tuple[np.ndarray, list[list[str]]]]]
 
 
-def phrases_of(items: list[tuple[str, str]], window: int) -> Phrases:
+def phrases_of(items: list[tuple[str | None, str]], window: int) -> Phrases:
     number: dict[bytes, int] = defaultdict(count().__next__)
     owners: dict[tuple[int, ...], set[str]] = defaultdict(set)
     for item, text in items:
         ids = [number[w] for w in plain_words(text.encode())]
         for i in range(max(1, len(ids) - window + 1) if ids else 0):
-            owners[tuple(ids[i : i + window])].add(item)
+            owners[tuple(ids[i : i + window])] |= {item} - {None}
     by_length: dict[int, list[tuple[int, ...]]] = defaultdict(list)
     for phrase in owners:
         by_length[len(phrase)].append(phrase)
@@ -121,7 +121,7 @@ def _search_texts(phrases: Phrases, texts: list[bytes | None], shard_words: int)
         start = 0
         for words, found in zip(shard, items, strict=True):
             mine = hit[start : start + len(words)]
-            spans = _spans(mine) if found else []
+            spans = _spans(mine) if mine.any() else []
             yield {"n_words": len(words), "spans": spans, "items": sorted(found)}
             start += len(words) + 1
 
@@ -154,7 +154,7 @@ def _finder(phrases, shard_words: int):
             texts = text.cast(pa.binary()).to_pylist()
             found = _search_texts(block, texts, shard_words)
             for row, old in zip(found, earlier.to_pylist(), strict=True):
-                if old and old["items"]:
+                if old and old["spans"]:
                     past = [(s["start"], s["end"]) for s in old["spans"]]
                     row["spans"] = _merged(past, row["spans"])
                     row["items"] = sorted({*old["items"], *row["items"]})
@@ -180,21 +180,21 @@ def find_passages(
     A window is `window` words in a row of an item; an item of fewer words, but not none,
     is one window. Adds n_words, spans (merged word ranges, end excluded, that occurrences
     cover), n_hit (words in them) and items (ids with an occurring window, as sorted
-    strings). Null and empty texts have no words; items with a null id or text are no
-    items; repeated items count once; an empty benchmark hits nothing; an empty table gives
-    an empty table. Rows are judged one by one, so repeated rows get the same result. A
-    result column replaces an input column of its name.
+    strings). Null and empty texts have no words; an item with a null id is searched for as
+    well, but not listed; one with a null text is none; repeated items count once; an empty
+    benchmark hits nothing; an empty table gives an empty table. Rows are judged one by one,
+    so repeated rows get the same result. A result column replaces an input column of its name.
     """
     context = docs.sparkSession.sparkContext
     own = Input(benchmark)
     known = own.frame.select(own[item].cast("string").alias("item"), own[item_text].alias("text"))
-    known = known.where("item IS NOT NULL AND text IS NOT NULL")
+    known = known.where("text IS NOT NULL")
     size = known.agg(F.sum(F.octet_length("text"))).head()[0] or 0
     blocks = max(1, math.ceil(size / block_bytes))
     given = Input(docs)
     df = given.frame.withColumn("found", F.lit(None).cast(_FOUND))
     for n in range(blocks):
-        rows = known.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == n).collect()
+        rows = known.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == n).collect()
         phrases = context.broadcast(phrases_of([(r.item, r.text) for r in rows], window))
         df = df.withColumn("found", _finder(phrases, shard_words)(given[text], F.col("found")))
     total = lambda a, s: a + s["end"] - s["start"]

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from clickpulse.llm.components import components
-from clickpulse.llm.crf import train
+from clickpulse.llm.crf import WORD, Model, Packed, posteriors, train
 from clickpulse.llm.decontamination import cut_passages, find_passages
 from clickpulse.llm.fm_index import FMIndex, suffix_order
 from clickpulse.llm.html_lines import page_lines
@@ -255,12 +255,15 @@ def test_passages(spark, frame, options):
     items = {n: draw(pick.randrange(1, 25)) for n in range(12)} | {50: None, 51: "", 52: "..."}
     texts = {n: draw(pick.randrange(40)) for n in range(40)} | {90: None, 91: ""}
     docs = frame("doc_id int, text string, spans string, found int", *((i, t, "x", 1) for i, t in texts.items()))
-    benchmark = frame("item_id int, text string", *items.items(), (0, items[0]), (None, "aa"))
+    nameless = [(None, "bb cc dd"), (None, "bb cc dd"), (None, None)]
+    benchmark = frame("item_id int, text string", *items.items(), (0, items[0]), *nameless)
     found = find_passages(docs, benchmark, **options)
+    items = items | {"nameless": "bb cc dd"}
     found = found.withColumn("cut", cut_passages(F.col("text"), F.col("spans")))
     for row in found.collect():
         n, hit, names = brute.contamination(row.text, items)
         covered = {i for s in row.spans for i in range(s.start, s.end)}
+        names = [name for name in names if name != "nameless"]
         assert (row.n_words, covered, row["items"]) == (n, hit, names)
         assert row.n_hit == len(hit)
         left = brute.contamination(row.cut, {})[0]
@@ -269,6 +272,15 @@ def test_passages(spark, frame, options):
             assert row.cut == row.text
 
 
+def test_passages_of_items_without_an_id(frame):
+    docs = frame("doc_id int, text string", (1, "x bb cc dd y"), (2, "bb cc"))
+    benchmark = frame("item_id int, text string", (None, "bb cc dd"), (None, "bb cc dd"), (3, "zz"))
+    for options in ({}, {"block_bytes": 8}):
+        found = {r.doc_id: r for r in find_passages(docs, benchmark, **options).collect()}
+        assert [tuple(s) for s in found[1].spans] == [(1, 4)]
+        assert (found[1].n_hit, found[1]["items"], found[2].n_hit) == (3, [], 0)
+
+
 def test_passages_on_odd_tables(docs, empty, frame):
     benchmark = frame("item_id int, text string", (1, LONG[3000:3200]), (2, PROSE))
     found = {r.doc_id: r for r in find_passages(docs, benchmark).where("doc_id IS NOT NULL").collect()}
@@ -361,6 +373,33 @@ def test_page_parts():
     assert main_text(page_lines("<nav>Menu<article><p>Text"), []) == "Text"
 
 
+def test_class_words_only_choose_between_parts():
+    text = lambda html: main_text(page_lines(html), [])
+    menu = "<nav>Menu</nav>"
+    assert text(f"{menu}<article class='post category-social'><p>All of it</article>") == "All of it"
+    assert text(f"{menu}<main id=legal><p>Terms</main><div class=ad>Buy</div>") == "Terms"
+    assert text(f"{menu}<div class='post tags'><p>All of it</div>") == "All of it"
+    # Where another part is left, they still count; what is hidden never does.
+    both = "<article><p>Story</article><section><article class=comment><p>Nice</article></section>"
+    assert text(menu + both) == "Story"
+    assert text(f"{menu}<div>Text</div><div class=tags>a b</div>") == "Text"
+    assert text("<article hidden>Old</article><article class=ad style='display: none'>x</article>") == ""
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.integers(0, 4), max_size=25), st.lists(st.integers(0, 4), max_size=25))
+def test_shared_lines_are_a_longest_common_subsequence(a, b):
+    table = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    for i, x in enumerate(a):
+        for j, y in enumerate(b):
+            best = max(table[i][j + 1], table[i + 1][j])
+            table[i + 1][j + 1] = table[i][j] + 1 if x == y else best
+    found = shared_lines(a, b)
+    assert found == sorted(set(found)) and len(found) == table[-1][-1]
+    rest = iter(b)
+    assert all(a[i] in rest for i in found)
+
+
 def test_shared_lines():
     assert shared_lines(list("abcde"), list("xbxdex")) == [1, 3, 4]
     assert shared_lines([], ["a"]) == shared_lines(["a"], []) == []
@@ -436,6 +475,52 @@ def test_code_switched_words(spark, frame):
     assert got[2].words == got[3].word_langs == []
 
 
+def test_words_are_letters_with_their_marks():
+    assert WORD.findall("½ ② Ⅷ ٣ 42 _ !") == []
+    assert WORD.findall("हिन्दी, re\u0301sume\u0301 don't x2y") == [
+        "हिन्दी", "re\u0301sume\u0301", "don", "t", "x", "y",
+    ]
+
+
+def test_languages_of_rows_with_one_id(spark):
+    rows = [(7, f"the cat number {n} sat on the mat", "en") for n in range(900)]
+    rows += [(7, "der hund und die katze", "de")] * 900
+    df = spark.createDataFrame(rows, "doc_id int, text string, lang string")
+    model = fit_languages(df, sample_docs=20)
+    assert model.languages == ["de", "en"]
+    got = {r.text: r.lang_pred for r in identify_languages(df, model).distinct().collect()}
+    assert got["der hund und die katze"] == "de" and got[rows[0][1]] == "en"
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_forward_backward_against_all_paths(seed):
+    """Probabilities of labels are sums over all ways to label a short text."""
+    rng = np.random.default_rng(seed)
+    kinds, lengths = 3, np.array([4, 1, 6, 2])
+    model = Model(
+        ["a", "b", "c"],
+        np.zeros((1, kinds), np.float32),
+        rng.normal(size=kinds).astype(np.float32),
+        rng.normal(size=(kinds, kinds)).astype(np.float32),
+    )
+    scores = rng.normal(size=(lengths.sum(), kinds)).astype(np.float32)
+    packed = Packed(lengths)
+    found = np.empty_like(scores)
+    found[packed.source] = posteriors(model, scores[packed.source], packed)
+    begin = 0
+    for n in lengths:
+        own = scores[begin : begin + n].astype(float)
+        want = np.zeros((n, kinds))
+        for path in np.ndindex(*[kinds] * n):
+            value = model.start[path[0]] + sum(own[t, k] for t, k in enumerate(path))
+            value += sum(model.change[a, b] for a, b in zip(path, path[1:]))
+            for t, k in enumerate(path):
+                want[t, k] += np.exp(value)
+        want /= want.sum(axis=1, keepdims=True)
+        assert np.allclose(found[begin : begin + n], want, atol=1e-4)
+        begin += n
+
+
 def test_languages_of_odd_rows(docs, empty, spark):
     model = fit_languages(docs)
     assert model.languages == ["en"]
