@@ -6,20 +6,23 @@ two probes, and halves to it from there. Ends found in both lists cut the tokens
 groups; the ranks of two ends that follow each other bound the tokens of the other side
 that a token overlaps.
 
-Over the corpus the links of every pair of ids are counted. Documents look the counts of
-their pairs up: frequent pairs, of which there can be only so many, in every task, the
+Texts are tokenized once and their ids written to the shared folder. Over the corpus the
+links of every pair of ids are counted. Documents look the counts of their pairs up: frequent pairs, of which there can be only so many, in every task, the
 other ones by a join in which no pair is hot.
 """
 
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
@@ -28,16 +31,18 @@ from tokenizers import Tokenizer
 
 from clickpulse.llm.frames import Input, durable
 from clickpulse.llm.pretokens import MARKS, load_model, piece_ids, uncut_ends
+from clickpulse.storage import run_dir
 
 #: At most so many pairs are sent to every task: those with this share of all links.
 COMMON = 1 << 20
 
-#: Bytes of text aligned at once, and parts of texts whose ids are kept.
-_BYTES, _PARTS = 1 << 20, 1 << 17
+#: Bytes of texts or ids that are worked on at once, parts of texts whose ids are kept, and
+#: words that are tokenized in a row.
+_BYTES, _PARTS, _ROW = 1 << 20, 1 << 19, 1000
 #: More than a vocabulary has ids; a pair of ids is one number.
 _IDS = 1 << 31
 #: A word of Latin letters and its marks: both tokenizers end a token between them.
-_WORD = re.compile(rf"([A-Za-zÀ-ÖØ-öø-ʯ]+)([{re.escape(MARKS)}]+)")
+_WORD = re.compile(rf"([A-Za-zÀ-ÖØ-öø-ʯ]+)([{re.escape(MARKS)}]*)")
 _BETWEEN = re.compile(r"(?<=\S) (?=\S)")
 
 #: What a text's own row has: counts, sums over common pairs, and a hash in four numbers.
@@ -74,11 +79,20 @@ def align_tokens(
     body = given.frame.select(given[id].alias("id"), given[text].alias("text"))
     if any(end.isalpha() for end in uncut_ends(load_model(b_path))):
         raise ValueError("words of B must end before marks")
-    counts = _pair_counts(body.select("text"), a_path, b_path)
-    known = body.sparkSession.sparkContext.broadcast(_common(counts, common))
+    spark = body.sparkSession
     kind = body.schema["id"].dataType.simpleString()
-    rows = body.mapInArrow(
-        lambda batches: _rows(batches, a_path, b_path, known, with_groups),
+    vocabularies = spark.sparkContext.broadcast(Vocabularies.read(a_path, b_path))
+    folder = run_dir(spark, "alignment")
+    tokenized = body.mapInArrow(
+        lambda batches: _tokenized(batches, a_path, b_path, vocabularies),
+        f"id {kind}, digest binary, a binary, b binary",
+    )
+    tokenized.write.option("compression", "zstd").parquet(folder)
+    tokenized = spark.read.schema(tokenized.schema).parquet(folder)
+    counts = _pair_counts(tokenized.select("a", "b"), vocabularies)
+    known = spark.sparkContext.broadcast(_common(counts, common))
+    rows = tokenized.mapInArrow(
+        lambda batches: _rows(batches, vocabularies, known, with_groups),
         f"id {kind}, digest binary, own struct<{_OWN}, groups: string>, pair bigint, n bigint",
     )
     valued = rows.join(counts, "pair", "left").select(
@@ -167,74 +181,156 @@ def overlaps(driving: np.ndarray, other: np.ndarray, guess: np.ndarray) -> Overl
     return Overlap(first, last, common)
 
 
-class Tokens:
-    """Ids of A and B for texts, looked up part by part.
+@dataclass(frozen=True)
+class Vocabularies:
+    """The bytes of the tokens of A and of B."""
+
+    bytes: tuple[list[bytes], list[bytes]]
+
+    @classmethod
+    def read(cls, a_path: str, b_path: str) -> Vocabularies:
+        return cls((_a_bytes(Tokenizer.from_file(a_path)), _b_bytes(load_model(b_path))))
+
+    @property
+    def kinds(self) -> tuple[np.dtype, ...]:
+        """The types in which ids are written."""
+        return tuple(np.dtype("<u2" if len(table) <= 1 << 16 else "<u4") for table in self.bytes)
+
+    @property
+    def sizes(self) -> tuple[np.ndarray, ...]:
+        return tuple(np.array([len(t) for t in table], np.int64) for table in self.bytes)
+
+    @property
+    def names(self) -> list[str]:
+        """Ids as text behind what separates them: a group, another id, or the other side."""
+        marks = (";,", "|,")
+        return [f"{m}{n}" for s in (0, 1) for m in marks[s] for n in range(len(self.bytes[s]))]
+
+
+@dataclass(frozen=True)
+class Sides:
+    """The tokens of some texts: ids of A and of B, text by text, and how many each text has."""
+
+    ids: tuple[np.ndarray, np.ndarray]
+    counts: tuple[np.ndarray, np.ndarray]
+
+    def written(self, kinds: tuple[np.dtype, ...]) -> list[pa.Array]:
+        """The ids of each text as bytes."""
+        columns = []
+        for ids, counts, kind in zip(self.ids, self.counts, kinds):
+            ends = np.append(0, np.cumsum(counts)).astype(np.int32) * kind.itemsize
+            buffers = [None, pa.py_buffer(ends), pa.py_buffer(ids.astype(kind))]
+            columns.append(pa.Array.from_buffers(pa.binary(), len(counts), buffers))
+        return columns
+
+    @classmethod
+    def read(cls, columns: list[pa.Array], kinds: tuple[np.dtype, ...]) -> Sides:
+        rows = [column.to_pylist() for column in columns]
+        ids = (np.frombuffer(b"".join(r), kind).astype(np.int64) for r, kind in zip(rows, kinds))
+        counts = (np.array([len(x) // kind.itemsize for x in r]) for r, kind in zip(rows, kinds))
+        return cls(tuple(ids), tuple(counts))
+
+
+class Tokens(dict):
+    """Places of parts of texts in a list of their ids of A and B.
 
     Texts are cut at single spaces between other characters, words also before marks; no
     token of A or B crosses there. Parts that were seen before are not tokenized again.
     """
 
-    def __init__(self, a_path: str, b_path: str) -> None:
+    def __init__(self, a_path: str, b_path: str, vocabularies: Vocabularies) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.a, self.b = Tokenizer.from_file(a_path), load_model(b_path)
         self.a.encode_special_tokens = True
-        self.parts: dict[str, tuple[list[int], list[int]] | None] = {}
-        self.a_bytes, self.b_bytes = _a_bytes(self.a), _b_bytes(self.b)
-        self.a_sizes = np.array([len(t) for t in self.a_bytes], np.int64)
-        self.b_sizes = np.array([len(t) for t in self.b_bytes], np.int64)
-        # Ids as text behind what separates them: a group, another id, or the other side.
-        self.names = [f"{mark}{n}" for mark in ";," for n in range(len(self.a_bytes))]
-        self.names += [f"{mark}{n}" for mark in "|," for n in range(len(self.b_bytes))]
-
-    def of(self, texts: list[str]) -> list[tuple[list[int], list[int]] | None]:
-        """The ids of each text, behind a space; none where bytes are not given back."""
-        if len(self.parts) > _PARTS:
-            self.parts.clear()
-        cut = [_BETWEEN.split(" " + text) if text else [] for text in texts]
-        for parts in cut:
+        self.bytes = vocabularies.bytes
+        self.spaced = tuple(np.array([t[:1] == b" " for t in table]) for table in self.bytes)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.clear()
+        self.new: list[str] = []
+        self.ids = [np.empty(0, np.int32) for _ in self.bytes]
+        self.begin = [np.zeros(1, np.int64) for _ in self.bytes]
+        #: Whether both sides give a part back byte by byte.
+        self.whole = np.empty(0, bool)
+
+    def __missing__(self, part: str) -> int:
+        place = self[part] = len(self)
+        self.new.append(part)
+        return place
+
+    def of(self, texts: list[str | None]) -> Sides:
+        """The ids of the texts, each behind a space; none where bytes are not given back."""
+        if len(self) > _PARTS:
+            self._forget()
+        flat: list[int] = []
+        counts = []
+        for text in texts:
+            parts = _BETWEEN.split(" " + text) if text else []
             if parts:
                 parts[0] = parts[0][1:]
-        self._learn({part for parts in cut for part in parts} - self.parts.keys())
-        return [self._joined(parts) for parts in cut]
-
-    def _joined(self, parts: list[str]) -> tuple[list[int], list[int]] | None:
-        a: list[int] = []
-        b: list[int] = []
-        for part in parts:
-            found = self.parts[part]
-            if found is None:
-                return None
-            a += found[0]
-            b += found[1]
-        return a, b
-
-    def _learn(self, new: set[str]) -> None:
+            flat += map(self.__getitem__, parts)
+            counts.append(len(parts))
+        if self.new:
+            self._learn()
+        at, text = np.array(flat, np.int64), np.repeat(np.arange(len(texts)), counts)
+        broken = np.zeros(len(texts), bool)
+        broken[text[~self.whole[at]]] = True
+        at, text = at[~broken[text]], text[~broken[text]]
+        ids, sizes = [], []
+        for side, begin in zip(self.ids, self.begin):
+            size = begin[at + 1] - begin[at]
+            shift = begin[at] - np.cumsum(size) + size
+            ids.append(side[np.repeat(shift, size) + np.arange(size.sum())].astype(np.int64))
+            sizes.append(np.bincount(text, size, len(texts)).astype(np.int64))
+        return Sides(tuple(ids), tuple(sizes))
+
+    def _learn(self) -> None:
         """Tokenize new parts, each behind a space; of a word and its marks both alone."""
-        halves = {part: found.groups() for part in new if (found := _WORD.fullmatch(part))}
-        names = {" " + part for part in new if part not in halves}
-        for word, marks in halves.values():
-            names |= {" " + word, marks}
-        ids = self._encoded(sorted(names))
-        for part in new:
-            found = [ids[name] for name in _halves(part, halves)]
-            self.parts[part] = None
-            if None not in found:
-                self.parts[part] = sum((a for a, _ in found), []), sum((b for _, b in found), [])
-
-    def _encoded(self, names: list[str]) -> dict[str, tuple[list[int], list[int]] | None]:
-        encoded = self.a.encode_batch(names, add_special_tokens=False)
+        halves = []
+        for part in self.new:
+            found = _WORD.fullmatch(part)
+            halves.append((" " + found[1], found[2]) if found and found[2] else (" " + part, ""))
+        names = list(dict.fromkeys(name for pair in halves for name in pair if name))
+        plain = [name for name in names if _WORD.fullmatch(name, 1) and name[-1] not in MARKS]
+        known = self._in_rows(plain)
+        known |= self._one_by_one([name for name in names if name not in known])
+        nothing = ((), (), True)
+        found = [(known[word], known[marks] if marks else nothing) for word, marks in halves]
+        for s in (0, 1):
+            flat = np.fromiter(chain.from_iterable(chain(x[s], y[s]) for x, y in found), np.int32)
+            ends = np.cumsum([len(x[s]) + len(y[s]) for x, y in found])
+            self.begin[s] = np.append(self.begin[s], ends + self.begin[s][-1])
+            self.ids[s] = np.append(self.ids[s], flat)
+        self.whole = np.append(self.whole, [x[2] and y[2] for x, y in found])
+        self.new = []
+
+    def _in_rows(self, words: list[str]) -> dict[str, tuple]:
+        """Ids of plain words, each behind a space, tokenized many in a row.
+
+        Only the first id of a word begins with a space; a row where these do not fit
+        the words, or that is not given back, is left out.
+        """
         found = {}
-        for name, a, b in zip(names, (e.ids for e in encoded), piece_ids(self.b, names)):
-            raw = name.encode()
-            whole = raw == b"".join(self.a_bytes[i] for i in a) == b"".join(self.b_bytes[i] for i in b)
-            found[name] = (a, b) if whole else None
+        rows = [words[i : i + _ROW] for i in range(0, len(words), _ROW)]
+        texts = ["".join(row) for row in rows]
+        encoded = self.a.encode_batch_fast(texts, add_special_tokens=False)
+        for row, text, e, b in zip(rows, texts, encoded, piece_ids(self.b, texts)):
+            sides = (e.ids, b)
+            starts = [np.flatnonzero(self.spaced[s][ids]).tolist() for s, ids in enumerate(sides)]
+            if all(len(at) == len(row) and at[0] == 0 for at in starts) and self._whole(text, *sides):
+                cut = [map(ids.__getitem__, map(slice, at, [*at[1:], None])) for ids, at in zip(sides, starts)]
+                found |= {word: (x, y, True) for word, x, y in zip(row, *cut)}
         return found
 
+    def _one_by_one(self, names: list[str]) -> dict[str, tuple]:
+        encoded = self.a.encode_batch_fast(names, add_special_tokens=False)
+        sides = zip(names, (e.ids for e in encoded), piece_ids(self.b, names))
+        return {name: (a, b, self._whole(name, a, b)) for name, a, b in sides}
 
-def _halves(part: str, halves: dict[str, tuple[str, str]]) -> list[str]:
-    if part in halves:
-        word, marks = halves[part]
-        return [" " + word, marks]
-    return [" " + part]
+    def _whole(self, text: str, a: list[int], b: list[int]) -> bool:
+        ours, theirs = (b"".join(map(t.__getitem__, ids)) for t, ids in zip(self.bytes, (a, b)))
+        return text.encode() == ours == theirs
 
 
 def _a_bytes(tokenizer: Tokenizer) -> list[bytes]:
@@ -275,51 +371,56 @@ class Links:
         return self.a * _IDS + self.b
 
 
-def _align(tokens: Tokens, found: list, wanted: bool) -> Iterator[tuple[list[int], Links, list]]:
-    """Links, and if wanted the groups as text, of those texts that have tokens.
+def _align(
+    sides: Sides, sizes: tuple[np.ndarray, ...], names: list[str] | None = None
+) -> Iterator[tuple[np.ndarray, Links, list]]:
+    """Links, and with names of ids the groups as text, of those texts that have tokens.
 
     Texts with fewer tokens of A drive A's ends into B's, the other ones B's into A's.
     """
-    have = [i for i, ids in enumerate(found) if ids and ids[0]]
-    for a_drives in (True, False):
-        texts = [i for i in have if (len(found[i][0]) <= len(found[i][1])) == a_drives]
-        if not texts:
+    a_fewer = sides.counts[0] <= sides.counts[1]
+    for d, chosen in ((0, a_fewer), (1, ~a_fewer)):
+        chosen = chosen & (sides.counts[0] > 0)
+        texts, o = np.flatnonzero(chosen), 1 - d
+        if not len(texts):
             continue
-        sides = [np.array([t for i in texts for t in found[i][s]], np.int64) for s in (0, 1)]
-        counts = [np.array([len(found[i][s]) for i in texts]) for s in (0, 1)]
-        ends = [np.cumsum(sizes[ids]) for sizes, ids in zip((tokens.a_sizes, tokens.b_sizes), sides)]
-        d, o = (0, 1) if a_drives else (1, 0)
+        ids = [i[np.repeat(chosen, c)] for i, c in zip(sides.ids, sides.counts)]
+        counts = [c[texts] for c in sides.counts]
+        ends = [np.cumsum(size[i]) for size, i in zip(sizes, ids)]
         # A text's tokens start in proportion; the guess is the place the ends would have.
         starts = [np.cumsum(c) - c for c in counts]
         text = np.repeat(np.arange(len(texts)), counts[d])
-        within = np.arange(len(sides[d])) - starts[d][text]
+        within = np.arange(len(ids[d])) - starts[d][text]
         guess = starts[o][text] + within * counts[o][text] // counts[d][text]
         met = overlaps(ends[d], ends[o], guess)
         width = met.last - met.first + 1
         place = np.arange(width.sum()) - np.repeat(np.cumsum(width) - width, width)
         linked = [None, None]
-        linked[d] = np.repeat(sides[d], width)
-        linked[o] = sides[o][np.repeat(met.first, width) + place]
-        groups = _group_texts(tokens, sides, counts, d, met) if wanted else []
+        linked[d] = np.repeat(ids[d], width)
+        linked[o] = ids[o][np.repeat(met.first, width) + place]
+        offset = [len(size) for size in sizes]
+        groups = _group_texts(names, offset, ids, counts, d, met) if names else []
         yield texts, Links(np.repeat(text, width), *linked), groups
 
 
-def _group_texts(tokens: Tokens, sides: list, counts: list, d: int, met: Overlap) -> list:
+def _group_texts(
+    names: list[str], kinds: list[int], ids: list, counts: list, d: int, met: Overlap
+) -> list:
     """Number of groups and the groups as text, for each text."""
     o = 1 - d
     cuts = [None, None]
     cuts[d], cuts[o] = np.flatnonzero(met.common) + 1, met.last[met.common] + 1
     # The group of each token, and its place if every group holds A's tokens, then B's.
     group = [np.repeat(np.arange(len(c)), np.diff(c, prepend=0)) for c in cuts]
-    before = [np.concatenate([[0], c[:-1]]) for c in cuts]
-    place_a = np.arange(len(sides[0])) + before[1][group[0]]
-    place_b = np.arange(len(sides[1])) + cuts[0][group[1]]
-    n_a = len(tokens.a_bytes)
+    before = np.concatenate([[0], cuts[1][:-1]])
+    place_a = np.arange(len(ids[0])) + before[group[0]]
+    place_b = np.arange(len(ids[1])) + cuts[0][group[1]]
+    n_a, n_b = kinds
     opens = [np.diff(g, prepend=-1) > 0 for g in group]
-    names = np.empty(len(sides[0]) + len(sides[1]), np.int64)
-    names[place_a] = sides[0] + np.where(opens[0], 0, n_a)
-    names[place_b] = sides[1] + np.where(opens[1], 2 * n_a, 2 * n_a + len(tokens.b_bytes))
-    written = [tokens.names[i] for i in names.tolist()]
+    at = np.empty(len(ids[0]) + len(ids[1]), np.int64)
+    at[place_a] = ids[0] + np.where(opens[0], 0, n_a)
+    at[place_b] = ids[1] + np.where(opens[1], 2 * n_a, 2 * n_a + n_b)
+    written = [names[i] for i in at.tolist()]
     ends_a = np.cumsum(counts[0])
     ends = (ends_a + np.cumsum(counts[1])).tolist()
     groups = np.diff(group[0][ends_a - 1], prepend=-1).tolist()
@@ -328,25 +429,37 @@ def _group_texts(tokens: Tokens, sides: list, counts: list, d: int, met: Overlap
     ]
 
 
-def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list]]:
-    """Rows whose texts hold some bytes; a longer text is a part of its own."""
+def _parts(batches: Iterator[pa.RecordBatch], column: str, most: int) -> Iterator[pa.RecordBatch]:
+    """Rows that hold about `most` bytes; a longer one ends its part."""
     for batch in batches:
-        texts = batch.column("text").to_pylist()
-        start, held = 0, 0
-        for row, text in enumerate(texts):
-            held += len(text or "")
-            if held >= _BYTES or row == len(texts) - 1:
-                yield batch.slice(start, row + 1 - start), texts[start : row + 1]
-                start, held = row + 1, 0
+        size = np.asarray(pc.binary_length(batch.column(column)).fill_null(0)).astype(np.int64)
+        part = np.cumsum(size) // most
+        edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(batch)]
+        for start, end in zip(edges, edges[1:]):
+            if end > start:
+                yield batch.slice(start, end - start)
+
+
+def _tokenized(
+    batches: Iterator[pa.RecordBatch], a_path: str, b_path: str, vocabularies: Broadcast
+) -> Iterator[pa.RecordBatch]:
+    """Each row's id, a digest of its text, and the ids of its tokens."""
+    tokens = Tokens(a_path, b_path, vocabularies.value)
+    kinds = vocabularies.value.kinds
+    for part in _parts(batches, "text", _BYTES):
+        texts = part.column("text").to_pylist()
+        digests = [xxhash.xxh3_128_digest((text or "").encode()) for text in texts]
+        columns = [part.column("id"), pa.array(digests, pa.binary()), *tokens.of(texts).written(kinds)]
+        yield pa.RecordBatch.from_arrays(columns, names=["id", "digest", "a", "b"])
 
 
-def _pair_counts(texts: DataFrame, a_path: str, b_path: str) -> DataFrame:
+def _pair_counts(tokenized: DataFrame, vocabularies: Broadcast) -> DataFrame:
     """pair, links, and whether no pair of its B id has more links.
 
     The highest counts are one row per B id, so never more than the vocabulary has.
     """
-    met = texts.mapInArrow(
-        lambda batches: _counted(batches, a_path, b_path), "pair bigint, links bigint"
+    met = tokenized.mapInArrow(
+        lambda batches: _counted(batches, vocabularies), "pair bigint, links bigint"
     )
     counts = durable(met.groupBy("pair").agg(F.sum("links").alias("links")))
     b = F.col("pair") % F.lit(_IDS)
@@ -363,40 +476,37 @@ def _common(counts: DataFrame, common: int) -> tuple[np.ndarray, np.ndarray, np.
     return pairs, links, np.array([row[2] for row in rows], bool)
 
 
-def _counted(batches: Iterator[pa.RecordBatch], a_path: str, b_path: str) -> Iterator[pa.RecordBatch]:
-    tokens = Tokens(a_path, b_path)
-    for _, texts in _parts(batches):
-        found = tokens.of(texts)
-        pairs = [links.pair for _, links, _ in _align(tokens, found, wanted=False)]
+def _counted(batches: Iterator[pa.RecordBatch], vocabularies: Broadcast) -> Iterator[pa.RecordBatch]:
+    kinds, sizes = vocabularies.value.kinds, vocabularies.value.sizes
+    for part in _parts(batches, "a", _BYTES):
+        sides = Sides.read([part.column("a"), part.column("b")], kinds)
+        pairs = [links.pair for _, links, _ in _align(sides, sizes)]
         if pairs:
             pair, n = np.unique(np.concatenate(pairs), return_counts=True)
             yield pa.record_batch({"pair": pa.array(pair), "links": pa.array(n, pa.int64())})
 
 
 def _rows(
-    batches: Iterator[pa.RecordBatch],
-    a_path: str,
-    b_path: str,
-    known: Broadcast,
-    with_groups: bool,
+    batches: Iterator[pa.RecordBatch], vocabularies: Broadcast, known: Broadcast, with_groups: bool
 ) -> Iterator[pa.RecordBatch]:
     """A row per text with all that it knows itself, and one per pair that is not common.
 
     The first has a negative number in place of a pair, which spreads these rows as well.
     """
-    tokens = Tokens(a_path, b_path)
+    kinds, sizes = vocabularies.value.kinds, vocabularies.value.sizes
+    names = vocabularies.value.names
     pairs, counts, is_best = known.value
-    for part, texts in _parts(batches):
-        found = tokens.of(texts)
-        digests = [xxhash.xxh3_128_digest((text or "").encode()) for text in texts]
-        own = {name: np.zeros(len(texts), np.int64) for name in [*_COUNTS, "best", "total"]}
-        groups = [""] * len(texts)
-        at = [np.arange(len(texts))]
+    for part in _parts(batches, "a", _BYTES):
+        sides = Sides.read([part.column("a"), part.column("b")], kinds)
+        digests = part.column("digest").to_pylist()
+        own = {name: np.zeros(len(part), np.int64) for name in [*_COUNTS, "best", "total"]}
+        own["n_a"], own["n_b"] = sides.counts
+        groups = [""] * len(part)
+        at = [np.arange(len(part))]
         asked = [np.array([-1 - (int.from_bytes(d[:8]) >> 1) for d in digests], np.int64)]
-        times = [np.zeros(len(texts), np.int64)]
-        for places, links, written in _align(tokens, found, wanted=True):
-            for place, (n, text) in zip(places, written):
-                own["n_a"][place], own["n_b"][place] = map(len, found[place])
+        times = [np.zeros(len(part), np.int64)]
+        for places, links, written in _align(sides, sizes, names):
+            for place, (n, text) in zip(places.tolist(), written):
                 own["n_groups"][place], groups[place] = n, text
             pair = links.pair
             where = np.minimum(np.searchsorted(pairs, pair), max(len(pairs) - 1, 0))
@@ -407,10 +517,10 @@ def _rows(
                 own["best"][places] = np.add.reduceat(met & is_best[where], starts, dtype=np.int64)
                 own["total"][places] = np.add.reduceat(np.where(met, counts[where], 0), starts)
             text, pair, n = _repeated(links.text[~met], pair[~met])
-            at.append(np.array(places)[text])
+            at.append(places[text])
             asked.append(pair)
             times.append(n)
-        yield _batch(part, digests, own, groups, with_groups, *map(np.concatenate, (at, asked, times)))
+        yield _batch(part, own, groups, with_groups, *map(np.concatenate, (at, asked, times)))
 
 
 def _repeated(text: np.ndarray, pair: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -421,7 +531,7 @@ def _repeated(text: np.ndarray, pair: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return text[new], pair[new], np.diff(np.append(new, len(pair)))
 
 
-def _batch(part, digests, own, groups, with_groups, at, pair, n) -> pa.RecordBatch:
+def _batch(part, own, groups, with_groups, at, pair, n) -> pa.RecordBatch:
     """The rows of the texts, then those of their other pairs."""
     shas = b"".join(hashlib.sha256(text.encode()).digest() for text in groups)
     halves = np.frombuffer(shas, ">i8").astype(np.int64).reshape(-1, 4).T
@@ -433,7 +543,7 @@ def _batch(part, digests, own, groups, with_groups, at, pair, n) -> pa.RecordBat
     return pa.record_batch(
         {
             "id": part.column("id").take(rows),
-            "digest": pa.array(digests, pa.binary()).take(rows),
+            "digest": part.column("digest").take(rows),
             "own": pa.concat_arrays([texts, others]),
             "pair": pa.array(pair, pa.int64()),
             "n": pa.array(n, pa.int64()),

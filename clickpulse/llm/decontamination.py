@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickpulse.llm.fm_index import FMIndex
-from clickpulse.llm.frames import Input
+from clickpulse.llm.frames import Input, tidy
 
 WINDOW = 10
 #: Words that one index holds; a longer text is a shard by itself.
@@ -162,7 +162,10 @@ def _finder(phrases, shard_words: int):
                 rows.append(row)
             yield pa.array(rows, kind)
 
-    return F.arrow_udf(find, _FOUND)
+    def tidied(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        yield from tidy(find)(batches)
+
+    return F.arrow_udf(tidied, _FOUND)
 
 
 def find_passages(

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickpulse.storage import shared_dir
+from clickpulse.storage import run_dir, shared_dir
 
 
 class Input:
@@ -43,3 +47,34 @@ def durable(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint()
+
+
+def written(df: DataFrame) -> DataFrame:
+    """Write the frame as Parquet to the shared folder and go on from its files.
+
+    Unlike a checkpoint it is compressed, and Spark knows its true size, which otherwise is
+    estimated from all joins before and grows without end in a loop.
+    """
+    spark = df.sparkSession
+    path = run_dir(spark, "step")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def tidy(step: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """The step of a task, after which the worker gives memory back to the system.
+
+    Workers wait for their next task with all that Arrow and the allocator have kept.
+    """
+
+    def run(batches: Iterator) -> Iterator:
+        try:
+            yield from step(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except (AttributeError, OSError):
+                pass  # another C library
+
+    return run

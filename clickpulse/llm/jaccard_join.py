@@ -6,12 +6,16 @@ Distance 1 - |x & y| / |x | y| is a metric. The join works on distinct sets (nod
    pivots it contains. In a fixed order of all shingles, rare before frequent, the region
    of a pivot takes every set that has it among its first floor(d * n) + 1 shingles: a set
    within distance d misses at most floor(d * n) of the n shingles, so it shares a region.
-2. Each region gets a document pivot p, its smallest node. Small sketches bound the distance
-   of every member to p from below; where the bound leaves a link open, the whole sets give
-   the exact distance. Members within d are linked to p.
+2. A region is cut where sizes leave a gap: with this shingle as the first that two sets
+   share, too few are left in both for a link. Each part gets a document pivot p, its
+   smallest node. Small sketches bound the distance of every member to p from below; where
+   the bound leaves a link open, the whole sets give the exact distance. Members within d
+   are linked to p.
 3. By the triangle inequality a pair with |d(x, p) - d(y, p)| > d has no link, and pairs in
-   one component add nothing. Members outside p's component are joined again, exactly,
-   with the members inside their window; components then take in the new links.
+   one component add nothing. Members outside p's component meet each other and the members
+   inside their window. Of the pairs that bounds leave open, only those that would join
+   components are measured, the closest first: fewer than members. Where one of them turns
+   out to be no link, its region meets again without it, until none is left.
 
 A region of more than `region_rows` sets is cut by node into several, with a pivot each.
 """
@@ -27,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickpulse.llm.components import components
-from clickpulse.llm.frames import Input, durable
+from clickpulse.llm.frames import Input, tidy, written
 from clickpulse.llm.shingles import least_distance, node_of, parities_of, shingle_sets, sketch_of
 
 #: Counts below this within one batch of texts are dropped while frequent shingles are
@@ -41,6 +45,9 @@ TASK_ROWS = 1 << 19
 #: Bits of the bitmap of wanted nodes; a bit that is shared only costs time.
 _MAP_BITS = 1 << 26
 _MAP_WIDTH = 1 << 15
+#: A set in a region: half of the pivot's hash, the set's size, the largest size it can be
+#: linked to there, and its node. Pivots with equal halves share a region; that costs time.
+_ROW = np.dtype([("key", "<u4"), ("n", "<u4"), ("most", "<u4"), ("node", "<i8")])
 #: Distances are ratios of small whole numbers; this only absorbs their rounding.
 _SLACK = 1e-9
 
@@ -101,10 +108,12 @@ def _first_keys(keys: np.ndarray, size: int, frequent: np.ndarray, rank: np.ndar
 
 
 def _regions(order, width: int, share: float, buckets: int, region_rows: int):
-    """Rows of all regions as packed arrays, one row per bucket and batch.
+    """Rows of all regions, packed, one row per bucket and batch: `rows`, and `cut`.
 
-    A row is (key, node, 2 * part + 1) for a region cut in several, else (key, node, 0).
+    `cut` has (key, node, part) for regions cut by node.
     """
+    # A link needs this many shared shingles per shingle of both sets.
+    needed = (1 - share) / (2 - share)
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent, rank = order.value
@@ -118,7 +127,11 @@ def _regions(order, width: int, share: float, buckets: int, region_rows: int):
             if not firsts:
                 continue
             keys = np.concatenate(firsts)
-            nodes = np.repeat(np.array(list(different), np.int64), [len(f) for f in firsts])
+            length = np.array([len(f) for f in firsts])
+            n = np.repeat(np.array([len(s) for s in different.values()]), length)
+            nodes = np.repeat(np.array(list(different), np.int64), length)
+            # What comes before a key in the order is not shared if the key is the first.
+            before = np.arange(len(keys)) - np.repeat(np.cumsum(length) - length, length)
             part, parts = np.zeros(len(keys), np.uint64), np.ones(len(keys), np.uint64)
             if len(frequent):
                 at = np.minimum(np.searchsorted(frequent, keys), len(frequent) - 1)
@@ -128,47 +141,71 @@ def _regions(order, width: int, share: float, buckets: int, region_rows: int):
             bucket = ((keys + part * np.uint64(0x9E3779B97F4A7C15)) % np.uint64(buckets)).astype(
                 np.int64
             )
-            by = np.argsort(bucket, kind="stable")
-            packed = np.empty((len(keys), 3), np.int64)
-            packed[:, 0], packed[:, 1] = keys.view(np.int64), nodes
-            packed[:, 2] = (part * np.uint64(2) + (parts > 1)).view(np.int64)
-            packed = packed[by]
-            which, begin = np.unique(bucket[by], return_index=True)
+            rows = np.empty(len(keys), _ROW)
+            rows["key"], rows["n"], rows["node"] = keys >> np.uint64(32), n, nodes
+            rows["most"] = np.maximum(np.floor((n - before) / needed + 1e-6) - n, 0)
+            cut = np.stack([keys.view(np.int64), nodes, part.view(np.int64)], axis=1)
+            which = np.unique(bucket)
+            packed = [
+                pa.array(_packed(kind[chosen], bucket[chosen], which), pa.binary())
+                for kind, chosen in ((rows, parts == 1), (cut, parts > 1))
+            ]
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(which, pa.int64()),
-                    pa.array([p.tobytes() for p in np.split(packed, begin[1:])], pa.binary()),
-                ],
-                names=["bucket", "rows"],
+                [pa.array(which, pa.int64()), *packed], names=["bucket", "rows", "cut"]
             )
 
     return spread
 
 
+def _packed(rows: np.ndarray, bucket: np.ndarray, which: np.ndarray) -> list[bytes]:
+    """The rows of each bucket in turn."""
+    by = np.argsort(bucket, kind="stable")
+    edges = np.searchsorted(bucket[by], which)
+    return [part.tobytes() for part in np.split(rows[by], edges[1:])]
+
+
 def _stars(table: pa.Table) -> pa.Table:
     """Members and pivots of one bucket's regions with two sets or more, each pair once.
 
     Rows of regions cut in several keep their key, and are kept even alone in a part.
     """
-    rows = np.frombuffer(b"".join(table.column("rows").to_pylist()), np.int64).reshape(-1, 3)
-    rows = rows[np.lexsort((rows[:, 1], rows[:, 2], rows[:, 0]))]
-    same = (rows[1:] == rows[:-1]).all(axis=1)
-    rows = rows[np.append(True, ~same)]
-    begin = np.flatnonzero(np.append(True, (rows[1:, ::2] != rows[:-1, ::2]).any(axis=1)))
-    size = np.diff(np.append(begin, len(rows)))
-    cut = rows[:, 2] > 0
-    pivot, size = np.repeat(rows[begin, 1], size), np.repeat(size, size)
-    found = np.stack([np.where(cut, rows[:, 0], 0), rows[:, 1], pivot, cut], axis=1)
-    found = np.unique(found[(size > 1) | cut], axis=0)
+    rows = np.frombuffer(b"".join(table.column("rows").to_pylist()), _ROW)
+    rows = rows[np.lexsort((rows["node"], rows["n"], rows["key"]))]
+    key, node = rows["key"].astype(np.int64), rows["node"]
+    rows = rows[_new(key, node)]
+    key, node, n = rows["key"].astype(np.int64), rows["node"], rows["n"].astype(np.int64)
+    # Sizes rise within a key: a part ends where no set before it reaches up to the next size.
+    first = _new(key)
+    reach = np.maximum.accumulate((np.cumsum(first) << 32) | rows["most"].astype(np.int64)) & 0xFFFFFFFF
+    first[1:] |= reach[:-1] < n[1:]
+    begin = np.flatnonzero(first)
+    pivot = np.minimum.reduceat(node, begin) if len(node) else node
+    pivot = np.repeat(pivot, np.diff(np.append(begin, len(node))))
+    whole = np.stack([node, pivot], axis=1)[node != pivot]
+    whole = np.unique(whole, axis=0)
+
+    cut = np.frombuffer(b"".join(table.column("cut").to_pylist()), np.int64).reshape(-1, 3)
+    cut = np.unique(cut[:, [0, 2, 1]], axis=0)
+    begin = np.flatnonzero(_new(cut[:, 0], cut[:, 1]))
+    heads = np.repeat(cut[begin, 2], np.diff(np.append(begin, len(cut))))
     return pa.table(
         {
-            "key": pa.array(found[:, 0], mask=found[:, 3] == 0),
-            "node": found[:, 1],
-            "pivot": found[:, 2],
+            "key": pa.concat_arrays([pa.nulls(len(whole), pa.int64()), pa.array(cut[:, 0])]),
+            "node": np.append(whole[:, 0], cut[:, 2]),
+            "pivot": np.append(whole[:, 1], heads),
         }
     )
 
 
+def _new(*columns: np.ndarray) -> np.ndarray:
+    """Whether a row differs from the one before it."""
+    new = np.zeros(len(columns[0]), bool)
+    new[:1] = True
+    for column in columns:
+        new[1:] |= column[1:] != column[:-1]
+    return new
+
+
 def _wanted(texts: DataFrame, rows: DataFrame, nodes: DataFrame, width: int, whole: bool) -> DataFrame:
     """(node, n, keys, parities) of the wanted nodes, and of few others.
 
@@ -212,13 +249,14 @@ def _wanted(texts: DataFrame, rows: DataFrame, nodes: DataFrame, width: int, who
                 )
 
     shape = "node long, n long, keys array<long>, parities binary"
-    return texts.select("text", "hash").mapInArrow(pick, shape)
+    return texts.select("text", "hash").mapInArrow(tidy(pick), shape)
 
 
 def _exact(texts: DataFrame, pairs: DataFrame, rows: DataFrame, width: int) -> DataFrame:
     """The exact distance d of pairs (x, p)."""
     nodes = pairs.select(F.explode(F.array("x", "p")).alias("node")).distinct()
-    sets = _wanted(texts, rows, nodes, width, whole=True)
+    # Copies of a text may give its set many times.
+    sets = _wanted(texts, rows, nodes, width, whole=True).dropDuplicates(["node"])
     left = sets.select(F.col("node").alias("x"), F.col("keys").alias("kx"))
     right = sets.select(F.col("node").alias("p"), F.col("keys").alias("kp"))
     both = pairs.join(left, "x").join(right, "p")
@@ -244,7 +282,7 @@ def _measured(
     )
     low = F.arrow_udf(bound, "double")("s_x", "n_x", "s_p", "n_p")
     bounded = pairs.join(of("x"), "x").join(of("p"), "p").select("x", "p", low.alias("low"))
-    bounded = durable(bounded)
+    bounded = written(bounded)
     exact = _exact(texts, bounded.where(F.col("low") <= near).select("x", "p"), rows, width)
     return bounded.join(exact, ["x", "p"], "left").select(
         "x", "p", F.coalesce("d", "low").alias("low"), F.coalesce("d", F.lit(1.0)).alias("high")
@@ -281,7 +319,7 @@ def similar_groups(
     )
     kind = named.schema["id"].dataType.simpleString()
     schema = f"id {kind}, hash long, n long, node long, sketch binary, key long, count long"
-    scanned = durable(named.mapInArrow(_scan(width), schema))
+    scanned = written(named.mapInArrow(tidy(_scan(width)), schema))
     rows = scanned.where("key IS NULL").select("id", "hash", "n", "node")
     filled = scanned.where("node IS NOT NULL")
     sketches = filled.groupBy("node").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"))
@@ -296,9 +334,9 @@ def similar_groups(
     total = rows.agg(F.sum("n")).head()[0] or 0
     buckets = max(1, math.ceil(total * distance / TASK_ROWS))
     spread = _regions(order, width, distance, buckets, region_rows)
-    packed = body.mapInArrow(spread, "bucket long, rows binary")
+    packed = body.mapInArrow(tidy(spread), "bucket long, rows binary, cut binary")
     shape = "key long, node long, pivot long"
-    regions = durable(packed.groupBy("bucket").applyInArrow(_stars, shape))
+    regions = written(packed.groupBy("bucket").applyInArrow(_stars, shape))
 
     # Regions cut in several have a pivot in each part; the smallest stands for all.
     cut = regions.where("key IS NOT NULL")
@@ -307,7 +345,7 @@ def similar_groups(
     between = whole.select(F.col("pivot").alias("x"), F.col("head").alias("p"))
     stars = regions.select(F.col("node").alias("x"), F.col("pivot").alias("p"))
     stars = stars.unionByName(between).where("x <> p").distinct()
-    measured = durable(_measured(named, stars, rows, sketches, width, near))
+    measured = written(_measured(named, stars, rows, sketches, width, near))
     links = measured.where(F.col("high") <= near).select(F.col("x").alias("a"), F.col("p").alias("b"))
     labels = components(links)
 
@@ -318,13 +356,23 @@ def similar_groups(
     members = _unresolved(measured.unionByName(loose.distinct()), labels, near)
     nodes = members.select(F.col("x").alias("node")).distinct()
     fine = _wanted(named, rows, nodes, width, whole=False).dropDuplicates(["node"])
-    met = members.join(fine.select(F.col("node").alias("x"), "n", "parities"), "x")
-    more = durable(met.groupBy("p").applyInArrow(_meeting(near), "x long, p long").distinct())
-    if more.head(1):
-        found = _exact(named, more, rows, width).where(F.col("d") <= near)
-        labels = _merged(labels, found)
-
-    marked = durable(
+    fine = written(fine.select(F.col("node").alias("x"), "n", "parities"))
+    tried = docs.sparkSession.createDataFrame([], "g long, x long, p long")
+    while True:
+        met = members.join(fine, "x").groupBy("p").cogroup(tried.groupBy("g"))
+        more = written(met.applyInArrow(_meeting(near), "g long, x long, p long"))
+        if not more.head(1):
+            break
+        found = written(_exact(named, more.select("x", "p").distinct(), rows, width))
+        labels = _merged(labels, found.where(F.col("d") <= near))
+        refuted = more.join(found.where(F.col("d") > near), ["x", "p"]).select("g", "x", "p")
+        if not refuted.head(1):
+            break
+        tried = written(tried.unionByName(refuted))
+        again = members.join(refuted.select(F.col("g").alias("p")).distinct(), "p", "left_semi")
+        members = written(_apart(again.select("x", "p", "low", "high"), labels))
+
+    marked = written(
         rows.join(labels, "node", "left").select(
             "id", "n", F.coalesce("label", "node").alias("label")
         )
@@ -347,7 +395,22 @@ def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
     merged = components(linked)
     renamed = merged.select(F.col("node").alias("label"), F.col("label").alias("new"))
     known = labels.join(renamed, "label", "left").select("node", F.coalesce("new", "label").alias("label"))
-    return durable(known.unionByName(merged.join(labels, "node", "left_anti")))
+    return written(known.unionByName(merged.join(labels, "node", "left_anti")))
+
+
+def _apart(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members of pivots' groups that are not all in one component, with theirs (own).
+
+    The largest component of a group is its main one.
+    """
+    of = labels.select(F.col("node").alias("x"), F.col("label").alias("own"))
+    members = members.join(of, "x", "left").withColumn("own", F.coalesce("own", "x"))
+    sizes = members.groupBy("p", "own").agg(F.count("*").alias("n"))
+    main = sizes.groupBy("p").agg(
+        F.max_by("own", F.struct("n", "own")).alias("main"), F.count("*").alias("parts")
+    )
+    # Most groups lie in one component.
+    return members.join(main.where("parts > 1").drop("parts"), "p")
 
 
 def _unresolved(measured: DataFrame, labels: DataFrame, near: float) -> DataFrame:
@@ -357,33 +420,34 @@ def _unresolved(measured: DataFrame, labels: DataFrame, near: float) -> DataFram
     largest component (main) stays together; members outside of it have to meet each other
     and those inside that the triangle inequality leaves within reach.
     """
-    of = lambda name: labels.select(F.col("node").alias(name), F.col("label").alias("own"))
     pivots = measured.select(F.col("p").alias("x"), "p", F.lit(0.0).alias("low"), F.lit(0.0).alias("high"))
-    members = measured.unionByName(pivots.distinct()).join(of("x"), "x", "left")
-    members = members.withColumn("own", F.coalesce("own", "x"))
-    sizes = members.groupBy("p", "own").agg(F.count("*").alias("n"))
-    main = sizes.groupBy("p").agg(
-        F.max_by("own", F.struct("n", "own")).alias("main"), F.count("*").alias("parts")
-    )
-    # Most groups lie in one component.
-    members = durable(members.join(main.where("parts > 1").drop("parts"), "p"))
+    members = written(_apart(measured.unionByName(pivots.distinct()), labels))
     outside = members.where("own <> main")
     reach = outside.groupBy("p").agg(F.min("low").alias("from"), F.max("high").alias("to"))
     inside = members.where("own = main").join(reach, "p")
     inside = inside.where((F.col("high") >= F.col("from") - near) & (F.col("low") <= F.col("to") + near))
-    return durable(outside.unionByName(inside.drop("from", "to")))
+    return written(outside.unionByName(inside.drop("from", "to")))
 
 
 def _meeting(near: float):
-    """Of one pivot's members, the pairs in different components that bounds leave open."""
+    """Of one pivot's members, pairs that bounds leave open and that would join components.
 
-    def meet(table: pa.Table) -> pa.Table:
+    Each pair joins what is apart so far, so there are fewer than members; pairs that
+    were tried before are left out. If all of them are links, no other pair is needed.
+    """
+
+    def meet(table: pa.Table, tried: pa.Table) -> pa.Table:
         node, own, n = (table.column(c).to_numpy() for c in ("x", "own", "n"))
         low, high = (table.column(c).to_numpy() for c in ("low", "high"))
         outside = own != table.column("main").to_numpy()
+        _, side = np.unique(own, return_inverse=True)
+        refuted: dict[int, list[int]] = {}
+        for x, p in zip(tried.column("x").to_pylist(), tried.column("p").to_pylist()):
+            refuted.setdefault(x, []).append(p)
+            refuted.setdefault(p, []).append(x)
         bits = [np.frombuffer(s, np.uint64) for s in table.column("parities").to_pylist()]
         lengths = np.array([len(s) for s in bits])
-        found: list[np.ndarray] = []
+        found: list[tuple[int, int]] = []
         for size in np.unique(lengths):
             # Sets that can be linked have bits of one length or of neighbouring ones.
             rows = np.flatnonzero((lengths == size) | (lengths == 2 * size))
@@ -392,16 +456,30 @@ def _meeting(near: float):
             for k in np.flatnonzero(outside[rows]):
                 i = rows[k]
                 # Two members outside meet once; lengths that differ meet at the smaller one.
-                other = (own[rows] != own[i]) & (at_size | at_size[k])
+                other = (side[rows] != side[i]) & (at_size | at_size[k])
                 other &= ~outside[rows] | (node[rows] < node[i])
                 other &= (low[rows] <= high[i] + near) & (low[i] <= high[rows] + near)
+                if int(node[i]) in refuted:
+                    other &= ~np.isin(node[rows], refuted[int(node[i])])
                 js = rows[other]
-                if len(js):
-                    apart = np.bitwise_count(folded[other] ^ folded[k]).sum(axis=1, dtype=np.int64)
-                    js = js[2 * apart <= near * (n[js] + n[i] + apart)]
-                    found.append(np.stack([np.full(len(js), node[i]), node[js]], axis=1))
-        pairs = np.concatenate([*found, np.empty((0, 2), np.int64)])
-        return pa.table({"x": pairs.max(axis=1, initial=-(1 << 63)), "p": pairs.min(axis=1, initial=(1 << 63) - 1)})
+                if not len(js):
+                    continue
+                apart = np.bitwise_count(folded[other] ^ folded[k]).sum(axis=1, dtype=np.int64)
+                least = 2 * apart / (n[js] + n[i] + apart)
+                order = np.argsort(least, kind="stable")
+                js = js[order[: np.searchsorted(least[order], near, side="right")]]
+                # The closest of each side; all of them are on one side from here on.
+                _, closest = np.unique(side[js], return_index=True)
+                found += [(int(node[i]), int(node[j])) for j in js[closest]]
+                side[np.isin(side, side[js])] = side[i]
+        pivot = table.column("p")[:1].to_pylist() * len(found)
+        return pa.table(
+            {
+                "g": pa.array(pivot, pa.int64()),
+                "x": pa.array([max(pair) for pair in found], pa.int64()),
+                "p": pa.array([min(pair) for pair in found], pa.int64()),
+            }
+        )
 
     return meet
 

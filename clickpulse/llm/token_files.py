@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from clickpulse.llm.frames import Input
+from clickpulse.llm.frames import Input, tidy
 from clickpulse.llm.range_coder import decode_block, encode_block
 
 #: Ids in a full block.
@@ -220,7 +220,7 @@ def write_tokens(
     )
     empty = docs.sparkSession.createDataFrame([], shape)
     encode = _encoder(content, end, block_ids, empty.toArrow().schema)
-    numbered.mapInArrow(encode, shape).write.parquet(path)
+    numbered.mapInArrow(tidy(encode), shape).write.parquet(path)
 
 
 def _times(a: int, b: int) -> int:
@@ -321,7 +321,7 @@ def token_index(spark: SparkSession, path: str) -> DataFrame:
         return pa.array(out, pa.int64())
 
     pieces = rows.mapInArrow(
-        read, f"file int, block int, seq long, doc_id {kind}, n long, crc long"
+        tidy(read), f"file int, block int, seq long, doc_id {kind}, n long, crc long"
     )
     whole = pieces.groupBy("file", "seq").agg(
         F.first("doc_id").alias("doc_id"),

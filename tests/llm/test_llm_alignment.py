@@ -10,7 +10,7 @@ import pytest
 from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer
 
-from clickpulse.llm.alignment import Tokens, align_tokens, gallop, overlaps
+from clickpulse.llm.alignment import Sides, Tokens, Vocabularies, align_tokens, gallop, overlaps
 from clickpulse.llm.queries import QUERIES
 
 A = public_tokenizers.path("byte_bpe_50k.json")
@@ -125,11 +125,14 @@ def test_parts_have_the_ids_of_the_text(libraries):
     pick = random.Random(4)
     texts = ["".join(pick.choices(ALPHABET, k=pick.randrange(1, 30))) for _ in range(5000)]
     texts += ["".join(pick.choices(PARTS, k=pick.randrange(1, 9))) for _ in range(5000)]
-    tokens = Tokens(A, B)
-    for text, found in zip(texts, tokens.of(texts)):
-        ours, theirs = pieces(libraries, text)
-        want = ([i for i, _ in ours], [i for i, _ in theirs])
-        assert (found or ([], [])) == want, repr(text)
+    vocabularies = Vocabularies.read(A, B)
+    sides = Tokens(A, B, vocabularies).of([*texts, *texts, None, ""])
+    sides = Sides.read(sides.written(vocabularies.kinds), vocabularies.kinds)
+    ours, theirs = (np.split(i, np.cumsum(c)[:-1]) for i, c in zip(sides.ids, sides.counts))
+    for n, text in enumerate([*texts, *texts, None, ""]):
+        want = pieces(libraries, text)
+        assert ours[n].tolist() == [i for i, _ in want[0]], repr(text)
+        assert theirs[n].tolist() == [i for i, _ in want[1]], repr(text)
 
 
 def test_query(spark, libraries):

@@ -5,6 +5,7 @@ import random
 import brute
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -335,6 +336,91 @@ def test_groups_at_the_threshold(frame):
     assert got == brute.groups(texts) and got[5][1] == 4 and got[2][1] == 1
 
 
+def test_regions_end_where_no_set_reaches_the_next(spark):
+    """Sizes far apart, and sets that share only a late shingle, are no candidates."""
+    from clickpulse.llm.jaccard_join import _ROW, _stars
+
+    rows = np.array(
+        [(1, 10, 13, 5), (1, 13, 17, 4), (1, 18, 24, 9), (1, 20, 15, 7), (2, 10, 9, 1), (2, 10, 9, 2),
+         (2, 11, 9, 3), (3, 4, 5, 6), (1, 13, 17, 4)], _ROW,
+    )
+    table = pa.table({"rows": [rows[:4].tobytes(), rows[4:].tobytes()], "cut": [b"", b""]})
+    found = sorted(zip(*(_stars(table).column(c).to_pylist() for c in ("node", "pivot"))))
+    # 10 reaches 13, 13 does not reach 18; 18 reaches 20. In region 2 nothing is reached.
+    assert found == [(5, 4), (9, 7)]
+    empty = _stars(table.slice(0, 0))
+    assert empty.num_rows == 0 and empty.schema == _stars(table).schema
+
+
+def members(sets):
+    from clickpulse.llm.shingles import parities_of
+
+    n = len(sets)
+    keys = [np.array(sorted(s), np.uint64) * np.uint64(0x9E3779B97F4A7C15) for s in sets]
+    return pa.table(
+        {
+            "p": [0] * n,
+            "x": list(range(n)),
+            "low": [0.0] * n,
+            "high": [1.0] * n,
+            "own": list(range(n)),
+            "main": [n - 1] * n,
+            "n": [len(s) for s in sets],
+            "parities": pa.array([parities_of(k) for k in keys], pa.binary()),
+        }
+    )
+
+
+def test_members_of_a_group_meet_in_fewer_pairs_than_members():
+    """Texts put together from shared passages: pairs grow with the texts, not their square."""
+    from clickpulse.llm.jaccard_join import _meeting
+
+    pick = random.Random(1)
+    passages = [set(range(1000 * n, 1000 * n + 30)) for n in range(12)]
+    nothing = pa.table({c: pa.array([], pa.int64()) for c in ("g", "x", "p")})
+    for n in (100, 400):
+        sets = [set.union(*pick.sample(passages, 6)) for _ in range(n)]
+        found = _meeting(0.25)(members(sets), nothing)
+        assert found.num_rows < n
+        side = list(range(n))
+        for x, p in zip(found.column("x").to_pylist(), found.column("p").to_pylist()):
+            old, new = side[x], side[p]
+            side = [new if s == old else s for s in side]
+        for i in range(0, n, 7):
+            for j in range(i):
+                if 4 * len(sets[i] & sets[j]) >= 3 * len(sets[i] | sets[j]):
+                    assert side[i] == side[j]
+
+
+def test_pairs_that_were_tried_do_not_meet_again():
+    from clickpulse.llm.jaccard_join import _meeting
+
+    sets = [set(range(40)), set(range(1, 41)), set(range(2, 42))]
+    first = _meeting(0.25)(members(sets), pa.table({c: pa.array([], pa.int64()) for c in "gxp"}))
+    again = _meeting(0.25)(members(sets), first)
+    pairs = lambda t: set(zip(t.column("x").to_pylist(), t.column("p").to_pylist()))
+    assert len(pairs(first)) == 2 and not pairs(first) & pairs(again) and len(pairs(again)) == 1
+
+
+def test_groups_when_bounds_tell_nothing(spark, monkeypatch):
+    """All pairs seem near, so many are refuted and regions meet again and again."""
+    from clickpulse.llm import jaccard_join
+
+    monkeypatch.setattr(jaccard_join, "parities_of", lambda keys: bytes(64))
+    pick = random.Random(8)
+    shared = [f"s{n}" for n in range(30)]
+    texts = {}
+    for family in range(4):
+        base = shared + [f"f{family}x{n}" for n in range(25)]
+        for _ in range(3):
+            copy = list(base)
+            copy[pick.randrange(35, 55)] = f"y{len(texts)}"
+            texts[len(texts)] = " ".join(copy)
+    df = spark.createDataFrame(list(texts.items()), "doc_id int, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in similar_groups(df).collect()}
+    assert got == brute.groups(texts) and len({c for _, c in got.values()}) > 1
+
+
 def test_groups_of_odd_rows(docs, empty):
     groups = similar_groups(docs)
     rows = groups.collect()
