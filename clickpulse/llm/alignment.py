@@ -231,6 +231,16 @@ class Sides:
         return cls(tuple(ids), tuple(counts))
 
 
+@dataclass(frozen=True)
+class _Known:
+    """Names with their ids of A and B, name by name, and whether both give them back."""
+
+    names: list[str]
+    ids: list[np.ndarray]
+    sizes: list[np.ndarray]
+    whole: np.ndarray
+
+
 class Tokens(dict):
     """Places of parts of texts in a list of their ids of A and B.
 
@@ -287,46 +297,59 @@ class Tokens(dict):
 
     def _learn(self) -> None:
         """Tokenize new parts, each behind a space; of a word and its marks both alone."""
-        halves = []
+        words, marks = [], []
         for part in self.new:
             found = _WORD.fullmatch(part)
-            halves.append((" " + found[1], found[2]) if found and found[2] else (" " + part, ""))
-        names = list(dict.fromkeys(name for pair in halves for name in pair if name))
-        plain = [name for name in names if _WORD.fullmatch(name, 1) and name[-1] not in MARKS]
-        known = self._in_rows(plain)
-        known |= self._one_by_one([name for name in names if name not in known])
-        nothing = ((), (), True)
-        found = [(known[word], known[marks] if marks else nothing) for word, marks in halves]
-        for s in (0, 1):
-            flat = np.fromiter(chain.from_iterable(chain(x[s], y[s]) for x, y in found), np.int32)
-            ends = np.cumsum([len(x[s]) + len(y[s]) for x, y in found])
-            self.begin[s] = np.append(self.begin[s], ends + self.begin[s][-1])
+            cut = found and found[2]
+            words.append(" " + (found[1] if cut else part))
+            marks.append(found[2] if cut else "")
+        known = self._encoded(list(dict.fromkeys([*words, *marks])))
+        place = {name: n for n, name in enumerate(known.names)}
+        both = np.array([*map(place.__getitem__, words), *map(place.__getitem__, marks)], np.int64)
+        both = both.reshape(2, -1).T
+        for s, (ids, sizes) in enumerate(zip(known.ids, known.sizes)):
+            size = sizes[both.ravel()]
+            begin = (np.cumsum(sizes) - sizes)[both.ravel()]
+            shift = begin - np.cumsum(size) + size
+            flat = ids[np.repeat(shift, size) + np.arange(size.sum())]
+            ends = np.cumsum(size.reshape(-1, 2).sum(axis=1))
             self.ids[s] = np.append(self.ids[s], flat)
-        self.whole = np.append(self.whole, [x[2] and y[2] for x, y in found])
+            self.begin[s] = np.append(self.begin[s], ends + self.begin[s][-1])
+        self.whole = np.append(self.whole, known.whole[both].all(axis=1))
         self.new = []
 
-    def _in_rows(self, words: list[str]) -> dict[str, tuple]:
-        """Ids of plain words, each behind a space, tokenized many in a row.
+    def _encoded(self, names: list[str]) -> _Known:
+        """Plain words, each behind a space, are tokenized many in a row.
 
-        Only the first id of a word begins with a space; a row where these do not fit
-        the words, or that is not given back, is left out.
+        Only the first id of a word begins with a space. Words of a row where these do not
+        fit, or that is not given back, are tokenized one by one like everything else.
         """
-        found = {}
-        rows = [words[i : i + _ROW] for i in range(0, len(words), _ROW)]
+        plain = [name for name in names if name[-1:].isalpha() and _WORD.fullmatch(name, 1)]
+        rest = list(dict.fromkeys(names).keys() - set(plain))
+        done, ids, sizes = [], ([], []), ([], [])
+        rows = [plain[i : i + _ROW] for i in range(0, len(plain), _ROW)]
         texts = ["".join(row) for row in rows]
         encoded = self.a.encode_batch_fast(texts, add_special_tokens=False)
         for row, text, e, b in zip(rows, texts, encoded, piece_ids(self.b, texts)):
             sides = (e.ids, b)
-            starts = [np.flatnonzero(self.spaced[s][ids]).tolist() for s, ids in enumerate(sides)]
-            if all(len(at) == len(row) and at[0] == 0 for at in starts) and self._whole(text, *sides):
-                cut = [map(ids.__getitem__, map(slice, at, [*at[1:], None])) for ids, at in zip(sides, starts)]
-                found |= {word: (x, y, True) for word, x, y in zip(row, *cut)}
-        return found
-
-    def _one_by_one(self, names: list[str]) -> dict[str, tuple]:
-        encoded = self.a.encode_batch_fast(names, add_special_tokens=False)
-        sides = zip(names, (e.ids for e in encoded), piece_ids(self.b, names))
-        return {name: (a, b, self._whole(name, a, b)) for name, a, b in sides}
+            flat = [np.array(side, np.int32) for side in sides]
+            starts = [np.flatnonzero(spaced[side]) for spaced, side in zip(self.spaced, flat)]
+            fit = all(len(at) == len(row) and at[0] == 0 for at in starts)
+            if not fit or not self._whole(text, *sides):
+                rest += row
+                continue
+            done += row
+            for s in (0, 1):
+                ids[s].append(flat[s])
+                sizes[s].append(np.diff(starts[s], append=len(flat[s])))
+        encoded = self.a.encode_batch_fast(rest, add_special_tokens=False)
+        single = [(e.ids, b) for e, b in zip(encoded, piece_ids(self.b, rest))]
+        for s in (0, 1):
+            ids[s].append(np.fromiter(chain.from_iterable(x[s] for x in single), np.int32))
+            sizes[s].append(np.array([len(x[s]) for x in single], np.int64))
+        whole = [self._whole(name, *sides) for name, sides in zip(rest, single)]
+        flat, lengths = ([np.concatenate(x) for x in y] for y in (ids, sizes))
+        return _Known(done + rest, flat, lengths, np.array([True] * len(done) + whole, bool))
 
     def _whole(self, text: str, a: list[int], b: list[int]) -> bool:
         ours, theirs = (b"".join(map(t.__getitem__, ids)) for t, ids in zip(self.bytes, (a, b)))
