@@ -44,6 +44,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return files.exists(place)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder and all below it."""
+    files, place = _file_system(spark, path)
+    files.delete(place, True)
+
+
 def write_whole(
     rows: DataFrame, parent: str, name: str, format: str = "parquet", replace: bool = False
 ) -> None:
