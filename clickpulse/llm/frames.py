@@ -6,10 +6,10 @@ import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickpulse.storage import run_dir, shared_dir
+from clickpulse.storage import remove, run_dir, shared_dir
 
 
 class Input:
@@ -49,16 +49,25 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def written(df: DataFrame) -> DataFrame:
-    """Write the frame as Parquet to the shared folder and go on from its files.
+class Steps:
+    """Frames written as Parquet to the shared folder, to go on from their files.
 
-    Unlike a checkpoint it is compressed, and Spark knows its true size, which otherwise is
-    estimated from all joins before and grows without end in a loop.
+    Unlike checkpoints they are compressed, and Spark knows their true sizes, which else are
+    estimated from all joins before and grow without end in a loop. `remove` takes all of
+    them away, once what was made of them is written elsewhere.
     """
-    spark = df.sparkSession
-    path = run_dir(spark, "step")
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark, self.folder, self.count = spark, run_dir(spark, "steps"), 0
+
+    def __call__(self, df: DataFrame) -> DataFrame:
+        path = f"{self.folder}/{self.count}"
+        self.count += 1
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def remove(self) -> None:
+        remove(self.spark, self.folder)
 
 
 def tidy(step: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:

@@ -13,9 +13,10 @@ Distance 1 - |x & y| / |x | y| is a metric. The join works on distinct sets (nod
    are linked to p.
 3. By the triangle inequality a pair with |d(x, p) - d(y, p)| > d has no link, and pairs in
    one component add nothing. Members outside p's component meet each other and the members
-   inside their window. Of the pairs that bounds leave open, only those that would join
-   components are measured, the closest first: fewer than members. Where one of them turns
-   out to be no link, its region meets again without it, until none is left.
+   inside their window. All pairs that bounds leave open are measured where they are few; of
+   a region with many only those that would join components, the closest first: fewer
+   than members. Where one of these turns out to be no link, its region meets again
+   without it, until none is left.
 
 A region of more than `region_rows` sets is cut by node into several, with a pivot each.
 """
@@ -31,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickpulse.llm.components import components
-from clickpulse.llm.frames import Input, tidy, written
+from clickpulse.llm.frames import Input, Steps, durable, tidy
 from clickpulse.llm.shingles import least_distance, node_of, parities_of, shingle_sets, sketch_of
 
 #: Counts below this within one batch of texts are dropped while frequent shingles are
@@ -48,6 +49,8 @@ _MAP_WIDTH = 1 << 15
 #: A set in a region: half of the pivot's hash, the set's size, the largest size it can be
 #: linked to there, and its node. Pivots with equal halves share a region; that costs time.
 _ROW = np.dtype([("key", "<u4"), ("n", "<u4"), ("most", "<u4"), ("node", "<i8")])
+#: Open pairs per member of a region up to which all of them are measured at once.
+OPEN_PAIRS = 16
 #: Distances are ratios of small whole numbers; this only absorbs their rounding.
 _SLACK = 1e-9
 
@@ -266,7 +269,13 @@ def _exact(texts: DataFrame, pairs: DataFrame, rows: DataFrame, width: int) -> D
 
 
 def _measured(
-    texts: DataFrame, pairs: DataFrame, rows: DataFrame, sketches: DataFrame, width: int, near: float
+    written: Steps,
+    texts: DataFrame,
+    pairs: DataFrame,
+    rows: DataFrame,
+    sketches: DataFrame,
+    width: int,
+    near: float,
 ) -> DataFrame:
     """Pairs (x, p) with bounds low and high of their distance.
 
@@ -310,6 +319,7 @@ def similar_groups(
     """
     distance = 1 - similarity
     near = distance + _SLACK
+    written = Steps(docs.sparkSession)
     given = Input(docs)
     body = given.frame.select(given[text].cast("string").alias("text"))
     named = given.frame.select(
@@ -345,7 +355,7 @@ def similar_groups(
     between = whole.select(F.col("pivot").alias("x"), F.col("head").alias("p"))
     stars = regions.select(F.col("node").alias("x"), F.col("pivot").alias("p"))
     stars = stars.unionByName(between).where("x <> p").distinct()
-    measured = written(_measured(named, stars, rows, sketches, width, near))
+    measured = written(_measured(written, named, stars, rows, sketches, width, near))
     links = measured.where(F.col("high") <= near).select(F.col("x").alias("a"), F.col("p").alias("b"))
     labels = components(links)
 
@@ -353,30 +363,29 @@ def similar_groups(
     loose = whole.select(
         F.col("node").alias("x"), F.col("head").alias("p"), F.lit(0.0).alias("low"), F.lit(1.0).alias("high")
     )
-    members = _unresolved(measured.unionByName(loose.distinct()), labels, near)
+    members = _unresolved(written, measured.unionByName(loose.distinct()), labels, near)
     nodes = members.select(F.col("x").alias("node")).distinct()
     fine = _wanted(named, rows, nodes, width, whole=False).dropDuplicates(["node"])
     fine = written(fine.select(F.col("node").alias("x"), "n", "parities"))
     tried = docs.sparkSession.createDataFrame([], "g long, x long, p long")
     while True:
         met = members.join(fine, "x").groupBy("p").cogroup(tried.groupBy("g"))
-        more = written(met.applyInArrow(_meeting(near), "g long, x long, p long"))
+        more = written(met.applyInArrow(_meeting(near), "g long, x long, p long, all boolean"))
         if not more.head(1):
             break
         found = written(_exact(named, more.select("x", "p").distinct(), rows, width))
-        labels = _merged(labels, found.where(F.col("d") <= near))
-        refuted = more.join(found.where(F.col("d") > near), ["x", "p"]).select("g", "x", "p")
+        labels = _merged(written, labels, found.where(F.col("d") <= near))
+        refuted = more.where("NOT all").join(found.where(F.col("d") > near), ["x", "p"])
+        refuted = refuted.select("g", "x", "p")
         if not refuted.head(1):
             break
         tried = written(tried.unionByName(refuted))
         again = members.join(refuted.select(F.col("g").alias("p")).distinct(), "p", "left_semi")
         members = written(_apart(again.select("x", "p", "low", "high"), labels))
 
-    marked = written(
-        rows.join(labels, "node", "left").select(
-            "id", "n", F.coalesce("label", "node").alias("label")
-        )
-    )
+    marked = rows.join(labels, "node", "left")
+    marked = durable(marked.select("id", "n", F.coalesce("label", "node").alias("label")))
+    written.remove()
     least = marked.groupBy("label").agg(F.min("id").alias("least"))
     joined = marked.join(least.where("label IS NOT NULL"), "label", "left")
     alone = F.when(F.col("label").isNull(), F.col("id")).otherwise(F.col("least"))
@@ -385,7 +394,7 @@ def similar_groups(
     )
 
 
-def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+def _merged(written: Steps, labels: DataFrame, links: DataFrame) -> DataFrame:
     """Labels after more links (x, p): the components themselves are linked, each pair once."""
     of = lambda name: labels.select(F.col("node").alias(name), F.col("label").alias(f"l_{name}"))
     ends = links.join(of("x"), "x", "left").join(of("p"), "p", "left")
@@ -413,7 +422,9 @@ def _apart(members: DataFrame, labels: DataFrame) -> DataFrame:
     return members.join(main.where("parts > 1").drop("parts"), "p")
 
 
-def _unresolved(measured: DataFrame, labels: DataFrame, near: float) -> DataFrame:
+def _unresolved(
+    written: Steps, measured: DataFrame, labels: DataFrame, near: float
+) -> DataFrame:
     """Members of pivots' groups that may be linked to others, as far as pivots can tell.
 
     A pivot's group is the members of all its regions, with their distances to it. Its
@@ -430,10 +441,11 @@ def _unresolved(measured: DataFrame, labels: DataFrame, near: float) -> DataFram
 
 
 def _meeting(near: float):
-    """Of one pivot's members, pairs that bounds leave open and that would join components.
+    """Of one pivot's members, pairs of different components that bounds leave open.
 
-    Each pair joins what is apart so far, so there are fewer than members; pairs that
-    were tried before are left out. If all of them are links, no other pair is needed.
+    All of them (`all`) if they are few; else only those that join what is apart so far,
+    so fewer than members. If all of these are links, no other pair is needed. Pairs that
+    were tried before are left out.
     """
 
     def meet(table: pa.Table, tried: pa.Table) -> pa.Table:
@@ -447,7 +459,9 @@ def _meeting(near: float):
             refuted.setdefault(p, []).append(x)
         bits = [np.frombuffer(s, np.uint64) for s in table.column("parities").to_pylist()]
         lengths = np.array([len(s) for s in bits])
-        found: list[tuple[int, int]] = []
+        every: list[np.ndarray] = []
+        joining: list[np.ndarray] = []
+        left = OPEN_PAIRS * len(node)
         for size in np.unique(lengths):
             # Sets that can be linked have bits of one length or of neighbouring ones.
             rows = np.flatnonzero((lengths == size) | (lengths == 2 * size))
@@ -456,7 +470,9 @@ def _meeting(near: float):
             for k in np.flatnonzero(outside[rows]):
                 i = rows[k]
                 # Two members outside meet once; lengths that differ meet at the smaller one.
-                other = (side[rows] != side[i]) & (at_size | at_size[k])
+                other = (own[rows] != own[i]) & (at_size | at_size[k])
+                if left < 0:
+                    other &= side[rows] != side[i]
                 other &= ~outside[rows] | (node[rows] < node[i])
                 other &= (low[rows] <= high[i] + near) & (low[i] <= high[rows] + near)
                 if int(node[i]) in refuted:
@@ -468,16 +484,22 @@ def _meeting(near: float):
                 least = 2 * apart / (n[js] + n[i] + apart)
                 order = np.argsort(least, kind="stable")
                 js = js[order[: np.searchsorted(least[order], near, side="right")]]
-                # The closest of each side; all of them are on one side from here on.
+                left -= len(js)
+                if left >= 0:
+                    every.append(np.stack([np.full(len(js), node[i]), node[js]], axis=1))
+                # The closest of each other side; from here on all of them are on one side.
+                js = js[side[js] != side[i]]
                 _, closest = np.unique(side[js], return_index=True)
-                found += [(int(node[i]), int(node[j])) for j in js[closest]]
+                js = js[closest]
+                joining.append(np.stack([np.full(len(js), node[i]), node[js]], axis=1))
                 side[np.isin(side, side[js])] = side[i]
-        pivot = table.column("p")[:1].to_pylist() * len(found)
+        pairs = np.concatenate([*(every if left >= 0 else joining), np.empty((0, 2), np.int64)])
         return pa.table(
             {
-                "g": pa.array(pivot, pa.int64()),
-                "x": pa.array([max(pair) for pair in found], pa.int64()),
-                "p": pa.array([min(pair) for pair in found], pa.int64()),
+                "g": np.repeat(table.column("p").to_numpy()[:1], len(pairs)),
+                "x": pairs.max(axis=1, initial=-(1 << 63)),
+                "p": pairs.min(axis=1, initial=(1 << 63) - 1),
+                "all": np.full(len(pairs), left >= 0),
             }
         )
 
