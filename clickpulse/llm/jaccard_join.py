@@ -231,10 +231,10 @@ def _wanted(texts: DataFrame, rows: DataFrame, nodes: DataFrame, width: int, who
     bitmap = texts.sparkSession.sparkContext.broadcast(bits)
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = bitmap.value
+        wanted = bitmap.value
         for batch in batches:
             at = batch.column(1).to_numpy() % _MAP_BITS
-            some = np.flatnonzero(bits[at >> 3] >> (at & 7).astype(np.uint8) & 1)
+            some = np.flatnonzero(wanted[at >> 3] >> (at & 7).astype(np.uint8) & 1)
             chosen = batch.column(0).take(pa.array(some))
             sets = [keys for keys in shingle_sets(chosen, width) if len(keys)]
             found = {node_of(keys): keys for keys in sets}

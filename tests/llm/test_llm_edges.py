@@ -320,6 +320,18 @@ def test_groups(spark, monkeypatch, seed, options):
     assert got == brute.groups(texts)
 
 
+def test_groups_from_many_batches(spark, monkeypatch):
+    """A task gets its texts in many small batches."""
+    texts = near_copies(5)
+    df = spark.createDataFrame(list(texts.items()), "doc_id int, text string").repartition(2)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "20")
+    try:
+        got = {r.doc_id: (r.n_shingles, r.component_id) for r in similar_groups(df).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == brute.groups(texts)
+
+
 def test_groups_at_the_threshold(frame):
     tail = " ".join(f"t{n}" for n in range(100))
     texts = {
