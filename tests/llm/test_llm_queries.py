@@ -21,7 +21,7 @@ def small():
 @pytest.fixture(scope="module")
 def database(small):
     con = duckdb.connect()
-    for table in ("documents", "pages", "benchmark"):
+    for table in ("documents", "pages", "benchmark", "embeddings"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{small}/{table}.parquet'")
     return con
 
