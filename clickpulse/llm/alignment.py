@@ -44,6 +44,8 @@ _IDS = 1 << 31
 #: A word of Latin letters and its marks: both tokenizers end a token between them.
 _WORD = re.compile(rf"([A-Za-zÀ-ÖØ-öø-ʯ]+)([{re.escape(MARKS)}]*)")
 _BETWEEN = re.compile(r"(?<=\S) (?=\S)")
+#: What a text may have that is not cut at each of its spaces.
+_LOOSE = re.compile(r"\s\s|^\s|\s\Z")
 
 #: What a text's own row has: counts, sums over common pairs, and a hash in four numbers.
 _COUNTS = ["n_a", "n_b", "n_groups", "n_links"]
@@ -276,9 +278,13 @@ class Tokens(dict):
         flat: list[int] = []
         counts = []
         for text in texts:
-            parts = _BETWEEN.split(" " + text) if text else []
-            if parts:
+            if not text:
+                parts = []
+            elif _LOOSE.search(text):
+                parts = _BETWEEN.split(" " + text)
                 parts[0] = parts[0][1:]
+            else:
+                parts = text.split(" ")
             flat += map(self.__getitem__, parts)
             counts.append(len(parts))
         if self.new:
