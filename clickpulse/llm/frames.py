@@ -64,6 +64,8 @@ class Steps:
         path = f"{self.folder}/{self.count}"
         self.count += 1
         df.write.parquet(path)
+        # Executors keep shuffle files of past steps until the driver collects its garbage.
+        self.spark._jvm.System.gc()
         return self.spark.read.schema(df.schema).parquet(path)
 
     def remove(self) -> None:
