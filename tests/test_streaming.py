@@ -196,6 +196,45 @@ def test_listed_in_one_batch_and_absent_in_the_next(feed, rows):
     assert rows(tables.clicks().groupBy("user_id").count()) == [(1, 4), (2, 3), (5, 3)]
 
 
+@pytest.mark.parametrize("size,slide", [(300, 30), (60, 60), (120, 40), (300, 70)])
+def test_busy_users_by_spans(spark, frame, rows, size, slide):
+    """The fullest window of each user, also before 1970; users alone hold each busy pane."""
+    pick = random.Random(size + slide)
+    made = [(pick.randrange(-3000, 3000) * 400, pick.randrange(8)) for _ in range(400)]
+    clicks = frame("ts_ms bigint, user_id int", *made, (0, None), (1, None), (2, None))
+    most = {}
+    for user in {user for _, user in made} | {None}:
+        times = [ts for ts, who in made if who == user] if user is not None else [0, 1, 2]
+        starts = range(-(1_300_000 // (slide * 1000)) * slide * 1000, 1_300_000, slide * 1000)
+        most[user] = max(sum(0 <= ts - at < size * 1000 for ts in times) for at in starts)
+    for threshold in (2, 9):
+        busy = state.over_threshold(clicks, threshold, size, slide)
+        found = busy.groupBy("user_id").agg(F.max("count"))
+        expected = sorted(((u, n) for u, n in most.items() if n > threshold), key=repr)
+        assert rows(found) == expected
+
+
+def test_a_click_is_in_few_rows_of_the_blacklist_state(feed, spark):
+    """One click lies in ten windows, but state holds it in one or two spans."""
+    made = feed(threshold=1)
+    made.add(*(f"{1704067200 + 3600 * n}000 p c 1 {n}" for n in range(50)))
+    made.run(outputs=frozenset({"blacklist"}))
+    assert made.listed().where("user_id = 1").isEmpty()
+    kept = spark.read.format("statestore").load(str(made.out / "checkpoints" / "blacklist"))
+    assert 50 <= kept.count() <= 100
+
+
+def test_busy_over_two_batches_with_a_bound(feed, rows):
+    """A later batch fills a window up; with a bound, spans whose windows are over go."""
+    made = feed(threshold=3)
+    for part in ((0, 20), (270, 280), (40_000,), (40_010,)):
+        made.add(*(f"{1704067200 + second}000 p c 1 2" for second in part))
+        made.run(outputs=frozenset({"blacklist"}), late="1 hour")
+    assert rows(made.listed().where("user_id = 1")) == [(1, 4)]
+    kept = made.spark.read.format("statestore").load(str(made.out / "checkpoints" / "blacklist"))
+    assert kept.count() <= 2
+
+
 NAMES = ["counts", "top_ads", "trend", "user_windows", "clicks"]
 
 
