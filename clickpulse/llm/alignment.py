@@ -39,6 +39,8 @@ COMMON = 1 << 20
 #: Bytes of texts or ids that are worked on at once, parts of texts whose ids are kept, and
 #: words that are tokenized in a row.
 _BYTES, _PARTS, _ROW = 1 << 20, 1 << 19, 1000
+#: Bytes, as a power of two, in a step of offsets whose ends are counted to guess ranks.
+_STEP = 1
 #: More than a vocabulary has ids; a pair of ids is one number.
 _IDS = 1 << 31
 #: A word of Latin letters and its marks: both tokenizers end a token between them.
@@ -160,6 +162,12 @@ def gallop(keys: np.ndarray, table: np.ndarray, guess: np.ndarray) -> np.ndarray
     return low
 
 
+def _guess(keys: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Where to start galloping: behind the entries of all steps of bytes before a key's own."""
+    before = np.append(0, np.cumsum(np.bincount(table >> _STEP, minlength=(keys[-1] >> _STEP) + 1)))
+    return np.minimum(before[keys >> _STEP], len(table) - 1)
+
+
 @dataclass(frozen=True)
 class Overlap:
     """How two lists of tokens over the same bytes lie to each other.
@@ -416,12 +424,8 @@ def _align(
         ids = [i[np.repeat(chosen, c)] for i, c in zip(sides.ids, sides.counts)]
         counts = [c[texts] for c in sides.counts]
         ends = [np.cumsum(size[i]) for size, i in zip(sizes, ids)]
-        # A text's tokens start in proportion; the guess is the place the ends would have.
-        starts = [np.cumsum(c) - c for c in counts]
         text = np.repeat(np.arange(len(texts)), counts[d])
-        within = np.arange(len(ids[d])) - starts[d][text]
-        guess = starts[o][text] + within * counts[o][text] // counts[d][text]
-        met = overlaps(ends[d], ends[o], guess)
+        met = overlaps(ends[d], ends[o], _guess(ends[d], ends[o]))
         width = met.last - met.first + 1
         place = np.arange(width.sum()) - np.repeat(np.cumsum(width) - width, width)
         linked = [None, None]

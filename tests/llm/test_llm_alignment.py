@@ -10,7 +10,15 @@ import pytest
 from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer
 
-from clickpulse.llm.alignment import Sides, Tokens, Vocabularies, align_tokens, gallop, overlaps
+from clickpulse.llm.alignment import (
+    Sides,
+    Tokens,
+    Vocabularies,
+    _guess,
+    align_tokens,
+    gallop,
+    overlaps,
+)
 from clickpulse.llm.queries import QUERIES
 
 A = public_tokenizers.path("byte_bpe_50k.json")
@@ -114,6 +122,16 @@ def test_gallop_finds_ranks_from_any_guess(seed):
     assert (gallop(keys, table, guess) == np.searchsorted(table, keys)).all()
 
 
+def test_guesses_are_close_to_the_ranks():
+    """Also where a text's tokens are very unlike in length at its two ends."""
+    table = np.concatenate([np.arange(1, 5001), np.arange(5010, 55001, 10)])
+    keys = np.concatenate([np.arange(50, 5001, 50), np.arange(5001, 55001)])
+    keys[-1] = table[-1]
+    off = _guess(keys, table) - np.searchsorted(table, keys)
+    assert abs(off).max() <= 2
+    assert list(_guess(np.array([7]), np.array([7]))) == [0]
+
+
 def test_overlaps_by_hand():
     # Ends 3 5 9 in 2 3 6 7 9: tokens 0-3, 3-5, 5-9 meet 0-2 2-3, 3-6, 3-6 6-7 7-9.
     met = overlaps(np.array([3, 5, 9]), np.array([2, 3, 6, 7, 9]), np.array([4, 0, 2]))
