@@ -10,8 +10,9 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import AddedToken, Tokenizer
 
+from clickpulse.llm import token_files
 from clickpulse.llm.components import components
 from clickpulse.llm.crf import WORD, Model, Packed, posteriors, train
 from clickpulse.llm.decontamination import cut_passages, find_passages
@@ -686,6 +687,41 @@ def test_marks_behind_letters_that_come_apart(text):
     assert _Ids(tokenizer, 2).of([text])[0].tolist() == [*want, 2]
 
 
+def test_a_word_is_tokenized_once_in_any_case_and_with_any_marks():
+    tokenizer = Tokenizer.from_file(VOCABULARY)
+    ids = _Ids(tokenizer, 2)
+    texts = ["Straße, STRAßE $$$ straße$$$ (no", "straße! Straße&&&", None, "", "  "]
+    want = [tokenizer.encode(t or "", add_special_tokens=False).ids + [2] for t in texts]
+    assert [x.tolist() for x in ids.of(texts)] == want
+    known = ids.known.to_pylist()
+    assert [w for w in known if w.lower().startswith("stra")] == ["straße"] and len(known) == len(set(known))
+    before = len(known)
+    assert [x.tolist() for x in ids.of(texts)] == want and len(ids.known) == before
+
+
+@pytest.mark.parametrize("added", ["ae", "a!", "!!"])
+def test_added_tokens_inside_words(added):
+    tokenizer = Tokenizer.from_file(VOCABULARY)
+    tokenizer.add_tokens([AddedToken(added, normalized=False)])
+    text = "The aerie and a maestro Ae ae"
+    want = tokenizer.encode(text, add_special_tokens=False).ids
+    assert _Ids(tokenizer, 2).of([text])[0].tolist() == [*want, 2]
+
+
+def test_texts_in_chunks(monkeypatch):
+    tokenizer = Tokenizer.from_file(VOCABULARY)
+    monkeypatch.setattr(token_files, "_CHUNK_BYTES", 50)
+    monkeypatch.setattr(token_files, "_LAID", 2)
+    monkeypatch.setattr(token_files, "_REMEMBERED", 30)
+    texts = [None, "", PROSE, None, PROSE * 2, "", "x y", "x y", *(f"w{n} v{n}!" for n in range(60))]
+    batch = pa.RecordBatch.from_pydict({"text": pa.array(texts, pa.string())})
+    chunks = list(token_files._chunks(batch))
+    assert len(chunks) > 5 and sum(c.num_rows for c in chunks) == len(texts)
+    ids = _Ids(tokenizer, 2)
+    found = [x.tolist() for c in chunks for x in ids.of(c.column("text"))]
+    assert found == [tokenizer.encode(t or "", add_special_tokens=False).ids + [2] for t in texts]
+
+
 @given(st.binary(max_size=40), st.binary(max_size=40))
 def test_joined_checksums(a, b):
     import zlib
