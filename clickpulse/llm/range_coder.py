@@ -57,80 +57,113 @@ def _curve() -> np.ndarray:
 _SQUASH = _curve()
 #: The place on the scale for each chance, the inverse of the curve.
 _STRETCH = np.clip(np.searchsorted(_SQUASH, np.arange(4097)) - 2048, -2047, 2047)
+#: The curve for places that are cut at -2047; `_take` cuts them at both ends of the table.
+_CHANCES = np.append(_SQUASH[1], _SQUASH[1:]).astype(np.float64)
+#: Confidences of order 2 times those of order 1, which agrees with the candidate or not.
+_STATES = 16 * 32
+_FREQ_BITS = np.uint64(_SCALE + 1)
+_FREQ = np.uint64((1 << _SCALE + 1) - 1)
 
 
 class _Model:
+    """The model of a block. Ids are below 65,536, so that 16 times an id fits 32 bits.
+
+    Values are 32 bits wide, places in tables 64, as numpy takes them. Floating-point
+    numbers hold integers below 2 ** 53 and are exact.
+    """
+
     def __init__(self, lanes: int, ids: int) -> None:
         self.ids = ids
         self.counts = np.zeros(ids, np.int64)
         self.pending: list[np.ndarray] = []
         self.one, self.two = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
         # For each context 16 times the id that followed last, plus the confidence.
-        self.seen = (np.zeros(ids, np.int64), np.zeros(_SLOTS, np.int64))
+        self.seen = (np.zeros(ids, np.int32), np.zeros(_SLOTS, np.int32))
         # Hits and cases for each confidence of order 2, and of order 1 that agrees or not.
         self.hits, self.cases = np.ones(48, np.int64), np.full(48, 4, np.int64)
-        self.weights = np.array([1 << 15, 1 << 15, 1 << 13, 0], np.int64)
+        self.weights = [1 << 15, 1 << 15, 1 << 13, 0]
         self.steps = 0
         self._refresh()
 
     def _refresh(self) -> None:
         """Order-0 frequencies from all ids so far, each at least 1, 2 ** _SCALE in all."""
-        for ids in self.pending:
-            self.counts += np.bincount(ids, minlength=self.ids)
+        if self.pending:
+            self.counts += np.bincount(np.concatenate(self.pending), minlength=self.ids)
         self.pending = []
         spare = (1 << _SCALE) - self.ids
         total = int(self.counts.sum())
         share = np.floor(self.counts * (spare / total)) if total else np.zeros(self.ids)
         freq = 1 + share.astype(np.int64)
         freq[int(freq.argmax())] += (1 << _SCALE) - int(freq.sum())
-        self.freq = freq.astype(np.uint64)
-        self.cum = np.cumsum(self.freq) - self.freq
-        self.inverse = np.repeat(np.arange(self.ids), freq)
+        self.freq = freq
+        # Where the ids' frequencies begin, above the frequencies.
+        self.cum_freq = ((np.cumsum(freq) - freq).view(np.uint64) << _FREQ_BITS) | freq.view(np.uint64)
         # The size of a frequency on the logistic scale, by its power of two.
-        self.size = (np.frexp(freq.astype(np.float64))[1] - _SCALE) * 177
+        power = (freq.astype(np.float32).view(np.int32) >> 23) - 126
+        self.size = (power - _SCALE) * 177.0
+        self._inverse: np.ndarray | None = None
+
+    def inverse(self) -> np.ndarray:
+        """The id at each place of the order-0 frequencies."""
+        if self._inverse is None:
+            self._inverse = np.repeat(np.arange(self.ids).astype(np.uint16), self.freq)
+        return self._inverse
 
     def predict(self, lanes: int) -> tuple[np.ndarray, np.ndarray]:
         """For each lane the candidate and its chance of 2 ** _CHANCE."""
-        one, two = self.one[:lanes], self.two[:lanes]
-        self.slot = (one * 0x9E3779B1 + two * 0x85EBCA6B >> 13) & (_SLOTS - 1)
-        self.one_seen, self.two_seen = _take(self.seen[0], one), _take(self.seen[1], self.slot)
-        self.c1, self.c2 = self.one_seen & _SURE, self.two_seen & _SURE
-        p1, p2 = self.one_seen >> 4, self.two_seen >> 4
-        candidate = np.where(self.c2 > 0, p2, p1)
-        self.agree = np.where(p1 == candidate, 16, 32) + self.c1
+        self.one, self.two = self.one[:lanes], self.two[:lanes]
+        # The 31 lowest bits decide, so a product may overflow.
+        slot = self.one.astype(np.uint32) * np.uint32(0x9E3779B1)
+        slot += self.two.astype(np.uint32) * np.uint32(0x85EBCA6B)
+        slot >>= np.uint32(13)
+        slot &= np.uint32(_SLOTS - 1)
+        self.slot = slot.astype(np.int64)
+        self.one_seen, self.two_seen = _take(self.seen[0], self.one), _take(self.seen[1], self.slot)
+        # Order 2 if it has seen anything, else order 1.
+        seen = self.two_seen | (self.one_seen & (self.two_seen - 1 >> 31))
+        state = (self.two_seen & _SURE) << 5
+        state |= _differs(seen, self.one_seen) & 16
+        state |= self.one_seen & _SURE
+        self.state = state.astype(np.int64)
+        candidate = (seen >> 4).astype(np.int64)
         known = _STRETCH[(self.hits << 12) // self.cases]
-        self.inputs = (_take(known, self.c2), _take(known, self.agree), _take(self.size, candidate))
-        w = self.weights.tolist()
-        x2, x1, x0 = self.inputs
-        dot = (x2 * w[0] + x1 * w[1] + x0 * w[2] + w[3] * 256) >> 16
-        self.chance = _take(_SQUASH, np.clip(dot, -2047, 2047) + 2048)
-        return candidate, self.chance
-
-    def learn(self, ids: np.ndarray, hit: np.ndarray) -> None:
+        self.known = known[:16], known[16:]
+        w2, w1, w0, bias = self.weights
+        high = self.known[0] * w2 + bias * 256
+        both = np.add.outer(high, self.known[1] * w1).ravel().astype(np.float64)
+        self.known_size = _take(self.size, candidate)
+        dot = self.known_size * w0
+        dot += _take(both, self.state)
+        dot *= 1 / 65536
+        place = np.floor(dot, out=dot).astype(np.int64)
+        place += 2048
+        self.chance = _take(_CHANCES, place)
+        return candidate, self.chance.astype(np.uint64)
+
+    def learn(self, ids: np.ndarray, hits: np.ndarray) -> None:
+        """Take in each lane's id; `hits` are the lanes whose candidate was right."""
         n = len(ids)
-        one, two = self.one[:n], self.two[:n]
-        fresh = ids * 16
-        for table, slots, old, trust in (
-            (self.seen[0], one, self.one_seen, self.c1),
-            (self.seen[1], self.slot, self.two_seen, self.c2),
+        fresh = ids.astype(np.int32) << 4
+        for table, places, old in (
+            (self.seen[0], self.one, self.one_seen),
+            (self.seen[1], self.slot, self.two_seen),
         ):
-            # Right: one more, up to the most. Wrong: half of it, or the new id from none.
-            right = ((old - trust) == fresh) & (trust > 0)
-            up = old + (trust < _SURE)
-            down = np.where(trust > 1, old - trust + (trust >> 1), fresh + 1)
-            table[slots] = np.where(right, up, down)
-        states = np.concatenate([self.c2, self.agree])
-        states = states * 2 + np.concatenate([hit, hit])
-        found = np.bincount(states, minlength=96).reshape(48, 2)
-        self.cases += found.sum(axis=1)
-        self.hits += found[:, 1]
+            table[places] = _followed(old, fresh)
+        cases = np.bincount(self.state, minlength=_STATES).reshape(16, 32)
+        right = np.bincount(_take(self.state, hits), minlength=_STATES).reshape(16, 32)
+        # The sum of errors in each state.
+        chances = np.bincount(self.state, self.chance, _STATES).astype(np.int64)
+        wrong = (right << _CHANCE) - chances.reshape(16, 32)
+        self.cases += np.concatenate([cases.sum(axis=1), cases.sum(axis=0)])
+        self.hits += np.concatenate([right.sum(axis=1), right.sum(axis=0)])
         if self.cases.max() > 1 << 20:
             self.cases, self.hits = (self.cases >> 1) + 2, (self.hits >> 1) + 1
-        wrong = (hit.astype(np.int64) << _CHANCE) - self.chance
-        for k, x in enumerate(self.inputs):
-            self.weights[k] += int(np.dot(x, wrong)) // (n << 5)
+        x0 = (int(_take(self.known_size, hits).sum()) << _CHANCE) - int(np.dot(self.known_size, self.chance))
+        errors = (np.dot(self.known[0], wrong.sum(axis=1)), np.dot(self.known[1], wrong.sum(axis=0)), x0)
+        for k, error in enumerate(errors):
+            self.weights[k] += int(error) // (n << 5)
         self.weights[3] += int(wrong.sum()) // (n << 2)
-        self.two[:n], self.one[:n] = one, ids
+        self.two, self.one = self.one, ids
         self.pending.append(ids)
         self.steps += 1
         if self.steps % 16 == 0 or self.steps in (1, 2, 4, 8):
@@ -138,17 +171,57 @@ class _Model:
 
 
 def _take(table: np.ndarray, places: np.ndarray) -> np.ndarray:
-    """The values at places that are known to lie inside the table."""
+    """The values at places, which are cut at both ends of the table."""
     return table.take(places, mode="clip")
 
 
+def _differs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """All bits set where the ids of two states of contexts differ, else none."""
+    return _SURE - (a ^ b) >> 31
+
+
+def _either(bits: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a where all bits are set, b where none is; `np.where` takes three times as long."""
+    a ^= b
+    a &= bits
+    a ^= b
+    return a
+
+
+def _followed(old: np.ndarray, fresh: np.ndarray) -> np.ndarray:
+    """The states of contexts that an id followed, 16 times that id given.
+
+    The same id: one more, up to the most. Another: half of it, or the new id from one or none.
+    """
+    trust = old & _SURE
+    up = old - (trust - _SURE >> 31)
+    down = old - (trust + 1 >> 1)
+    wrong = _either(trust - 2 >> 31, fresh + 1, down)
+    return _either(_differs(old, fresh), wrong, up)
+
+
+def _parts(sp: np.ndarray, chance: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each lane's range what a right candidate gets, and of the rest one part of a frequency."""
+    bound = sp >> np.uint64(_CHANCE)
+    bound *= chance
+    part = sp - bound
+    part >>= np.uint64(_SCALE)
+    return bound, part
+
+
 def _narrow(
-    lo: np.ndarray, sp: np.ndarray, bound: np.ndarray, part: np.ndarray, hit: np.ndarray, model, ids
+    lo: np.ndarray, sp: np.ndarray, bound: np.ndarray, part: np.ndarray, hits: np.ndarray, model, ids
 ) -> None:
     """Narrow each lane's range to its decision and, where the candidate was wrong, its id."""
-    wrong = bound + part * _take(model.cum, ids)
-    lo += np.where(hit, np.uint64(0), wrong)
-    sp[:] = np.where(hit, bound, part * _take(model.freq, ids))
+    cum = _take(model.cum_freq, ids)
+    freq = cum & _FREQ
+    cum >>= _FREQ_BITS
+    cum *= part
+    cum += bound
+    cum[hits] = 0
+    lo += cum
+    np.multiply(part, freq, out=sp)
+    sp[hits] = _take(bound, hits)
 
 
 def _spent(lo: np.ndarray, sp: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -180,7 +253,7 @@ def encode_block(ids: np.ndarray, vocabulary: int) -> bytes:
     if not n:
         return _sealed(struct.pack(_HEADER, _MAGIC, 0, vocabulary, 0, check))
     lanes, steps = _shape(n)
-    padded = np.zeros(lanes * steps, np.int64)
+    padded = np.zeros(lanes * steps, np.int32)
     padded[:n] = ids
     columns = np.ascontiguousarray(padded.reshape(lanes, steps).T)
     model = _Model(lanes, vocabulary)
@@ -190,20 +263,19 @@ def encode_block(ids: np.ndarray, vocabulary: int) -> bytes:
     out_word: list[np.ndarray] = []
     for step in range(steps):
         live = lanes if (lanes - 1) * steps + step < n else lanes - 1
-        now = columns[step, :live]
+        now = columns[step, :live].astype(np.int64)
         candidate, chance = model.predict(live)
-        hit = candidate == now
+        hits = np.flatnonzero(candidate == now)
         lo, sp = low[:live], span[:live]
-        bound = (sp >> np.uint64(_CHANCE)) * chance.astype(np.uint64)
-        part = (sp - bound) >> np.uint64(_SCALE)
-        _narrow(lo, sp, bound, part, hit, model, now)
+        bound, part = _parts(sp, chance)
+        _narrow(lo, sp, bound, part, hits, model, now)
         # No range that is larger has settled bits.
         more = np.flatnonzero(sp < _TOP)
         while len(more):
             at, bits, more = _spent(lo, sp, more)
             out_lane.append(at.astype(np.uint16))
             out_word.append(bits.astype(np.uint16))
-        model.learn(now, hit)
+        model.learn(now, hits)
     every = np.arange(lanes).astype(np.uint16)
     for shift in (32, 16, 0):
         out_lane.append(every)
@@ -227,7 +299,7 @@ def decode_block(block: bytes) -> np.ndarray:
     magic, n, vocabulary, lanes, check = struct.unpack_from(_HEADER, block)
     if magic != _MAGIC or (lanes, n) != (_shape(n)[0] if n else 0, n):
         raise ValueError("no block of token ids")
-    ids = _decoded(block, n, vocabulary, lanes) if n else np.empty(0, np.int64)
+    ids = _decoded(block, n, vocabulary, lanes) if n else np.empty(0, np.int32)
     if zlib.crc32(ids.astype("<u4").tobytes()) != check:
         raise ValueError("checksum of the ids does not match")
     return ids
@@ -239,35 +311,38 @@ def _decoded(block: bytes, n: int, vocabulary: int, lanes: int) -> np.ndarray:
     sizes = np.frombuffer(block, "<u4", lanes, _HEAD_BYTES).astype(np.int64)
     if len(block) != start + 2 * int(sizes.sum()):
         raise ValueError("block is cut short")
-    words = np.append(np.frombuffer(block, "<u2", offset=start), [0] * 3).astype(np.uint64)
+    words = np.append(np.frombuffer(block, "<u2", offset=start), np.zeros(3, "<u2"))
     at_word = np.cumsum(sizes) - sizes
     last = len(words) - 1
     code = np.zeros(lanes, np.uint64)
     for _ in range(3):
-        code = code << _16 | words[np.minimum(at_word, last)]
+        code = code << _16 | words[np.minimum(at_word, last)].astype(np.uint64)
         at_word = at_word + 1
     model = _Model(lanes, vocabulary)
     low = np.zeros(lanes, np.uint64)
     span = np.full(lanes, _MASK)
-    columns = np.zeros((steps, lanes), np.int64)
+    columns = np.zeros((steps, lanes), np.int32)
     for step in range(steps):
         live = lanes if (lanes - 1) * steps + step < n else lanes - 1
         candidate, chance = model.predict(live)
         lo, sp, co = low[:live], span[:live], code[:live]
-        bound = (sp >> np.uint64(_CHANCE)) * chance.astype(np.uint64)
+        bound, part = _parts(sp, chance)
         offset = co - lo
-        hit = offset < bound
-        part = (sp - bound) >> np.uint64(_SCALE)
-        # Of a right candidate the place means nothing.
-        place = np.minimum((offset - bound) // part, np.uint64((1 << _SCALE) - 1))
-        now = np.where(hit, candidate, _take(model.inverse, place.astype(np.int64)))
-        _narrow(lo, sp, bound, part, hit, model, now)
+        hits = np.flatnonzero(offset < bound)
+        # Of a right candidate the place means nothing. Else the dividend has 48 bits, and a
+        # quotient below a whole number by one part of the divisor is not rounded up to it.
+        offset -= bound
+        place = offset.astype(np.float64)
+        place /= part
+        now = _take(model.inverse(), place.astype(np.int64)).astype(np.int64)
+        now[hits] = _take(candidate, hits)
+        _narrow(lo, sp, bound, part, hits, model, now)
         more = np.flatnonzero(sp < _TOP)
         while len(more):
             at, _, more = _spent(lo, sp, more)
             word = _take(at_word, at)
-            co[at] = ((_take(co, at) << _16) & _MASK) | _take(words, np.minimum(word, last))
+            co[at] = ((_take(co, at) << _16) & _MASK) | _take(words, word)
             at_word[at] = word + 1
         columns[step, :live] = now
-        model.learn(now, hit)
+        model.learn(now, hits)
     return columns.T.ravel()[:n]

@@ -31,7 +31,7 @@ from clickpulse.llm.range_coder import decode_block, encode_block
 BLOCK_IDS = 1 << 20
 #: Bytes of text in one file, on average.
 FILE_BYTES = 16 << 20
-#: Words that a worker remembers with their ids before it starts anew.
+#: Words that a worker remembers with their ids before it forgets those that did not come again.
 _REMEMBERED = 1 << 19
 #: Bytes of text that are cut into words at once.
 _CHUNK_BYTES = 4 << 20
@@ -81,7 +81,10 @@ class _Ids:
         #: Last characters of words that are not ASCII, by whether they end in a letter or digit.
         self.closed: dict[str, bool] = {}
         self._look_at_letters()
-        self._forget()
+        self.known = pa.array([], pa.large_string())
+        self.ids, self.begin = np.empty(0, np.int32), np.zeros(1, np.int64)
+        #: Known words that later texts had again.
+        self.again = np.zeros(0, bool)
 
     def _look_at_letters(self) -> None:
         """Ask the tokenizer what it makes of each plain letter, and which marks come apart from one.
@@ -124,8 +127,14 @@ class _Ids:
         return [word for word, _ in cut.pre_tokenize_str(form)] if cut else [form]
 
     def _forget(self) -> None:
-        self.known = pa.array([], pa.large_string())
-        self.ids, self.begin = np.empty(0, np.int32), np.zeros(1, np.int64)
+        """Keep only words that came again since the last time, and none if they are too many."""
+        kept = np.flatnonzero(self.again)
+        if 2 * len(kept) > _REMEMBERED:
+            kept = kept[:0]
+        self.ids, size = _gather(self.ids, self.begin, kept)
+        self.begin = np.append(0, np.cumsum(size))
+        self.known = self.known.take(pa.array(kept))
+        self.again = np.zeros(len(kept), bool)
 
     def _encoded(self, words: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
@@ -164,6 +173,7 @@ class _Ids:
         found = pc.index_in(words, value_set=self.known)
         new = found.is_null().to_numpy(False)
         at = found.fill_null(0).to_numpy(False).astype(np.int64)
+        self.again[at[~new]] = True
         fresh = words.filter(pa.array(new))
         row = self._full(fresh, self.letters)
         order = np.concatenate([np.flatnonzero(row), np.flatnonzero(~row)])
@@ -181,6 +191,7 @@ class _Ids:
         ends = np.cumsum(np.concatenate(sizes)) + self.begin[-1]
         self.begin = np.concatenate([self.begin, ends])
         self.known = pa.concat_arrays([self.known, fresh])
+        self.again = np.append(self.again, np.zeros(len(fresh), bool))
         return at
 
     def _halves(self, words: pa.Array) -> tuple[np.ndarray, pa.Array, pa.Array]:

@@ -12,7 +12,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import AddedToken, Tokenizer
 
-from clickpulse.llm import token_files
+from clickpulse.llm import range_coder, token_files
 from clickpulse.llm.components import components
 from clickpulse.llm.crf import WORD, Model, Packed, posteriors, train
 from clickpulse.llm.decontamination import cut_passages, find_passages
@@ -658,6 +658,37 @@ def test_coder_round_trip(n, kinds, seed):
             decode_block(wrong)
 
 
+@pytest.mark.parametrize("vocabulary", [49408, 65536])
+def test_coder_uses_narrow_numbers_with_the_highest_ids(vocabulary, monkeypatch):
+    rng = np.random.default_rng(4)
+    ids = np.concatenate([vocabulary - 1 - rng.integers(0, 9, 40_000) ** 2, rng.integers(0, vocabulary, 9000)])
+    seen = []
+
+    class Model(range_coder._Model):
+        def learn(self, *given):
+            seen.append({values.itemsize for values in (*self.seen, self.one_seen, self.two_seen)})
+            super().learn(*given)
+
+    monkeypatch.setattr(range_coder, "_Model", Model)
+    assert decode_block(encode_block(ids, vocabulary)).tolist() == ids.tolist()
+    assert {size for sizes in seen for size in sizes} == {4}
+
+
+def test_contexts_learn_from_each_id():
+    """Every confidence, with the same id and another one, against the rule in plain Python."""
+    old = np.array([16 * i + c for i in (0, 3, 65535) for c in range(16)] * 3, np.int32)
+    fresh = np.repeat(np.array([0, 3, 65535], np.int32), 48) << 4
+
+    def rule(state, new):
+        seen, trust = divmod(state, 16)
+        if seen * 16 == new and trust:
+            return state + (trust < 15)
+        return seen * 16 + trust // 2 if trust > 1 else new + 1
+
+    want = [rule(int(o), int(f)) for o, f in zip(old, fresh, strict=True)]
+    assert range_coder._followed(old, fresh).tolist() == want
+
+
 def test_coder_learns():
     pattern = np.tile(np.arange(500) * 97 % 49408, 200)
     assert len(encode_block(pattern, 49408)) < len(pattern) / 2
@@ -699,6 +730,30 @@ def test_a_word_is_tokenized_once_in_any_case_and_with_any_marks():
     assert [x.tolist() for x in ids.of(texts)] == want and len(ids.known) == before
 
 
+def test_a_full_memory_keeps_words_that_come_again(monkeypatch):
+    monkeypatch.setattr(token_files, "_REMEMBERED", 20)
+    tokenizer = Tokenizer.from_file(VOCABULARY)
+    ids = _Ids(tokenizer, 2)
+    fresh = []
+    one_by_one, in_rows = ids._one_by_one, ids._in_rows
+    monkeypatch.setattr(ids, "_one_by_one", lambda words: fresh.extend(words) or one_by_one(words))
+    monkeypatch.setattr(ids, "_in_rows", lambda words: fresh.extend(words.to_pylist()) or in_rows(words))
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rare = [" ".join(f"{a}{b}x{a}" for b in letters[:9]) for a in letters]
+    for words in rare:
+        text = f"often {words}, again 我们 {words}!"
+        want = tokenizer.encode(text, add_special_tokens=False).ids
+        assert ids.of([text])[0].tolist() == [*want, 2]
+        assert len(ids.known) <= 20 + 13 and len(ids.again) == len(ids.known) == len(ids.begin) - 1
+    assert all(fresh.count(word) == 1 for word in ("often", "again", "我们"))
+    # Where all words come again they are too many to keep.
+    everything = " ".join(rare)
+    for _ in range(3):
+        want = tokenizer.encode(everything, add_special_tokens=False).ids
+        assert ids.of([everything])[0].tolist() == [*want, 2]
+    assert len(ids.known) == 9 * 26 + 1
+
+
 @pytest.mark.parametrize("added", ["ae", "a!", "!!"])
 def test_added_tokens_inside_words(added):
     tokenizer = Tokenizer.from_file(VOCABULARY)
